@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acervo.llm import quality
+from acervo.llm import quality, shards
 from acervo.llm.common import table
 
 
@@ -13,8 +14,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op10_quality_rules,)}
+    return {f.__name__: f for f in (op7_token_output, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
