@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acervo.llm import quality, shards
+from acervo.llm import licenses, quality, shards
 from acervo.llm.common import table
 
 
@@ -14,13 +14,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_token_output, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_license_scan, op7_token_output, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op1_license_scan": licenses.oracle_sql()}
