@@ -30,6 +30,8 @@ def texts(column) -> pa.Array:
     """One large_string array, nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if column.offset:  # a copy: some kernels misread what a cast makes of a slice
+        column = column.take(pa.array(np.arange(len(column))))
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
