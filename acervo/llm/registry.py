@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acervo.llm import licenses, quality, secrets, shards
+from acervo.llm import licenses, quality, secrets, shards, simhash
 from acervo.llm.common import table
 
 
@@ -22,12 +22,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.with_hex(simhash.grouped(table(spark, sf_dir, "documents")))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op7_token_output, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op6_simhash_near_dedup, op7_token_output, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:

@@ -1,20 +1,53 @@
-"""SimHash near-duplicates."""
+"""SimHash near-duplicates by the generalised pigeonhole principle.
 
+Fingerprints that differ in at most `radius` bits link.  The 64 bits are
+grouped into partitions of correlated bits, each with a threshold of its own,
+such that the thresholds plus one add up to radius + 1: two fingerprints that
+link then differ by no more than the threshold in at least one partition.
+Dynamic programming picks the thresholds (-1 leaves a partition out) that
+cost least by the candidate counts estimated from a sample of pairs; the
+sample bears on cost alone, never on which links are found.  Each fingerprint
+is indexed under its bits in each partition and probes all values within the
+threshold; candidates are verified on all 64 bits inside the join.
+
+Equal fingerprints are one row throughout.  A key that has many (a large
+group of near copies) gets a pivot, its smallest fingerprint: rows within the
+radius of it link to it alone, and only pairs with a row that is not are
+compared.  That keeps all components and needs no pairs among the copies.
+
+Defined results: a null or empty text has fingerprint zero, linked like any
+other; repeated rows and identifiers are all returned; a null identifier is
+larger than any; other columns are ignored.
+"""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
+from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
+from acervo.llm.common import stored
+from acervo.llm.components import components
 
 #: Fixed values of the fingerprint.
 SHINGLE, SEED = 4, 42
 
+#: At most so many fingerprints, those with the smallest hash, inform the plan.
+PLAN_SAMPLE = 3000
+#: The cost of a probe in that of a compared pair.
+PROBE_COST = 30
+#: A key with more fingerprints than this gets a pivot.
+DENSE = 128
+
 
 def fingerprints(column, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
     """64 bits for each text: a bit is set if it is in over half of the shingles' hashes. A text without words has zero."""
@@ -38,3 +71,129 @@ def fingerprints(column, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray
     set_ = 2 * np.add.reduceat(bits, begins, axis=0, dtype=np.int32) > n_shingles[full, None]
     out[full] = np.packbits(set_, axis=1).view(np.uint64).ravel()
     return out
+
+
+class Part(NamedTuple):
+    """A partition: its bits' places and its threshold."""
+
+    bits: list[int]
+    threshold: int
+
+    @property
+    def mask(self) -> int:
+        return sum(1 << b for b in self.bits)
+
+    @property
+    def flips(self) -> list[int]:
+        """Every difference within the threshold."""
+        out = [0]
+        for level in range(self.threshold):
+            out += [f | 1 << b for f in out if f.bit_count() == level for b in self.bits if 1 << b > f]
+        return out
+
+
+def probes(width: int, threshold: int) -> int:
+    return sum(comb(width, d) for d in range(threshold + 1))
+
+
+def allocate(shares: list[dict[int, float]], widths: list[int], n: float, radius: int) -> tuple[float, list[int]]:
+    """The cheapest thresholds; shares[i][t] estimates which share of all pairs differ by at most t bits in partition i."""
+    best = {0: (0.0, [])}
+    for share, width in zip(shares, widths, strict=True):
+        new = {}
+        for spent, (cost, chosen) in best.items():
+            for t, p in share.items():
+                c = cost + n * PROBE_COST * probes(width, t) + n * n / 2 * p
+                k = spent + t + 1
+                if k <= radius + 1 and (k not in new or c < new[k][0]):
+                    new[k] = (c, [*chosen, t])
+        best = new
+    return best.get(radius + 1, (float("inf"), []))
+
+
+def plan(sample: np.ndarray, n: int, radius: int, most: int = 6) -> list[Part]:
+    """Partitions and thresholds for n distinct fingerprints that are like the sample."""
+    bits = (sample[:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)).astype(float)
+    bits -= bits.mean(0, keepdims=True) if len(bits) else 0
+    spread = np.sqrt((bits**2).sum(0)) + 1e-9
+    near = np.abs(bits.T @ bits / np.outer(spread, spread))
+    np.fill_diagonal(near, 0)
+    order = np.argsort(np.linalg.eigh(np.diag(near.sum(0)) - near)[1][:, 1], kind="stable")  # neighbours along this order go together
+    a, b = np.triu_indices(len(sample), 1)
+    apart = sample[a] ^ sample[b]
+    best = (float("inf"), [])
+    for m in range(1, most + 1):
+        groups = [sorted(g.tolist()) for g in np.array_split(order, m)]
+        shares = []
+        for g in groups:
+            d = np.bitwise_count(apart & np.uint64(sum(1 << x for x in g)))
+            share = {-1: 0.0}
+            for t in range(min(radius, 3) + 1):
+                even = probes(len(g), t) / 2 ** len(g)
+                share[t] = max(even, float((d <= t).mean()) if len(d) else 0.0)
+            shares.append(share)
+        cost, chosen = allocate(shares, list(map(len, groups)), n, radius)
+        if cost < best[0]:
+            best = (cost, [Part(g, t) for g, t in zip(groups, chosen, strict=True) if t >= 0])
+    return best[1]
+
+
+def prints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp) of every row; fp holds the 64 bits as a signed long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in tx.sliced(batches):
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(tx.signed(fingerprints(b.column("text"), shingle)))], ["doc_id", "fp"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+
+
+def as_signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def links(distinct: DataFrame, radius: int, dense: int = DENSE) -> DataFrame:
+    """Links (u, v) among distinct fingerprints, enough to join all that link directly or by way of others."""
+    n = distinct.count()
+    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(PLAN_SAMPLE).toArrow()["fp"].to_numpy().astype(np.int64).view(np.uint64)
+    parts = plan(sample, n, radius)
+    one = lambda i, p: distinct.select(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(as_signed(p.mask))).alias("key"), "fp")
+    index = reduce(DataFrame.unionAll, [one(i, p) for i, p in enumerate(parts)])
+    probe = reduce(
+        DataFrame.unionAll,
+        [one(i, p).select("part", F.col("key").bitwiseXOR(F.explode(F.array(*[F.lit(as_signed(f)) for f in p.flips])).alias("flip")).alias("key"), "fp") if p.threshold else one(i, p) for i, p in enumerate(parts)],
+    )
+    pivots = index.groupBy("part", "key").agg(F.min("fp").alias("pivot"), F.count("*").alias("n")).where(F.col("n") > dense).drop("n")
+    near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
+    marked = lambda df: df.join(pivots, ["part", "key"], "left").withColumn("held", F.coalesce(near("fp", "pivot"), F.lit(False)))
+    index, probe = marked(index), marked(probe)
+    stars = probe.where(F.col("held") & (F.col("fp") != F.col("pivot"))).select(F.col("fp").alias("u"), F.col("pivot").alias("v"))
+
+    def compared(left: DataFrame, right: DataFrame) -> DataFrame:
+        left, right = left.select("part", "key", F.col("fp").alias("u")), right.select("part", "key", F.col("fp").alias("v"))
+        return left.join(right, (left.part == right.part) & (left.key == right.key) & (F.col("u") != F.col("v")) & near("u", "v")).select("u", "v")
+
+    free = ~F.col("held")
+    return stars.unionAll(compared(index.where(free), probe)).unionAll(compared(index.where("held"), probe.where(free))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def grouped(docs: DataFrame, radius: int = 4, shingle: int = SHINGLE) -> DataFrame:
+    """Every row's fingerprint and its component, named by its smallest identifier."""
+    rows = stored(prints(docs, shingle), "prints")
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-prints")
+    roots = components(links(distinct.select("fp"), radius))
+    by_root = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    names = by_root.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = by_root.join(names, "root").select(F.col("fp").alias("print"), "component_id")
+    return rows.join(named, F.col("fp") == F.col("print")).select("doc_id", "fp", "component_id")
+
+
+def with_hex(df: DataFrame) -> DataFrame:
+    return df.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def deduplicated(docs: DataFrame, radius: int, shingle: int) -> DataFrame:
+    """The documents, one of each component: that with the smallest identifier. Rows that repeat an identifier stay or go together."""
+    groups = grouped(docs, radius, shingle)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
