@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acervo.llm import licenses, quality, secrets, shards, simhash
+from acervo.llm import licenses, mixing, quality, secrets, shards, simhash, substrings
 from acervo.llm.common import table
 
 
@@ -22,6 +22,14 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_hex(simhash.grouped(table(spark, sf_dir, "documents")))
 
@@ -31,8 +39,8 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op6_simhash_near_dedup, op7_token_output, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_mixing, op5_substring_dedup, op6_simhash_near_dedup, op7_token_output, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
-    return {"op1_license_scan": licenses.oracle_sql()}
+    return {"op1_license_scan": licenses.oracle_sql(), "op3_mixing": mixing.oracle_sql()}
