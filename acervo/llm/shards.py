@@ -23,12 +23,14 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as pafs
 from pyspark import TaskContext
@@ -205,21 +207,53 @@ class Encoded(NamedTuple):
     starts: np.ndarray
 
 
+#: A worker keeps the ids of at most so many pieces of words.
+KEPT_PIECES = 300_000
+#: ASCII punctuation that ends a word after a letter or digit, without the apostrophe.
+TAIL = r"([\pL\pN])[!-&(-/:-@\[-`{-~]+$"
+
+
+def worker_store() -> dict:
+    """A dict that lives as long as this Python worker, which runs many tasks."""
+    import tokenizers
+
+    return tokenizers.__dict__.setdefault("_acervo_store", {})
+
+
+def pieces(uniq: pa.Array) -> tuple[list[str], list[str]]:
+    """Each word in lower case as its body and the punctuation that ends it, which are encoded apart with the same result; words that may hold a special token stay as they are."""
+    special = pc.match_substring(uniq, "<|")
+    low = pc.if_else(special, uniq, pc.ascii_lower(uniq))
+    body = pc.if_else(special, uniq, pc.replace_substring_regex(low, TAIL, r"\1"))
+    bodies = body.to_pylist()
+    return bodies, [x[len(y) :] for x, y in zip(low.to_pylist(), bodies, strict=True)]
+
+
 def encoder(tokenizer: str, end_id: int) -> Callable[[pa.Array], Encoded]:
-    """Encodes texts with a tokenizer file whose pieces never span ASCII white space: each distinct word of a batch is encoded once."""
+    """Encodes texts with a tokenizer file that ignores case and whose pieces span neither white space nor the end of a run of letters: each distinct word of a batch is encoded once, in two pieces that a worker remembers."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(tokenizer)
+    store = worker_store()
+    if store.get("file") != tokenizer:
+        store |= {"file": tokenizer, "tok": Tokenizer.from_file(tokenizer), "ids": {"": b""}}
+    tok, known = store["tok"], store["ids"]
 
     def encode(column) -> Encoded:
         w = tx.words(column)
-        n_docs = len(w.starts) - 1
-        parts = [e.ids for e in tok.encode_batch_fast(w.uniq.to_pylist(), add_special_tokens=False)]
-        size = np.fromiter(map(len, parts), np.int64, len(parts))
-        flat = np.fromiter((i for p in parts for i in p), np.uint32, int(size.sum()))
+        bodies, tails = pieces(w.uniq)
+        new = list({*bodies, *tails} - known.keys())
+        if len(known) + len(new) > KEPT_PIECES:
+            known.clear()
+            new = list({*bodies, *tails})
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            known.update(zip(part, (array("I", e.ids).tobytes() for e in tok.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+        parts = [known[x] + known[y] for x, y in zip(bodies, tails, strict=True)]
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
+        flat = np.frombuffer(b"".join(parts), np.uint32)
         begins = np.cumsum(size) - size
         lens = size[w.codes]
         at = np.cumsum(lens) - lens
@@ -262,7 +296,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
             rows.append((f"{folder}/{name}", part, seq - 1, len(writer.keys), writer.ids, first, last, size))
             writer = None
 
-        for b in tx.sliced(batches, limit=16 << 20):
+        for b in tx.sliced(batches, limit=8 << 20):
             ids, starts = encode(b.column("text"))
             for i, doc_id in enumerate(b.column("doc_id").to_pylist()):
                 if writer is None:
