@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acervo.llm import decontamination, licenses, mixing, quality, secrets, shards, simhash, substrings
+from acervo.llm import decontamination, licenses, lines, mixing, quality, secrets, shards, simhash, substrings
 from acervo.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judged(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -43,8 +47,8 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_mixing, op5_substring_dedup, op6_simhash_near_dedup, op7_token_output, op8_decontamination, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_mixing, op5_substring_dedup, op6_simhash_near_dedup, op7_token_output, op8_decontamination, op9_line_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
-    return {"op1_license_scan": licenses.oracle_sql(), "op3_mixing": mixing.oracle_sql()}
+    return {"op1_license_scan": licenses.oracle_sql(), "op3_mixing": mixing.oracle_sql(), "op9_line_dedup": lines.oracle_sql()}
