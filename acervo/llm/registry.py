@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acervo.llm import decontamination, licenses, lines, mixing, quality, secrets, shards, simhash, substrings
+from acervo.llm import decontamination, licenses, lines, maxent, mixing, quality, secrets, shards, simhash, substrings
 from acervo.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_mixing, op5_substring_dedup, op6_simhash_near_dedup, op7_token_output, op8_decontamination, op9_line_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_mixing, op4_lm_scoring, op5_substring_dedup, op6_simhash_near_dedup, op7_token_output, op8_decontamination, op9_line_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict:
