@@ -19,6 +19,7 @@ Defined results: a null or empty text has fingerprint zero, linked like any
 other; repeated rows and identifiers are all returned; a null identifier is
 larger than any; other columns are ignored.
 """
+
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
@@ -192,8 +193,141 @@ def with_hex(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, radius: int, shingle: int) -> DataFrame:
-    """The documents, one of each component: that with the smallest identifier. Rows that repeat an identifier stay or go together."""
-    groups = grouped(docs, radius, shingle)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+class Near(NamedTuple):
+    """What makes two texts near-duplicates, and how candidates are found.
+
+    Texts are near if their sets of `words`-word shingles have at least this
+    similarity (Jaccard).  An edited word changes `words` shingles but only two
+    word pairs, so fingerprints of word pairs find the candidates: at most
+    `radius` bits apart there, and `wide_radius` in fingerprints of the
+    shingles themselves, which leaves few candidates that aren't near.
+    Similarity is exact for texts of up to `sketch` distinct shingles; beyond,
+    it is estimated from that many smallest hashes.
+    """
+
+    words: int = 5
+    similarity: float = 0.8
+    radius: int = 8
+    wide_radius: int = 14
+    sketch: int = 256
+
+
+def rolled(w: tx.Words, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all k-word shingles (a shorter text has one) and where each text's begin."""
+    counts = np.diff(w.starts)
+    n = np.where(counts > 0, np.maximum(counts - k + 1, 1), 0)
+    starts = np.concatenate([[0], np.cumsum(n)])
+    h = tx.hashed(w.uniq, seed)[w.codes]
+    full = tx.rolling(np.concatenate([h, np.zeros(k - 1, np.uint64)]), k, 0x9E3779B97F4A7C15)
+    at = np.repeat(w.starts[:-1] - starts[:-1], n) + np.arange(starts[-1])
+    out = full[at] if len(at) else np.empty(0, np.uint64)
+    for i in np.flatnonzero((counts > 0) & (counts < k)):  # the rolling window runs into the next text there
+        out[starts[i]] = tx.rolling(np.concatenate([h[w.starts[i] : w.starts[i + 1]], np.zeros(k - counts[i], np.uint64)]), k, 0x9E3779B97F4A7C15)[0]
+    return out, starts
+
+
+def voted(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """SimHash of each text's hashes."""
+    out, n = np.zeros(len(starts) - 1, np.uint64), np.diff(starts)
+    full = np.flatnonzero(n)
+    if len(full):
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
+        set_ = 2 * np.add.reduceat(bits, starts[:-1][full], axis=0, dtype=np.int32) > n[full, None]
+        out[full] = np.packbits(set_, axis=1).view(np.uint64).ravel()
+    return out
+
+
+def texts(docs: DataFrame, near: Near) -> DataFrame:
+    """Every row's two fingerprints and sketch; node is a hash of its words in lower case."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in tx.sliced(batches):
+            w = tx.words(b.column("text"), lower=True)
+            pairs, shingles = rolled(w, 2, 1), rolled(w, near.words, 2)
+            h, starts = shingles
+            ids = np.arange(len(starts) - 1)
+            order = np.lexsort((h, np.repeat(ids, np.diff(starts))))
+            low = tx.signed(h[order] ^ np.uint64(1 << 63))  # in the order of signed numbers
+            sketches = []
+            for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                x = low[i:j]
+                sketches.append(x[np.concatenate([[True], x[1:] != x[:-1]])][: near.sketch] if j > i else x)
+            words = np.array(w.uniq.cast(pa.large_binary()).to_pylist(), object)[w.codes]
+            node = np.array([xxhash.xxh3_64_intdigest(b" ".join(words[i:j].tolist())) for i, j in zip(w.starts[:-1].tolist(), w.starts[1:].tolist(), strict=True)], np.uint64)
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
+            sketch = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sketches) if sketches else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(tx.signed(node)), pa.array(tx.signed(voted(*pairs))), pa.array(tx.signed(voted(h, starts))), sketch], ["doc_id", "node", "fp", "wide", "sketch"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node long, fp long, wide long, sketch array<long>")
+
+
+def alike(a: Column, b: Column, most: int) -> Column:
+    """Similarity of two sets by their sketches: of the `most` smallest of the union, the share that both have."""
+    union = F.slice(F.array_sort(F.array_union(a, b)), 1, most)
+    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union))
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, near: Near) -> DataFrame:
+    """The pairs (u, v) of nodes that are near."""
+    of = lambda c: nodes.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
+    return pairs.join(of("u"), "u").join(of("v"), "v").where(alike(F.col("sketch_u"), F.col("sketch_v"), near.sketch) >= near.similarity).select("u", "v")
+
+
+def near_links(nodes: DataFrame, near: Near, dense: int = DENSE) -> DataFrame:
+    """Links (u, v) of near nodes, enough to join all that are linked directly or by way of others."""
+    n = nodes.count()
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(PLAN_SAMPLE).select("fp").toArrow()["fp"].to_numpy().astype(np.int64).view(np.uint64)
+    parts = plan(sample, n, near.radius)
+    slim = nodes.select("node", "fp", "wide")
+    one = lambda i, p: slim.select(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(as_signed(p.mask))).alias("key"), "node", "fp", "wide")
+    index = reduce(DataFrame.unionAll, [one(i, p) for i, p in enumerate(parts)])
+    probe = reduce(
+        DataFrame.unionAll,
+        [one(i, p).withColumn("flip", F.explode(F.array(*[F.lit(as_signed(f)) for f in p.flips]))).select("part", F.col("key").bitwiseXOR(F.col("flip")).alias("key"), "node", "fp", "wide") for i, p in enumerate(parts)],
+    )
+    close = lambda a, b: (F.bit_count(F.col(f"{a}fp").bitwiseXOR(F.col(f"{b}fp"))) <= near.radius) & (F.bit_count(F.col(f"{a}wide").bitwiseXOR(F.col(f"{b}wide"))) <= near.wide_radius)
+    ordered = lambda df, a, b: df.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    pivots = stored(index.groupBy("part", "key").agg(F.min(F.struct("node", "fp", "wide")).alias("p"), F.count("*").alias("n")).where(F.col("n") > dense).select("part", "key", F.col("p.node").alias("p_node"), F.col("p.fp").alias("p_fp"), F.col("p.wide").alias("p_wide")), "pivots")
+    if pivots.isEmpty():
+        held, index, probe = None, index.withColumn("held", F.lit(False)), probe.withColumn("held", F.lit(False))
+    else:
+        met = index.join(pivots, ["part", "key"]).where((F.col("node") != F.col("p_node")) & close("", "p_"))
+        held = stored(verified(ordered(met, "node", "p_node").distinct(), nodes, near), "held")
+        both = held.select(F.col("u").alias("h_node"), F.col("v").alias("h_pivot")).unionAll(held.select("v", "u"))
+
+        def marked(df: DataFrame) -> DataFrame:
+            by_pivot = df.join(pivots.select("part", "key", "p_node"), ["part", "key"], "left")
+            return by_pivot.join(both, (F.col("node") == F.col("h_node")) & (F.col("p_node") == F.col("h_pivot")), "left").withColumn("held", F.coalesce(F.col("node") == F.col("p_node"), F.lit(False)) | F.col("h_node").isNotNull())
+
+        index, probe = marked(index), marked(probe)
+
+    def compared(left: DataFrame, right: DataFrame) -> DataFrame:
+        name = lambda df, x: df.select("part", "key", F.col("node").alias(f"{x}node"), F.col("fp").alias(f"{x}fp"), F.col("wide").alias(f"{x}wide"))
+        left, right = name(left, "l_"), name(right, "r_")
+        return ordered(left.join(right, (left.part == right.part) & (left.key == right.key) & (F.col("l_node") != F.col("r_node")) & close("l_", "r_")), "l_node", "r_node")
+
+    free = ~F.col("held")
+    pairs = compared(index.where(free), probe)
+    if held is not None:
+        pairs = pairs.unionAll(compared(index.where("held"), probe.where(free)))
+    links = verified(stored(pairs.distinct(), "candidates"), nodes, near)
+    return links if held is None else links.unionAll(held).distinct()
+
+
+def near_groups(docs: DataFrame, near: Near = Near(), dense: int = DENSE) -> DataFrame:
+    """Every row's text hash and the smallest identifier of its group of near-duplicates."""
+    rows = stored(texts(docs, near), "texts")
+    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.any_value(c).alias(c) for c in ("fp", "wide", "sketch")]), "nodes")
+    roots = components(near_links(nodes, near, dense))
+    by_root = nodes.select("node", "first").join(roots.withColumnRenamed("node", "of_node"), F.col("node") == F.col("of_node"), "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    names = by_root.groupBy("root").agg(F.min("first").alias("group_id"))
+    return rows.select("doc_id", "node").join(by_root.join(names, "root").select(F.col("node").alias("n"), "group_id"), F.col("node") == F.col("n")).select("doc_id", "node", "group_id")
+
+
+def deduplicated(docs: DataFrame, near: Near = Near(), dense: int = DENSE) -> DataFrame:
+    """The documents, one of each group of near-duplicates: that with the smallest identifier.
+
+    Rows that repeat an identifier stay or go together; a null identifier stays only where no other names its group."""
+    gone = near_groups(docs, near, dense).where(F.col("group_id").isNotNull()).where(~F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("doc_id").alias("gone_id"), F.lit(True).alias("gone")).distinct()
+    gone = stored(gone, "gone")
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
