@@ -2,10 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
 
-def oracle_sql() -> dict:
-    return {}
+
+def query(sql: str | None = None) -> Callable:
+    """Registers a function of a table reader and the session as a query, by its name."""
+
+    def register(f: Callable) -> Callable:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark)
+
+        QUERIES[f.__name__] = run
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from acervo.plans import cases, statistics, texts  # noqa: F401  they register themselves
+
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    queries()
+    return dict(SQL)
