@@ -1,0 +1,130 @@
+"""Queries over cases: queues, document selection, timelines, alerts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from acervo.operators import files, timeline
+from acervo.plans.registry import query
+
+AS_OF = "2001-09-01"
+
+
+def cases(t):
+    """Orders as the cases of a queue."""
+    return t("orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("position"), F.array("o_orderstatus", F.substring("o_orderpriority", 1, 1)).alias("etiquetas"), F.col("o_orderpriority").alias("texto"),
+        F.when(F.col("o_orderkey") % 5 > 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("data_conclusao"), (F.col("o_totalprice") > 200000).alias("prioridade"),
+    )
+
+
+CASES_SQL = """
+WITH cases AS (SELECT o_orderkey AS id, [o_orderstatus, o_orderpriority[1:1]] AS etiquetas, o_orderpriority AS texto, CASE WHEN o_orderkey % 5 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS data_conclusao, o_totalprice > 200000 AS prioridade FROM orders)
+"""
+
+
+@query(CASES_SQL + "SELECT id, data_conclusao, prioridade FROM cases WHERE list_contains(etiquetas, 'F') AND list_has_any(etiquetas, ['1', '2', '3']) AND contains(lower(texto), 'e') AND prioridade")
+def queue_filters(t, spark):
+    return files.queue(cases(t), tags_all=["F"], tags_any=["1", "2", "3"], untagged=False, text="E", flags={"prioridade": True, "other": None}).select("id", "data_conclusao", "prioridade")
+
+
+@query(CASES_SQL + "SELECT id, data_conclusao FROM cases ORDER BY coalesce(data_conclusao, '') DESC, id LIMIT 50")
+def queue_by_conclusion(t, spark):
+    return files.by_conclusion(cases(t), descending=True, most=50).select("id", "data_conclusao")
+
+
+RULES = [("ANODIZED", "NUCLEAR"), ("brass", "NUCLEAR"), ("BURNISHED STEEL", "IMPORTANTE"), ("tin", "IMPORTANTE"), ("promo", "IRRELEVANTE"), ("copper", "IRRELEVANTE")]
+CLASSES_SQL = f"""
+WITH rules(term, classe) AS (VALUES {', '.join(map(str, RULES))}),
+best AS (SELECT p_type, arg_min(classe, list_position(['NUCLEAR', 'IMPORTANTE', 'IRRELEVANTE'], classe)) AS classe FROM (SELECT DISTINCT p_type FROM part) JOIN rules ON trim(p_type) != '' AND (contains(lower(p_type), lower(term)) OR contains(lower(term), lower(p_type))) GROUP BY ALL),
+classed AS (SELECT p_partkey, p.p_type, coalesce(classe, 'OUTRO') AS classe FROM part p LEFT JOIN best b ON p.p_type = b.p_type)
+"""
+
+
+def classed(t, spark):
+    return files.classified(t("part"), spark.createDataFrame(RULES, "term string, classe string"), "p_type")
+
+
+@query(CLASSES_SQL + "SELECT p_type, classe, count(*)::BIGINT AS n FROM classed GROUP BY ALL")
+def document_classes(t, spark):
+    return classed(t, spark).groupBy("p_type", "classe").agg(F.count("*").alias("n"))
+
+
+@query(CLASSES_SQL + ", n AS (SELECT classe, count(*) AS n FROM classed GROUP BY ALL) SELECT d.classe, coalesce(n, 0)::BIGINT AS n, round(coalesce(n, 0) * 100.0::DOUBLE / (SELECT sum(n) FROM n), 2) AS share FROM (VALUES ('NUCLEAR'), ('IMPORTANTE'), ('IRRELEVANTE'), ('OUTRO'), ('NONE')) d(classe) LEFT JOIN n USING (classe)")
+def class_shares(t, spark):
+    return files.zero_filled(classed(t, spark), "classe", [*files.CLASSES, "OUTRO", "NONE"])
+
+
+SELECTED_SQL = f"""
+WITH rows AS (SELECT l_orderkey, l_linenumber, l_returnflag AS kind, date_diff('day', l_shipdate::DATE, DATE '{AS_OF}') AS age_days, l_quantity * 12 AS kb, p_name AS text FROM lineitem JOIN part ON p_partkey = l_partkey),
+picked AS (SELECT *, CASE WHEN kind = 'R' THEN 'nuclear' WHEN contains(lower(text), 'red') OR contains(lower(text), '9') THEN 'trigger' WHEN age_days <= 180 THEN 'recent' WHEN kb > 500 THEN 'large' WHEN kind IN ('N') THEN 'excluded' ELSE 'unsure' END AS reason FROM rows),
+shares AS (SELECT l_orderkey, count(*) FILTER (reason = 'excluded') / count(*) AS share FROM picked GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, CASE WHEN reason = 'excluded' AND share > 0.8 AND age_days <= 400 THEN 'reverted' ELSE reason END AS reason FROM picked JOIN shares USING (l_orderkey)"""
+
+
+@query(SELECTED_SQL)
+def document_selection(t, spark):
+    rows = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).withColumn("age_days", F.datediff(F.to_date(F.lit(AS_OF)), F.col("l_shipdate").cast("date")))
+    reason = files.selection(F.col("l_returnflag"), F.col("p_name"), F.col("age_days"), F.col("l_quantity") * 12, ["R"], ["red", "9"], ["N"])
+    return files.guarded(rows.withColumn("reason", reason), "l_orderkey", revert_days=400).select("l_orderkey", "l_linenumber", "reason")
+
+
+@query("""
+WITH n AS (SELECT l_suppkey, count(*) * 2 AS n, count(*) FILTER (l_returnflag = 'N') AS bad FROM lineitem GROUP BY ALL), s AS (SELECT *, bad / n AS share FROM n)
+SELECT l_suppkey, CASE WHEN l_suppkey % 9 = 0 THEN 'full' WHEN n <= 100 THEN 'full' WHEN n > 500 AND share < 0.1 THEN 'full' WHEN n > 300 THEN 'selective' WHEN share > 0.3 THEN 'selective' ELSE 'full' END AS strategy FROM s""")
+def download_strategies(t, spark):
+    n = t("lineitem").groupBy("l_suppkey").agg((F.count("*") * 2).alias("n"), F.count_if(F.col("l_returnflag") == "N").alias("bad"))
+    return n.select("l_suppkey", files.strategy(F.col("n"), F.col("bad"), F.col("l_suppkey") % 9 != 0).alias("strategy"))
+
+
+KINDS = ["view", "click"]
+RUNS_SQL = f"""
+WITH a AS (SELECT user_id, event_type, ts, event_id, coalesce(event_type <> lag(event_type) OVER w OR event_type NOT IN ({', '.join(map(repr, KINDS))}), true) AS begins FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+b AS (SELECT *, sum(begins::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM a),
+c AS (SELECT *, count(*) OVER (PARTITION BY user_id, run) AS size, row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS k FROM b)
+SELECT user_id, event_type, count(*)::BIGINT AS n, min(ts) AS first_day, max(ts) AS last_day FROM c GROUP BY user_id, run, event_type, CASE WHEN size < 2 THEN k ELSE 0 END"""
+
+
+@query(RUNS_SQL)
+def act_runs(t, spark):
+    return timeline.runs(t("events"), "user_id", "event_type", ["ts", "event_id"], "ts", KINDS, least=2)
+
+
+@query("""
+WITH marks AS (SELECT user_id, max(event_id) FILTER (event_type = 'purchase') AS mark FROM events GROUP BY ALL),
+r AS (SELECT e.*, mark, row_number() OVER (PARTITION BY e.user_id ORDER BY event_id DESC) AS k FROM events e JOIN marks USING (user_id))
+SELECT user_id, event_id, event_type FROM r WHERE CASE WHEN mark IS NOT NULL THEN event_id > mark ELSE k <= 5 END""")
+def since_milestone(t, spark):
+    mark = F.col("event_type").isin("purchase", "signup")
+    return timeline.since_milestone(t("events"), "user_id", "event_id", mark, F.col("event_type") == "signup").select("user_id", "event_id", "event_type")
+
+
+@query("SELECT l_orderkey, l_linenumber, rank::INTEGER AS rank FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC) AS rank FROM lineitem) WHERE rank <= 3")
+def last_pieces(t, spark):
+    return timeline.last_of_each(t("lineitem"), "l_orderkey", "l_shipdate", "l_linenumber").select("l_orderkey", "l_linenumber", "rank")
+
+
+@query("""
+WITH a AS (SELECT o_custkey, min(o_orderdate)::DATE AS f, max(o_orderdate)::DATE AS l FROM orders GROUP BY ALL),
+b AS (SELECT *, (year(l) - year(f)) * 12 + month(l) - month(f) - CASE WHEN day(l) < day(f) THEN 1 ELSE 0 END AS m FROM a)
+SELECT o_custkey, (m // 12)::INTEGER AS years, (m % 12)::INTEGER AS months, date_diff('day', (f + to_months(m::INTEGER))::DATE, l)::INTEGER AS days FROM b""")
+def case_durations(t, spark):
+    ends = t("orders").groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("f"), F.max("o_orderdate").cast("date").alias("l"))
+    return ends.select("o_custkey", timeline.duration(F.col("f"), F.col("l")).alias("d")).select("o_custkey", "d.years", "d.months", "d.days")
+
+
+PHASES = [("signup", "POSTULATORIA"), ("view", "SANEAMENTO"), ("click", "INSTRUTORIA"), ("purchase", "DECISORIA")]
+
+
+@query(f"WITH p(kind, phase, k) AS (VALUES {', '.join(f'({a!r}, {b!r}, {i})' for i, (a, b) in enumerate(PHASES))}) SELECT user_id, coalesce(arg_max(phase, k), 'INDEFINIDA') AS phase FROM events LEFT JOIN p ON event_type = kind GROUP BY user_id")
+def case_phases(t, spark):
+    return timeline.phase(t("events"), "user_id", "event_type", PHASES)
+
+
+@query(f"""
+WITH a AS (SELECT o_orderkey, date_diff('day', o_orderdate::DATE, DATE '2001-09-01') AS w, o_orderstatus FROM orders),
+b AS (SELECT o_orderkey, list_filter([CASE WHEN w > 60 THEN 'concluded over 60 days' END, CASE WHEN w > 30 AND w <= 60 THEN 'concluded over 30 days' END, CASE WHEN w + 30 > 365 THEN 'appeal over a year' END, CASE WHEN o_orderstatus = 'P' THEN 'no defence' END], lambda x: x IS NOT NULL) AS alerts, w, o_orderstatus FROM a)
+SELECT o_orderkey, array_to_string(alerts, '; ') AS alerts, CASE WHEN w > 60 OR w + 30 > 365 THEN 'RED' WHEN w > 30 OR o_orderstatus = 'P' THEN 'YELLOW' ELSE 'GREEN' END AS colour FROM b""")
+def case_alerts(t, spark):
+    rows = t("orders").withColumns({"concluded": F.col("o_orderdate").cast("date"), "appeal": F.date_sub(F.col("o_orderdate").cast("date"), 30)})
+    return timeline.alerts(rows, F.to_date(F.lit(AS_OF)), "concluded", "appeal", F.col("o_orderstatus") != "P").select("o_orderkey", "alerts", "colour")

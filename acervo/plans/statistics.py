@@ -1,0 +1,184 @@
+"""Queries over rulings and demand: positions, facets, trends, rates, fees, scores."""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from acervo.functions.text import padded
+from acervo.operators import merging, panels, rules
+from acervo.plans.registry import query
+
+
+def rulings(t):
+    return t("lineitem").withColumn("ordem", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+
+
+@query("""
+WITH p AS (SELECT l_partkey, l_returnflag, count(*) AS n, min(l_orderkey * 10 + l_linenumber) AS first FROM lineitem GROUP BY ALL)
+SELECT l_partkey, count(*)::BIGINT AS n_positions, ((sum(n) * sum(n) - sum(n * n)) / 2)::BIGINT AS n_pairs, min(first)::BIGINT AS first FROM p GROUP BY ALL HAVING count(*) > 1""")
+def contradictions(t, spark):
+    return panels.contradictions(rulings(t), ["l_partkey"], "l_returnflag")
+
+
+@query("SELECT l_orderkey, count(*)::BIGINT AS n, count(DISTINCT l_linestatus)::BIGINT AS n_positions, CASE WHEN count(*) = 1 THEN 'ISOLATED' WHEN count(DISTINCT l_linestatus) > 1 THEN 'CONTRADICTION' ELSE 'ALIGNED' END AS status FROM lineitem GROUP BY ALL")
+def thematic_groups(t, spark):
+    return panels.thematic(t("lineitem"), "l_orderkey", "l_linestatus")
+
+
+@query("""
+WITH c AS (SELECT l_partkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL)
+SELECT l_partkey, sum(n)::BIGINT AS n, max(n)::BIGINT AS most, CASE WHEN sum(n) < 5 THEN 'SCARCE' WHEN max(n) >= sum(n) * 0.8::DOUBLE THEN 'CONSOLIDATED' ELSE 'EVOLVING' END AS status FROM c GROUP BY ALL""")
+def precedent_alignment(t, spark):
+    return panels.alignment(t("lineitem"), "l_partkey", "l_returnflag")
+
+
+@query("SELECT o_custkey, o_orderkey, rank::INTEGER AS rank FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, o_orderdate, o_orderkey) AS rank FROM orders) WHERE rank <= 5")
+def capped_alerts(t, spark):
+    return panels.capped(t("orders"), "o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey").select("o_custkey", "o_orderkey", "rank")
+
+
+@query("SELECT md5(text) AS digest, count(DISTINCT source)::BIGINT AS n_sources, count(*)::BIGINT AS n FROM documents GROUP BY ALL HAVING count(DISTINCT source) >= 2")
+def source_overlap(t, spark):
+    return panels.overlap(t("documents").withColumn("digest", F.md5("text")), ["digest"], "source")
+
+
+@query("SELECT source, lang, count(*)::BIGINT AS n, (CASE WHEN grouping(source) = 1 THEN 2 ELSE 0 END + CASE WHEN grouping(lang) = 1 THEN 1 ELSE 0 END)::BIGINT AS level FROM documents GROUP BY CUBE (source, lang)")
+def demand_cube(t, spark):
+    return panels.demand(t("documents"), "source", "lang")
+
+
+@query("""
+WITH c AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), r AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total, row_number() OVER (PARTITION BY lang ORDER BY n DESC, source) AS k FROM c)
+SELECT lang, total::BIGINT AS n, source, round(n * 100.0::DOUBLE / total, 2) AS share FROM r WHERE k = 1""")
+def demand_concentration(t, spark):
+    return panels.concentration(t("documents"), "source", "lang")
+
+
+@query("WITH m AS (SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month, count(*)::BIGINT AS n FROM orders GROUP BY ALL) SELECT *, n - lag(n) OVER (PARTITION BY o_orderstatus ORDER BY month) AS change FROM m")
+def monthly_trend(t, spark):
+    return panels.trend(t("orders"), "o_orderdate", "o_orderstatus")
+
+
+@query("""
+SELECT o_custkey, count(*) FILTER (o_orderdate >= TIMESTAMP '2001-01-01')::BIGINT AS n_recent, count(*) FILTER (o_orderdate >= TIMESTAMP '1999-01-01')::BIGINT AS n_since,
+  CASE WHEN count(*) FILTER (o_orderdate >= TIMESTAMP '2001-01-01') > 0 THEN 'CURRENT' WHEN count(*) FILTER (o_orderdate >= TIMESTAMP '1999-01-01') > 0 THEN 'STALE' ELSE 'FROZEN' END AS status FROM orders GROUP BY ALL""")
+def coverage_verdicts(t, spark):
+    day = lambda x: F.lit(x).cast("timestamp_ntz")
+    return panels.coverage(t("orders"), "o_custkey", F.col("o_orderdate"), day("2001-01-01"), day("1999-01-01"))
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders) WHERE k = 1")
+def earliest_records(t, spark):
+    return merging.first_of_each(t("orders"), [F.col("o_custkey")], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_orderdate")
+
+
+RATES = [("1-URGENT", "1995-01-01", "1996-06-14", 6), ("1-URGENT", "1996-06-15", None, 9), ("2-HIGH", "1995-01-01", "2000-12-31", 12), ("5-LOW", "1998-01-10", "1998-01-20", 1)]
+DAY = datetime.date.fromisoformat
+
+
+@query(f"""
+WITH rates(k, s, e, rate) AS (VALUES {', '.join(f"('{k}', DATE '{s}', {f"DATE '{e}'" if e else 'NULL'}, {r})" for k, s, e, r in RATES)})
+SELECT o_orderkey, rate::INTEGER AS rate FROM orders LEFT JOIN rates ON o_orderpriority = k AND o_orderdate::DATE >= s AND o_orderdate::DATE <= coalesce(e, DATE '2002-12-31')""")
+def rate_periods(t, spark):
+    rates = spark.createDataFrame([(k, DAY(s), DAY(e) if e else None, r) for k, s, e, r in RATES], "o_orderpriority string, start date, end date, rate int").withColumn("last", F.to_date(F.lit("2002-12-31")))
+    return rules.rates_at(t("orders").withColumn("day", F.col("o_orderdate").cast("date")), rates, "o_orderpriority", "day").select("o_orderkey", "rate")
+
+
+BANDS_SQL = " + ".join(f"greatest(0, {f'least(w, {hi})' if hi else 'w'} - {lo}) * {low}" for lo, hi, low, _ in rules.BANDS)
+
+
+@query(f"WITH a AS (SELECT o_orderkey, round(o_totalprice, 0)::DECIMAL(18, 4) AS w FROM orders) SELECT o_orderkey, ({BANDS_SQL})::DOUBLE AS fee FROM a")
+def fee_bands(t, spark):
+    wages = F.round("o_totalprice", 0).cast("decimal(18,4)")
+    return t("orders").select("o_orderkey", rules.by_bands(wages).cast("double").alias("fee"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'not applicable' WHEN c_custkey % 7 = 0 THEN 'special regime'
+  WHEN c_acctbal < CASE c_mktsegment WHEN 'BUILDING' THEN 1000 WHEN 'MACHINERY' THEN 500 ELSE 100 END THEN 'below the limit' WHEN c_nationkey < 5 THEN 'binding precedent' ELSE 'review' END AS decision FROM customer""")
+def mandatory_review(t, spark):
+    entity = F.when(F.col("c_mktsegment") == "BUILDING", "UNIAO").when(F.col("c_mktsegment") == "MACHINERY", "ESTADO").otherwise("MUNICIPIO")
+    return t("customer").select("c_custkey", rules.review(entity, F.col("c_acctbal"), F.col("c_custkey") % 10 == 0, F.col("c_custkey") % 7 == 0, F.col("c_nationkey") < 5).alias("decision"))
+
+
+@query("SELECT o_orderkey, least(date_diff('day', o_orderdate::DATE, DATE '2001-09-01') * 33, 2000)::INTEGER AS fine FROM orders")
+def fines(t, spark):
+    return t("orders").select("o_orderkey", rules.fine(F.datediff(F.to_date(F.lit("2001-09-01")), F.col("o_orderdate").cast("date"))).alias("fine"))
+
+
+@query("""
+WITH s AS (SELECT p_partkey, (p_size * 2)::DOUBLE AS a, (p_partkey % 101)::DOUBLE AS b FROM part),
+w AS (SELECT p_partkey, round((a * 30 + b * 25 + a * 20 + b * 15 + a * 10) / 100, 2) AS deviation, round((b * 25 + a * 25 + b * 20 + a * 15 + b * 15) / 100, 2) AS causation FROM s)
+SELECT p_partkey, deviation, causation, CASE WHEN p_partkey % 13 = 0 THEN 'excluded' WHEN p_partkey % 11 = 0 THEN 'no harm' WHEN least(deviation, causation) >= 60 THEN 'characterised' WHEN least(deviation, causation) >= 40 THEN 'doubtful' ELSE 'not characterised' END AS conclusion FROM w""")
+def weighted_scores(t, spark):
+    a, b = (F.col("p_size") * 2).cast("double"), (F.col("p_partkey") % 101).cast("double")
+    s = t("part").select("p_partkey", rules.weighted([a, b, a, b, a], rules.DEVIATION).alias("deviation"), rules.weighted([b, a, b, a, b], rules.CAUSATION).alias("causation"))
+    return s.withColumn("conclusion", rules.conclusion(F.col("deviation"), F.col("causation"), F.col("p_partkey") % 11 != 0, F.col("p_partkey") % 13 == 0))
+
+
+@query("SELECT p_partkey, ['BAIXA', 'MEDIA', 'ALTA'][least(p_size % 3, p_partkey % 3) + 1] AS reliability FROM part")
+def source_reliability(t, spark):
+    at = lambda c: F.get(F.array(*map(F.lit, rules.RELIABILITY)), F.expr(f"cast({c} % 3 as int)"))
+    return t("part").select("p_partkey", rules.reliability(at("p_size"), at("p_partkey")).alias("reliability"))
+
+
+@query("SELECT l_orderkey, count(*)::BIGINT AS n, count(*) FILTER (l_quantity > 25)::BIGINT AS n_for, CASE WHEN count(*) FILTER (l_quantity > 25) * 2 > count(*) THEN 'PROVEN' WHEN count(*) FILTER (l_quantity > 25) * 2 < count(*) THEN 'REFUTED' ELSE 'UNDECIDED' END AS status FROM lineitem GROUP BY ALL")
+def evidence_map(t, spark):
+    return rules.evidence_map(t("lineitem"), "l_orderkey", F.col("l_quantity") > 25)
+
+
+@query("SELECT l_orderkey, count(*)::BIGINT AS n, count(*) FILTER (l_returnflag = 'N')::BIGINT AS n_valid, count(*) FILTER (l_returnflag = 'N') >= 3 AS quorum FROM lineitem GROUP BY ALL")
+def quorums(t, spark):
+    return t("lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_if(F.col("l_returnflag") == "N").alias("n_valid"), (F.count_if(F.col("l_returnflag") == "N") >= 3).alias("quorum"))
+
+
+@query("SELECT source, count(*)::BIGINT AS n_pages, count(*) FILTER (length(text) >= 500)::BIGINT AS n_adequate, round(count(*) FILTER (length(text) >= 500) * 100.0::DOUBLE / count(*), 2) AS share, count(*) FILTER (length(text) >= 500) / count(*) >= 0.7 AS adequate FROM documents GROUP BY ALL")
+def page_adequacy(t, spark):
+    good = F.count_if(F.length("text") >= 500)
+    return t("documents").groupBy("source").agg(F.count("*").alias("n_pages"), good.alias("n_adequate"), F.round(good * 100.0 / F.count("*"), 2).alias("share"), (good / F.count("*") >= 0.7).alias("adequate"))
+
+
+@query("SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size::BIGINT, p_partkey)::INTEGER AS place FROM part WHERE p_name[1:1] <> '_'")
+def numeric_file_order(t, spark):
+    names = t("part").where(~F.startswith("p_name", F.lit("_"))).withColumn("file", F.concat_ws("_", "p_size", "p_name"))
+    number = F.split("file", "_")[0].cast("bigint")
+    return names.select("p_brand", "p_partkey", F.row_number().over(Window.partitionBy("p_brand").orderBy(number, "p_partkey")).alias("place"))
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def destination_anti_join(t, spark):
+    return t("customer").join(t("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@query("SELECT s_suppkey, coalesce(n_name, s_nationkey::VARCHAR) AS label, r_name AS grp FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey")
+def label_lookup(t, spark):
+    return t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select("s_suppkey", F.coalesce("n_name", F.col("s_nationkey").cast("string")).alias("label"), F.col("r_name").alias("grp"))
+
+
+@query("SELECT n_name AS code FROM nation EXCEPT SELECT n_name FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_acctbal > 5000")
+def unknown_codes(t, spark):
+    known = t("supplier").where("s_acctbal > 5000").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("code"))
+    return t("nation").select(F.col("n_name").alias("code")).exceptAll(known.distinct()).distinct()
+
+
+@query("SELECT 'customer' AS base, c_custkey AS id, c_name AS name, c_mktsegment AS area, NULL::DOUBLE AS price FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL, NULL FROM supplier UNION ALL SELECT 'part', p_partkey, p_name, NULL, p_retailprice FROM part")
+def united_bases(t, spark):
+    a = t("customer").select(F.lit("customer").alias("base"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("area"))
+    b = t("supplier").select(F.lit("supplier").alias("base"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    c = t("part").select(F.lit("part").alias("base"), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"))
+    return a.unionByName(b, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
+
+
+@query("SELECT l_returnflag || '-' || CASE WHEN length(k::VARCHAR) < 3 THEN lpad(k::VARCHAR, 3, '0') ELSE k::VARCHAR END AS id, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_suppkey ORDER BY l_orderkey, l_linenumber) AS k FROM lineitem)")
+def prefixed_numbers(t, spark):
+    k = F.row_number().over(Window.partitionBy("l_returnflag", "l_suppkey").orderBy("l_orderkey", "l_linenumber"))
+    return t("lineitem").select(F.concat_ws("-", "l_returnflag", padded(k, 3)).alias("id"), "l_orderkey", "l_linenumber")
+
+
+@query("SELECT event_type, count(*)::BIGINT AS n, sum((props->>'$.k')::BIGINT)::BIGINT AS total, count(*) FILTER (value IS NULL)::BIGINT AS failed FROM events GROUP BY ALL")
+def json_counters(t, spark):
+    k = F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint")
+    return t("events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("total"), F.count_if(F.col("value").isNull()).alias("failed"))
