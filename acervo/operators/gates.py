@@ -142,7 +142,7 @@ ROUTE = "rota array<string>, temas_pesquisa array<string>, fatos_probatorios arr
 def route(text: Column) -> Column:
     """The first fenced JSON block as a struct; null if there is none or it is malformed."""
     block = F.regexp_extract(text, r"(?s)```json\s*(.*?)```", 1)
-    return F.when(block != "", F.from_json(block, ROUTE))
+    return F.when(F.try_parse_json(block).isNotNull(), F.from_json(block, ROUTE))
 
 
 def route_problem(r: Column) -> Column:
