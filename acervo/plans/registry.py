@@ -26,7 +26,7 @@ def query(sql: str | None = None) -> Callable:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from acervo.plans import cases, statistics, texts  # noqa: F401  they register themselves
+    from acervo.plans import cases, records, statistics, texts  # noqa: F401  they register themselves
 
     return dict(QUERIES)
 
