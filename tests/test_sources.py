@@ -115,3 +115,11 @@ def test_inbox_sweep_is_idempotent(spark, tmp_path):
     counts = inbox.per_window(inbox.arrivals(spark, folder), "1 hour", "1 day", F.col("suffix")).writeStream.format("memory").queryName("per_window").outputMode("complete").trigger(availableNow=True).start()
     counts.awaitTermination()
     assert spark.table("per_window").count() == 2
+
+
+def test_records(spark):
+    from acervo.functions import records
+
+    lines = F.array(*map(F.lit, ["id 123", "456", "x", "7", "a 8", "b"]))
+    got = one(spark, records.rejoined(lines), records.last_parenthetical(F.lit("(TNU, a) x (TNU, b) (c)"), "TNU,"), records.last_parenthetical(F.lit("none"), "TNU,"), records.by_precedence(a=F.lit(" "), b=F.lit("v"))["source"])
+    assert got == (["id 123456", "x", "7", "a 8", "b"], "(TNU, b)", None, "b")
