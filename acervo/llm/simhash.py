@@ -50,13 +50,34 @@ PROBE_COST = 30
 DENSE = 128
 
 
+#: So many hashes are unpacked into bits at a time (about 40 MB).
+VOTES = 1 << 17
+
+
+def voted(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """SimHash of each text's hashes: a bit is set if it is in over half of them; zero if there are none."""
+    out, n = np.zeros(len(starts) - 1, np.uint64), np.diff(starts)
+    unpacked = lambda x: np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1)
+    full, at = np.flatnonzero(n), 0
+    while at < len(full):
+        first = starts[full[at]]
+        end = max(at + 1, int(np.searchsorted(starts[full + 1], first + VOTES, side="right")))
+        part = full[at:end]
+        if n[part[0]] > VOTES:
+            sums = sum(unpacked(h[i : min(i + VOTES, starts[part[0] + 1])]).sum(0, dtype=np.int64) for i in range(first, starts[part[0] + 1], VOTES))[None]
+        else:
+            sums = np.add.reduceat(unpacked(h[first : starts[part[-1] + 1]]), starts[part] - first, axis=0, dtype=np.int32)
+        out[part] = np.packbits(2 * sums > n[part, None], axis=1).view(np.uint64).ravel()
+        at = end
+    return out
+
+
 def fingerprints(column, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
     """64 bits for each text: a bit is set if it is in over half of the shingles' hashes. A text without words has zero."""
     w = tx.words(column, lower=True)
-    n_docs, counts = len(w.starts) - 1, np.diff(w.starts)
-    out = np.zeros(n_docs, np.uint64)
+    counts = np.diff(w.starts)
     if not len(w.codes):
-        return out
+        return np.zeros(len(counts), np.uint64)
     size = pc.binary_length(w.uniq).to_numpy(zero_copy_only=False).astype(np.int64)[w.codes]
     text = b" ".join(np.array(w.uniq.cast(pa.large_binary()).to_pylist(), object)[w.codes].tolist())
     ends = np.cumsum(size + 1) - 1
@@ -66,12 +87,7 @@ def fingerprints(column, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray
     lasts = np.minimum(firsts + shingle, np.repeat(w.starts[1:], n_shingles)) - 1
     cut = map(text.__getitem__, map(slice, starts[firsts].tolist(), ends[lasts].tolist()))
     h = np.fromiter(map(xxhash.xxh64_intdigest, cut, repeat(seed)), np.uint64, len(firsts))
-    full = np.flatnonzero(n_shingles)
-    begins = (np.cumsum(n_shingles) - n_shingles)[full]
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-    set_ = 2 * np.add.reduceat(bits, begins, axis=0, dtype=np.int32) > n_shingles[full, None]
-    out[full] = np.packbits(set_, axis=1).view(np.uint64).ravel()
-    return out
+    return voted(h, np.concatenate([[0], np.cumsum(n_shingles)]))
 
 
 class Part(NamedTuple):
@@ -162,7 +178,7 @@ def links(distinct: DataFrame, radius: int, dense: int = DENSE) -> DataFrame:
     index = reduce(DataFrame.unionAll, [one(i, p) for i, p in enumerate(parts)])
     probe = reduce(
         DataFrame.unionAll,
-        [one(i, p).select("part", F.col("key").bitwiseXOR(F.explode(F.array(*[F.lit(as_signed(f)) for f in p.flips])).alias("flip")).alias("key"), "fp") if p.threshold else one(i, p) for i, p in enumerate(parts)],
+        [one(i, p).withColumn("flip", F.explode(F.array(*[F.lit(as_signed(f)) for f in p.flips]))).select("part", F.col("key").bitwiseXOR(F.col("flip")).alias("key"), "fp") for i, p in enumerate(parts)],
     )
     pivots = index.groupBy("part", "key").agg(F.min("fp").alias("pivot"), F.count("*").alias("n")).where(F.col("n") > dense).drop("n")
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
@@ -226,17 +242,6 @@ def rolled(w: tx.Words, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-def voted(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """SimHash of each text's hashes."""
-    out, n = np.zeros(len(starts) - 1, np.uint64), np.diff(starts)
-    full = np.flatnonzero(n)
-    if len(full):
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-        set_ = 2 * np.add.reduceat(bits, starts[:-1][full], axis=0, dtype=np.int32) > n[full, None]
-        out[full] = np.packbits(set_, axis=1).view(np.uint64).ravel()
-    return out
-
-
 def texts(docs: DataFrame, near: Near) -> DataFrame:
     """Every row's two fingerprints and sketch; node is a hash of its words in lower case."""
 
@@ -247,7 +252,7 @@ def texts(docs: DataFrame, near: Near) -> DataFrame:
             h, starts = shingles
             ids = np.arange(len(starts) - 1)
             order = np.lexsort((h, np.repeat(ids, np.diff(starts))))
-            low = tx.signed(h[order] ^ np.uint64(1 << 63))  # in the order of signed numbers
+            low = (h[order] >> np.uint64(32) ^ np.uint64(1 << 31)).astype(np.uint32).view(np.int32)  # in the order of signed numbers
             sketches = []
             for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 x = low[i:j]
@@ -255,10 +260,10 @@ def texts(docs: DataFrame, near: Near) -> DataFrame:
             words = np.array(w.uniq.cast(pa.large_binary()).to_pylist(), object)[w.codes]
             node = np.array([xxhash.xxh3_64_intdigest(b" ".join(words[i:j].tolist())) for i, j in zip(w.starts[:-1].tolist(), w.starts[1:].tolist(), strict=True)], np.uint64)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
-            sketch = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sketches) if sketches else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(tx.signed(node)), pa.array(tx.signed(voted(*pairs))), pa.array(tx.signed(voted(h, starts))), sketch], ["doc_id", "node", "fp", "wide", "sketch"])
+            sketch = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sketches) if sketches else np.empty(0, np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(tx.signed(node)), pa.array(tx.signed(voted(*pairs))), pa.array(tx.signed(voted(h, starts))), sketch], ["doc_id", "digest", "node", "fp", "wide", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node long, fp long, wide long, sketch array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, node long, fp long, wide long, sketch array<int>")
 
 
 def alike(a: Column, b: Column, most: int) -> Column:
@@ -268,8 +273,10 @@ def alike(a: Column, b: Column, most: int) -> Column:
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, near: Near) -> DataFrame:
-    """The pairs (u, v) of nodes that are near."""
-    of = lambda c: nodes.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
+    """The pairs (u, v) of nodes that are near; only sketches of nodes in pairs are shuffled to them."""
+    named = pairs.select(F.col("u").alias("in_pair")).unionAll(pairs.select("v")).distinct()
+    few = stored(nodes.join(named, F.col("node") == F.col("in_pair"), "left_semi").select("node", "sketch"), "sketches")
+    of = lambda c: few.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
     return pairs.join(of("u"), "u").join(of("v"), "v").where(alike(F.col("sketch_u"), F.col("sketch_v"), near.sketch) >= near.similarity).select("u", "v")
 
 
@@ -292,7 +299,7 @@ def near_links(nodes: DataFrame, near: Near, dense: int = DENSE) -> DataFrame:
         held, index, probe = None, index.withColumn("held", F.lit(False)), probe.withColumn("held", F.lit(False))
     else:
         met = index.join(pivots, ["part", "key"]).where((F.col("node") != F.col("p_node")) & close("", "p_"))
-        held = stored(verified(ordered(met, "node", "p_node").distinct(), nodes, near), "held")
+        held = stored(verified(stored(ordered(met, "node", "p_node").distinct(), "stars"), nodes, near), "held")
         both = held.select(F.col("u").alias("h_node"), F.col("v").alias("h_pivot")).unionAll(held.select("v", "u"))
 
         def marked(df: DataFrame) -> DataFrame:
@@ -315,19 +322,20 @@ def near_links(nodes: DataFrame, near: Near, dense: int = DENSE) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, near: Near = Near(), dense: int = DENSE) -> DataFrame:
-    """Every row's text hash and the smallest identifier of its group of near-duplicates."""
+    """Every row with a hash of its text and the smallest identifier of its group of near-duplicates."""
     rows = stored(texts(docs, near), "texts")
     nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.any_value(c).alias(c) for c in ("fp", "wide", "sketch")]), "nodes")
     roots = components(near_links(nodes, near, dense))
     by_root = nodes.select("node", "first").join(roots.withColumnRenamed("node", "of_node"), F.col("node") == F.col("of_node"), "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     names = by_root.groupBy("root").agg(F.min("first").alias("group_id"))
-    return rows.select("doc_id", "node").join(by_root.join(names, "root").select(F.col("node").alias("n"), "group_id"), F.col("node") == F.col("n")).select("doc_id", "node", "group_id")
+    return rows.select("doc_id", "digest", "node").join(by_root.join(names, "root").select(F.col("node").alias("n"), "group_id"), F.col("node") == F.col("n")).select("doc_id", "digest", "group_id")
 
 
 def deduplicated(docs: DataFrame, near: Near = Near(), dense: int = DENSE) -> DataFrame:
     """The documents, one of each group of near-duplicates: that with the smallest identifier.
 
-    Rows that repeat an identifier stay or go together; a null identifier stays only where no other names its group."""
-    gone = near_groups(docs, near, dense).where(F.col("group_id").isNotNull()).where(~F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("doc_id").alias("gone_id"), F.lit(True).alias("gone")).distinct()
-    gone = stored(gone, "gone")
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
+    Rows that repeat both identifier and text stay or go together; a row
+    without identifier goes if a row of its group has one."""
+    groups = near_groups(docs, near, dense).where(F.col("group_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("group_id")))
+    gone = stored(groups.select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct(), "gone")
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_digest"]), "left_anti")

@@ -27,8 +27,8 @@ def test_near_groups_follow_similarity(spark, dense):
     texts += [texts[0], "a b", "A b", "", " "]
     rows = [(i, t) for i, t in enumerate(texts)]
     rng.shuffle(rows)
-    docs = spark.createDataFrame([(*r, 1) for r in rows] + [(None, None, 1), (None, texts[0], 1), (3, texts[3], 1)], "doc_id long, text string, node int")
-    got = {r.doc_id: r.group_id for r in simhash.near_groups(docs, dense=dense).collect() if r.doc_id is not None}
+    docs = spark.createDataFrame([(*r, 1) for r in rows] + [(None, None, 1), (None, texts[0], 1), (None, "no other text", 1), (3, texts[3], 1), (3, "of its own", 1)], "doc_id long, text string, node int")
+    got = {r.doc_id: r.group_id for r in simhash.near_groups(docs.where("text != 'of its own'"), dense=dense).collect() if r.doc_id is not None}
     near = [[jaccard(a, b) >= 0.8 for b in texts[:i]] for i, a in enumerate(texts)]
     links = [(i, j) for i, row in enumerate(near) for j, x in enumerate(row) if x]
     root = list(range(len(texts)))
@@ -39,7 +39,8 @@ def test_near_groups_follow_similarity(spark, dense):
     assert sum(got[i] == got[j] for i, j in links) >= 0.95 * len(links)
     kept = simhash.deduplicated(docs, dense=dense)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted([*set(got.values()), *[3] * (got[3] == 3)])
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted([*set(got.values()), *[3] * (got[3] == 3), 3])
+    assert [r.text for r in kept.where("doc_id is null").collect()] == ["no other text"]
     assert simhash.deduplicated(docs.limit(0)).count() == 0
 
 

@@ -54,8 +54,6 @@ def test_whole_operator_equals_plain_python(spark):
     want = sorted((i, f"{p:016x}", name[c]) for i, p, c in zip(ids, prints, comp))
     got = sorted((r.doc_id, r.fingerprint, r.component_id) for r in out if r.doc_id is not None)
     assert [g for k, g in enumerate(got) if not k or g != got[k - 1]] == want and len(out) == len(rows) + 2
-    kept = simhash.deduplicated(docs.dropna(subset="doc_id").dropDuplicates(), 4, 4)
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(name.values())) and kept.columns == docs.columns
     assert simhash.grouped(docs.limit(0)).count() == 0
 
 
@@ -90,3 +88,13 @@ def test_thresholds_cover_the_radius():
             parts = simhash.plan(sample, n, radius)
             assert sum(p.threshold + 1 for p in parts) == radius + 1
             assert all(len(p.flips) == len(set(p.flips)) == simhash.probes(len(p.bits), p.threshold) for p in parts)
+
+
+def test_votes_of_long_and_short_texts_equal_plain_sums(monkeypatch):
+    monkeypatch.setattr(simhash, "VOTES", 10)
+    rng = np.random.default_rng(1)
+    n = np.array([0, 3, 25, 10, 0, 0, 1, 4, 4, 11, 0])
+    h = rng.integers(0, 1 << 63, n.sum()).astype(np.uint64)
+    starts = np.concatenate([[0], np.cumsum(n)])
+    want = [sum((2 * sum(x >> b & 1 for x in h[i:j].tolist()) > j - i) << b for b in range(64)) for i, j in zip(starts[:-1], starts[1:])]
+    assert simhash.voted(h, starts).tolist() == want
