@@ -14,7 +14,7 @@ are tokenised once and read by all later passes.  Counts are summed over all
 training documents.  Each round of training reads its own slice of the blocks
 of all training documents: tasks take AdaGrad steps from the same weights and
 the weighted mean of their changes is added, tree-wise.  A model has a fixed
-size (4 MB); words and counts never go to the driver, but meet each block by a
+size (1 MB); words and counts never go to the driver, but meet each block by a
 join.
 
 Defined results: a null or empty text is one token, the end; a null
@@ -31,6 +31,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +41,11 @@ from acervo.llm.common import stored
 
 #: The end of a document counts as a token: a line feed, which is in no word.
 END = xxhash.xxh64_intdigest(b"\n")
-CLASSES, MEMBERS, ROWS = 16, 16, 1 << 15
+CLASSES, MEMBERS, ROWS = 16, 16, 1 << 13
 BLOCK_BYTES = 4 << 20
 ROUNDS, RATE, STEP_TOKENS = 3, 0.15, 16_384
+#: A word's place in a block and its block share one number: so many bits for the place, and for the block's number in its task.
+PLACE_BITS, SEQ_BITS = 27, 12
 #: Fixed values of the base score.
 HELD_OUT, ADDED = 10, 0.1
 
@@ -69,13 +72,23 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             held = np.fromiter(map(held_out, b.column("doc_id").to_pylist()), bool, n_docs)
             n_train = np.bincount(codes[np.repeat(~held, np.diff(starts))], minlength=len(w.uniq) + 1)
             words = tx.signed(np.append(tx.hashed(w.uniq), np.uint64(END)))
-            cols = [[(part << 32) + seq], [b.column("doc_id").to_pylist()], [held.tobytes()], [starts.tobytes()], [codes.tobytes()], pa.ListArray.from_arrays([0, len(words)], pa.array(words)), pa.ListArray.from_arrays([0, len(words)], pa.array(n_train))]
+            assert seq < 1 << SEQ_BITS and len(words) < 1 << PLACE_BITS
+            cols = [[(part << SEQ_BITS) + seq], [b.column("doc_id").to_pylist()], [held.tobytes()], [starts.tobytes()], [packed(codes)], pa.ListArray.from_arrays([0, len(words)], pa.array(words)), pa.ListArray.from_arrays([0, len(words)], pa.array(n_train))]
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=False)] + cols[5:], [x.split()[0] for x in BLOCK.split(", ")])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCK)
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """The bytes of all codes, the lowest of each first, compressed: blocks are stored and shuffled."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
 class Block:
     """A block's tokens, read back from its row."""
 
@@ -83,7 +96,7 @@ class Block:
         self.doc_ids = row["doc_ids"]
         self.held = np.frombuffer(row["held"], bool)
         self.starts = np.frombuffer(row["starts"], np.int64)
-        self.codes = np.frombuffer(row["codes"], np.int32)
+        self.codes = unpacked(row["codes"])
         self.words = np.asarray(row["words"], np.int64).view(np.uint64)
         self.doc = np.repeat(np.arange(len(self.held)), np.diff(self.starts))
 
@@ -228,9 +241,10 @@ def scored(docs: DataFrame, rounds: int = ROUNDS, rate: float = RATE, block_byte
     bias = (np.log(by_class / by_class.sum()).astype(np.float32), np.log(mass.reshape(CLASSES, MEMBERS) / by_class[:, None]).astype(np.float32))
     sent = docs.sparkSession.sparkContext.broadcast((trained(found, bias, rounds, rate), mass))
 
-    places = found.select("block", F.posexplode("words").alias("pos", "of_word"))
-    known = places.join(counts, F.col("of_word") == F.col("word")).groupBy(F.col("block").alias("in_block")).agg(F.collect_list(F.struct("pos", "c")).alias("known"))
-    met = found.join(known, F.col("block") == F.col("in_block"), "left").select("doc_ids", "held", "starts", "codes", "words", F.col("known.pos").alias("pos"), F.col("known.c").alias("c"))
+    places = found.select("block", F.posexplode("words").alias("pos", "of_word")).select("of_word", (F.shiftleft("block", PLACE_BITS) + F.col("pos")).alias("place"))
+    pos = F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
+    known = places.join(counts, F.col("of_word") == F.col("word")).groupBy(F.shiftright("place", PLACE_BITS).alias("in_block")).agg(F.collect_list(pos).alias("pos"), F.collect_list("c").alias("c"))
+    met = found.join(known, F.col("block") == F.col("in_block"), "left").select("doc_ids", "held", "starts", "codes", "words", "pos", "c")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, mass = sent.value

@@ -47,7 +47,7 @@ def test_base_equals_plain_python_and_the_model_learns(spark):
 
 def test_probabilities_add_up_to_one():
     rng = np.random.default_rng(0)
-    b = maxent.Block({"doc_ids": [1], "held": b"\0", "starts": np.array([0, 4]).tobytes(), "codes": np.array([0, 1, 2, 0], np.int32).tobytes(), "words": rng.integers(0, 1 << 62, 3)})
+    b = maxent.Block({"doc_ids": [1], "held": b"\0", "starts": np.array([0, 4]).tobytes(), "codes": maxent.packed(np.array([0, 1, 2, 0], np.int32)), "words": rng.integers(0, 1 << 62, 3)})
     model = maxent.Model(*(rng.normal(size=s).astype(np.float32) for s in (maxent.CLASSES, (maxent.CLASSES, maxent.MEMBERS), (maxent.ROWS, maxent.CLASSES), (maxent.ROWS, maxent.MEMBERS))))
     total = np.zeros(4)
     for slot in range(maxent.CLASSES * maxent.MEMBERS):
