@@ -208,7 +208,7 @@ class Encoded(NamedTuple):
 
 
 #: A worker keeps the ids of at most so many pieces of words.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 700_000
 #: ASCII punctuation that ends a word after a letter or digit, without the apostrophe.
 TAIL = r"([\pL\pN])[!-&(-/:-@\[-`{-~]+$"
 
