@@ -251,10 +251,14 @@ def windows(docs: DataFrame, window: int, still_open: Bits, shared: Bits) -> Dat
 
 
 def repeats(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """found's rows with words (a, b) that a smaller document has, and the first document of all words."""
-    first = found.groupBy("a", "b").agg(F.min("doc").alias("first")).withColumnsRenamed({"a": "fa", "b": "fb"})
-    met = found.join(first, (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb"))).drop("fa", "fb")
-    return met.where("doc > first"), met.where("doc = first")
+    """found's rows with words (a, b) that a smaller document has, and its other rows.
+
+    Words of several documents are written out first: a join of two plain
+    shuffles lets Spark split the rows of words that are very common.
+    """
+    several = found.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select(F.col("a").alias("fa"), F.col("b").alias("fb"), "first")
+    met = found.join(stored(several, "several"), (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb")), "left").drop("fa", "fb")
+    return met.where("doc > first"), met.where("first is null or doc = first")
 
 
 def covered(docs: DataFrame, window: int, shared: DataFrame) -> DataFrame:
@@ -262,7 +266,7 @@ def covered(docs: DataFrame, window: int, shared: DataFrame) -> DataFrame:
     bits = bit_table(shared)
     found = stored(stretches(docs, window, bits), "stretches")
     again, firsts = repeats(found)
-    mixed = found.groupBy("print").agg((F.min("a") < F.max("a")).alias("mixed")).where("mixed").select(F.col("print").alias("p"))
+    mixed = stored(found.groupBy("print").agg((F.min("a") < F.max("a")).alias("mixed")).where("mixed").select(F.col("print").alias("p")), "mixed")
     still_open = firsts.join(mixed, F.col("print") == F.col("p"), "left_semi").select("a", "doc")
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
