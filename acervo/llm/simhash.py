@@ -217,8 +217,10 @@ class Near(NamedTuple):
     word pairs, so fingerprints of word pairs find the candidates: at most
     `radius` bits apart there, and `wide_radius` in fingerprints of the
     shingles themselves, which leaves few candidates that aren't near.
-    Similarity is exact for texts of up to `sketch` distinct shingles; beyond,
-    it is estimated from that many smallest hashes.
+    Similarity is exact.  The `sketch` smallest hashes of each set are the whole
+    set for texts of so many distinct shingles; of longer ones they settle only
+    pairs whose estimate is outside `unsure`, which a pair on the other side of
+    the threshold reaches with a chance below 1e-9.  Whole sets decide the rest.
     """
 
     words: int = 5
@@ -226,6 +228,7 @@ class Near(NamedTuple):
     radius: int = 8
     wide_radius: int = 14
     sketch: int = 256
+    unsure: tuple[float, float] = (0.6, 0.95)
 
 
 def rolled(w: tx.Words, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,8 +245,37 @@ def rolled(w: tx.Words, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
+def node_of(w: tx.Words) -> np.ndarray:
+    """A hash of each text's words."""
+    words = np.array(w.uniq.cast(pa.large_binary()).to_pylist(), object)[w.codes]
+    return np.array([xxhash.xxh3_64_intdigest(b" ".join(words[i:j].tolist())) for i, j in zip(w.starts[:-1].tolist(), w.starts[1:].tolist(), strict=True)], np.uint64)
+
+
+def fresh(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Of sorted hashes of each text: whether each is the first of its value there."""
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return first
+
+
+def sets(docs: DataFrame, near: Near) -> DataFrame:
+    """Every row's node and its whole set of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in tx.sliced(batches):
+            w = tx.words(b.column("text"), lower=True)
+            h, starts = rolled(w, near.words, 2)
+            doc = np.repeat(np.arange(b.num_rows), np.diff(starts))
+            order = np.lexsort((h, doc))
+            k = order[fresh(h[order], doc[order])]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[k], minlength=b.num_rows))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(node_of(w))), pa.ListArray.from_arrays(offsets, pa.array(tx.signed(h[k])))], ["node", "shingles"])
+
+    return docs.select("text").mapInArrow(run, "node long, shingles array<long>")
+
+
 def texts(docs: DataFrame, near: Near) -> DataFrame:
-    """Every row's two fingerprints and sketch; node is a hash of its words in lower case."""
+    """Every row's two fingerprints, number of distinct shingles and sketch; node is a hash of its words in lower case."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
@@ -251,36 +283,56 @@ def texts(docs: DataFrame, near: Near) -> DataFrame:
             pairs, shingles = rolled(w, 2, 1), rolled(w, near.words, 2)
             h, starts = shingles
             ids = np.arange(len(starts) - 1)
-            order = np.lexsort((h, np.repeat(ids, np.diff(starts))))
+            doc = np.repeat(ids, np.diff(starts))
+            order = np.lexsort((h, doc))
+            size = np.bincount(doc[order][fresh(h[order], doc[order])], minlength=len(ids))
             low = (h[order] >> np.uint64(32) ^ np.uint64(1 << 31)).astype(np.uint32).view(np.int32)  # in the order of signed numbers
             sketches = []
             for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 x = low[i:j]
                 sketches.append(x[np.concatenate([[True], x[1:] != x[:-1]])][: near.sketch] if j > i else x)
-            words = np.array(w.uniq.cast(pa.large_binary()).to_pylist(), object)[w.codes]
-            node = np.array([xxhash.xxh3_64_intdigest(b" ".join(words[i:j].tolist())) for i, j in zip(w.starts[:-1].tolist(), w.starts[1:].tolist(), strict=True)], np.uint64)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
             sketch = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sketches) if sketches else np.empty(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(tx.signed(node)), pa.array(tx.signed(voted(*pairs))), pa.array(tx.signed(voted(h, starts))), sketch], ["doc_id", "digest", "node", "fp", "wide", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(tx.signed(node_of(w))), pa.array(tx.signed(voted(*pairs))), pa.array(tx.signed(voted(h, starts))), pa.array(size.astype(np.int32)), sketch], ["doc_id", "digest", "node", "fp", "wide", "size", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, node long, fp long, wide long, sketch array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, node long, fp long, wide long, size int, sketch array<int>")
 
 
-def alike(a: Column, b: Column, most: int) -> Column:
+def alike(a: Column, b: Column, most: Column) -> Column:
     """Similarity of two sets by their sketches: of the `most` smallest of the union, the share that both have."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, most)
     return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, near: Near) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     """The pairs (u, v) of nodes that are near; only sketches of nodes in pairs are shuffled to them."""
-    named = pairs.select(F.col("u").alias("in_pair")).unionAll(pairs.select("v")).distinct()
-    few = stored(nodes.join(named, F.col("node") == F.col("in_pair"), "left_semi").select("node", "sketch"), "sketches")
-    of = lambda c: few.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}"))
-    return pairs.join(of("u"), "u").join(of("v"), "v").where(alike(F.col("sketch_u"), F.col("sketch_v"), near.sketch) >= near.similarity).select("u", "v")
+    few = stored(nodes.join(ends(pairs), F.col("node") == F.col("end"), "left_semi").select("node", "size", "sketch"), "sketches")
+    of = lambda c: few.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    whole = F.greatest("size_u", "size_v") <= near.sketch
+    low, high = near.unsure
+    share = alike(F.col("sketch_u"), F.col("sketch_v"), F.when(whole, 2 * near.sketch).otherwise(near.sketch))
+    judged = stored(pairs.join(of("u"), "u").join(of("v"), "v").where(F.least("size_u", "size_v") >= near.similarity * F.greatest("size_u", "size_v") - 1e-9).select("u", "v", whole.alias("whole"), share.alias("share")).where(F.when(F.col("whole"), F.col("share") >= near.similarity).otherwise(F.col("share") > low)), "judged")
+    sure = F.col("whole") | (F.col("share") >= high)
+    return judged.where(sure).select("u", "v").unionAll(exact(judged.where(~sure).select("u", "v"), nodes, docs, near))
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("end")).unionAll(pairs.select("v")).distinct()
+
+
+def exact(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+    """The pairs whose whole sets are near; the sets are made again from one text of each node in pairs."""
+    if pairs.isEmpty():
+        return pairs
+    wanted = nodes.join(ends(pairs), F.col("node") == F.col("end"), "left_semi").select(F.col("digest").alias("of_digest"))
+    chosen = docs.select("text").join(wanted, F.xxhash64("text") == F.col("of_digest"), "left_semi").distinct()
+    few = stored(sets(chosen, near).dropDuplicates(["node"]), "sets")
+    of = lambda c: few.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
+    both = F.size(F.array_intersect("set_u", "set_v"))
+    return stored(pairs.join(of("u"), "u").join(of("v"), "v").where(both / (F.size("set_u") + F.size("set_v") - both) >= near.similarity).select("u", "v"), "exact")
 
 
-def near_links(nodes: DataFrame, near: Near, dense: int = DENSE) -> DataFrame:
+def near_links(nodes: DataFrame, docs: DataFrame, near: Near, dense: int = DENSE) -> DataFrame:
     """Links (u, v) of near nodes, enough to join all that are linked directly or by way of others."""
     n = nodes.count()
     sample = nodes.orderBy(F.xxhash64("node"), "node").limit(PLAN_SAMPLE).select("fp").toArrow()["fp"].to_numpy().astype(np.int64).view(np.uint64)
@@ -299,7 +351,7 @@ def near_links(nodes: DataFrame, near: Near, dense: int = DENSE) -> DataFrame:
         held, index, probe = None, index.withColumn("held", F.lit(False)), probe.withColumn("held", F.lit(False))
     else:
         met = index.join(pivots, ["part", "key"]).where((F.col("node") != F.col("p_node")) & close("", "p_"))
-        held = stored(verified(stored(ordered(met, "node", "p_node").distinct(), "stars"), nodes, near), "held")
+        held = stored(verified(stored(ordered(met, "node", "p_node").distinct(), "stars"), nodes, docs, near), "held")
         both = held.select(F.col("u").alias("h_node"), F.col("v").alias("h_pivot")).unionAll(held.select("v", "u"))
 
         def marked(df: DataFrame) -> DataFrame:
@@ -317,15 +369,15 @@ def near_links(nodes: DataFrame, near: Near, dense: int = DENSE) -> DataFrame:
     pairs = compared(index.where(free), probe)
     if held is not None:
         pairs = pairs.unionAll(compared(index.where("held"), probe.where(free)))
-    links = verified(stored(pairs.distinct(), "candidates"), nodes, near)
+    links = verified(stored(pairs.distinct(), "candidates"), nodes, docs, near)
     return links if held is None else links.unionAll(held).distinct()
 
 
 def near_groups(docs: DataFrame, near: Near = Near(), dense: int = DENSE) -> DataFrame:
     """Every row with a hash of its text and the smallest identifier of its group of near-duplicates."""
     rows = stored(texts(docs, near), "texts")
-    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.any_value(c).alias(c) for c in ("fp", "wide", "sketch")]), "nodes")
-    roots = components(near_links(nodes, near, dense))
+    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest"), *[F.any_value(c).alias(c) for c in ("fp", "wide", "size", "sketch")]), "nodes")
+    roots = components(near_links(nodes, docs, near, dense))
     by_root = nodes.select("node", "first").join(roots.withColumnRenamed("node", "of_node"), F.col("node") == F.col("of_node"), "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     names = by_root.groupBy("root").agg(F.min("first").alias("group_id"))
     return rows.select("doc_id", "digest", "node").join(by_root.join(names, "root").select(F.col("node").alias("n"), "group_id"), F.col("node") == F.col("n")).select("doc_id", "digest", "group_id")
