@@ -48,6 +48,9 @@ PLAN_SAMPLE = 3000
 PROBE_COST = 30
 #: A key with more fingerprints than this gets a pivot.
 DENSE = 128
+#: About so many texts, those with certain hashes, tell which shingles are common: those that so many of them have.
+#: They bear on the order of shingles alone, never on which links are found.
+COMMON_SAMPLE, COMMON_LEAST = 10_000, 4
 
 
 #: So many hashes are unpacked into bits at a time (about 40 MB).
@@ -216,7 +219,11 @@ class Near(NamedTuple):
     similarity (Jaccard).  An edited word changes `words` shingles but only two
     word pairs, so fingerprints of word pairs find the candidates: at most
     `radius` bits apart there, and `wide_radius` in fingerprints of the
-    shingles themselves, which leaves few candidates that aren't near.
+    shingles themselves, which leaves few candidates that aren't near.  Blocks
+    of words appended, cut off or replaced change both alike, so pairs that
+    these leave in different groups are found by their rarest shingles: near
+    texts share at least `similarity` of the n that either has, so one of the
+    first n - ceil(similarity * n) + 1 in any common order.
     Similarity is exact.  The `sketch` smallest hashes of each set are the whole
     set for texts of so many distinct shingles; of longer ones they settle only
     pairs whose estimate is outside `unsure`, which a pair on the other side of
@@ -274,8 +281,33 @@ def sets(docs: DataFrame, near: Near) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def texts(docs: DataFrame, near: Near) -> DataFrame:
-    """Every row's two fingerprints, number of distinct shingles and sketch; node is a hash of its words in lower case."""
+def common(docs: DataFrame, near: Near) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several sampled texts, sorted, and how many have each."""
+    every = max(1, docs.count() // COMMON_SAMPLE)
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text").distinct()
+    found = sets(some, near).select(F.explode("shingles").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_LEAST).toArrow()
+    key, n = found["key"].to_numpy().astype(np.int64).view(np.uint64), found["n"].to_numpy().astype(np.int32)
+    order = np.argsort(key)
+    return key[order], n[order]
+
+
+def rarest(h: np.ndarray, doc: np.ndarray, size: np.ndarray, often: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text's distinct shingles, as many of the rarest as near texts can't all lack; and where each text's begin."""
+    key, n = often
+    count = np.zeros(len(h), np.int32)
+    if len(key):
+        place = np.minimum(np.searchsorted(key, h), len(key) - 1)
+        count = np.where(key[place] == h, n[place], 0)
+    order = np.lexsort((h, count, doc))
+    first = np.concatenate([[0], np.cumsum(size)])
+    most = np.where(size > 0, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
+    taken = np.arange(len(h)) - np.repeat(first[:-1], size) < np.repeat(most, size)
+    return h[order][taken], np.concatenate([[0], np.cumsum(np.minimum(most, size))])
+
+
+def texts(docs: DataFrame, near: Near, often: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0, np.int32))) -> DataFrame:
+    """Every row's two fingerprints, number of distinct shingles, sketch and rarest shingles; node is a hash of its words in lower case."""
+    sent = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
@@ -285,7 +317,9 @@ def texts(docs: DataFrame, near: Near) -> DataFrame:
             ids = np.arange(len(starts) - 1)
             doc = np.repeat(ids, np.diff(starts))
             order = np.lexsort((h, doc))
-            size = np.bincount(doc[order][fresh(h[order], doc[order])], minlength=len(ids))
+            k = order[fresh(h[order], doc[order])]
+            size = np.bincount(doc[k], minlength=len(ids))
+            rare, cut = rarest(h[k], doc[k], size, sent.value, near.similarity)
             low = (h[order] >> np.uint64(32) ^ np.uint64(1 << 31)).astype(np.uint32).view(np.int32)  # in the order of signed numbers
             sketches = []
             for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
@@ -293,9 +327,9 @@ def texts(docs: DataFrame, near: Near) -> DataFrame:
                 sketches.append(x[np.concatenate([[True], x[1:] != x[:-1]])][: near.sketch] if j > i else x)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
             sketch = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sketches) if sketches else np.empty(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(tx.signed(node_of(w))), pa.array(tx.signed(voted(*pairs))), pa.array(tx.signed(voted(h, starts))), pa.array(size.astype(np.int32)), sketch], ["doc_id", "digest", "node", "fp", "wide", "size", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(tx.signed(node_of(w))), pa.array(tx.signed(voted(*pairs))), pa.array(tx.signed(voted(h, starts))), pa.array(size.astype(np.int32)), sketch, pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(tx.signed(rare)))], ["doc_id", "digest", "node", "fp", "wide", "size", "sketch", "rare"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, node long, fp long, wide long, size int, sketch array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, node long, fp long, wide long, size int, sketch array<int>, rare array<long>")
 
 
 def alike(a: Column, b: Column, most: Column) -> Column:
@@ -373,12 +407,35 @@ def near_links(nodes: DataFrame, docs: DataFrame, near: Near, dense: int = DENSE
     return links if held is None else links.unionAll(held).distinct()
 
 
+def missed(nodes: DataFrame, roots: DataFrame, near: Near) -> DataFrame:
+    """Pairs (u, v) of nodes of different roots that share one of their rarest shingles and whose sizes allow them to be near.
+
+    A shingle of one root alone makes no pairs; of others, nodes of its largest root meet only the rest."""
+    large = roots.groupBy("root").agg(F.count("*").alias("n"))
+    known = roots.join(large, "root").withColumnRenamed("node", "of_node")
+    rows = nodes.join(known, F.col("node") == F.col("of_node"), "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("n", F.lit(1)).cast("int").alias("n"), "size", F.explode("rare").alias("key"))
+    held = rows.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.min("root").alias("least"), F.max("root").alias("last")).where("least != last").select("key", F.col("most.root").alias("pivot"))
+    shared = stored(rows.drop("n").join(held, "key"), "shared")
+    left = shared.where("root != pivot").select("key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("size").alias("a_size"))
+    right = shared.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("size").alias("b_size"), "pivot")
+    sizes = F.least("a_size", "b_size") >= near.similarity * F.greatest("a_size", "b_size") - 1e-9
+    once = (F.col("b_root") == F.col("pivot")) | (F.col("a") < F.col("b"))
+    met = left.join(right, "key").where((F.col("a_root") != F.col("b_root")) & sizes & once)
+    return met.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+
+
 def near_groups(docs: DataFrame, near: Near = Near(), dense: int = DENSE) -> DataFrame:
     """Every row with a hash of its text and the smallest identifier of its group of near-duplicates."""
-    rows = stored(texts(docs, near), "texts")
-    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest"), *[F.any_value(c).alias(c) for c in ("fp", "wide", "size", "sketch")]), "nodes")
+    rows = stored(texts(docs, near, common(docs, near)), "texts")
+    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest"), *[F.any_value(c).alias(c) for c in ("fp", "wide", "size", "sketch", "rare")]), "nodes")
     roots = components(near_links(nodes, docs, near, dense))
+    links = verified(stored(missed(nodes, roots, near), "missed"), nodes, docs, near)
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    u, v = F.coalesce("root_u", "u"), F.coalesce("root_v", "v")
+    more = components(links.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct())
+    joined = more.select(F.col("node").alias("of_root"), F.col("root").alias("last_root"))
     by_root = nodes.select("node", "first").join(roots.withColumnRenamed("node", "of_node"), F.col("node") == F.col("of_node"), "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    by_root = by_root.join(joined, F.col("root") == F.col("of_root"), "left").select("node", "first", F.coalesce("last_root", "root").alias("root"))
     names = by_root.groupBy("root").agg(F.min("first").alias("group_id"))
     return rows.select("doc_id", "digest", "node").join(by_root.join(names, "root").select(F.col("node").alias("n"), "group_id"), F.col("node") == F.col("n")).select("doc_id", "digest", "group_id")
 

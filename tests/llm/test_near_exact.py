@@ -25,3 +25,26 @@ def test_long_texts_are_decided_by_their_whole_sets(spark):
     pairs = spark.createDataFrame([(max(one[2 * i], one[2 * i + 1]), min(one[2 * i], one[2 * i + 1])) for i in range(len(texts))], "u long, v long")
     got = {(r.u, r.v) for r in simhash.verified(pairs, rows.withColumn("first", F.col("doc_id")), docs, near).collect()}
     assert {i for i in range(len(texts)) if (max(one[2 * i], one[2 * i + 1]), min(one[2 * i], one[2 * i + 1])) in got} == want
+
+
+def test_blocks_appended_cut_off_or_replaced_are_found(spark):
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts, cases = [], []
+    for n in (60, 250, 1200):
+        for share in (0.8, 0.83, 0.86, 0.9):
+            for kind in ("append", "cut", "replace") * 2:
+                t = [word() for _ in range(n)]
+                lost = int(n * (1 - share)) - 1
+                u = {"append": t + [word() for _ in range(lost)], "cut": t[:-lost], "replace": t[: n // 3] + [word() for _ in range(lost // 2)] + t[n // 3 + lost // 2 :]}[kind]
+                cases.append((len(texts), len(texts) + 1))
+                texts += [" ".join(t), " ".join(u)]
+    heads = " ".join(word() for _ in range(30))  # common to texts that are not near
+    for _ in range(40):
+        texts.append(heads + " " + " ".join(word() for _ in range(70)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.group_id for r in simhash.near_groups(docs).collect()}
+    near = {(i, j) for i, j in cases if jaccard(texts[i], texts[j]) >= 0.8}
+    assert len(near) >= 0.7 * len(cases)
+    assert {(i, j) for i, j in cases if got[i] == got[j]} == near
+    assert all(got[i] == i for i in range(2 * len(cases), len(texts)))
