@@ -15,8 +15,9 @@ MOST_HASHES; if there are more, the documents' windows are shuffled to them.
 
 Defined results: null or empty texts have no windows; an item of fewer words
 than a window, or whose windows are mostly placeholders, is never found;
-repeated rows are judged alike; items that share an identifier count as one;
-an empty benchmark contaminates nothing; other columns are ignored.
+repeated rows are judged alike; repeated items are one; texts that share an
+identifier are sought apart and count as one item, by the text that is covered
+most; a null identifier is one too; an empty benchmark contaminates nothing; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -128,20 +129,24 @@ def exploded(found: DataFrame, *keys: str) -> DataFrame:
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MOST_HASHES) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest, item_id, coverage, n_slots, n_conflicts) of the documents and items that share windows, and every document's windows."""
-    items = stored(exploded(windows(benchmark.select(F.col("item_id").alias("doc_id"), "text"), window), "doc_id").withColumnsRenamed({"doc_id": "item_id", "at": "place", "template": "expected", "slots": "values"}).withColumnRenamed("print", "item_print"), "items")
+    texts = benchmark.select(F.col("item_id").alias("doc_id"), "text").distinct()
+    items = stored(exploded(windows(texts, window), "doc_id", "digest").withColumnsRenamed({"doc_id": "item_id", "digest": "item_digest", "at": "place", "template": "expected", "slots": "values"}).withColumnRenamed("print", "item_print"), "items")
     n = items.count()
     only = np.unique(items.select("item_print").toArrow()["item_print"].to_numpy().astype(np.int64).view(np.uint64)) if n <= most else None
     found = stored(windows(docs, window, only), "hits")
-    of_item = items.groupBy(F.col("item_id").alias("of_item")).agg(F.count("*").alias("n_windows"))
+    of_item = items.groupBy(F.col("item_id").alias("of_item"), F.col("item_digest").alias("of_digest")).agg(F.count("*").alias("n_windows"))
     hits = exploded(found, "doc_id", "digest").join(items, (F.col("print") == F.col("item_print")) & (F.col("template") == F.col("expected")))
     pairs = F.array_distinct(F.filter(F.arrays_zip("values", "slots"), lambda p: p["slots"].isNotNull()))
-    key = ["doc_id", "digest", "item_id"]
+    key = ["doc_id", "digest", "item_id", "item_digest"]
     lines = hits.select(*key, (F.col("at") - F.col("place")).alias("offset"), "place", pairs.alias("pairs")).distinct()
     along = lines.groupBy(*key, "offset").agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     slots = F.size(F.array_distinct(F.col("pairs.values")))
     scored = along.select(*key, "places", slots.alias("n_slots"), (F.size("pairs") - slots).alias("n_conflicts"))
     judged = scored.where(F.col("n_conflicts") <= CONFLICTS * F.col("n_slots")).groupBy(*key).agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_found"), F.sum("n_slots").alias("n_slots"), F.sum("n_conflicts").alias("n_conflicts"))
-    return judged.join(of_item, F.col("item_id") == F.col("of_item")).select(*key, (F.col("n_found") / F.col("n_windows")).alias("coverage"), "n_slots", "n_conflicts"), found
+    share = (F.col("n_found") / F.col("n_windows")).alias("coverage")
+    of_text = judged.join(of_item, F.col("item_id").eqNullSafe(F.col("of_item")) & (F.col("item_digest") == F.col("of_digest"))).select(*key, share, "n_slots", "n_conflicts")
+    best = of_text.groupBy(*key[:3]).agg(F.max(F.struct("coverage", (-F.col("n_conflicts")).alias("less"), "n_slots", "n_conflicts")).alias("best"))
+    return best.select(*key[:3], "best.coverage", "best.n_slots", "best.n_conflicts"), found
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, **more) -> tuple[DataFrame, DataFrame]:
