@@ -10,12 +10,17 @@ value of the item stands for one value in the document wherever it occurs, and
 numbers stay numbers.  A document is contaminated by an item if enough of the
 item's windows hold and few slots contradict.
 
+An item without a good window (fewer words than a window, or mostly
+placeholders) is sought as a whole if `whole` says so: all its words, numbers
+and names as they are, in one row.  Its first words are its key; a document
+holds it wherever they and the rest follow each other, so an item of one
+common word is found in every document with that word.
+
 Benchmark windows go to the documents' tasks as hashes if they are at most
 MOST_HASHES; if there are more, the documents' windows are shuffled to them.
 
-Defined results: null or empty texts have no windows; an item of fewer words
-than a window, or whose windows are mostly placeholders, is never found;
-repeated rows are judged alike; repeated items are one; texts that share an
+Defined results: null or empty texts have no windows; an item without words
+is never found, one without a good window only as a whole; repeated rows are judged alike; repeated items are one; texts that share an
 identifier are sought apart and count as one item, by the text that is covered
 most; a null identifier is one too; an empty benchmark contaminates nothing; other columns are ignored.
 """
@@ -42,6 +47,11 @@ COVERAGE, CONFLICTS = 0.4, 0.2
 #: Hashes of benchmark windows that may be sent to all tasks (16 MB).
 MOST_HASHES = 2_000_000
 BASE = 0x9E3779B97F4A7C15
+ANCHOR_BASE = 0xC2B2AE3D27D4EB4F
+#: The place of an item that is sought as a whole.
+WHOLE = -1
+#: By number of an item's first words that are its key: the keys' hashes, sorted, and the items' lengths for each; no hashes if there are too many, and all lengths.
+Sought = dict[int, tuple[np.ndarray | None, list]]
 
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 NUMERAL = re.compile(r"[+-]?[$€£¥]?[0-9][0-9.,:/]*(?:st|nd|rd|th|%)?")
@@ -84,6 +94,7 @@ class Templates:
         of_kind = np.array([xxhash.xxh64_intdigest(x) for x in PLACEHOLDERS], np.uint64)
         of_word = np.fromiter((xxhash.xxh64_intdigest(x) for x in self.low), np.uint64, len(self.low))
         h = np.where(kind == PLAIN, of_word[w.codes], of_kind[kind]) if len(w.codes) else np.empty(0, np.uint64)
+        self.plain = of_word[w.codes] if len(w.codes) else np.empty(0, np.uint64)
         self.prints = tx.rolling(h, window, BASE)
         n = len(self.prints)
         plain = np.zeros(len(kind) + 1, np.int64)
@@ -95,16 +106,57 @@ class Templates:
         kinds, low = self.kind[at : at + window].tolist(), self.low[self.words.codes[at : at + window]].tolist()
         return [PLACEHOLDERS[k] or x for k, x in zip(kinds, low, strict=True)], [x if k else None for k, x in zip(kinds, low, strict=True)]
 
+    def anchors(self, k: int) -> np.ndarray:
+        """A hash of each k words as they are."""
+        return tx.rolling(self.plain, k, ANCHOR_BASE)
+
+    def words_at(self, at: int, n: int) -> list[str]:
+        return self.low[self.words.codes[at : at + n]].tolist()
+
+    def unseen(self, window: int) -> list[tuple[int, int, int, list[str]]]:
+        """(row, place, anchor, words) of the rows that have words and no good window."""
+        n = np.diff(self.words.starts)
+        good = np.zeros(len(n), bool)
+        good[self.words.doc[np.flatnonzero(self.good)]] = True
+        out = []
+        for k in range(1, window + 1):
+            of_k = np.flatnonzero(~good & (np.minimum(n, window) == k))
+            if len(of_k):
+                anchors = tx.signed(self.anchors(k))
+                out += [(i, WHOLE, int(anchors[self.words.starts[i]]), self.words_at(self.words.starts[i], n[i])) for i in of_k.tolist()]
+        return sorted(out)
+
+    def wholes(self, sought: Sought) -> list[tuple[int, int, int, list[str]]]:
+        """(row, place, anchor, words) where the rows may hold whole items, each sequence of words once a row."""
+        w, out = self.words, {}
+        for k, (known, lengths) in sought.items():
+            anchors = self.anchors(k)
+            at = np.flatnonzero(tx.inside(w.doc, k)) if len(anchors) else np.empty(0, np.int64)
+            place = None
+            if known is not None and len(at):
+                place = np.minimum(np.searchsorted(known, anchors[at]), len(known) - 1)
+                same = known[place] == anchors[at]
+                at, place = at[same], place[same]
+            signed = tx.signed(anchors)
+            for i, a in enumerate(at.tolist()):
+                row = int(w.doc[a])
+                for n in lengths if place is None else lengths[place[i]]:
+                    if a + n <= w.starts[row + 1]:
+                        found = self.words_at(a, n)
+                        out.setdefault((row, tuple(found)), (row, a - int(w.starts[row]), int(signed[a]), found))
+        return sorted(out.values())
 
 HITS = "doc_id long, digest long, at array<int>, print array<long>, template array<array<string>>, slots array<array<string>>"
 
 
-def windows(rows: DataFrame, window: int = WINDOW, only: np.ndarray | None = None) -> DataFrame:
-    """For every row of (doc_id, text): its good windows, or those whose hashes are in `only` (sorted)."""
-    sent = rows.sparkSession.sparkContext.broadcast(only)
+def windows(rows: DataFrame, window: int = WINDOW, only: np.ndarray | None = None, unseen: bool = False, sought: Sought | None = None) -> DataFrame:
+    """For every row of (doc_id, text): its good windows, or those whose hashes are in `only` (sorted).
+
+    unseen: a row without any has all its words as one; sought: rows have those of whole items too."""
+    sent = rows.sparkSession.sparkContext.broadcast((only, sought))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
+        known, items = sent.value
         kinds = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.string())), pa.list_(pa.list_(pa.string()))]
         for b in tx.sliced(batches):
             t = Templates(b.column("text"), window)
@@ -114,9 +166,17 @@ def windows(rows: DataFrame, window: int = WINDOW, only: np.ndarray | None = Non
                 k = k[known[place] == t.prints[k]] if len(known) else k[:0]
             row = t.words.doc[k]
             found = [t.window_at(i, window) for i in k.tolist()]
+            at, prints = (k - t.words.starts[row]).tolist(), tx.signed(t.prints[k]).tolist()
+            extra = t.unseen(window) if unseen else t.wholes(items) if items else []
+            if extra:
+                row = np.concatenate([row, np.array([e[0] for e in extra], np.int64)])
+                order = np.argsort(row, kind="stable")
+                row = row[order]
+                taken = lambda values, more: [(values + more)[i] for i in order.tolist()]  # noqa: B023, E731
+                at, prints, found = taken(at, [e[1] for e in extra]), taken(prints, [e[2] for e in extra]), taken(found, [(e[3], [None] * len(e[3])) for e in extra])
             cut = np.searchsorted(row, np.arange(b.num_rows + 1))
             lists = lambda values: [values[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]  # noqa: B023, E731
-            cols = [(k - t.words.starts[row]).tolist(), tx.signed(t.prints[k]).tolist(), [f[0] for f in found], [f[1] for f in found]]
+            cols = [at, prints, [f[0] for f in found], [f[1] for f in found]]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), *(pa.array(lists(c), kind) for c, kind in zip(cols, kinds, strict=True))], ["doc_id", "digest", "at", "print", "template", "slots"])
 
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, HITS)
@@ -127,13 +187,30 @@ def exploded(found: DataFrame, *keys: str) -> DataFrame:
     return each.select(*keys, "w.at", "w.print", "w.template", "w.slots")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MOST_HASHES) -> tuple[DataFrame, DataFrame]:
+def sought_in(items: DataFrame, n: int, window: int, most: int) -> Sought:
+    """What documents are searched for: the items that are one window of all their words."""
+    wholes = items.where(F.col("place") == WHOLE).select("item_print", F.size("expected").alias("n"))
+    out = {}
+    if n > most:
+        for (length,) in wholes.select("n").distinct().orderBy("n").collect():
+            out.setdefault(min(length, window), (None, []))[1].append(length)
+        return out
+    by = {}
+    for anchor, length in wholes.distinct().collect():
+        by.setdefault(min(length, window), {}).setdefault(anchor % (1 << 64), []).append(length)
+    for k, of in by.items():
+        known = sorted(of)
+        out[k] = (np.array(known, np.uint64), [sorted(of[a]) for a in known])
+    return out
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MOST_HASHES, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest, item_id, coverage, n_slots, n_conflicts) of the documents and items that share windows, and every document's windows."""
     texts = benchmark.select(F.col("item_id").alias("doc_id"), "text").distinct()
-    items = stored(exploded(windows(texts, window), "doc_id", "digest").withColumnsRenamed({"doc_id": "item_id", "digest": "item_digest", "at": "place", "template": "expected", "slots": "values"}).withColumnRenamed("print", "item_print"), "items")
+    items = stored(exploded(windows(texts, window, unseen=whole), "doc_id", "digest").withColumnsRenamed({"doc_id": "item_id", "digest": "item_digest", "at": "place", "template": "expected", "slots": "values"}).withColumnRenamed("print", "item_print"), "items")
     n = items.count()
     only = np.unique(items.select("item_print").toArrow()["item_print"].to_numpy().astype(np.int64).view(np.uint64)) if n <= most else None
-    found = stored(windows(docs, window, only), "hits")
+    found = stored(windows(docs, window, only, sought=sought_in(items, n, window, most) if whole else None), "hits")
     of_item = items.groupBy(F.col("item_id").alias("of_item"), F.col("item_digest").alias("of_digest")).agg(F.count("*").alias("n_windows"))
     hits = exploded(found, "doc_id", "digest").join(items, (F.col("print") == F.col("item_print")) & (F.col("template") == F.col("expected")))
     pairs = F.array_distinct(F.filter(F.arrays_zip("values", "slots"), lambda p: p["slots"].isNotNull()))

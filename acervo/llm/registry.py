@@ -10,7 +10,7 @@ from acervo.llm.common import table
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go, with its numbers and names changed too."""
-    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
