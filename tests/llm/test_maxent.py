@@ -56,3 +56,11 @@ def test_probabilities_add_up_to_one():
         z, y = model.logits(rows, crossed, s // maxent.MEMBERS)
         total += np.exp(z[:, slot // maxent.MEMBERS] - maxent.softmax(z)[1] + y[:, slot % maxent.MEMBERS] - maxent.softmax(y)[1])
     assert total == pytest.approx(np.ones(4), abs=1e-4)
+
+
+def test_contexts_have_more_rows_than_a_small_table():
+    n = 60_000
+    words = np.random.default_rng(1).integers(0, 1 << 62, n)
+    b = maxent.Block({"doc_ids": [1], "held": b"\0", "starts": np.array([0, n]).tobytes(), "codes": maxent.packed(np.arange(n, dtype=np.int32)), "words": words})
+    for rows in sum(maxent.features(b, maxent.slots(b.words)), []):
+        assert len(np.unique(rows)) > 1 << 14
