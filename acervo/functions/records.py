@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acervo.functions.text import norm, norm_ws, stripped
+from acervo.functions.text import court_code, norm, norm_ws, stripped
 
 #: Groups of courts and their members.
-REGIONS = [f"{i:02d}" for i in range(1, 7)]
+STATES = "AC AL AP AM BA CE DF ES GO MA MT MS MG PA PB PR PE PI RJ RN RS RO RR SC SP SE TO".split()
 GROUPS = {
-    "SUPERIORES": ["STF", "STJ", "TST", "TSE", "STM"],
-    "TRFS": [f"TRF{i}" for i in REGIONS],
-    "TRTS": [f"TRT{i:02d}" for i in range(1, 25)],
-    "TJMS": ["TJMMG", "TJMRS", "TJMSP"],
+    "superiores": ["STF", "STJ", "TST", "STM", "TNU"],
+    "trfs": [f"TRF{i:02d}" for i in range(1, 7)],
+    "tjs": [f"TJ{x}" for x in STATES],
+    "trts": [f"TRT{i:02d}" for i in range(1, 25)],
+    "tjms": ["TJMMG", "TJMRS", "TJMSP"],
+}
+#: The unified federal base's courts, regional panels and appeal panels.
+FEDERAL = {"TODOS": ["STF", "STJ", "TNU", "TRF1", "TRF2", "TRF3", "TRF4", "TRF5"], "TRU": [f"TRU{i}" for i in range(1, 7)], "TR": [f"TR{i}" for i in range(1, 7)]}
+#: Ranks of kinds of precedents, with ties, by either of two tables.
+HIERARCHY = {
+    "first": {"ADI": 1, "ADC": 1, "ADO": 1, "ADPF": 1, "RG": 1, "RR": 2, "SV": 3, "SUM": 4, "IRDR": 5, "IAC": 5},
+    "second": {"RG": 1, "RR": 2, "IRDR": 3, "IAC": 3, "SUM": 4, "SV": 4, "DOMINANTE": 5},
 }
-#: Ranks of precedents, by either of two tables.
-HIERARCHY = {"first": ["RG", "RR", "IRDR", "IAC", "SUMULA", "DOMINANTE"], "second": ["ADI", "RG", "RR", "SUMULA VINCULANTE", "SUMULA", "IRDR", "IAC"]}
 
 
 def filled(c: Column) -> Column:
@@ -53,12 +60,24 @@ def region_code(c: Column) -> Column:
     return F.when(number != "", F.concat(F.upper(F.regexp_extract(c, r"^\s*(\w+)", 1)), number)).otherwise(F.upper(F.trim(c)))
 
 
-def expanded(codes: DataFrame, code: str, groups: dict[str, list[str]] = GROUPS) -> DataFrame:
-    """A group's members in its place; ALL stands for every member; each once."""
-    every = [x for g in groups.values() for x in g]
-    table = F.create_map(*[x for k, v in (groups | {"ALL": every}).items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    upper = F.upper(F.trim(F.col(code)))
-    return codes.select(F.explode(F.coalesce(F.element_at(table, upper), F.array(upper))).alias("court")).distinct()
+def expanded(codes: DataFrame, code: str, groups: dict[str, list[str]] = GROUPS, normal: Callable[[Column], Column] = court_code) -> DataFrame:
+    """(court, known): a group's members in its place, each once; known tells courts from codes that no group has.
+
+    A code's form doesn't matter (trf5 is TRF05).  A group is written in any case; blank codes are dropped."""
+    table = F.create_map(*[x for k, v in groups.items() for x in (F.lit(k.upper()), F.array(*map(F.lit, v)))])
+    known = F.array(*map(F.lit, dict.fromkeys(x for v in groups.values() for x in v)))
+    upper = F.upper(stripped(F.col(code)))
+    each = codes.where(filled(F.col(code)).isNotNull()).select(F.explode(F.coalesce(F.element_at(table, upper), F.array(normal(upper)))).alias("court")).distinct()
+    return each.withColumn("known", F.array_contains(known, F.col("court")))
+
+
+def courts(codes: DataFrame, code: str, groups: dict[str, list[str]] = GROUPS, normal: Callable[[Column], Column] = court_code) -> DataFrame:
+    """The courts asked for, all of them if no code is given; an unknown code ends the query, since it would find nothing."""
+    found = expanded(codes, code, groups, normal)
+    checked = F.when(F.col("known"), F.col("court")).otherwise(F.raise_error(F.concat(F.lit("unknown court: "), F.col("court"))))
+    every = codes.sparkSession.createDataFrame([(x,) for x in dict.fromkeys(x for v in groups.values() for x in v)], "court string")
+    none = codes.agg((F.count(filled(F.col(code))) == 0).alias("none"))
+    return found.select(checked.alias("court")).unionAll(every.join(F.broadcast(none)).where("none").select("court"))
 
 
 def last_of(c: Column, n: int) -> Column:
@@ -98,9 +117,10 @@ def rejoined(lines: Column) -> Column:
 
 
 def ranked(kind: Column, table: str = "first") -> Column:
-    """A precedent's rank, the strongest first; unknown kinds come last."""
-    at = F.array_position(F.array(*map(F.lit, HIERARCHY[table])), F.upper(kind))
-    return F.when(at > 0, at).otherwise(len(HIERARCHY[table]) + 1)
+    """A precedent's rank, the strongest first, equal ones alike; unknown kinds come last."""
+    ranks = HIERARCHY[table]
+    known = F.create_map(*[x for k, v in ranks.items() for x in (F.lit(k), F.lit(v))])
+    return F.coalesce(F.element_at(known, F.upper(F.trim(kind))), F.lit(max(ranks.values()) + 1))
 
 
 def first_hit(*sources: DataFrame, key: list[str]) -> DataFrame:
@@ -113,4 +133,22 @@ def first_hit(*sources: DataFrame, key: list[str]) -> DataFrame:
 
 def newest_of_alike(rulings: DataFrame, rapporteur: str, klass: str, summary: str, day: str, tie: str) -> DataFrame:
     """Of rulings with the same rapporteur, class and summary in normal form, the newest."""
-    return rulings.groupBy(rapporteur, klass, norm(F.col(summary)).alias("_summary")).agg(F.max_by(F.struct(*rulings.columns), F.struct(day, tie)).alias("_row"), F.count("*").alias("n_alike")).select("_row.*", "n_alike")
+    return rulings.groupBy(rapporteur, klass, F.md5(norm(F.col(summary))).alias("_summary")).agg(F.max_by(F.struct(*rulings.columns), F.struct(day, tie)).alias("_row"), F.count("*").alias("n_alike")).select("_row.*", "n_alike")
+
+
+def in_field(field: Column, condition: Callable[[Column], Column]) -> Column:
+    """A search condition on the words of one field alone; a null field meets none."""
+    from acervo.operators.search import tokens
+
+    return F.coalesce(condition(tokens(field)), F.lit(False))
+
+
+def located(rows: DataFrame, key: str, value: object, first: int | None = None, order: list[str] = []) -> DataFrame:
+    """The record of an identifier; first: sought among so many rows only, in the given order."""
+    return (rows if first is None else rows.orderBy(*order).limit(first)).where(F.col(key) == value)
+
+
+def exact_number(rows: DataFrame, number: str, kind: str, wanted: str, kinds: list[str], cancelled: str | None = None) -> DataFrame:
+    """Records of a number and one of some kinds; cancelled: a flag of those to leave out."""
+    found = rows.where((F.col(number) == wanted) & F.col(kind).isin(kinds))
+    return found if cancelled is None else found.where(~F.coalesce(F.col(cancelled), F.lit(False)))

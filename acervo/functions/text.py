@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -76,12 +77,38 @@ def html_words(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))
 
 
-#: Entities, the ampersand last so that nothing is unescaped twice.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+#: Entities by name, as HTML 4 and XML define them.
+NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+#: No character: zero, surrogates, and what is beyond the last plane.
+LAST_CODE, SURROGATES = 0x10FFFF, (0xD800, 0xDFFF)
 
 
 def unescaped(c: Column) -> Column:
-    return reduce(lambda out, e: F.replace(out, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), c)
+    """Entities by name or number (decimal, hexadecimal) become characters, each once: "&amp;lt;" becomes "&lt;".  Unknown ones stay."""
+    names = F.create_map(*[x for k, v in NAMED.items() for x in (F.lit(k), F.lit(v))])
+
+    def one(x: Column) -> Column:
+        body = F.substring(x, 2, F.length(x) - 2)
+        hexed = F.conv(F.regexp_extract(body, "^#[xX](.*)$", 1), 16, 10).try_cast("long")
+        code = F.coalesce(hexed, F.regexp_extract(body, "^#([0-9]+)$", 1).try_cast("long"))
+        good = code.between(1, LAST_CODE) & ~code.between(*SURROGATES)
+        return F.coalesce(F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")), F.element_at(names, body), x)
+
+    parts = F.regexp_extract_all(c, F.lit(f"(?s){ENTITY}|&|[^&]+"), F.lit(0))
+    return F.when(~F.contains(c, F.lit("&")), c).otherwise(F.array_join(F.transform(parts, lambda x: F.when(F.startswith(x, F.lit("&")) & (F.length(x) > 3), one(x)).otherwise(x)), ""))
+
+
+#: What the electoral portal's texts have unescaped, in this order; the ampersand comes last.
+PORTAL = {"&nbsp;": " ", "&ndash;": "–", "&mdash;": "—", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": "'", "&#39;": "'"}
+
+
+def html_portal(c: Column) -> Column:
+    """Without tags; the portal's few entities and decimal numbers unescaped, then the ampersand, so that "&amp;#65;" becomes "&#65;"; runs of white space collapse."""
+    out = reduce(lambda x, e: F.replace(x, F.lit(e[0]), F.lit(e[1])), PORTAL.items(), F.regexp_replace(c, "<[^>]+>", ""))
+    parts = F.regexp_extract_all(out, F.lit("(?s)&#[0-9]{1,7};|&|[^&]+"), F.lit(0))
+    decimal = F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^&#[0-9]"), unescaped(x)).otherwise(x)), "")
+    return F.trim(F.regexp_replace(F.replace(decimal, F.lit("&amp;"), F.lit("&")), r"\s{2,}", " "))
 
 
 def html_text(c: Column) -> Column:
@@ -143,3 +170,31 @@ def text_window(c: Column, begin: int, size: int) -> Column:
     size = max(1000, min(size, 100_000))
     more = F.when(F.length(c) > begin + size, F.lit(begin + size))
     return F.struct(F.substring(c, begin + 1, size).alias("text"), more.alias("next"))
+
+
+def digits(c: Column, width: int | None = None) -> Column:
+    """The digits alone, as of a taxpayer's number; null if there are none, or not `width` of them."""
+    found = F.nullif(F.regexp_replace(c, "[^0-9]", ""), F.lit(""))
+    return found if width is None else F.when(F.length(found) == width, found)
+
+
+def id_and_type(c: Column) -> Column:
+    """struct(id, type) of "<digits> - <type> (note)": the last parenthesis is dropped."""
+    return F.struct(F.nullif(F.regexp_extract(c, r"^\s*(\d+)\s*-", 1), F.lit("")).alias("id"), stripped(F.regexp_replace(F.regexp_replace(c, r"^\s*\d+\s*-\s*", ""), r"\s*\([^()]*\)\s*$", "")).alias("type"))
+
+
+def month_label(day: Column) -> Column:
+    return F.date_format(day, "MM/yyyy")
+
+
+def pages_for(n: Column, size: int) -> Column:
+    """How many pages of a size hold n rows."""
+    return F.ceil(n / size).cast("long")
+
+
+def page_bucket(n: Column, sizes: tuple[int, ...] = (25, 50, 100)) -> Column:
+    """The smallest page size that holds n rows, or the largest there is."""
+    out = F.lit(sizes[-1])
+    for size in sizes[-2::-1]:
+        out = F.when(n <= size, size).otherwise(out)
+    return out

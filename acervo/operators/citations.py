@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acervo.functions.text import norm_ws
+from acervo.functions.text import blank, norm_ws
 
 #: Pairs of quotes, the marks of an omission, and the least length of a fragment that counts.
 QUOTES = r'(?s)"[^"]+"|“[^”]+”'
@@ -14,7 +14,9 @@ LEAST = 60
 
 
 def before_heading(text: Column, marker: str) -> Column:
-    """The text up to the first heading line that contains the marker; a mention elsewhere doesn't cut."""
+    """The text up to the first heading line that contains the marker; a mention elsewhere, or a blank marker, doesn't cut."""
+    if not marker.strip():
+        return text
     lines = F.split(text, "\n", -1)
     hit = F.array_position(F.transform(lines, lambda x: F.startswith(F.ltrim(x), F.lit("#")) & F.contains(norm_ws(x), norm_ws(F.lit(marker)))), True)
     return F.when(hit > 0, F.array_join(F.slice(lines, F.lit(1), (hit - 1).cast("int")), "\n")).otherwise(text)
@@ -35,17 +37,51 @@ def odd_quotes(text: Column) -> Column:
     return F.regexp_count(text, F.lit('"')) % 2 == 1
 
 
-def checked(documents: DataFrame, corpus: DataFrame, least: int = LEAST) -> DataFrame:
-    """For each document: quotes checked, failed, and the first failed one.
+#: A fragment of fewer words has no three that surely stand whole in it.
+LEAST_WORDS = 5
+
+
+def grams(words: Column) -> Column:
+    """Hashes of all runs of three words, each once."""
+    runs = F.arrays_zip(words.alias("a"), F.slice(words, 2, 1 << 30).alias("b"), F.slice(words, 3, 1 << 30).alias("c"))
+    return F.array_distinct(F.array_compact(F.transform(runs, lambda x: F.when(x["c"].isNotNull(), F.xxhash64(x["a"], x["b"], x["c"])))))
+
+
+def corpus(sources: DataFrame, files: DataFrame) -> DataFrame:
+    """(workspace_id, part) of what quotes are checked against: excerpts of sources, and the texts of the case, one row each; blank ones are left out."""
+    parts = sources.select("workspace_id", F.col("trecho_verbatim").alias("part")).unionByName(files.select("workspace_id", F.col("text").alias("part")))
+    return parts.where(~blank(F.col("part")))
+
+
+def held_in(wanted: DataFrame, corpus: DataFrame) -> DataFrame:
+    """The (workspace_id, fragment) that stand in a part of their workspace.
+
+    A fragment may begin and end within a word, so its inner words are whole
+    ones of the part: the first run of three of them is looked up among the
+    runs of the parts, and hits are compared.  The few fragments of fewer words
+    are compared with all parts of their workspace.
+    """
+    parts = corpus.select("workspace_id", norm_ws(F.col("part")).alias("part")).distinct().withColumn("digest", F.xxhash64("part"))
+    each = wanted.select("workspace_id", "fragment").distinct().withColumn("inner", F.split("fragment", " "))
+    each = each.withColumn("gram", F.when(F.size("inner") >= LEAST_WORDS, F.xxhash64(*[F.get("inner", F.lit(i)) for i in (1, 2, 3)])))
+    keys = parts.select("workspace_id", "digest", F.explode(grams(F.split("part", " "))).alias("gram"))
+    hits = each.where("gram is not null").join(keys, ["workspace_id", "gram"]).select("workspace_id", "fragment", "digest")
+    met = hits.join(parts, ["workspace_id", "digest"]).select("workspace_id", "fragment", "part")
+    short = each.where("gram is null").join(parts, "workspace_id").select("workspace_id", "fragment", "part")
+    return met.unionAll(short).where(F.contains("part", F.col("fragment"))).select("workspace_id", "fragment").distinct()
+
+
+def checked(documents: DataFrame, corpus: DataFrame, least: int = LEAST, marker: str = "") -> DataFrame:
+    """For each document: quotes checked, failed, the first failed one, and whether its straight quotes don't pair up.
 
     documents: workspace_id, doc_id, text.  corpus: workspace_id, part (text).
-    A fragment is compared with the parts of its own workspace alone; those
-    are found by an equi-join, never by a nested loop over all.
+    marker: a heading that ends what is checked.
     """
-    each = documents.select("workspace_id", "doc_id", F.posexplode_outer(quotes(F.col("text"))).alias("place", "quote"))
+    cut = documents.select("workspace_id", "doc_id", before_heading(F.col("text"), marker).alias("text"))
+    each = cut.select("workspace_id", "doc_id", F.posexplode(quotes(F.col("text"))).alias("place", "quote"))
     wanted = each.select("workspace_id", "doc_id", "place", "quote", F.explode(fragments(F.col("quote"), least)).alias("fragment"))
-    parts = corpus.select("workspace_id", norm_ws(F.col("part")).alias("part"))
-    held = wanted.join(parts, "workspace_id").where(F.contains("part", F.col("fragment"))).select("workspace_id", "doc_id", "place", "fragment").distinct()
-    by_quote = wanted.join(held.withColumn("held", F.lit(True)), ["workspace_id", "doc_id", "place", "fragment"], "left").groupBy("workspace_id", "doc_id", "place").agg(F.bool_and(F.coalesce("held", F.lit(False))).alias("ok"), F.first("quote").alias("quote"))
+    held = held_in(wanted, corpus).withColumn("held", F.lit(True))
+    by_quote = wanted.join(held, ["workspace_id", "fragment"], "left").groupBy("workspace_id", "doc_id", "place").agg(F.bool_and(F.coalesce("held", F.lit(False))).alias("ok"), F.first("quote").alias("quote"))
     totals = by_quote.groupBy("workspace_id", "doc_id").agg(F.count("*").alias("n_checked"), F.count_if(~F.col("ok")).alias("n_failed"), F.min_by("quote", F.when(~F.col("ok"), F.col("place"))).alias("first_failed"))
-    return documents.select("workspace_id", "doc_id").join(totals, ["workspace_id", "doc_id"], "left").select("workspace_id", "doc_id", F.coalesce("n_checked", F.lit(0)).alias("n_checked"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"), "first_failed")
+    met = cut.select("workspace_id", "doc_id", odd_quotes(F.col("text")).alias("odd_quotes")).join(totals, ["workspace_id", "doc_id"], "left")
+    return met.select("workspace_id", "doc_id", F.coalesce("n_checked", F.lit(0)).alias("n_checked"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"), "first_failed", "odd_quotes")

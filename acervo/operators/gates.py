@@ -77,6 +77,10 @@ def contract_table(spark: SparkSession, contracts: list[Contract] = CONTRACTS) -
     return rows.withColumns({"start": norm(F.col("start")), "ends": F.transform("ends", norm), "contains": F.transform("contains", norm)})
 
 
+#: What a missing end marker is called.
+NO_END = "end marker missing"
+
+
 def problems(text: Column, n: Column) -> Column:
     """The faults of a text (n: its normal form) under the contract beside it; null text: unreadable."""
     tail = F.when(F.length(n) > EDGE, F.right(n, F.lit(EDGE))).otherwise(n)
@@ -84,21 +88,24 @@ def problems(text: Column, n: Column) -> Column:
     found = [
         F.when(F.length(text) < F.col("min_chars"), F.lit("too short")),
         F.when(~F.contains(F.substring(n, 1, EDGE), F.col("start")), F.lit("start marker missing")),
-        F.when(~F.exists("ends", lambda e: F.contains(tail, e)), F.lit("end marker missing")),
+        F.when(~F.exists("ends", lambda e: F.contains(tail, e)), F.lit(NO_END)),
     ]
     faults = F.concat(F.array(*found), missing, F.array(F.when(~text.rlike(ACCENT), F.lit("no accents"))))
     return F.when(text.isNull(), F.array(F.lit("unreadable"))).otherwise(F.array_compact(faults))
 
 
-def gate(artifacts: DataFrame, contracts: DataFrame, workspaces: DataFrame | None = None) -> DataFrame:
+def gate(artifacts: DataFrame, contracts: DataFrame, workspaces: DataFrame | None = None, stages: list[str] | None = None) -> DataFrame:
     """One row for each workspace and stage: OK, INVALID or ABSENT, with its problems.
 
-    artifacts: workspace_id, suffix, text (null if undecodable).  The contract
-    table, of fixed size, is what gets broadcast.
+    artifacts: workspace_id, suffix, text (null if undecodable).  stages: only
+    these of the contract table, which Spark broadcasts if it is small.
     """
+    if stages is not None:
+        contracts = contracts.where(F.col("stage").isin(stages))
     spaces = (workspaces if workspaces is not None else artifacts).select("workspace_id").distinct()
-    wanted = spaces.join(F.broadcast(contracts.select("ordinal", "stage", "suffix")))
-    judged = artifacts.withColumn("n", norm(F.col("text"))).join(F.broadcast(contracts), "suffix").select("workspace_id", "ordinal", problems(F.col("text"), F.col("n")).alias("problems"), F.lit(True).alias("there"))
+    every = contracts.agg(F.array_sort(F.collect_list(F.struct("ordinal", "stage"))).alias("every"))
+    wanted = spaces.join(every).select("workspace_id", F.explode("every").alias("s")).select("workspace_id", "s.ordinal", "s.stage")
+    judged = artifacts.withColumn("n", norm(F.col("text"))).join(contracts, "suffix").select("workspace_id", "ordinal", problems(F.col("text"), F.col("n")).alias("problems"), F.lit(True).alias("there"))
     met = wanted.join(judged, ["workspace_id", "ordinal"], "left")
     status = F.when(F.col("there").isNull(), "ABSENT").when(F.size("problems") > 0, "INVALID").otherwise("OK")
     return met.select("workspace_id", "ordinal", "stage", status.alias("status"), F.coalesce("problems", F.array().cast("array<string>")).alias("problems"))
@@ -115,47 +122,68 @@ def escalation(text: Column) -> Column:
     """The close of an analysis that asks for other tracks: struct(tracks, reason), or null.
 
     It is the first line that begins with "escalar:" within the last
-    characters; a line that the limit cuts doesn't count.  The reason is the
-    next line that isn't blank, if it begins with "motivo:".
+    characters of the normal form; a line that the limit cuts doesn't count.
+    The reason is the next line that isn't blank, if it begins with "motivo:".
+    Only the end of a text is put into normal form, unless combining marks
+    leave too little of it.
     """
-    n = norm(text)
-    lines = F.split(n, "\n", -1)
-    begins = F.aggregate(lines, F.struct(F.array().cast("array<int>").alias("at"), F.lit(0).alias("next")), lambda s, x: F.struct(F.concat(s["at"], F.array(s["next"])).alias("at"), (s["next"] + F.length(x) + 1).alias("next")))["at"]
-    each = F.transform(F.arrays_zip(lines.alias("line"), begins.alias("at")), lambda x, i: F.struct(x["line"].alias("line"), x["at"].alias("at"), i.alias("i")))
-    first = F.get(F.filter(each, lambda x: F.startswith(x["line"], F.lit("escalar:")) & (x["at"] >= F.length(n) - ESCALATION_EDGE)), F.lit(0))
-    after = F.filter(F.slice(lines, first["i"] + 2, F.greatest(F.lit(1), F.size(lines))), lambda x: stripped(x) != "")
-    reason = F.get(F.transform(after, stripped), F.lit(0))
-    tracks = F.filter(F.split(F.substring(first["line"], 9, 1 << 30), r"\s+"), lambda t: t != "")
-    said = F.when(F.startswith(reason, F.lit("motivo:")), stripped(F.substring(reason, 8, 1 << 30))).otherwise("")
-    return F.when(first.isNotNull(), F.struct(tracks.alias("tracks"), F.coalesce(said, F.lit("")).alias("reason")))
+    near = norm(F.right(text, F.lit(4 * ESCALATION_EDGE)))
+    n = F.when((F.length(text) <= 4 * ESCALATION_EDGE) | (F.length(near) > ESCALATION_EDGE), near).otherwise(norm(text))
+    tail = F.right(F.concat(F.lit("\n"), n), F.lit(ESCALATION_EDGE + 1))  # with the character before, so that a line's start shows
+    first = r"\nescalar:([^\n]*)"
+    rest = F.substring(tail, F.regexp_instr(tail, F.lit(first)), F.lit(ESCALATION_EDGE + 1))
+    tracks = F.filter(F.split(F.regexp_extract(rest, first, 1), r"\s+"), lambda t: t != "")
+    reason = stripped(F.regexp_extract(rest, r"^\nescalar:[^\n]*\n\s*motivo:([^\n]*)", 1))
+    return F.when(tail.rlike(first), F.struct(tracks.alias("tracks"), reason.alias("reason")))
+
 
+def escalation_fault(found: Column) -> Column:
+    """What is wrong with an escalation, or null: an unknown track, or none.  The reason may be blank."""
+    unknown = F.get(F.filter(found["tracks"], lambda t: ~t.isin(TRACKS)), F.lit(0))
+    return F.when(unknown.isNotNull(), F.concat(F.lit("escalation to an unknown track: "), unknown)).when(F.size(found["tracks"]) == 0, "escalation without a track")
 
-def escalation_status(found: Column) -> Column:
-    """NONE, ESCALATE, or INVALID (no track, an unknown one, or no reason)."""
-    bad = (F.size(found["tracks"]) == 0) | F.exists(found["tracks"], lambda t: ~t.isin(TRACKS)) | (found["reason"] == "")
-    return F.when(found.isNull(), "NONE").when(bad, "INVALID").otherwise("ESCALATE")
 
+def analysis(artifacts: DataFrame, contracts: DataFrame, workspaces: DataFrame | None = None, stage: str = "analise") -> DataFrame:
+    """The gate of the analysis stage, one row for each workspace: OK (exit code 0), ABSENT or INVALID (1), or ESCALATE (3), with problems, tracks and reason.
 
-ROUTE = "rota array<string>, temas_pesquisa array<string>, fatos_probatorios array<string>, justificativa_rotina string"
+    An escalation stands in for the end marker; all other checks hold for it
+    too and come first.
+    """
+    spaces = (workspaces if workspaces is not None else artifacts).select("workspace_id").distinct()
+    judged = artifacts.withColumn("n", norm(F.col("text"))).join(contracts.where(F.col("stage") == stage), "suffix").select("workspace_id", problems(F.col("text"), F.col("n")).alias("p"), escalation(F.col("text")).alias("e"), F.lit(True).alias("there"))
+    fault = F.array_compact(F.array(escalation_fault(F.col("e"))))
+    faults = F.when(F.col("e").isNull(), F.col("p")).otherwise(F.concat(F.array_remove("p", NO_END), fault))
+    met = spaces.join(judged, "workspace_id", "left").withColumn("problems", F.coalesce(faults, F.array().cast("array<string>")))
+    status = F.when(F.col("there").isNull(), "ABSENT").when(F.size("problems") > 0, "INVALID").when(F.col("e").isNotNull(), "ESCALATE").otherwise("OK")
+    code = F.when(F.col("status") == "OK", 0).when(F.col("status") == "ESCALATE", 3).otherwise(1)
+    escalated = lambda c: F.when(F.col("status") == "ESCALATE", F.col(c))
+    return met.withColumn("status", status).select("workspace_id", "status", "problems", escalated("e.tracks").alias("tracks"), escalated("e.reason").alias("reason"), code.alias("exit_code"))
 
 
 def route(text: Column) -> Column:
-    """The first fenced JSON block as a struct; null if there is none or it is malformed."""
-    block = F.regexp_extract(text, r"(?s)```json\s*(.*?)```", 1)
-    return F.when(F.try_parse_json(block).isNotNull(), F.from_json(block, ROUTE))
+    """The first fenced JSON block, parsed; null if there is none or it is malformed."""
+    return F.try_parse_json(F.nullif(F.regexp_extract(text, r"(?s)```json\s*(.*?)```", 1), F.lit("")))
 
 
 def route_problem(r: Column) -> Column:
-    """The first rule that a route breaks, or null."""
-    full = lambda c: F.exists(F.coalesce(r[c], F.array().cast("array<string>")), lambda x: stripped(x) != "")
+    """The first rule that a route (of route()) breaks, or null."""
+    kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(r, path, "variant")), F.lit("VOID"))
+    list_of = lambda c: F.try_variant_get(r, f"$.{c}", "array<string>")
+    wrong = lambda c: ~F.startswith(kind(f"$.{c}"), F.lit("ARRAY")) & (kind(f"$.{c}") != "VOID")
+    full = lambda c: F.exists(F.coalesce(list_of(c), F.array().cast("array<string>")), lambda x: F.coalesce(stripped(x), F.lit("null")) != "")
+    tracks = list_of("rota")
     return (
-        F.when(r.isNull(), "no valid JSON block").when(r["rota"].isNull(), "route missing").when(F.exists(r["rota"], lambda t: ~t.isin(TRACKS)), "unknown track")
-        .when(F.array_contains(r["rota"], "pesquisa") & ~full("temas_pesquisa"), "research without topics")
-        .when(F.array_contains(r["rota"], "probatica") & ~full("fatos_probatorios"), "evidence without facts")
-        .when((F.size(r["rota"]) == 0) & (F.coalesce(stripped(r["justificativa_rotina"]), F.lit("")) == ""), "direct route without reason")
+        F.when(r.isNull(), "no valid JSON block").when(~F.startswith(F.schema_of_variant(r), F.lit("OBJECT")), "JSON block is no object")
+        .when(~F.startswith(kind("$.rota"), F.lit("ARRAY")), "route missing or no list")
+        .when(F.exists(tracks, lambda t: t.isNull() | ~t.isin(TRACKS)), "unknown track")
+        .when(wrong("temas_pesquisa"), "topics are no list").when(wrong("fatos_probatorios"), "facts are no list")
+        .when(F.array_contains(tracks, "pesquisa") & ~full("temas_pesquisa"), "research without topics")
+        .when(F.array_contains(tracks, "probatica") & ~full("fatos_probatorios"), "evidence without facts")
+        .when((F.size(tracks) == 0) & ((kind("$.justificativa_rotina") != "STRING") | (F.coalesce(stripped(F.try_variant_get(r, "$.justificativa_rotina", "string")), F.lit("")) == "")), "direct route without reason")
     )
 
 
 def route_tracks(r: Column) -> Column:
     """Its tracks in order, each once, or "direta"."""
-    return F.when(F.size(r["rota"]) == 0, "direta").otherwise(F.array_join(F.array_distinct(r["rota"]), ","))
+    tracks = F.try_variant_get(r, "$.rota", "array<string>")
+    return F.when(F.size(tracks) == 0, "direta").otherwise(F.array_join(F.array_distinct(tracks), ","))

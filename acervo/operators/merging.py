@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,15 +40,36 @@ def first_of_each(items: DataFrame, key: list[Column], order: list[str]) -> Data
     return keyed.groupBy(*[f"_k{i}" for i in range(len(key))]).agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
 
 
+def numbered(keys: DataFrame, group: str, order: tuple[str, ...]) -> DataFrame:
+    """keys with `number`, their place from 1 within their group.
+
+    The keys are ranged by group and order, numbered within each range, and
+    moved by the counts of the group's ranges before: no task gets a group.
+    """
+    ranged = keys.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id())
+    local = ranged.withColumn("_at", F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order)))
+    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(F.col(group).alias("_group"), F.col("_part").alias("_of"), before.alias("_before"))
+    met = local.join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_of")))
+    return met.withColumn("number", (F.col("_at") + F.col("_before")).cast("long")).drop("_part", "_at", "_group", "_of", "_before")
+
+
 def merged(items: DataFrame, prefixes: dict[str, str] = PREFIXES, fields: list[str] = FIELDS, order: tuple[str, ...] = ("file", "position")) -> DataFrame:
-    """Valid sources, each once by origin, reference and excerpt in normal form, numbered within their origin; blank optional fields are null."""
+    """Valid sources, each once by origin, reference and excerpt in normal form, numbered within their origin; blank optional fields are null.
+
+    The order tells items apart.  Excerpts are compared by 128-bit digests, and
+    only keys are aggregated and numbered; whole items meet their numbers last.
+    """
     valid = validated(items, list(prefixes), fields).where("reason is null").drop("reason")
-    once = first_of_each(valid, [F.col("origem_mcp"), F.col("referencia"), norm_ws(F.col("trecho_verbatim"))], list(order))
+    keys = valid.select("origem_mcp", "referencia", F.md5(norm_ws(F.col("trecho_verbatim"))).alias("excerpt"), *order)
+    once = first_of_each(keys, [F.col("origem_mcp"), F.col("referencia"), F.col("excerpt")], list(order))
     prefix = F.col("origem_mcp")
     for k, v in prefixes.items():
         prefix = F.when(F.col("origem_mcp") == k, v).otherwise(prefix)
-    number = F.row_number().over(Window.partitionBy("origem_mcp").orderBy(*order))
-    out = once.withColumn("id", F.concat_ws("-", prefix, padded(number, 3)))
+    named = numbered(once, "origem_mcp", order).select(*[F.col(c).alias(f"_{c}") for c in ("origem_mcp", *order)], F.concat_ws("-", prefix, padded(F.col("number"), 3)).alias("_id"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("origem_mcp", *order)])
+    out = valid.join(named, same).withColumn("id", F.col("_id")).drop("_id", *[f"_{c}" for c in ("origem_mcp", *order)])
     return out.withColumns({c: F.nullif(c, F.lit("")) for c in OPTIONAL if c in out.columns})
 
 
@@ -54,7 +77,7 @@ def counters(items: DataFrame, prefixes: dict[str, str] = PREFIXES, fields: list
     """Valid, rejected and duplicate items of each origin."""
     checked = validated(items, list(prefixes), fields)
     valid = F.col("reason").isNull()
-    keys = checked.groupBy("origem_mcp", F.when(valid, F.struct("referencia", norm_ws(F.col("trecho_verbatim")).alias("t"))).alias("key")).agg(F.count("*").alias("n"))
+    keys = checked.groupBy("origem_mcp", F.when(valid, F.struct("referencia", F.md5(norm_ws(F.col("trecho_verbatim"))).alias("t"))).alias("key")).agg(F.count("*").alias("n"))
     good = F.col("key").isNotNull()
     return keys.groupBy("origem_mcp").agg(
         F.coalesce(F.sum(F.when(good, F.col("n"))), F.lit(0)).alias("n_valid"), F.coalesce(F.sum(F.when(~good, F.col("n"))), F.lit(0)).alias("n_rejected"), F.coalesce(F.sum(F.when(good, F.col("n") - 1)), F.lit(0)).alias("n_duplicates")

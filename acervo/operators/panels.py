@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,3 +63,28 @@ def coverage(rows: DataFrame, key: str, day: Column, recent: Column, since: Colu
     """CURRENT with recent rows, else STALE with rows since a day, else FROZEN."""
     out = rows.groupBy(key).agg(F.count_if(day >= recent).alias("n_recent"), F.count_if(day >= since).alias("n_since"))
     return out.withColumn("status", F.when(F.col("n_recent") > 0, "CURRENT").when(F.col("n_since") > 0, "STALE").otherwise("FROZEN"))
+
+
+def totals(tenants: dict[str, DataFrame], name: str) -> DataFrame:
+    """Hits of each tenant, kept apart, and of all together."""
+    each = reduce(DataFrame.unionAll, [df.agg(F.count("*").alias("n")).select(F.lit(k).alias(name), "n") for k, df in tenants.items()])
+    return each.withColumn("total", F.sum("n").over(Window.partitionBy()))
+
+
+def per_court(rows: DataFrame, court: Column) -> DataFrame:
+    """Hits of each court, by its code."""
+    return rows.groupBy(court.alias("court")).agg(F.count("*").alias("n")).orderBy("court")
+
+
+def metrics(rows: DataFrame, **kinds: Column) -> DataFrame:
+    """How many items a list has, of each kind, and the share of the first kind in percent."""
+    first = next(iter(kinds))
+    return rows.agg(F.count("*").alias("n"), *[F.count_if(c).alias(f"n_{k}") for k, c in kinds.items()], F.round(F.count_if(kinds[first]) * 100.0 / F.count("*"), 1).alias(f"share_{first}"))
+
+
+def listed(rows: DataFrame, by: str, order: list[str], most: int = 100) -> DataFrame:
+    """The first rows of a list, each with the size of its kind and of the whole list, which count all rows."""
+    kinds = rows.groupBy(F.col(by).alias("_kind")).agg(F.count("*").alias("n_of_kind"))
+    whole = kinds.withColumn("n_all", F.sum("n_of_kind").over(Window.partitionBy()))
+    first = rows.orderBy(*order).limit(most)
+    return first.join(whole, F.col(by).eqNullSafe(F.col("_kind"))).drop("_kind")

@@ -7,10 +7,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acervo.functions.text import norm_ws
+
 #: Fee bands in minimum wages, with least and greatest per cent.
 BANDS = [(0, 200, 10, 20), (200, 2000, 8, 10), (2000, 20000, 5, 8), (20000, 100000, 3, 5), (100000, None, 1, 3)]
 #: Below so many minimum wages a judgment against the entity needs no review.
-REVIEW = {"UNIAO": 1000, "ESTADO": 500, "MUNICIPIO": 100}
+REVIEW = {"UNIAO": 1000, "ESTADO": 500, "CAPITAL": 500, "MUNICIPIO": 100}
+#: Fees that bands don't govern, and the share of proof that a standard asks for more than.
+FLAT_FEES = {"monitory": 0.05, "execution": 0.1}
+STANDARDS = {"preponderance": 50}
+#: Words of an outcome in normal form; a refusal is looked for first, since some of its words hold those of a grant.
+REFUSED = r"\b(?:desprovid|improvid|improceden|neg(?:a|o|ar|ou|a-se|ado)\s+provimento|deneg)"
+GRANTED = r"\b(?:provid|proceden|d(?:a|ou|ar|a-se|ado)\s+(?:parcial\s+)?provimento|conced|concess)"
+SEVERITIES = ["critical", "high", "medium", "low"]
 #: Weights of the scores.
 DEVIATION, CAUSATION = (30, 25, 20, 15, 10), (25, 25, 20, 15, 15)
 RELIABILITY = ["BAIXA", "MEDIA", "ALTA"]
@@ -77,3 +86,37 @@ def evidence_map(rows: DataFrame, fact: str, favourable: Column) -> DataFrame:
 def routed(confidence: Column) -> Column:
     """The tier of a classification cascade."""
     return F.when(confidence >= 0.8, "accept").when(confidence >= 0.7, "second model").otherwise("human")
+
+
+def outcome(text: Column) -> Column:
+    """refused or granted, by the words of a header or a disposition; null without such words."""
+    n = norm_ws(text)
+    return F.when(n.rlike(REFUSED), "refused").when(n.rlike(GRANTED), "granted")
+
+
+def consistent(header: Column, disposition: Column) -> Column:
+    """Whether a header announces what the disposition decides, by their words alone; unsure if either has none."""
+    a, b = outcome(header), outcome(disposition)
+    return F.when(a.isNull() | b.isNull(), "unsure").when(a == b, "consistent").otherwise("contradiction")
+
+
+def severity_colour(verdict: Column) -> Column:
+    """A contradiction of header and disposition is grave, an ambiguity is not."""
+    return F.when(verdict == "contradiction", "RED").when(verdict == "unsure", "YELLOW").otherwise("GREEN")
+
+
+def kept_corrections(rows: DataFrame, part: list[str], severity: str, conservative: list[str]) -> DataFrame:
+    """The correction of each part that holds: the gravest, and of equally grave ones the most conservative (the least by these columns)."""
+    rank = F.array_position(F.array(*map(F.lit, SEVERITIES)), F.col(severity))
+    picked = rows.groupBy(*part).agg(F.min_by(F.struct(*rows.columns), F.struct(F.when(rank > 0, rank).otherwise(len(SEVERITIES) + 1), *conservative)).alias("_row"))
+    return picked.select("_row.*")
+
+
+def flat_fee(value: Column, variant: Column, other: Column) -> Column:
+    """The fee of a variant with a rate of its own, else at the given rate."""
+    return value * reduce(lambda out, x: F.when(variant == x[0], F.lit(x[1])).otherwise(out), FLAT_FEES.items(), other)
+
+
+def proof_percent(standard: Column) -> Column:
+    """The share in percent that a standard of proof asks for more than; null where none is defined."""
+    return reduce(lambda out, x: F.when(standard == x[0], x[1]).otherwise(out), STANDARDS.items(), F.lit(None).cast("int"))

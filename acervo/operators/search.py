@@ -7,6 +7,7 @@ don't matter; a term with punctuation inside is a phrase.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,9 +35,9 @@ def words(term: str) -> list[str]:
 
 
 def has(tok: Column, term: str) -> Column:
-    """A term, or a phrase if it has several words."""
+    """A term, or a phrase if it has several words; a term without words is in no text."""
     w = words(term)
-    return F.array_contains(tok, w[0]) if len(w) == 1 else phrase(tok, term)
+    return F.lit(False) if not w else F.array_contains(tok, w[0]) if len(w) == 1 else phrase(tok, term)
 
 
 def all_of(tok: Column, *terms: str) -> Column:
@@ -52,30 +53,52 @@ def either(a: Column, b: Column) -> Column:
 
 
 def places(tok: Column, term: str) -> Column:
-    """Where the term stands, from 0."""
-    return F.array_compact(F.transform(tok, lambda x, i: F.when(x == words(term)[0], i)))
+    """Where the term, a word or a phrase, begins, from 0."""
+    w = words(term)
+    if not w:
+        return F.array().cast("array<int>")
+    same = lambda x, i: (x == w[0]) if len(w) == 1 else (x == w[0]) & (F.slice(tok, i + 1, len(w)) == F.array(*map(F.lit, w)))
+    return F.array_compact(F.transform(tok, lambda x, i: F.when(same(x, i), i)))
+
+
+def bound(lists: dict[str, Column], condition: Callable[[Column], Column]) -> Column:
+    """A condition on lists that are each made once, however often it looks at them."""
+    return F.exists(F.array(F.struct(*[c.alias(k) for k, c in lists.items()])), condition)
 
 
 def phrase(tok: Column, text: str, slop: int = 0) -> Column:
-    """The words one after another; slop: at most so many more between the first and the last."""
+    """The words one after another; slop: in this order, with at most so many more between the first and the last."""
     w = words(text)
+    if not w:
+        return F.lit(False)
     if slop == 0:
-        return F.exists(F.transform(tok, lambda x, i: F.when(x == w[0], F.slice(tok, i + 1, len(w)) == F.array(*map(F.lit, w)))), lambda x: F.coalesce(x, F.lit(False)))
-    starts = places(tok, w[0])
-    for k, term in enumerate(w[1:], 1):
-        nexts = places(tok, term)
-        starts = F.filter(starts, lambda i: F.exists(nexts, lambda j: (j > i) & (j - i <= k + slop)))  # noqa: B023
-    return F.size(starts) > 0
+        return F.size(places(tok, text)) > 0
+
+    def fits(s: Column) -> Column:
+        def last(i: Column) -> Column:
+            for k in range(1, len(w)):
+                i = F.array_min(F.filter(s[f"w{k}"], lambda j: j > i))  # noqa: B023
+            return i
+
+        return F.exists(s["w0"], lambda i: F.coalesce(last(i) - i <= len(w) - 1 + slop, F.lit(False)))
+
+    return bound({f"w{k}": places(tok, x) for k, x in enumerate(w)}, fits)
+
+
+def apart(tok: Column, a: str, b: str, fits: Callable[[Column, Column], Column]) -> Column:
+    """fits(places from a's last word to b's first, and from b's last to a's first) for any occurrences of both."""
+    more_a, more_b = len(words(a)) - 1, len(words(b)) - 1
+    return bound({"a": places(tok, a), "b": places(tok, b)}, lambda s: F.exists(s["a"], lambda i: F.exists(s["b"], lambda j: fits(j - i - more_a, i - j - more_b))))
 
 
 def followed(tok: Column, a: str, b: str, n: int = 1) -> Column:
-    """b at most n places after a."""
-    return F.exists(places(tok, a), lambda i: F.exists(places(tok, b), lambda j: (j - i >= 1) & (j - i <= n)))
+    """b, a word or a phrase, at most n places after a."""
+    return apart(tok, a, b, lambda after, before: after.between(1, n))
 
 
 def close(tok: Column, a: str, b: str, n: int = 1) -> Column:
     """a and b at most n places apart, in any order."""
-    return F.exists(places(tok, a), lambda i: F.exists(places(tok, b), lambda j: (F.abs(j - i) >= 1) & (F.abs(j - i) <= n)))
+    return apart(tok, a, b, lambda after, before: after.between(1, n) | before.between(1, n))
 
 
 def together(text: Column, terms: list[str], within: str) -> Column:
@@ -85,10 +108,12 @@ def together(text: Column, terms: list[str], within: str) -> Column:
 
 
 def matching(tok: Column, pattern: str) -> Column:
-    """Wildcards: $ or * for any letters, $3 for at most three, ? for one."""
+    """Wildcards: $ or * for any letters, $3 for at most three, ? for one; accents and case don't matter."""
     import re
+    import unicodedata
 
-    rule = re.sub(r"\\\$(\d+)", r".{0,\1}", re.escape(pattern)).replace(r"\$", ".*").replace(r"\*", ".*").replace(r"\?", ".")
+    bare = "".join(c for c in unicodedata.normalize("NFD", pattern) if unicodedata.category(c) != "Mn").casefold()
+    rule = re.sub(r"\\\$(\d+)", r".{0,\1}", re.escape(bare)).replace(r"\$", ".*").replace(r"\*", ".*").replace(r"\?", ".")
     return F.exists(tok, lambda x: x.rlike(f"^{rule}$"))
 
 
@@ -98,13 +123,14 @@ def fuzzy(tok: Column, term: str, most: int = 2) -> Column:
 
 
 def missing(tok: Column, terms: list[str]) -> Column:
-    """The terms that a text doesn't have."""
-    return F.filter(F.array(*map(F.lit, terms)), lambda t: ~F.array_contains(tok, t))
+    """The terms, as they were given, that a text doesn't have."""
+    return F.array_compact(F.array(*[F.when(~has(tok, t), F.lit(t)) for t in terms]))
 
 
 def score(tok: Column, terms: list[str]) -> Column:
     """This engine's own relevance: how many of the terms a text has."""
-    return F.size(F.array_intersect(F.array_distinct(tok), F.array(*map(F.lit, terms))))
+    distinct = {tuple(words(t)): t for t in terms if words(t)}.values()
+    return reduce(Column.__add__, [has(tok, t).cast("int") for t in distinct], F.lit(0))
 
 
 def with_synonyms(terms: DataFrame, synonyms: DataFrame) -> DataFrame:
@@ -125,6 +151,21 @@ def page(found: DataFrame, number: int, size: int, *order: Column | str, largest
     return found.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+def order_of(which: str, day: str, score: str, key: str, ties: list[Column] = []) -> list[Column]:
+    """The columns that a result list is sorted by: newest, oldest or relevance (with further columns for equal scores); the key makes it total."""
+    return {"newest": [F.desc(day), F.desc(key)], "oldest": [F.asc(day), F.asc(key)], "relevance": [F.desc(score), *ties, F.desc(key)]}[which]
+
+
+def sorted_pages(found: DataFrame, orders: list[str], size: int, day: str, score: str, key: str, ties: list[Column] = []) -> DataFrame:
+    """The first page by each order, with `sorted` and the place."""
+
+    def one(which: str) -> DataFrame:
+        by = order_of(which, day, score, key, ties)
+        return page(found, 1, size, *by).select(F.lit(which).alias("sorted"), F.row_number().over(Window.orderBy(*by)).alias("place"), "*")
+
+    return reduce(DataFrame.unionAll, map(one, orders))
+
+
 def probe(base: int, with_operator: Column) -> Column:
     """What a portal made of an operator, by the number of its hits against that of the terms alone."""
     return F.when(with_operator == 0, "literal").when(with_operator == base, "ignored").when(with_operator < base, "narrows").otherwise("widens")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acervo.functions.text import norm_ws
+
 
 def runs(acts: DataFrame, case: str, kind: str, order: list[str], day: str, routine: list[str], least: int = 3) -> DataFrame:
     """Runs of at least `least` acts of one routine kind with nothing between become one row; other acts stay as they are, with n = 1."""
@@ -37,12 +39,16 @@ def duration(first: Column, last: Column) -> Column:
     return F.struct(F.floor(months / 12).cast("int").alias("years"), (months % 12).alias("months"), F.datediff(last, F.add_months(first, months)).alias("days"))
 
 
-#: Phases by rising precedence: the last whose milestone is there holds.
-PHASES = [("peticao_inicial", "POSTULATORIA"), ("contestacao", "SANEAMENTO"), ("audiencia", "INSTRUTORIA"), ("sentenca", "DECISORIA"), ("apelacao", "RECURSAL"), ("transito", "EXECUTORIA")]
+#: Phases by rising precedence, each with the milestone that begins it: the last whose milestone is there holds.
+PHASES = [
+    ("distribuicao", "Inicial"), ("citacao expedida", "Citação"), ("citacao", "Resposta"), ("contestacao", "Instrução"), ("saneamento", "Saneamento"),
+    ("conclusos para sentenca", "Julgamento"), ("sentenca", "Sentenciado"), ("recurso", "Recursal"), ("transito em julgado", "Trânsito"), ("cumprimento", "Cumprimento"),
+]
 
 
 def phase(acts: DataFrame, case: str, kind: str, phases: list[tuple[str, str]] = PHASES) -> DataFrame:
-    rank = reduce(lambda out, x: F.when(F.col(kind) == x[1][0], x[0]).otherwise(out), enumerate(phases), F.lit(-1))
+    """The phase of each case; kinds of acts are compared in normal form."""
+    rank = reduce(lambda out, x: F.when(norm_ws(F.col(kind)) == x[1][0], x[0]).otherwise(out), enumerate(phases), F.lit(-1))
     best = acts.groupBy(case).agg(F.max(rank).alias("_rank"))
     return best.select(case, F.get(F.array(*[F.lit(p) for _, p in phases]), F.col("_rank")).alias("phase")).select(case, F.coalesce("phase", F.lit("INDEFINIDA")).alias("phase"))
 
@@ -58,3 +64,16 @@ def alerts(cases: DataFrame, as_of: Column, concluded: str, appeal: str, defende
     ))
     worst = F.coalesce(F.array_max(F.transform(found, lambda a: a["level"])), F.lit(1))
     return cases.withColumn("alerts", F.array_join(F.transform(found, lambda a: a["alert"]), "; ")).withColumn("colour", F.get(F.array(F.lit("GREEN"), F.lit("YELLOW"), F.lit("RED")), worst - 1))
+
+
+def drifted(rulings: DataFrame, panel: str, position: str, order: list[str]) -> DataFrame:
+    """Rulings at which a panel left its position: with the one before, by the given order."""
+    along = Window.partitionBy(panel).orderBy(*order)
+    return rulings.withColumn("before", F.lag(position).over(along)).where(F.col("before").isNotNull() & (F.col("before") != F.col(position)))
+
+
+def with_ids(acts: DataFrame, index: DataFrame, day: str, kind: str, body_id: str, index_id: str) -> DataFrame:
+    """Each act's identifier: its own, else that of the index's first entry of the same day and kind, else N/I."""
+    known = index.groupBy(F.col(day).alias("_day"), F.col(kind).alias("_kind")).agg(F.min(index_id).alias("_id"))
+    met = acts.join(known, F.col(day).eqNullSafe(F.col("_day")) & F.col(kind).eqNullSafe(F.col("_kind")), "left")
+    return met.withColumn("id", F.coalesce(F.nullif(F.trim(F.col(body_id)), F.lit("")), "_id", F.lit("N/I"))).drop("_day", "_kind", "_id")

@@ -113,12 +113,34 @@ def case_durations(t, spark):
     return ends.select("o_custkey", timeline.duration(F.col("f"), F.col("l")).alias("d")).select("o_custkey", "d.years", "d.months", "d.days")
 
 
-PHASES = [("signup", "POSTULATORIA"), ("view", "SANEAMENTO"), ("click", "INSTRUTORIA"), ("purchase", "DECISORIA")]
+ACTS = ["Distribuição", "Citação expedida", "CITAÇÃO", "Contestação", "Saneamento", "Conclusos para sentença", "Sentença", "Recurso", "Trânsito em julgado", "Cumprimento", "Juntada"]
 
 
-@query(f"WITH p(kind, phase, k) AS (VALUES {', '.join(f'({a!r}, {b!r}, {i})' for i, (a, b) in enumerate(PHASES))}) SELECT user_id, coalesce(arg_max(phase, k), 'INDEFINIDA') AS phase FROM events LEFT JOIN p ON event_type = kind GROUP BY user_id")
+@query("""
+WITH k AS (SELECT l_orderkey, max((CASE WHEN l_suppkey % 3 = 0 THEN l_partkey % 11 ELSE l_partkey % 3 + CASE WHEN l_quantity < 10 THEN 10 ELSE 0 END END)::INTEGER) FILTER (CASE WHEN l_suppkey % 3 = 0 THEN l_partkey % 11 ELSE l_partkey % 3 + CASE WHEN l_quantity < 10 THEN 10 ELSE 0 END END < 10) AS k FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, CASE k WHEN 0 THEN 'Inicial' WHEN 1 THEN 'Citação' WHEN 2 THEN 'Resposta' WHEN 3 THEN 'Instrução' WHEN 4 THEN 'Saneamento' WHEN 5 THEN 'Julgamento' WHEN 6 THEN 'Sentenciado' WHEN 7 THEN 'Recursal' WHEN 8 THEN 'Trânsito' WHEN 9 THEN 'Cumprimento' ELSE 'INDEFINIDA' END AS phase FROM k""")
 def case_phases(t, spark):
-    return timeline.phase(t("events"), "user_id", "event_type", PHASES)
+    k = F.expr("cast(CASE WHEN l_suppkey % 3 = 0 THEN l_partkey % 11 ELSE l_partkey % 3 + CASE WHEN l_quantity < 10 THEN 10 ELSE 0 END END as int)")
+    acts = t("lineitem").select("l_orderkey", F.coalesce(F.get(F.array(*map(F.lit, ACTS)), k), F.lit("outro")).alias("act"))
+    return timeline.phase(acts, "l_orderkey", "act")
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderstatus, before FROM (SELECT *, lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS before FROM orders) WHERE before <> o_orderstatus")
+def panel_drift(t, spark):
+    return timeline.drifted(t("orders"), "o_custkey", "o_orderstatus", ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_orderstatus", "before")
+
+
+@query("""
+WITH i AS (SELECT l_shipdate::DATE AS day, l_returnflag AS kind, min('i' || l_orderkey) AS id FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 4 = 0 THEN 'b' || l_partkey ELSE coalesce(i.id, 'N/I') END AS id FROM lineitem LEFT JOIN i ON i.day = l_shipdate::DATE AND i.kind = l_returnflag WHERE l_linenumber > 1""")
+def act_ids(t, spark):
+    rows = t("lineitem").withColumns({"day": F.col("l_shipdate").cast("date"), "own": F.when(F.col("l_partkey") % 4 == 0, F.concat(F.lit("b"), "l_partkey")).when(F.col("l_partkey") % 4 == 1, " "), "entry": F.concat(F.lit("i"), "l_orderkey")})
+    return timeline.with_ids(rows.where("l_linenumber > 1"), rows.where("l_linenumber = 1"), "day", "l_returnflag", "own", "entry").select("l_orderkey", "l_linenumber", "id")
+
+
+@query(RUNS_SQL.replace("size < 2", "size < 3"))
+def routine_runs(t, spark):
+    return timeline.runs(t("events"), "user_id", "event_type", ["ts", "event_id"], "ts", KINDS)
 
 
 @query(f"""

@@ -182,3 +182,61 @@ def prefixed_numbers(t, spark):
 def json_counters(t, spark):
     k = F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint")
     return t("events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("total"), F.count_if(F.col("value").isNull()).alias("failed"))
+
+
+@query("SELECT 'de' AS tenant, count(*)::BIGINT AS n, (SELECT count(*) FROM documents WHERE lang IN ('de', 'fr'))::BIGINT AS total FROM documents WHERE lang = 'de' UNION ALL SELECT 'fr', count(*), (SELECT count(*) FROM documents WHERE lang IN ('de', 'fr')) FROM documents WHERE lang = 'fr'")
+def tenant_totals(t, spark):
+    return panels.totals({x: t("documents").where(F.col("lang") == x) for x in ("de", "fr")}, "tenant")
+
+
+@query("SELECT coalesce(n_name, 'none') AS court, count(*)::BIGINT AS n FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL")
+def court_totals(t, spark):
+    rows = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    return panels.per_court(rows, F.coalesce("n_name", F.lit("none")))
+
+
+@query("""
+SELECT count(*)::BIGINT AS n, count(*) FILTER (o_orderstatus = 'F')::BIGINT AS n_ok, count(*) FILTER (o_orderstatus = 'P')::BIGINT AS n_red, count(*) FILTER (o_totalprice > 300000)::BIGINT AS n_pending,
+  round(count(*) FILTER (o_orderstatus = 'F') * 100.0::DOUBLE / count(*), 1) AS share_ok FROM orders""")
+def list_metrics(t, spark):
+    ok = F.col("o_orderstatus") == "F"
+    return panels.metrics(t("orders"), ok=ok, red=F.col("o_orderstatus") == "P", pending=F.col("o_totalprice") > 300000)
+
+
+@query("""
+WITH c AS (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL), r AS (SELECT *, sum(n) OVER (PARTITION BY l_suppkey) AS total, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_returnflag) AS k FROM c)
+SELECT l_suppkey, total::BIGINT AS n, l_returnflag AS tendency, round(n * 100.0::DOUBLE / total, 2) AS share FROM r WHERE k = 1""")
+def panel_tendencies(t, spark):
+    return panels.concentration(t("lineitem"), "l_returnflag", "l_suppkey").withColumnRenamed("l_returnflag", "tendency")
+
+
+@query("""
+WITH c AS (SELECT l_orderkey, CASE l_linestatus WHEN 'O' THEN 'PROVIDO' ELSE 'NEGA PROVIMENTO' END AS h, CASE WHEN l_quantity < 10 THEN 'Dá provimento ao recurso' WHEN l_quantity < 30 THEN 'NEGO PROVIMENTO' ELSE 'sem menção' END AS d, l_linenumber FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN d = 'sem menção' THEN 'unsure' WHEN (h = 'PROVIDO') = (d = 'Dá provimento ao recurso') THEN 'consistent' ELSE 'contradiction' END AS verdict,
+  CASE WHEN d = 'sem menção' THEN 'YELLOW' WHEN (h = 'PROVIDO') = (d = 'Dá provimento ao recurso') THEN 'GREEN' ELSE 'RED' END AS colour FROM c""")
+def header_consistency(t, spark):
+    header = F.when(F.col("l_linestatus") == "O", "Recurso PROVIDO").otherwise("RECURSO DESPROVIDO: nega provimento")
+    close = F.when(F.col("l_quantity") < 10, "Dá provimento ao recurso").when(F.col("l_quantity") < 30, "NEGO PROVIMENTO").otherwise("sem menção")
+    verdict = rules.consistent(header, close)
+    return t("lineitem").select("l_orderkey", "l_linenumber", verdict.alias("verdict"), rules.severity_colour(verdict).alias("colour"))
+
+
+@query("""
+WITH c AS (SELECT o_custkey, o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'critical' WHEN '2-HIGH' THEN 'high' WHEN '3-MEDIUM' THEN 'medium' ELSE 'low' END AS severity, o_orderkey % 7 AS part, o_totalprice AS size FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, part ORDER BY list_position(['critical', 'high', 'medium', 'low'], severity), size, o_orderkey) AS k FROM c)
+SELECT o_custkey, part, o_orderkey, severity FROM r WHERE k = 1""")
+def corrections(t, spark):
+    kind = F.col("o_orderpriority")
+    rows = t("orders").select("o_custkey", "o_orderkey", F.when(kind == "1-URGENT", "critical").when(kind == "2-HIGH", "high").when(kind == "3-MEDIUM", "medium").otherwise("low").alias("severity"), (F.col("o_orderkey") % 7).alias("part"), "o_totalprice")
+    return rules.kept_corrections(rows, ["o_custkey", "part"], "severity", ["o_totalprice", "o_orderkey"]).select("o_custkey", "part", "o_orderkey", "severity")
+
+
+@query("""
+SELECT o_orderkey, floor(o_totalprice * CASE WHEN o_orderkey % 3 = 0 THEN 0.05::DOUBLE WHEN o_orderkey % 3 = 1 THEN 0.1::DOUBLE ELSE 0.2::DOUBLE END)::BIGINT AS fee, floor(o_totalprice * (1 + 0.01::DOUBLE * (o_orderkey % 12)) + 0.001)::BIGINT AS due, CASE WHEN o_orderkey % 2 = 0 THEN 50 END AS percent,
+  CASE WHEN o_orderkey % 10 >= 8 THEN 'accept' WHEN o_orderkey % 10 = 7 THEN 'second model' ELSE 'human' END AS tier FROM orders""")
+def fee_variants(t, spark):
+    k = F.col("o_orderkey")
+    variant = F.when(k % 3 == 0, "monitory").when(k % 3 == 1, "execution").otherwise("other")
+    standard = F.when(k % 2 == 0, "preponderance").otherwise("beyond reasonable doubt")
+    monthly = F.array_repeat(F.lit(0.01).cast("decimal(18,6)"), (k % 12).cast("int"))
+    return t("orders").select("o_orderkey", F.floor(rules.flat_fee(F.col("o_totalprice"), variant, F.lit(0.2))).alias("fee"), F.floor(rules.simple_interest(F.col("o_totalprice"), monthly) + 0.001).alias("due"), rules.proof_percent(standard).alias("percent"), rules.routed((k % 10) / 10).alias("tier"))

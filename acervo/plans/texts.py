@@ -43,11 +43,19 @@ def html_forms(t, spark):
 
 
 def sql_unescaped(c: str) -> str:
-    for k, v in tx.ENTITIES.items():
-        c = f"replace({c}, '{k}', '{v.replace(chr(39), chr(39) * 2)}')"
+    """The entities of the driver's pages, the ampersand last."""
+    for k, v in {"&nbsp;": "chr(160)", "&lt;": "'<'", "&gt;": "'>'", "&quot;": "chr(34)", "&#39;": "chr(39)", "&middot;": "'·'", "&copy;": "'©'", "&amp;": "'&'"}.items():
+        c = f"replace({c}, '{k}', {v})"
     return c
 
 
+@query("SELECT page_id, 'ação É € &lt; © &none; & ' || page_id || ' A &#0; 😀 ½' AS text, 'a – b ''A'' &#66; &copy; <' || page_id || '> é' AS portal FROM pages")
+def entities(t, spark):
+    portal = F.concat(F.lit(" <b>a</b>&nbsp;&ndash; b &#34;&#65;&#39; &amp;#66; &copy;  &lt;"), "page_id", F.lit("&gt;\n &#233;"))
+    raw = F.concat(F.lit("a&#231;&atilde;o &Eacute; &#x20AC; &amp;lt; &copy; &none; & "), "page_id", F.lit(" &#65; &#0; &#128512; &frac12;"))
+    return t("pages").select("page_id", tx.unescaped(raw).alias("text"), tx.html_portal(portal).alias("portal"))
+
+
 @query(rf"""
 WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', '', 'g'), '(?is)<style\b.*?</style>', '', 'g') AS x FROM pages),
 b AS (SELECT page_id, regexp_replace(regexp_replace(x, '(?i)<br\s*/?>', chr(10), 'g'), '(?i)</(?:p|div|tr|li|h[1-6])>', chr(10), 'g') AS x FROM a),
@@ -152,14 +160,55 @@ def gate_summary(t, spark):
     return gates.summary(report(t, spark)).withColumn("pending", F.array_join("pending", ","))
 
 
-@query(f"""
-WITH a AS (SELECT doc_id, {sql_norm('text')} || chr(10) || CASE doc_id % 4 WHEN 0 THEN 'fim' WHEN 1 THEN 'escalar: pesquisa' || chr(10) || 'motivo: x ' || doc_id WHEN 2 THEN 'escalar: outra' || chr(10) || 'motivo: y' ELSE 'escalar: probatica' || chr(10) || 'sem' END AS n FROM documents)
-SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'NONE' WHEN 1 THEN 'ESCALATE' ELSE 'INVALID' END AS status, CASE doc_id % 4 WHEN 1 THEN 'pesquisa' WHEN 2 THEN 'outra' WHEN 3 THEN 'probatica' END AS tracks, CASE doc_id % 4 WHEN 1 THEN 'x ' || doc_id WHEN 2 THEN 'y' WHEN 3 THEN '' END AS reason FROM a""")
+ANALYSIS = [Contract("demo", "analise", "-a.md", "The", ["ing"], ["and"], 400)]
+#: Closes put under the driver's documents; the fourth is beyond the last 600 characters, the fifth only mentions it.
+CLOSES = ["\nfim", "\nESCALAR: pesquisa\n\nMotivo: x", "\nEscalar: outra\nmotivo: y", "\nEscalar: pesquisa\nmotivo: z\n" + "w" * 600, "\nvai escalar: pesquisa", "\nescalar: probática pesquisa\nsem"]
+ANALYSIS_SQL = f"""
+WITH c(k, close, tracks, reason, fault) AS (VALUES (0, chr(10) || 'fim', NULL, NULL, NULL), (1, chr(10) || 'ESCALAR: pesquisa' || chr(10) || chr(10) || 'Motivo: x', 'pesquisa', 'x', NULL), (2, chr(10) || 'Escalar: outra' || chr(10) || 'motivo: y', 'outra', 'y', 'escalation to an unknown track: outra'),
+  (3, chr(10) || 'Escalar: pesquisa' || chr(10) || 'motivo: z' || chr(10) || repeat('w', 600), NULL, NULL, NULL), (4, chr(10) || 'vai escalar: pesquisa', NULL, NULL, NULL), (5, chr(10) || 'escalar: probática pesquisa' || chr(10) || 'sem', 'probatica,pesquisa', '', NULL)),
+a AS (SELECT doc_id, text || close AS text, {sql_norm('text || close')} AS n, tracks, reason, fault FROM documents JOIN c ON k = doc_id % 6),
+"""
+
+
+def analysed(t):
+    return t("documents").select("doc_id", F.concat("text", F.get(F.array(*map(F.lit, CLOSES)), F.expr("cast(doc_id % 6 as int)"))).alias("text"))
+
+
+@query(ANALYSIS_SQL.rstrip().rstrip(",") + " SELECT doc_id, tracks, reason, fault FROM a")
 def escalations(t, spark):
-    kind = F.col("doc_id") % 4
-    close = F.when(kind == 0, "fim").when(kind == 1, F.concat(F.lit("ESCALAR: pesquisa\n\nMotivo: x "), "doc_id")).when(kind == 2, "Escalar: outra\nmotivo: y").otherwise("Escalar: probática\nsem")
-    found = t("documents").select("doc_id", gates.escalation(F.concat("text", F.lit("\n"), close)).alias("e"))
-    return found.select("doc_id", gates.escalation_status(F.col("e")).alias("status"), F.array_join("e.tracks", ",").alias("tracks"), F.col("e.reason").alias("reason"))
+    found = analysed(t).select("doc_id", gates.escalation(F.col("text")).alias("e"))
+    return found.select("doc_id", F.array_join("e.tracks", ",").alias("tracks"), F.col("e.reason").alias("reason"), gates.escalation_fault(F.col("e")).alias("fault"))
+
+
+@query(ANALYSIS_SQL + """
+p AS (SELECT doc_id, tracks, reason, list_filter([CASE WHEN length(text) < 400 THEN 'too short' END, CASE WHEN NOT contains(n[1:400], 'the') THEN 'start marker missing' END, CASE WHEN tracks IS NULL AND NOT contains(right(n, 400), 'ing') THEN 'end marker missing' END,
+  CASE WHEN NOT contains(n, 'and') THEN 'section missing: and' END, CASE WHEN NOT regexp_matches(text, '[áéíóúâêôãõàçÁÉÍÓÚÂÊÔÃÕÀÇ]') THEN 'no accents' END, fault], lambda x: x IS NOT NULL) AS problems FROM a WHERE doc_id % 7 <> 0),
+w AS (SELECT doc_id AS workspace_id, tracks, reason, problems, CASE WHEN problems IS NULL THEN 'ABSENT' WHEN len(problems) > 0 THEN 'INVALID' WHEN tracks IS NOT NULL THEN 'ESCALATE' ELSE 'OK' END AS status FROM documents LEFT JOIN p USING (doc_id))
+SELECT workspace_id, status, coalesce(array_to_string(problems, '; '), '') AS problems, CASE WHEN status = 'ESCALATE' THEN tracks END AS tracks, CASE WHEN status = 'ESCALATE' THEN reason END AS reason, CASE status WHEN 'OK' THEN 0 WHEN 'ESCALATE' THEN 3 ELSE 1 END AS exit_code FROM w""")
+def analysis_gate(t, spark):
+    rows = analysed(t).where("doc_id % 7 <> 0").select(F.col("doc_id").alias("workspace_id"), F.lit("-a.md").alias("suffix"), "text")
+    spaces = t("documents").select(F.col("doc_id").alias("workspace_id"))
+    return gates.analysis(rows, gates.contract_table(spark, ANALYSIS), spaces).withColumns({"problems": F.array_join("problems", "; "), "tracks": F.array_join("tracks", ",")})
+
+
+@query(GATE_SQL + "SELECT workspace_id, stage, status FROM report WHERE stage IN ('middle', 'annex')")
+def gate_subset(t, spark):
+    artifacts = t("documents").select(F.concat("source", F.lit("/"), F.expr("doc_id div 4")).alias("workspace_id"), F.concat(F.lit("-"), F.expr("doc_id % 4"), F.lit(".md")).alias("suffix"), "text")
+    return gates.gate(artifacts, gates.contract_table(spark, STAGES), stages=["middle", "annex"]).select("workspace_id", "stage", "status")
+
+
+ROUTES = [
+    ('{"rota": ["pesquisa", "pesquisa"], "temas_pesquisa": ["a"]}', None, "pesquisa"), ('{"rota": ["pesquisa"], "temas_pesquisa": [" "]}', "research without topics", "pesquisa"), ('{"rota": ["x"]}', "unknown track", "x"),
+    ('{"rota": []}', "direct route without reason", "direta"), ('{"rota": [], "justificativa_rotina": "ok", "temas_pesquisa": "x"}', "topics are no list", "direta"), ('{"rota": [], "justificativa_rotina": "ok"}', None, "direta"),
+    ('{"rota": ["probatica", "pesquisa"], "temas_pesquisa": ["a"], "fatos_probatorios": ["b"]}', None, "probatica,pesquisa"), ("{bad", "no valid JSON block", None), ('{"rota": 3}', "route missing or no list", None),
+]
+
+
+@query(f"WITH r(k, problem, tracks) AS (VALUES {', '.join(f'({k}, {p!r}, {t!r})'.replace('None', 'NULL') for k, (_, p, t) in enumerate(ROUTES))}) SELECT doc_id, problem, tracks FROM documents JOIN r ON k = doc_id % 9")
+def routes(t, spark):
+    block = F.get(F.array(*[F.lit(r[0]) for r in ROUTES]), F.expr("cast(doc_id % 9 as int)"))
+    found = t("documents").select("doc_id", gates.route(F.concat(F.translate("text", "`", "'"), F.lit("\n```json\n"), block, F.lit("\n```\n"))).alias("r"))
+    return found.select("doc_id", gates.route_problem(F.col("r")).alias("problem"), gates.route_tracks(F.col("r")).alias("tracks"))
 
 
 #: The driver's documents as sources: ten origins are authorised.
@@ -192,14 +241,17 @@ def reject_reasons(t, spark):
 
 @query(f"""
 WITH langs AS (SELECT DISTINCT lang FROM documents),
-wanted AS (SELECT lang, item_id, {sql_norm_ws('text')} AS fragment FROM benchmark, langs WHERE length({sql_norm_ws('text')}) >= 60),
-held AS (SELECT DISTINCT w.lang, item_id FROM wanted w JOIN documents d ON d.lang = w.lang AND contains({sql_norm_ws('d.text')}, fragment))
-SELECT w.lang AS workspace_id, w.item_id AS doc_id, (CASE WHEN e.item_id IS NULL THEN 0 ELSE 1 END)::BIGINT AS n_checked, (CASE WHEN e.item_id IS NOT NULL AND h.item_id IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_failed
-FROM (SELECT lang, item_id FROM benchmark, langs) w LEFT JOIN wanted e ON e.lang = w.lang AND e.item_id = w.item_id LEFT JOIN held h ON h.lang = w.lang AND h.item_id = w.item_id""")
+asked AS (SELECT lang, item_id, {sql_norm_ws('text[4:]')} AS fragment FROM benchmark JOIN langs ON true),
+held AS (SELECT DISTINCT w.lang, item_id FROM asked w JOIN documents d ON d.lang = w.lang AND contains({sql_norm_ws('d.text')}, fragment) WHERE length(fragment) >= 60)
+SELECT w.lang AS workspace_id, w.item_id AS doc_id, (CASE WHEN length(fragment) >= 60 THEN 1 ELSE 0 END)::BIGINT AS n_checked, (CASE WHEN length(fragment) >= 60 AND h.item_id IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_failed, item_id % 2 = 1 AS odd_quotes
+FROM asked w LEFT JOIN held h USING (lang, item_id)""")
 def citation_check(t, spark):
-    langs = t("documents").select("lang").distinct()
-    documents = t("benchmark").crossJoin(F.broadcast(langs)).select(F.col("lang").alias("workspace_id"), F.col("item_id").alias("doc_id"), F.concat(F.lit("“curto” x “"), "text", F.lit("”")).alias("text"))
-    return citations.checked(documents, t("documents").select(F.col("lang").alias("workspace_id"), F.col("text").alias("part"))).drop("first_failed")
+    langs = t("documents").agg(F.array_sort(F.collect_set("lang")).alias("langs"))
+    quoted = F.concat(F.lit("“curto” x “"), F.substring("text", 4, 1 << 30), F.lit("”\n# Anexo\n“"), F.repeat(F.lit("not checked "), 9), F.lit("”"))
+    odd = F.when(F.col("item_id") % 2 == 1, '" ').otherwise("")
+    documents = t("benchmark").join(langs).select(F.explode("langs").alias("workspace_id"), F.col("item_id").alias("doc_id"), F.concat(odd, F.translate(quoted, '"', "'")).alias("text"))
+    corpus = citations.corpus(t("documents").where("doc_id % 2 = 0").select(F.col("lang").alias("workspace_id"), F.col("text").alias("trecho_verbatim")), t("documents").where("doc_id % 2 = 1").select(F.col("lang").alias("workspace_id"), "text"))
+    return citations.checked(documents, corpus, marker="anexo").drop("first_failed")
 
 
 TOK = f"regexp_extract_all({sql_norm('text')}, '[\\p{{L}}\\p{{N}}]+')"
@@ -222,13 +274,17 @@ SELECT doc_id, list_contains(tok, 'the') AND list_contains(tok, 'and') AS both_,
   len(list_filter(pa, lambda i: len(list_filter(pb, lambda j: abs(j - i) BETWEEN 1 AND 2)) > 0)) > 0 AS close_,
   len(list_filter(tok, lambda x: regexp_full_match(x, 'th.{0,2}'))) > 0 AS wild_,
   len(list_filter(tok, lambda x: levenshtein(x, 'wither') <= 2)) > 0 AS fuzzy_,
-  (CASE WHEN list_contains(tok, 'the') THEN 1 ELSE 0 END + CASE WHEN list_contains(tok, 'le') THEN 1 ELSE 0 END)::INTEGER AS score, array_to_string(list_filter(['the', 'le'], lambda x: NOT list_contains(tok, x)), ',') AS missing
+  (CASE WHEN list_contains(tok, 'the') THEN 1 ELSE 0 END + CASE WHEN list_contains(tok, 'le') THEN 1 ELSE 0 END)::INTEGER AS score,
+  array_to_string(list_filter([CASE WHEN NOT list_contains(tok, 'the') THEN 'THE' END, CASE WHEN NOT list_contains(tok, 'le') THEN 'Lé' END], lambda x: x IS NOT NULL), ',') AS missing,
+  len(list_filter(range(1, len(tok)), lambda i: tok[i] = 'in' AND tok[i + 1] = 'the' AND list_contains(tok[i + 2 : i + 5], 'and'))) > 0 AS phrase_then_,
+  len(list_filter(pa, lambda i: len(list_filter(pb, lambda j: j - i BETWEEN 1 AND 4)) > 0)) > 0 AS slop_
 FROM p""")
 def search_matches(t, spark):
     k, s = F.col("tok"), search
     return found(t).select(
         "doc_id", s.all_of(k, "THE", "and").alias("both_"), s.any_of(k, "le", "der").alias("any_"), (s.has(k, "the") & ~s.has(k, "of")).alias("not_"), s.either(s.has(k, "a"), s.has(k, "is")).alias("xor_"), s.has(k, "in-the").alias("phrase_"),
-        s.followed(k, "the", "and", 3).alias("followed_"), s.close(k, "the", "and", 2).alias("close_"), s.matching(k, "th$2").alias("wild_"), s.fuzzy(k, "wither").alias("fuzzy_"), s.score(k, ["the", "le"]).alias("score"), F.array_join(s.missing(k, ["the", "le"]), ",").alias("missing"),
+        s.followed(k, "the", "and", 3).alias("followed_"), s.close(k, "the", "and", 2).alias("close_"), s.matching(k, "TH$2").alias("wild_"), s.fuzzy(k, "wither").alias("fuzzy_"), s.score(k, ["The", "LE", "the"]).alias("score"), F.array_join(s.missing(k, ["THE", "Lé"]), ",").alias("missing"),
+        s.followed(k, "in the", "and", 4).alias("phrase_then_"), s.phrase(k, "the and", 3).alias("slop_"),
     )
 
 

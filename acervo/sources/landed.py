@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acervo.functions.text import case_id, html_bare, stripped, unescaped
+from acervo.functions.text import brazilian_date, case_id, html_bare, html_spaced, id_and_type, stripped, unescaped
 from acervo.operators.cleaning import PAGE_MARK
 
 SOURCE = "id string, origem_mcp string, tribunal string, tipo string, referencia string, orgao_julgador string, data_julgamento string, campo string, trecho_verbatim string, url string"
@@ -20,6 +20,12 @@ def artifacts(spark: SparkSession, path: str, suffixes: list[str]) -> DataFrame:
     return files.select(case_id(folder).alias("workspace_id"), name.alias("name"), text.alias("text")).withColumn("suffix", suffix).where("suffix is not null").drop("name")
 
 
+def folder(spark: SparkSession, path: str, suffix: str = ".pdf", most: int | None = None) -> DataFrame:
+    """The files of a folder with this suffix, by name; most: the first so many alone.  Their bytes aren't read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path).select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "path", "length").orderBy("name")
+    return found if most is None else found.limit(most)
+
+
 def partial_sources(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The items of partial files, an object with `fontes` or a bare list, with their file and position; and the files that are no JSON.
 
@@ -45,7 +51,52 @@ def options(html: Column) -> Column:
     values = F.regexp_extract_all(html, F.lit(r'(?is)<option\b[^>]*value="([^"]*)"[^>]*>(.*?)</option>'), F.lit(1))
     labels = F.regexp_extract_all(html, F.lit(r'(?is)<option\b[^>]*value="([^"]*)"[^>]*>(.*?)</option>'), F.lit(2))
     entries = F.filter(F.arrays_zip(values.alias("value"), labels.alias("label")), lambda x: x["value"] != "")
-    return F.map_from_entries(F.transform(F.array_distinct(entries), lambda x: F.struct(x["value"], stripped(x["label"]))))
+    first = F.filter(entries, lambda x, i: F.array_position(F.transform(entries, lambda y: y["value"]), x["value"]) == i + 1)  # a value's first label holds
+    return F.map_from_entries(F.transform(first, lambda x: F.struct(x["value"], stripped(x["label"]))))
+
+
+def timeline_documents(html: Column) -> Column:
+    """array<struct<id, type, full_type>> of a timeline page: all links that read "<six digits or more> - <type>", then spans of documents that do, unless the identifier is there already."""
+
+    def those(tag: str) -> Column:
+        texts = F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(1)), lambda x: stripped(unescaped(F.regexp_replace(x, "<[^>]+>", ""))))
+        named = F.filter(texts, lambda x: x.rlike(r"^\d{6,}\s*-\s*."))
+        return F.transform(named, lambda x: F.struct(id_and_type(x)["id"].alias("id"), id_and_type(x)["type"].alias("type"), stripped(F.regexp_replace(x, r"^\d+\s*-\s*", "")).alias("full_type")))
+
+    def add(found: Column, x: Column) -> Column:
+        return F.when(F.exists(found, lambda y: y["id"] == x["id"]), found).otherwise(F.concat(found, F.array(x)))
+
+    return F.aggregate(those(r'(?is)<span\b[^>]*class="[^"]*doc[^"]*"[^>]*>(.*?)</span>'), those(r"(?is)<a\b[^>]*>(.*?)</a>"), add)
+
+
+#: The audit court's bases, their kinds and fields.
+AUDIT_RECORD = ["base", "kind", "number", "panel", "author", "day", "summary", "url", "status", "area", "topic", "subtopic"]
+
+
+def audit_records(landed: DataFrame, base: str, column: str = "value") -> DataFrame:
+    """Records out of the audit court's JSON answers (`documentos`), one schema for its three bases; fields that a base lacks are null, an unknown base counts as full rulings."""
+    v = F.try_variant_get(F.try_parse_json(column), "$.documentos", "array<variant>")
+    item = landed.select(F.explode(F.coalesce(v, F.array().cast("array<variant>"))).alias("item"))
+    get = lambda name: F.coalesce(F.try_variant_get("item", f"$.{name}", "string"), F.lit(""))
+    first = lambda *names: F.coalesce(*[F.nullif(get(n), F.lit("")) for n in names], F.lit(""))
+    ruling = F.concat(F.lit("Acordao "), get("NUMACORDAO"), F.lit("/"), get("ANOACORDAO"), F.lit(" - "), get("COLEGIADO"))
+    selected = F.when(get("NUMSUMULA") != "", F.concat(F.lit("Sumula TCU "), get("NUMSUMULA"))).when(get("NUMACORDAO") != "", ruling).otherwise(get("KEY"))
+    kind = F.coalesce(F.nullif(first("TIPONORMA", "TIPO"), F.lit("")), F.lit("Norma"))
+    origins = F.try_variant_get("item", "$.ORIGEM", "array<string>")
+    rule = {
+        "kind": kind, "number": F.coalesce(F.nullif(get("TITULO"), F.lit("")), F.concat(kind, F.lit(" "), get("NUMNORMA"), F.lit("/"), get("ANONORMA"))),
+        "panel": F.coalesce(F.nullif(F.array_join(origins, ", "), F.lit("")), F.when(origins.isNull(), F.nullif(get("ORIGEM"), F.lit(""))), F.lit("TCU")), "day": get("DATANORMA"), "summary": html_spaced(first("ASSUNTO", "FRAGMENTO1")),
+        "url": get("LINKBTCU"), "status": get("SITUACAO"), "topic": get("TEMA"),
+    }
+    fields = {
+        "jurisprudencia-selecionada": {
+            "kind": F.lit("Jurisprudencia Selecionada"), "number": selected, "panel": get("COLEGIADO"), "author": get("AUTORTESE"), "day": get("DATASESSAOFORMATADA"), "summary": html_spaced(get("ENUNCIADO")), "url": F.lit(""),
+            "area": html_spaced(get("AREA")), "topic": html_spaced(get("TEMA")), "subtopic": html_spaced(get("SUBTEMA")),
+        },
+        "norma": rule,
+    }.get(base, {"kind": F.lit("Acordao"), "number": ruling, "panel": get("COLEGIADO"), "author": get("RELATOR"), "day": get("DATASESSAO"), "summary": html_spaced(first("SUMARIO", "FRAGMENTO1")), "url": first("URLARQUIVOPDF", "URLARQUIVO"), "status": get("SITUACAO")})
+    out = fields | {"base": F.lit(base), "day": brazilian_date(fields["day"])}
+    return item.select(*[out.get(c, F.lit(None).cast("string")).alias(c) for c in AUDIT_RECORD])
 
 
 def queue_cases(landed: DataFrame, column: str = "value") -> DataFrame:

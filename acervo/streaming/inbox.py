@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from acervo.functions.text import CASE_ID, norm
 from acervo.operators.gates import problems
-from acervo.functions.text import norm
 
 
 def arrivals(spark: SparkSession, path: str, schema: str = "workspace_id string, suffix string, text string, arrived timestamp") -> DataFrame:
@@ -17,7 +17,7 @@ def arrivals(spark: SparkSession, path: str, schema: str = "workspace_id string,
 
 def judged(stream: DataFrame, contracts: DataFrame) -> DataFrame:
     """Each artifact's stage and problems; a stream joined with the contract table, of fixed size."""
-    met = stream.withColumn("n", norm(F.col("text"))).join(F.broadcast(contracts), "suffix")
+    met = stream.withColumn("n", norm(F.col("text"))).join(contracts, "suffix")
     return met.select("workspace_id", "stage", "arrived", problems(F.col("text"), F.col("n")).alias("problems"))
 
 
@@ -32,6 +32,19 @@ def pending(stages: DataFrame, done: DataFrame) -> DataFrame:
     return stages.join(valid, ["workspace_id", "stage"], "left_anti")
 
 
+#: Folders of the sweep's own state, and the form of a case's folder.
+STATE_FOLDER = r"^0\d-"
+
+
+def approved(status: DataFrame, inbox: DataFrame) -> DataFrame:
+    """Workspaces to move: valid in all stages, named as a case, no state folder, and not in the inbox yet, so that nothing there is overwritten.
+
+    status: workspace_id, folder, exit_code.  inbox: folder.
+    """
+    good = (F.col("exit_code") == 0) & ~F.col("folder").rlike(STATE_FOLDER) & F.col("folder").rlike(f"^{CASE_ID}$")
+    return status.where(good).join(inbox.select("folder").distinct(), "folder", "left_anti")
+
+
 def per_window(stream: DataFrame, late: str, size: str, by: Column) -> DataFrame:
     """Artifacts of each time window and kind; rows later than `late` are left out."""
     return stream.withWatermark("arrived", late).groupBy(F.window("arrived", size), by.alias("kind")).agg(F.count("*").alias("n"))

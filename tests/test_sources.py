@@ -52,9 +52,9 @@ def one(spark, *columns):
 
 def test_html_and_envelopes(spark):
     table = "<table><tr><th>x</th></tr><tr class='a'><td>12</td><td>Peti&ccedil;&amp;</td><td><b>c</b></td><td>d</td><td>e</td></tr><tr><td>no</td><td>b</td><td>c</td><td>d</td><td>e</td></tr></table>"
-    select = '<select><option value="">all</option><option value="3" selected> Três </option></select>'
+    select = '<select><option value="">all</option><option value="3" selected> Três </option><option value="3">again</option></select>'
     rows, found = one(spark, landed.index_rows(F.lit(table)), landed.options(F.lit(select)))
-    assert rows == [["12", "Peti&ccedil;&", "c", "d", "e"]] and found == {"3": "Três"}
+    assert rows == [["12", "Petiç&", "c", "d", "e"]] and found == {"3": "Três"}
     landed_rows = spark.createDataFrame([('{"entities": [{"idProcesso": 5, "numero": "a", "dataConclusao": 86400000, "tagsProcessoList": ["x"]}]}',), ('[{"id": 0, "classe": ""}]',), ('{"other": 1}',), ("broken",)], "value string")
     assert sorted((r.id_processo or "", r.numero, r.data_conclusao, r.etiquetas) for r in landed.queue_cases(landed_rows).collect()) == [("", None, None, []), ("5", "a", "1970-01-02T00:00:00", ["x"])]
 
@@ -79,15 +79,28 @@ def test_routes_and_escalation(spark):
         block('{"rota": ["pesquisa"], "temas_pesquisa": [" "]}'): ("research without topics", "pesquisa"),
         block('{"rota": ["x"]}'): ("unknown track", "x"),
         block('{"rota": []}'): ("direct route without reason", "direta"),
+        block('{"rota": [], "justificativa_rotina": 3}'): ("direct route without reason", "direta"),
+        block('{"rota": [], "justificativa_rotina": "ok", "temas_pesquisa": "x"}'): ("topics are no list", "direta"),
+        block('{"rota": ["probatica"], "temas_pesquisa": null, "fatos_probatorios": {}}'): ("facts are no list", "probatica"),
+        block('{"rota": ["probatica"], "fatos_probatorios": [7]}'): (None, "probatica"),
+        block('{"rota": [null]}'): ("unknown track", ""),
+        block('{"rota": "pesquisa"}'): ("route missing or no list", None),
+        block("{}"): ("route missing or no list", None),
+        block("[1]"): ("JSON block is no object", None),
         block('{"rota": [], "justificativa_rotina": "ok"}'): (None, "direta"),
         block("{bad"): ("no valid JSON block", None),
         "none": ("no valid JSON block", None),
     }
     df = spark.createDataFrame([(x,) for x in rows], "text string").withColumn("r", gates.route(F.col("text")))
     assert {r.text: (r.p, r.k) for r in df.select("text", gates.route_problem(F.col("r")).alias("p"), gates.route_tracks(F.col("r")).alias("k")).collect()} == rows
-    texts = {"Escalar: pesquisa\n\nmotivo: falta": ("ESCALATE", ["pesquisa"], "falta"), "diz escalar: pesquisa\nmotivo: x": ("NONE", None, None), "escalar: pesquisa\nmotivo: x\n" + "y" * 600: ("NONE", None, None), "escalar:\nmotivo: x": ("INVALID", [], "x")}
+    close = "escalar: pesquisa\nmotivo: x\n"
+    texts = {
+        "Escalar: pesquisa\n\nmotivo: falta": (None, ["pesquisa"], "falta"), "diz escalar: pesquisa\nmotivo: x": (None, None, None), close + "y" * 600: (None, None, None), "escalar:\nmotivo: x": ("escalation without a track", [], "x"),
+        "z" * 5000 + "\n" + close + "y" * (600 - len(close)): (None, ["pesquisa"], "x"), "z" * 5000 + "\n" + close + "y" * (601 - len(close)): (None, None, None), close + "y" * (600 - len(close)): (None, ["pesquisa"], "x"),
+        "escalar: probática outra\nsem motivo": ("escalation to an unknown track: outra", ["probatica", "outra"], ""), "escalar: pesquisa\nescalar: outra\nmotivo: y": (None, ["pesquisa"], ""), "a" + "\u0301" * 3000 + "\nescalar: pesquisa": (None, ["pesquisa"], ""),
+    }
     df = spark.createDataFrame([(x,) for x in texts], "text string").withColumn("e", gates.escalation(F.col("text")))
-    assert {r.text: (r.s, r.t, r.m) for r in df.select("text", gates.escalation_status(F.col("e")).alias("s"), F.col("e.tracks").alias("t"), F.col("e.reason").alias("m")).collect()} == texts
+    assert {r.text: (r.s, r.t, r.m) for r in df.select("text", gates.escalation_fault(F.col("e")).alias("s"), F.col("e.tracks").alias("t"), F.col("e.reason").alias("m")).collect()} == texts
 
 
 def test_reports(spark, tmp_path):
@@ -123,3 +136,58 @@ def test_records(spark):
     lines = F.array(*map(F.lit, ["id 123", "456", "x", "7", "a 8", "b"]))
     got = one(spark, records.rejoined(lines), records.last_parenthetical(F.lit("(TNU, a) x (TNU, b) (c)"), "TNU,"), records.last_parenthetical(F.lit("none"), "TNU,"), records.by_precedence(a=F.lit(" "), b=F.lit("v"))["source"])
     assert got == (["id 123456", "x", "7", "a 8", "b"], "(TNU, b)", None, "b")
+
+
+def test_timeline_and_bases(spark):
+    html = '<a href="#">129401156 - Contrarrazões (de Embargos)</a><a>12 - short</a><a><b>129401156</b> - Again</a><span class="x doc">129401156 - Other</span><span class="documento">129401999 - Peti&ccedil;&atilde;o</span><span class="y">129401777 - No</span><span class="doc">129401999 - Twice</span>'
+    (got,) = one(spark, landed.timeline_documents(F.lit(html)))
+    assert [tuple(x) for x in got] == [("129401156", "Contrarrazões", "Contrarrazões (de Embargos)"), ("129401156", "Again", "Again"), ("129401999", "Petição", "Petição")]
+    answer = lambda **x: spark.createDataFrame([(json.dumps({"documentos": [x]}),), ("broken",), ("{}",)], "value string")
+    of = lambda base, **x: landed.audit_records(answer(**x), base).first().asDict()
+    full = of("acordao-completo", NUMACORDAO=7, ANOACORDAO="2020", COLEGIADO="Plenário", SUMARIO="", FRAGMENTO1="<p>a</p>b", DATASESSAO="20200131", URLARQUIVO="u")
+    assert (full["number"], full["summary"], full["day"], full["url"], full["area"]) == ("Acordao 7/2020 - Plenário", "a b", "31/01/2020", "u", None)
+    assert [of("jurisprudencia-selecionada", **x)["number"] for x in ({"NUMSUMULA": "3", "NUMACORDAO": "1"}, {"NUMACORDAO": "1", "ANOACORDAO": "2", "COLEGIADO": "C"}, {"KEY": "k"})] == ["Sumula TCU 3", "Acordao 1/2 - C", "k"]
+    rule = of("norma", ORIGEM=["A", "B"], NUMNORMA="1", ANONORMA="2")
+    assert (rule["kind"], rule["number"], rule["panel"]) == ("Norma", "Norma 1/2", "A, B") and of("norma", ORIGEM=[], TITULO="T", TIPO="Portaria")["panel"] == "TCU"
+    assert landed.audit_records(answer(KEY="x"), "norma").count() == 1
+
+
+def test_courts(spark):
+    from acervo.functions import records
+    import pytest
+
+    asked = lambda *x: spark.createDataFrame([(c,) for c in x], "code string")
+    assert sorted(r.court for r in records.courts(asked(" trf5", "Superiores", "TJMSP", ""), "code").collect()) == ["STF", "STJ", "STM", "TJMSP", "TNU", "TRF05", "TST"]
+    assert records.courts(asked(None), "code").count() == 65 and records.courts(asked("x").limit(0), "code").count() == 65
+    with pytest.raises(Exception, match="unknown court: TSE"):
+        records.courts(asked("TSE"), "code").collect()
+    assert sorted((r.court, r.known) for r in records.expanded(asked("tru", "TR7"), "code", records.FEDERAL, F.upper).collect()) == [("TR7", False), *[(f"TRU{i}", True) for i in range(1, 7)]]
+
+
+def test_search_terms(spark):
+    from acervo.operators import search
+
+    tok = search.tokens(F.lit("Ação julgada: dano moral coletivo, ação de dano"))
+    got = one(
+        spark, F.array_join(search.missing(tok, ["Ação", "JULGADA", "Dano-moral", "fé"]), ","), search.score(tok, ["Ação", "acao", "JULGADA", "x"]), search.matching(tok, "Aç$"), search.has(tok, "--"),
+        search.followed(tok, "dano moral", "ação", 2), search.followed(tok, "dano moral", "ação", 1), search.close(tok, "ação", "dano moral", 2), search.phrase(tok, "dano coletivo", 1), search.phrase(tok, "coletivo moral dano", 9), search.phrase(tok, "ação dano coletivo", 2),
+    )
+    assert got == ("fé", 2, True, False, True, False, True, True, False, True)
+
+
+def test_inbox_never_overwrites(spark):
+    case = "0001234-56.2020.4.05.8000"
+    status = spark.createDataFrame([(1, case, 0), (2, case.replace("1", "2"), 1), (3, "01-done", 0), (4, case.replace("1", "3"), 0), (5, "x " + case, 0)], "workspace_id int, folder string, exit_code int")
+    assert [r.workspace_id for r in inbox.approved(status, spark.createDataFrame([(case,)], "folder string")).collect()] == [4]
+
+
+def test_analysis_gate(spark):
+    start, body = "Vamos começar. Preciso pensar profundamente sobre esse caso.\n", "Análise. " * 80
+    texts = {"ok": start + body + "\nPronto.", "esc": start + body + "\nESCALAR: pesquisa\nmotivo: m", "bad": start + body + "\nESCALAR: outra", "end": start + body, "short": "ESCALAR: pesquisa"}
+    rows = spark.createDataFrame([(k, "-analise.md", t) for k, t in texts.items()], "workspace_id string, suffix string, text string")
+    spaces = spark.createDataFrame([(x,) for x in [*texts, "none"]], "workspace_id string")
+    got = {r.workspace_id: (r.status, r.exit_code, r.problems) for r in gates.analysis(rows, gates.contract_table(spark), spaces).collect()}
+    assert got == {
+        "ok": ("OK", 0, []), "esc": ("ESCALATE", 3, []), "bad": ("INVALID", 1, ["escalation to an unknown track: outra"]), "end": ("INVALID", 1, ["end marker missing"]),
+        "short": ("INVALID", 1, ["too short", "start marker missing", "no accents"]), "none": ("ABSENT", 1, []),
+    }
