@@ -34,3 +34,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The store that has a path, and the path as it takes it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    store, at = file_system(spark, path)
+    store.delete(at, True)
+
+
+def erase(df: DataFrame) -> None:
+    """Deletes what stored() wrote for df, which nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        delete(df.sparkSession, files[0].rpartition("/")[0])

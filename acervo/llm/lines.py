@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
+from acervo.llm.bits import Bits, bit_table
 from acervo.llm.common import stored
-from acervo.llm.substrings import Bits, bit_table
 
 SITES = 10
 #: Sketches of 2**LG_K registers (error about 1.6 %); estimates within this share of the threshold are counted exactly.

@@ -7,8 +7,8 @@ neighbouring windows mostly share theirs, so the index holds one entry for
 about thirteen windows of 50 words.  A stretch is the run of windows that
 share one fingerprint in one place.
 
-The index keeps sorted immutable runs, tables bucketed and sorted by
-fingerprint with each fingerprint once.  A new batch's fingerprints are merge-joined with
+The index keeps sorted immutable runs in a folder, which can be opened again:
+tables bucketed and sorted by fingerprint with each fingerprint once.  A new batch's fingerprints are merge-joined with
 every run; those that the batch has twice or that a run has are shared.  The
 batch becomes a run of its own, and runs are compacted into one when they are
 more than `fan_in`.
@@ -39,13 +39,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
-from acervo.llm.common import new_folder, stored
+from acervo.llm.bits import Bits, bit_table
+from acervo.llm.common import delete, file_system, new_folder, stored
 
 WINDOW = 50
 #: An odd constant of the rolling hash.
 BASE = 0x9E3779B97F4A7C15
-#: Bits of a bit table: this many for each entry, within these bounds (32 MB at most).
-BITS_EACH, LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 1 << 20, 1 << 28, 1 << 19
 #: A null identifier's place in the order.
 LAST = (1 << 63) - 1
 
@@ -105,56 +104,32 @@ def lowest(a: np.ndarray, span: int) -> np.ndarray:
     return np.where(left >> np.uint64(6) <= right >> np.uint64(6), at_left, at_right)
 
 
-class Bits:
-    """A bounded table of bits that tells which hashes may be among those put in."""
-
-    def __init__(self, blocks: dict[int, bytes], size: int) -> None:
-        self.size = size
-        self.table = np.zeros(size // 8, np.uint8)
-        for i, b in blocks.items():
-            self.table[i * (BLOCK_BITS // 8) : (i + 1) * (BLOCK_BITS // 8)] = np.frombuffer(b, np.uint8)
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        at = h & np.uint64(self.size - 1)
-        return self.table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
-
-
-def bit_table(hashes: DataFrame) -> Bits:
-    """From a DataFrame of one long column; tasks make whole blocks, of which the driver gets MOST_BITS at most."""
-    size = LEAST_BITS
-    n = hashes.count()
-    while size < min(MOST_BITS, BITS_EACH * n):
-        size *= 2
-    bits = hashes.select(F.col(hashes.columns[0]).bitwiseAND(F.lit(size - 1)).alias("bit")).withColumn("block", F.expr(f"bit div {BLOCK_BITS}"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, np.ndarray] = {}
-        for b in batches:
-            at, block = (b.column(c).to_numpy() for c in ("bit", "block"))
-            for i in np.unique(block).tolist():
-                place = at[block == i] - i * BLOCK_BITS
-                np.bitwise_or.at(found.setdefault(i, np.zeros(BLOCK_BITS // 8, np.uint8)), place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([v.tobytes() for v in found.values()], pa.binary())], ["block", "bytes"])
-
-    made = bits.distinct().repartition(max(1, min(64, size // BLOCK_BITS)), "block").mapInArrow(run, "block long, bytes binary")
-    return Bits({r.block: bytes(r.bytes) for r in made.collect()}, size)
+class FingerprintIndex:
+    """Sorted immutable runs of the fingerprints seen so far, one folder each within `folder`.
 
+    A folder that holds runs is opened with them, so that later batches meet
+    all earlier ones.  A run counts once its files are complete."""
 
-class FingerprintIndex:
-    """Sorted immutable runs of the fingerprints seen so far."""
+    def __init__(self, spark: SparkSession, fan_in: int = 2, folder: str | None = None) -> None:
+        self.spark, self.fan_in, self.folder = spark, fan_in, folder or new_folder(spark, "index")
+        store, at = file_system(spark, self.folder)
+        found = sorted(x.getPath().getName() for x in store.listStatus(at)) if store.exists(at) else []
+        self.runs = [self.table(name) for name in found if store.exists(file_system(spark, f"{self.folder}/{name}/_SUCCESS")[1])]
 
-    def __init__(self, spark: SparkSession, fan_in: int = 3) -> None:
-        self.spark, self.fan_in, self.runs = spark, fan_in, []
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def table(self, name: str) -> str:
+        """Registers the run of this name, <number>-<buckets>-<unique>, as a table."""
+        table = f"run_{name.replace('-', '_')}"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (print BIGINT, n BIGINT) USING parquet CLUSTERED BY (print) SORTED BY (print) INTO {int(name.split('-')[1])} BUCKETS OPTIONS (compression 'zstd') LOCATION '{self.folder}/{name}'")
+        return table
 
     def write(self, prints: DataFrame) -> DataFrame:
-        name = f"run_{uuid.uuid4().hex}"
-        (
-            prints.repartition(self.buckets, "print").sortWithinPartitions("print").write.bucketBy(self.buckets, "print").sortBy("print")
-            .option("path", new_folder(self.spark, "run")).option("compression", "zstd").format("parquet").saveAsTable(name)
-        )
-        self.runs.append(name)
-        return self.spark.table(name)
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        last = max([-1, *(int(run.split("_")[1]) for run in self.runs)])
+        name = f"{last + 1:06d}-{buckets}-{uuid.uuid4().hex}"
+        table = self.table(name)
+        prints.select("print", "n").repartition(buckets, "print").sortWithinPartitions("print").write.insertInto(table)
+        self.runs.append(table)
+        return self.spark.table(table)
 
     def add(self, prints: DataFrame) -> DataFrame:
         """Takes a batch's fingerprints, one row for each document that has it; returns those of the batch that are shared."""
@@ -169,8 +144,8 @@ class FingerprintIndex:
         return shared
 
     def compact(self) -> None:
-        """Merges all runs into one."""
-        old, self.runs = self.runs, []
+        """Merges all runs into one; they go when it is complete."""
+        old = list(self.runs)
         merged = self.spark.table(old[0]).select("print", "n")
         for name in old[1:]:
             merged = merged.unionAll(self.spark.table(name).select("print", "n"))
@@ -178,13 +153,16 @@ class FingerprintIndex:
         self.drop(old)
 
     def drop(self, names: list[str] | None = None) -> None:
-        for name in names if names is not None else self.runs:
+        """Deletes runs, all if none are named."""
+        for name in list(names if names is not None else self.runs):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete(self.spark, f"{self.folder}/{name.removeprefix('run_').replace('_', '-')}")
+            self.runs.remove(name)
 
 
 def arranged(docs: DataFrame) -> DataFrame:
-    """Documents with `doc`, their place in the order, and `tag`, which tells apart rows that share an identifier."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumns({"doc": F.coalesce("doc_id", F.lit(LAST)), "tag": F.xxhash64("text").bitwiseAND(F.lit((1 << 24) - 1))})
+    """Documents with `doc`, their place in the order, and `tag`, a 64-bit hash of the text, which tells apart rows that share an identifier or have none."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumns({"doc": F.coalesce("doc_id", F.lit(LAST)), "tag": F.xxhash64("text")})
 
 
 def fingerprints(docs: DataFrame, window: int) -> DataFrame:
@@ -224,15 +202,21 @@ def stretches(docs: DataFrame, window: int, shared: Bits) -> DataFrame:
 
 def open_key(a: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """A hash of a stretch's words and its document."""
-    return tx.mix(a.view(np.uint64) ^ tx.mix(doc.view(np.uint64)))
+    return tx.mix(a.view(np.uint64) ^ open_doc(doc))
+
+
+def open_doc(doc: np.ndarray) -> np.ndarray:
+    """A hash of a document."""
+    return tx.mix(doc.view(np.uint64))
 
 
 def windows(docs: DataFrame, window: int, still_open: Bits, shared: Bits) -> DataFrame:
-    """Every window of the stretches that are still open; (a, b) digests its words."""
+    """Every window of the stretches that are still open; (a, b) digests its words.  Documents without any are passed over."""
     sent, known = docs.sparkSession.sparkContext.broadcast(still_open), docs.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
+            b = b.filter(pa.array(sent.value.has(open_doc(b.column("doc").to_numpy()))))
             s = Stretches(b.column("text"), window)
             k = np.flatnonzero(known.value.has(s.prints))
             if not len(k):
@@ -271,7 +255,9 @@ def covered(docs: DataFrame, window: int, shared: DataFrame) -> DataFrame:
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(open_key(b.column("a").to_numpy(), b.column("doc").to_numpy())))], ["key"])
+            doc = b.column("doc").to_numpy()
+            keys = np.concatenate([open_key(b.column("a").to_numpy(), doc), np.unique(open_doc(doc))])
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(keys))], ["key"])
 
     open_bits = bit_table(stored(still_open.mapInArrow(key, "key long"), "open"))
     single, _ = repeats(stored(windows(docs, window, open_bits, bits), "windows"))
@@ -302,10 +288,11 @@ def cleaned(docs: DataFrame, places: DataFrame, window: int, also_text: bool = F
     return met.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * also_text)
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW, batches: int = 3, fan_in: int = 3, also_text: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, window: int = WINDOW, batches: int = 3, fan_in: int = 2, also_text: bool = False) -> DataFrame:
     """Removes each word covered by a window that also starts in a document with a smaller identifier.
 
-    The documents enter the index in `batches` ranges of their identifiers.
+    The documents enter the index in `batches` ranges of their identifiers;
+    more than `fan_in` runs are compacted.
     """
     rows = arranged(docs)
     cuts = sorted(set(rows.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)])).first()[0] or [])) if batches > 1 else []

@@ -69,3 +69,25 @@ def test_compaction_keeps_every_fingerprint(spark):
     plan = spark.table(index.runs[0]).join(spark.table(index.runs[1]).hint("merge"), "print", "left_semi")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     index.drop()
+
+
+def test_many_rows_without_identifier(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(None, f"q{i} short" if i % 2 else " ".join(f"q{i}x{j}" for j in range(i % 5 * 50)) + " " + passage) for i in range(20_000)] + [(1, passage), (2, "x " + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substrings.deduplicated(docs).collect())
+    assert got == plain(rows, 50)
+
+
+def test_an_index_opens_again(spark):
+    prints = lambda *x: spark.createDataFrame([(i,) for i in x], "print long")
+    one = substrings.FingerprintIndex(spark, fan_in=2)
+    for batch in ((1, 2), (3, 4), (5, 6)):
+        one.add(prints(*batch))
+    again = substrings.FingerprintIndex(spark, fan_in=2, folder=one.folder)
+    assert len(again.runs) == len(one.runs) == 1  # compacted
+    assert sorted(r.print for r in again.add(prints(6, 7, 1)).collect()) == [1, 6]
+    third = substrings.FingerprintIndex(spark, folder=one.folder)
+    assert len(third.runs) == 2 and [r.print for r in third.add(prints(7, 8)).collect()] == [7]
+    third.drop()
+    assert not substrings.FingerprintIndex(spark, folder=one.folder).runs
