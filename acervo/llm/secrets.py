@@ -2,11 +2,14 @@
 
 Arrow batches find the base secrets of each text, and parts that alone say
 little: identifiers, endpoints and weak secrets (short assigned values, long
-mixed tokens).  A sweep over the parts of each scope (a paragraph), in order
-of place, then joins each part with the nearest complementary ones on either
-side; it takes one window pass and emits no pairs.  A weak secret is reported
-if an identifier or an endpoint begins within REACH code points of it, a weak
-identifier if a secret does, an endpoint if both do.
+mixed tokens).  An interval join within each scope (a paragraph) then tells
+which complementary parts are at most REACH code points apart, from the end of
+one to the start of the other.  It is a sweep in order of place, with the
+furthest end so far and the next start of each role, so it takes time in
+proportion to the parts and emits no pairs.  A weak secret is reported if an
+identifier or an endpoint is that near, a weak identifier if a secret is, an
+endpoint if both are.  REACH is about four lines: parts of one credential
+stand together, and a paragraph may be a whole document.
 
 Defined results: a null or empty text has no spans; rows with the same
 identifier are scanned apart; other columns are ignored.
@@ -99,13 +102,14 @@ def linked(found: DataFrame) -> DataFrame:
     """Joins the parts of each row and paragraph by place; gives each row back with the spans that hold."""
     base = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"]
     each = found.withColumn("row", F.monotonically_increasing_id()).select("row", *base, F.explode_outer("parts").alias("p")).repartition("row")
-    scope = Window.partitionBy("row", "p.scope").orderBy("p.start", "p.end", "p.kind")
-    back, ahead = scope.rowsBetween(Window.unboundedPreceding, -1), scope.rowsBetween(1, Window.unboundedFollowing)
+    here = Window.partitionBy("row", "p.scope")
+    back = here.orderBy("p.start", "p.end", "p.kind").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = here.orderBy(F.desc("p.start"), F.desc("p.end"), F.desc("p.kind")).rowsBetween(Window.unboundedPreceding, -1)
 
     def near(role: str):
-        place = F.when(F.col("p.role") == role, F.col("p.start"))
-        before, after = F.last(place, ignorenulls=True).over(back), F.min(place).over(ahead)
-        return F.coalesce(F.col("p.start") - before <= REACH, F.lit(False)) | F.coalesce(after - F.col("p.start") <= REACH, F.lit(False))
+        """Whether a part of this role begins or ends within reach: the furthest end before and the next start."""
+        of = lambda c: F.when(F.col("p.role") == role, F.col(c))
+        return F.coalesce(F.col("p.start") - F.max(of("p.end")).over(back) <= REACH, F.lit(False)) | F.coalesce(F.last(of("p.start"), ignorenulls=True).over(ahead) - F.col("p.end") <= REACH, F.lit(False))
 
     by = each.select("*", *[near(r).alias(f"near_{r}") for r in ("id", "secret", "endpoint")])
     role = F.col("p.role")

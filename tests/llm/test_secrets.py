@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from acervo.llm import secrets
 
@@ -34,3 +35,32 @@ def test_weak_parts_need_complements(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in secrets.scanned(docs).collect()}
     assert got == {1: [], 2: ["weak_id", "weak_secret"], 3: [], 4: [], 5: ["endpoint", "weak_id", "weak_secret"], 6: [], 7: ["weak_id", "assign"]}
+
+
+def test_linking_equals_all_pairs(spark):
+    rng = random.Random(8)
+    roles = {"weak_secret": "secret", "weak_id": "id", "endpoint": "endpoint", "assign": "secret", "access": "id"}
+    rows = []
+    for row in range(60):
+        found = {}
+        for _ in range(rng.randint(0, 14)):
+            kind, start = rng.choice(list(roles)), rng.choice([0, 5, 40, rng.randrange(3000)])
+            found[kind, start, start + rng.choice([3, 10, 400, 900])] = rng.randrange(2)
+        rows.append((row, 0, 0, 0, "", [(k, roles[k], k in secrets.KINDS, a, b, scope) for (k, a, b), scope in found.items()]))
+    docs = spark.createDataFrame(rows, f"doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, parts {secrets.PARTS}")
+
+    def holds(p, parts):
+        gap = lambda q: q[3] - p[4] if (p[3], p[4], p[0]) < (q[3], q[4], q[0]) else p[3] - q[4]
+        near = {q[1] for q in parts if q is not p and q[5] == p[5] and gap(q) <= secrets.REACH}
+        return p[2] or {"secret": bool(near & {"id", "endpoint"}), "id": "secret" in near, "endpoint": {"id", "secret"} <= near}[p[1]]
+
+    want = {r[0]: sorted(f"{p[0]}:{p[3]}:{p[4]}" for p in r[5] if holds(p, r[5])) for r in rows}
+    got = {r.doc_id: sorted(x for x in r.spans.split(",") if x) for r in secrets.linked(docs).collect()}
+    assert got == want and 100 < sum(map(len, want.values())) < sum(len(r[5]) for r in rows)
+
+
+def test_many_parts_in_one_paragraph_take_seconds(spark):
+    docs = spark.createDataFrame([(1, "user=alice password=hunter2 " * 25_000)], "doc_id long, text string")
+    began = time.time()
+    assert secrets.scanned(docs).first().n_linked == 50_000
+    assert time.time() - began < 30
