@@ -15,9 +15,10 @@ share all six: no task gets a leaf's documents, and documents meet only the
 table of leaves.
 
 Defined results: null leaf columns are empty strings; a null or empty text has
-no tokens and is never taken; rows that repeat an identifier share their place
-in the order, so each is taken up to the same token count; a weight of zero or
-less, or null, gives nothing; an empty table gives no rows.
+no tokens and is never taken; the place in the order comes from identifier and
+text, so rows that repeat both share it, and where the budget ends among them
+each gets the same whole part of what is left; a weight of zero or less, or
+null, gives nothing; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -51,9 +52,9 @@ def weight(name: str, weights: dict[str, float]) -> Column:
 
 
 def measured(docs: DataFrame, *also: Column) -> DataFrame:
-    """Each document's leaf and number of words, and further columns."""
+    """Each document's leaf, number of words and digest, and further columns."""
     named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    return docs.select(*also, "doc_id", domain_of(F.col("source")).alias("domain"), named("lang"), named("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"))
+    return docs.select(*also, "doc_id", domain_of(F.col("source")).alias("domain"), named("lang"), named("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"), F.substring(F.md5(F.coalesce(F.col("text"), F.lit(""))), 1, 16).alias("digest"))
 
 
 def shared_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
@@ -65,7 +66,8 @@ def shared_out(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
     """
     along = Window.partitionBy(*parent).orderBy(F.col("cap") / F.col("weight"), name)
     before = F.coalesce(F.sum("cap").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    after = F.sum("weight").over(along.rowsBetween(0, Window.unboundedFollowing))
+    lighter = F.coalesce(F.sum("weight").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    after = F.sum("weight").over(Window.partitionBy(*parent)) - lighter
     level = (F.col("given") - before) / after
     levels = nodes.where("weight > 0").withColumn("level", F.when(level <= F.col("cap") / F.col("weight"), level))
     highest = F.max("level").over(Window.partitionBy(*parent))
@@ -88,27 +90,27 @@ def leaf_plan(sized: DataFrame, fraction: float, max_epochs: int, domains: dict[
 
 def key_of(seed: int) -> Column:
     """A document's place in the epoch that its leaf takes part of."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digest"))
 
 
 def cuts(sized: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """plan with each leaf's cut key and the tokens before it; a leaf without a part epoch has none."""
-    found = plan.where("rest > 0").withColumns({"cut": F.lit(""), "start": F.lit(0).cast("long")})
+    """plan with each leaf's cut key, and what each row of that key gets; a leaf without a part epoch has none."""
+    found = plan.where("rest > 0").withColumns({"cut": F.lit(""), "start": F.lit(0).cast("long"), "rows": F.lit(0).cast("long")})
     for step in (1, 2, 3):
         size = DIGITS * step if step < 3 else 32
         within = sized.join(found, LEAF).withColumn("key", key_of(seed)).where(F.substring("key", 1, DIGITS * (step - 1)) == F.col("cut"))
-        sums = within.groupBy(*LEAF, "epochs", "rest", "start", F.substring("key", 1, size).alias("next")).agg(F.sum("n_tokens").alias("n"))
+        sums = within.groupBy(*LEAF, "epochs", "rest", "start", F.substring("key", 1, size).alias("next")).agg(F.sum("n_tokens").alias("n"), F.count_if(F.col("n_tokens") > 0).alias("rows"))
         through = F.col("start") + F.sum("n").over(Window.partitionBy(*LEAF).orderBy("next").rowsBetween(Window.unboundedPreceding, 0))
         placed = sums.withColumn("through", through).where((F.col("through") >= F.col("rest")) & (F.col("through") - F.col("n") < F.col("rest")))
-        found = stored(placed.select(*LEAF, "epochs", "rest", F.col("next").alias("cut"), (F.col("through") - F.col("n")).alias("start")), "cuts")
-    return plan.join(found.select(*LEAF, "cut", "start"), LEAF, "left")
+        found = stored(placed.select(*LEAF, "epochs", "rest", F.col("next").alias("cut"), (F.col("through") - F.col("n")).alias("start"), "rows"), "cuts")
+    return plan.join(found.select(*LEAF, "cut", F.expr("(rest - start) div rows").alias("each")), LEAF, "left")
 
 
 def taken(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     """rows (with their leaf and n_tokens) with whole_epochs, part_tokens and taken_tokens."""
-    part = F.when(F.col("key") < F.col("cut"), F.col("n_tokens")).when(F.col("key") == F.col("cut"), F.least("n_tokens", F.col("rest") - F.col("start"))).otherwise(F.lit(0))
+    part = F.when(F.col("key") < F.col("cut"), F.col("n_tokens")).when(F.col("key") == F.col("cut"), F.least("n_tokens", "each")).otherwise(F.lit(0))
     met = rows.join(plan, LEAF, "left").withColumn("key", key_of(seed)).withColumn("part_tokens", part.cast("long")).withColumn("whole_epochs", F.when(F.col("n_tokens") > 0, F.coalesce("epochs", F.lit(0))).otherwise(0).cast("long"))
-    return met.withColumn("taken_tokens", F.col("whole_epochs") * F.col("n_tokens") + F.col("part_tokens")).drop("tokens", "epochs", "rest", "cut", "start", "key")
+    return met.withColumn("taken_tokens", F.col("whole_epochs") * F.col("n_tokens") + F.col("part_tokens")).drop("tokens", "epochs", "rest", "cut", "each", "key", "digest")
 
 
 def planned(docs: DataFrame, fraction: float, max_epochs: int, seed: int, domains: dict[str, float], langs: dict[str, float], sources: dict[str, float]) -> tuple[DataFrame, DataFrame]:
@@ -150,14 +152,14 @@ def oracle_sql(fraction: float = 0.8, max_epochs: int = 3, seed: int = 7, domain
     return f"""
 WITH sized AS (
   SELECT doc_id, 'd' || (coalesce(try_cast(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) AS INTEGER), 0) % 4) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-    coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS n_tokens FROM documents),
+    coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS n_tokens, substr(md5(coalesce(text, '')), 1, 16) AS digest FROM documents),
 leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens)::DOUBLE * {max_epochs} AS cap FROM sized GROUP BY ALL HAVING sum(n_tokens) > 0),
 by_lang AS (SELECT domain, lang, sum(cap) AS cap FROM leaves GROUP BY ALL),
 by_domain AS (SELECT domain, sum(cap) AS cap, {case('domain', domains)} AS weight, sum(sum(cap)) OVER () / {max_epochs} * {fraction}::DOUBLE AS given FROM by_lang GROUP BY ALL),{level('d', 'by_domain', [], 'domain')},
 langs AS (SELECT l.domain, l.lang, l.cap, {case('l.lang', langs)} AS weight, d.budget AS given FROM by_lang l JOIN d_out d USING (domain)),{level('l', 'langs', ['domain'], 'lang')},
 sources AS (SELECT s.domain, s.lang, s.source, s.tokens, s.cap, 1.0::DOUBLE AS weight, l.budget AS given FROM leaves s JOIN l_out l USING (domain, lang)),{level('s', 'sources', ['domain', 'lang'], 'source')},
 plan AS (SELECT domain, lang, source, floor(budget + 1e-6)::BIGINT // tokens AS epochs, floor(budget + 1e-6)::BIGINT % tokens AS rest FROM s_out),
-keyed AS (SELECT z.*, epochs, rest, md5('{seed}:' || epochs || ':' || coalesce(doc_id::VARCHAR, '')) AS key FROM sized z LEFT JOIN plan USING (domain, lang, source)),
-run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sum(n_tokens) OVER (PARTITION BY domain, lang, source, key) AS start FROM keyed),
-done AS (SELECT *, CASE WHEN n_tokens > 0 THEN coalesce(epochs, 0) ELSE 0 END::BIGINT AS whole_epochs, greatest(0, least(n_tokens, coalesce(rest, 0) - start))::BIGINT AS part_tokens FROM run)
+keyed AS (SELECT z.*, epochs, rest, md5('{seed}:' || epochs || ':' || coalesce(doc_id::VARCHAR, '') || ':' || digest) AS key FROM sized z LEFT JOIN plan USING (domain, lang, source)),
+run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - sum(n_tokens) OVER (PARTITION BY domain, lang, source, key) AS start, count(*) OVER (PARTITION BY domain, lang, source, key) AS n_rows FROM keyed),
+done AS (SELECT *, CASE WHEN n_tokens > 0 THEN coalesce(epochs, 0) ELSE 0 END::BIGINT AS whole_epochs, greatest(0, least(n_tokens, (coalesce(rest, 0) - start) // n_rows))::BIGINT AS part_tokens FROM run)
 SELECT doc_id, domain, lang, source, n_tokens, whole_epochs, part_tokens, (whole_epochs * n_tokens + part_tokens)::BIGINT AS taken_tokens FROM done"""

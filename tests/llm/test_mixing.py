@@ -25,7 +25,7 @@ def plain(rows, fraction, most, seed):
     sized = []
     for i, t, lang, source in rows:
         m = re.search("([0-9]{1,9})$", source or "")
-        sized.append((i, f"d{int(m[1]) % 4 if m else 0}", lang or "", source or "", len(re.findall(mixing.WORD, t or ""))))
+        sized.append(((i, hashlib.md5((t or "").encode()).hexdigest()[:16]), f"d{int(m[1]) % 4 if m else 0}", lang or "", source or "", len(re.findall(mixing.WORD, t or ""))))
     leaves = {}
     for _, *leaf, n in sized:
         leaves[tuple(leaf)] = leaves.get(tuple(leaf), 0) + n
@@ -39,10 +39,10 @@ def plain(rows, fraction, most, seed):
     out = []
     for i, *leaf, n in sized:
         epochs, rest = plan.get(tuple(leaf), (0, 0))
-        key = lambda x: hashlib.md5(f"{seed}:{epochs}:{'' if x is None else x}".encode()).hexdigest()  # noqa: B023, E731
+        key = lambda x: hashlib.md5(f"{seed}:{epochs}:{'' if x[0] is None else x[0]}:{x[1]}".encode()).hexdigest()  # noqa: B023, E731
         start = sum(m for j, *other, m in sized if other == leaf and key(j) < key(i))
-        part = max(0, min(n, rest - start))
-        out.append((str(i), *leaf, n, epochs if n else 0, part, (epochs if n else 0) * n + part))
+        part = max(0, min(n, (rest - start) // sum(j == i and other == leaf for j, *other, _ in sized)))
+        out.append((str(i[0]), *leaf, n, epochs if n else 0, part, (epochs if n else 0) * n + part))
     return sorted(out)
 
 
@@ -59,3 +59,11 @@ def test_equals_plain_python(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0 and mixing.mixture(docs.limit(0), 0.5, 1).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_budgets_hold_when_one_row_or_identifier_repeats(spark):
+    rows = [(None, "same text of six words here", "en", "src0")] * 3000 + [(None, f"another text {i}", "en", "src0") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for fraction in (0.001, 0.3, 0.9):
+        got = [r.taken_tokens for r in mixing.mixed(docs, fraction, 1).collect()]
+        assert len(got) == 6000 and 0.6 * fraction * 27_000 - 3000 <= sum(got) <= fraction * 27_000
