@@ -6,7 +6,10 @@ size) gives each hit a diagonal: its position in the text less that in the
 template.  Hits vote for their diagonal, neighbouring diagonals that hold
 different parts of a template merge (words were inserted or left out), and a
 span counts if enough of its template's grams, compared word by word, are
-there.
+there.  Templates are notices and whole license texts, of any length.
+
+One pass over the texts makes all rows: besides its hits each document has one
+row of its own, with its number of words.
 
 Defined results: a null or empty text has no words; rows with the same
 identifier are scanned apart; equal rows get equal results; a null identifier
@@ -15,9 +18,13 @@ is an identifier; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from acervo.llm.common import stored
+
 #: The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -45,28 +52,52 @@ NOTICES = {
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl",
 }
 
+#: Whole license texts, as words.
+TEXTS = {
+    " ".join(re.findall("[a-z0-9]+", text.lower())): label
+    for label, text in {
+        "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+            to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+            The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+            THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+            AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+        "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+            THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+            INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+            PERFORMANCE OF THIS SOFTWARE.""",
+        "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
+            conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+            distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+            PURPOSE ARE DISCLAIMED.""",
+        "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software
+            for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the
+            original software.""",
+    }.items()
+}
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Templates of fewer words than LONG are voted for by 2-word grams, others by 4-word ones.
 LONG = 6
+#: The template of a document's own row.
+OWN = -1
 #: Diagonals at most GAP apart merge; a span needs this share of its template's grams.
 GAP, COVERAGE = 2, 0.7
 
 
 def gram_rows() -> list[tuple]:
-    """(template, label, base, number of grams, gram length, place, the gram's words). A template has 63 grams at most, so that a long's bits hold them."""
+    """(template, label, base, number of grams, gram length, place, the gram's words)."""
     out = []
-    for i, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items()]):
+    for i, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items(), *TEXTS.items()]):
         w = phrase.split()
         k = 2 if len(w) < LONG else 4
         n = len(w) - k + 1
-        assert 1 <= n <= 63
         out += [(i, label, i < len(BASE), n, k, j, w[j : j + k]) for j in range(n)]
     return out
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(gram_rows(), "template int, label string, base boolean, n_grams int, k int, place int, gram array<string>")
+    rows = spark.createDataFrame([*gram_rows(), (OWN, None, None, 0, 0, 0, [])], "template int, label string, base boolean, n_grams int, k int, place int, gram array<string>")
     return rows.withColumn("hash", hash_of(F.col("k"), *[F.get("gram", F.lit(j)) for j in range(4)]))
 
 
@@ -84,29 +115,27 @@ def words_of(text: Column) -> Column:
 
 
 def hits(docs: DataFrame) -> DataFrame:
-    """One row for each place of a text where a template's gram stands."""
+    """One row for each document, and one for each place of a text where a template's gram stands."""
     words = docs.select("doc_id", F.xxhash64("text").alias("digest"), words_of(F.col("text")).alias("words"))
-    last = F.size("words") - 2
-    places = words.select("*", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("pos"))
+    places = words.select("*", F.explode(F.sequence(F.lit(-1), F.greatest(F.lit(-1), F.size("words") - 2))).alias("pos"))
     word = lambda j: F.get("words", F.col("pos") + j)
+    own = F.col("pos") < 0
     two, four = hash_of(F.lit(2), word(0), word(1)), hash_of(F.lit(4), *[word(j) for j in range(4)])
-    grams = places.select("*", F.explode(F.array(two, four)).alias("hash"))
-    found = grams.join(F.broadcast(templates(docs.sparkSession)), "hash")
-    return found.where(F.slice("words", F.col("pos") + 1, F.col("k")) == F.col("gram")).select("doc_id", "digest", "template", "label", "base", "n_grams", "k", "place", (F.col("pos") - F.col("place")).alias("diagonal"))
+    grams = places.select("*", F.explode(F.array(F.when(own, hash_of(F.lit(0), *[F.lit(None).cast("string")] * 4)).otherwise(two), F.when(~own, four))).alias("hash"))
+    found = grams.join(F.broadcast(templates(docs.sparkSession)), "hash").where(F.slice("words", F.greatest(F.lit(1), F.col("pos") + 1), F.col("k")) == F.col("gram"))
+    return found.select("doc_id", "digest", F.size("words").cast("long").alias("n_words"), "template", "label", "base", "n_grams", "k", "place", (F.col("pos") - F.col("place")).alias("diagonal"))
 
 
-def spans(docs: DataFrame) -> DataFrame:
+def spans(found: DataFrame) -> DataFrame:
     """The templates' verified spans: first and last word, share of grams found, and whether it is a base phrase word by word."""
     key = ["doc_id", "digest", "template", "label", "base", "n_grams", "k"]
-    bit = F.expr("shiftleft(1L, place)")
-    votes = hits(docs).groupBy(*key, "diagonal").agg(F.bit_or(bit).alias("mask"), F.min("place").alias("from_place"), F.max("place").alias("to_place"))
+    votes = found.where(F.col("template") != OWN).groupBy(*key, "diagonal").agg(F.collect_set("place").alias("places"), F.min("place").alias("from_place"), F.max("place").alias("to_place"))
     along = Window.partitionBy("doc_id", "digest", "template").orderBy("diagonal")
-    before = F.lag("mask").over(along)
-    apart = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(along) > GAP) | (before.bitwiseAND(F.col("mask")) != 0), F.lit(True))
+    apart = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(along) > GAP) | F.arrays_overlap(F.lag("places").over(along), "places"), F.lit(True))
     merged = votes.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(along)).groupBy(*key, "span").agg(
-        F.bit_or("mask").alias("mask"), F.min(F.col("diagonal") + F.col("from_place")).alias("first"), F.max(F.col("diagonal") + F.col("to_place") + F.col("k") - 1).alias("last"), F.count("*").alias("n_diagonals")
+        F.collect_set("places").alias("sets"), F.min(F.col("diagonal") + F.col("from_place")).alias("first"), F.max(F.col("diagonal") + F.col("to_place") + F.col("k") - 1).alias("last"), F.count("*").alias("n_diagonals")
     )
-    share = F.bit_count("mask") / F.col("n_grams")
+    share = F.size(F.array_distinct(F.flatten("sets"))) / F.col("n_grams")
     exact = F.col("base") & (share == 1) & (F.col("n_diagonals") == 1)
     return merged.select("doc_id", "digest", "label", F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), share.alias("score"), exact.alias("exact")).where((F.col("score") >= COVERAGE) & (~F.col("base") | F.col("exact")))
 
@@ -115,12 +144,12 @@ def scanned(docs: DataFrame) -> DataFrame:
     """Every document with its base places, labels and best score."""
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     exact = F.col("exact")
-    found = spans(docs).groupBy("doc_id", "digest").agg(
+    rows = stored(hits(docs), "hits")
+    found = spans(rows).groupBy("doc_id", "digest").agg(
         F.count_if(exact).alias("n_base"), F.min(F.when(exact, F.col("first"))).alias("first_word"), F.max(F.when(exact, F.col("first"))).alias("last_word"),
         joined(F.when(exact, F.col("label"))).alias("base_labels"), joined("label").alias("labels"), F.max("score").alias("score"),
     ).withColumnsRenamed({"doc_id": "found_id", "digest": "found_digest"})
-    counted = docs.select("doc_id", F.xxhash64("text").alias("digest"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    out = counted.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest")), "left")
+    out = rows.where(F.col("template") == OWN).join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest")), "left")
     empty = {"n_base": F.lit(0), "base_labels": F.lit(""), "labels": F.lit(""), "score": F.lit(0.0)}
     return out.select("doc_id", "n_words", *[F.coalesce(c, empty[c]).alias(c) if c in empty else c for c in ("n_base", "first_word", "last_word", "base_labels", "labels", "score")])
 
@@ -134,14 +163,14 @@ texts AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPE
 places AS (SELECT doc_id, words, unnest(range(len(words))) AS pos FROM texts),
 grams AS (SELECT doc_id, pos, k, words[pos + 1 : pos + k] AS gram FROM places, (VALUES (2), (4)) AS ks(k)),
 votes AS (
-  SELECT doc_id, template, label, base, n_grams, g.k, pos - place AS diagonal, bit_or(1::BIGINT << place) AS mask, min(place) AS from_place, max(place) AS to_place
+  SELECT doc_id, template, label, base, n_grams, g.k, pos - place AS diagonal, list(DISTINCT place) AS places, min(place) AS from_place, max(place) AS to_place
   FROM grams g JOIN templates t ON g.k = t.k AND g.gram = t.gram GROUP BY ALL),
 marked AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {GAP} AND (lag(mask) OVER w & mask) = 0 THEN 0 ELSE 1 END AS apart
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {GAP} AND NOT list_has_any(lag(places) OVER w, places) THEN 0 ELSE 1 END AS apart
   FROM votes WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
 numbered AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
 merged AS (
-  SELECT doc_id, template, label, base, span, bit_count(bit_or(mask)) / n_grams AS score, min(diagonal + from_place) AS first, count(*) AS n_diagonals
+  SELECT doc_id, template, label, base, span, len(list_distinct(flatten(list(places)))) / n_grams AS score, min(diagonal + from_place) AS first, count(*) AS n_diagonals
   FROM numbered GROUP BY doc_id, template, label, base, n_grams, span),
 spans AS (
   SELECT *, base AND score = 1 AND n_diagonals = 1 AS exact FROM merged
