@@ -17,7 +17,8 @@ holds it wherever they and the rest follow each other, so an item of one
 common word is found in every document with that word.
 
 Benchmark windows go to the documents' tasks as hashes if they are at most
-MOST_HASHES; if there are more, the documents' windows are shuffled to them.
+MOST_HASHES, and as a bit table of bounded size if there are more; either way
+only windows that may be in the benchmark leave the tasks, and the join decides.
 
 Defined results: null or empty texts have no windows; an item without words
 is never found, one without a good window only as a whole; repeated rows are judged alike; repeated items are one; texts that share an
@@ -37,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
+from acervo.llm.bits import Bits, bit_table
 from acervo.llm.common import stored
 
 WINDOW = 8
@@ -149,8 +151,20 @@ class Templates:
 HITS = "doc_id long, digest long, at array<int>, print array<long>, template array<array<string>>, slots array<array<string>>"
 
 
-def windows(rows: DataFrame, window: int = WINDOW, only: np.ndarray | None = None, unseen: bool = False, sought: Sought | None = None) -> DataFrame:
-    """For every row of (doc_id, text): its good windows, or those whose hashes are in `only` (sorted).
+class Sorted:
+    """Hashes, sorted."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = hashes
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(h), bool)
+        return self.hashes[np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)] == h
+
+
+def windows(rows: DataFrame, window: int = WINDOW, only: Sorted | Bits | None = None, unseen: bool = False, sought: Sought | None = None) -> DataFrame:
+    """For every row of (doc_id, text): its good windows, or those whose hashes may be in `only`.
 
     unseen: a row without any has all its words as one; sought: rows have those of whole items too."""
     sent = rows.sparkSession.sparkContext.broadcast((only, sought))
@@ -162,8 +176,7 @@ def windows(rows: DataFrame, window: int = WINDOW, only: np.ndarray | None = Non
             t = Templates(b.column("text"), window)
             k = np.flatnonzero(t.good)
             if known is not None:
-                place = np.minimum(np.searchsorted(known, t.prints[k]), max(0, len(known) - 1))
-                k = k[known[place] == t.prints[k]] if len(known) else k[:0]
+                k = k[known.has(t.prints[k])]
             row = t.words.doc[k]
             found = [t.window_at(i, window) for i in k.tolist()]
             at, prints = (k - t.words.starts[row]).tolist(), tx.signed(t.prints[k]).tolist()
@@ -209,7 +222,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: i
     texts = benchmark.select(F.col("item_id").alias("doc_id"), "text").distinct()
     items = stored(exploded(windows(texts, window, unseen=whole), "doc_id", "digest").withColumnsRenamed({"doc_id": "item_id", "digest": "item_digest", "at": "place", "template": "expected", "slots": "values"}).withColumnRenamed("print", "item_print"), "items")
     n = items.count()
-    only = np.unique(items.select("item_print").toArrow()["item_print"].to_numpy().astype(np.int64).view(np.uint64)) if n <= most else None
+    only = Sorted(np.unique(items.select("item_print").toArrow()["item_print"].to_numpy().astype(np.int64).view(np.uint64))) if n <= most else bit_table(items.select("item_print"))
     found = stored(windows(docs, window, only, sought=sought_in(items, n, window, most) if whole else None), "hits")
     of_item = items.groupBy(F.col("item_id").alias("of_item"), F.col("item_digest").alias("of_digest")).agg(F.count("*").alias("n_windows"))
     hits = exploded(found, "doc_id", "digest").join(items, (F.col("print") == F.col("item_print")) & (F.col("template") == F.col("expected")))
