@@ -196,13 +196,14 @@ def fit(x: np.ndarray, y: np.ndarray, monotone: list[int], trees: int = 40, dept
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> QualityModel | None:
-    """Fits on at most `most` labelled documents.  A document with several labels takes the worst."""
+    """Fits on at most `most` labelled documents.  A document with several labels takes the worst; of several texts of an identifier one is taken."""
     sample = (
         labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("double")).alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-    rows = statistics(found, ["quality"]).select(*FEATURES, "quality").toArrow()
+    measured = F.struct(*FEATURES, "quality")  # one row an identifier, however many texts share it
+    rows = statistics(found, ["quality"]).groupBy("doc_id").agg(F.min(measured).alias("m")).select("doc_id", "m.*").toArrow().sort_by("doc_id")
     if not rows.num_rows:
         return None
     x = np.stack([rows[c].to_numpy() for c in FEATURES], 1)
