@@ -13,9 +13,10 @@ The corpus becomes blocks of documents with each distinct word once, which
 are tokenised once and read by all later passes.  Counts are summed over all
 training documents.  Each round of training reads its own slice of the blocks
 of all training documents: tasks take AdaGrad steps from the same weights and
-the weighted mean of their changes is added, tree-wise.  A model has a fixed
-size (4 MB); words and counts never go to the driver, but meet each block by a
-join.
+the weighted mean of their changes is added.  The changes travel in slices,
+which are summed by slice, so that the driver gets one table however many tasks
+there are.  A model has a fixed size (4 MB); words and counts never go to the
+driver, but meet each block by a join.
 
 Defined results: a null or empty text is one token, the end; a null
 identifier is held out; rows are scored apart; without training documents all
@@ -44,6 +45,8 @@ END = xxhash.xxh64_intdigest(b"\n")
 CLASSES, MEMBERS, ROWS = 16, 16, 1 << 15
 BLOCK_BYTES = 4 << 20
 ROUNDS, RATE, STEP_TOKENS = 3, 0.15, 16_384
+#: The change of the weights travels in so many slices; a task of training takes so many partitions of blocks.
+SLICES, TOGETHER = 16, 4
 #: A word's place in a block and its block share one number: so many bits for the place, and for the block's number in its task.
 PLACE_BITS, SEQ_BITS = 27, 12
 #: Fixed values of the base score.
@@ -197,19 +200,30 @@ def trained(found: DataFrame, bias: tuple[np.ndarray, np.ndarray], rounds: int =
             old = sent.value  # noqa: B023
             classes, members, n = stepped((b for b, _ in read(batches)), old, rate)
             change = np.concatenate([(classes - old.classes).ravel(), (members - old.members).ravel()]) * np.float32(n)
-            yield pa.RecordBatch.from_arrays([pa.array([change.tobytes()] * (n > 0), pa.binary()), pa.array([n] * (n > 0), pa.int64())], ["change", "n"])
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in np.split(change, SLICES)], pa.binary()), pa.array([n] * SLICES, pa.int64())], ["slice", "change", "n"])
 
         part = found.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == i).select("block", "doc_ids", "held", "starts", "codes", "words")
-        sums = part.mapInArrow(run, "change binary, n long").rdd.map(lambda r: (np.frombuffer(r.change, np.float32), r.n))
-        change, n = sums.treeAggregate((np.zeros(ROWS * (CLASSES + MEMBERS), np.float32), 0), added, added)
-        if n:
-            change = change / np.float32(n)
+        part = part.coalesce(max(1, part.rdd.getNumPartitions() // TOGETHER))
+        sums = part.mapInArrow(run, CHANGE).repartition(SLICES, "slice").mapInArrow(added, CHANGE).toArrow().sort_by("slice")
+        if sums.num_rows:
+            change = np.concatenate([np.frombuffer(x, np.float32) for x in sums["change"].to_pylist()]) / np.float32(sums["n"][0].as_py())
             model = model._replace(classes=model.classes + change[: ROWS * CLASSES].reshape(ROWS, CLASSES), members=model.members + change[ROWS * CLASSES :].reshape(ROWS, MEMBERS))
     return model
 
 
-def added(a: tuple, b: tuple) -> tuple:
-    return a[0] + b[0], a[1] + b[1]
+CHANGE = "slice int, change binary, n long"
+
+
+def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums the changes of each slice."""
+    change: dict[int, np.ndarray] = {}
+    n: dict[int, int] = {}
+    for b in batches:
+        for i, x, k in zip(b.column("slice").to_pylist(), b.column("change"), b.column("n").to_pylist(), strict=True):
+            x = np.frombuffer(x.as_buffer(), np.float32)
+            change[i], n[i] = (change[i] + x if i in change else x.copy()), n.get(i, 0) + k
+    yield pa.RecordBatch.from_arrays([pa.array(list(change), pa.int32()), pa.array([x.tobytes() for x in change.values()], pa.binary()), pa.array(list(n.values()), pa.int64())], ["slice", "change", "n"])
 
 
 def counted(found: DataFrame) -> DataFrame:
