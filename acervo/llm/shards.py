@@ -1,7 +1,8 @@
 """Token-ID output as sorted-string-table shards.
 
-Documents are ranged by identifier over the tasks, each of which encodes its
-texts and writes shards in key order.  A shard is
+Documents are ranged by identifier and text over the tasks, each of which
+encodes its texts and writes shards in key order; a shard ends at SHARD_BYTES
+or SHARD_DOCS.  A shard is
 
     data blocks | block index | Bloom filter | footer
 
@@ -26,6 +27,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -43,7 +45,9 @@ from acervo.llm.common import new_folder, stored
 MAGIC = b"ACSST001"
 #: index offset and bytes, filter offset and bytes, documents, ids, bytes an id; then MAGIC.
 FOOTER = "<7Q"
-BLOCK_BYTES, SHARD_BYTES = 256 << 10, 64 << 20
+BLOCK_BYTES, SHARD_BYTES, SHARD_DOCS = 256 << 10, 64 << 20, 1 << 18
+#: So many documents of a shard are read at a time.
+READ_DOCS = 1 << 14
 BLOOM_BITS, BLOOM_HASHES = 10, 7
 
 MANIFEST = "path string, part int, seq int, n_docs long, n_ids long, first_id long, last_id long, bytes long"
@@ -207,19 +211,13 @@ class Encoded(NamedTuple):
     starts: np.ndarray
 
 
-#: A worker keeps the ids of at most so many pieces of words.
+#: Whose store of a worker this is, and the most pieces of words whose ids it keeps (about 90 MB).
+OWNER = "shards"
 KEPT_PIECES = 700_000
 #: ASCII punctuation that ends a word after a letter or digit, without the apostrophe.
 TAIL = r"([\pL\pN])[!-&(-/:-@\[-`{-~]+$"
 
 
-def worker_store() -> dict:
-    """A dict that lives as long as this Python worker, which runs many tasks."""
-    import tokenizers
-
-    return tokenizers.__dict__.setdefault("_acervo_store", {})
-
-
 def pieces(uniq: pa.Array) -> tuple[list[str], list[str]]:
     """Each word in lower case as its body and the punctuation that ends it, which are encoded apart with the same result; words that may hold a special token stay as they are."""
     special = pc.match_substring(uniq, "<|")
@@ -236,7 +234,7 @@ def encoder(tokenizer: str, end_id: int) -> Callable[[pa.Array], Encoded]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    store = worker_store()
+    store = tx.kept(OWNER)
     if store.get("file") != tokenizer:
         store |= {"file": tokenizer, "tok": Tokenizer.from_file(tokenizer), "ids": {"": b""}}
     tok, known = store["tok"], store["ids"]
@@ -274,7 +272,7 @@ def vocabulary(tokenizer: str) -> int:
     return Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """Writes the shards and returns their manifest, one row a shard in key order.
 
     A task that runs twice writes the same names; a file gets its name only when complete.
@@ -296,7 +294,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
             rows.append((f"{folder}/{name}", part, seq - 1, len(writer.keys), writer.ids, first, last, size))
             writer = None
 
-        for b in tx.sliced(batches, limit=8 << 20):
+        for b in tx.sliced(batches, limit=8 << 20, owner=OWNER):
             ids, starts = encode(b.column("text"))
             for i, doc_id in enumerate(b.column("doc_id").to_pylist()):
                 if writer is None:
@@ -306,14 +304,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
                     writer, seq = ShardWriter(out, width), seq + 1
                 writer.add(key_of(doc_id), ids[starts[i] : starts[i + 1]])
                 last = doc_id
-                if writer.at >= SHARD_BYTES:
+                if writer.at >= SHARD_BYTES or len(writer.keys) >= shard_docs:
                     close()
         if writer is not None:
             close()
         yield pa.RecordBatch.from_pylist([dict(zip(MANIFEST_NAMES, r, strict=True)) for r in rows], MANIFEST_SCHEMA)
 
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return stored(ranged.mapInArrow(run, MANIFEST), "manifest")
+    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest")).repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest")
+    return stored(ranged.select("doc_id", "text").mapInArrow(run, MANIFEST), "manifest")
 
 
 MANIFEST_NAMES = [c.split()[0] for c in MANIFEST.split(", ")]
@@ -329,12 +327,13 @@ def read(manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, start in zip(b.column("path").to_pylist(), b.column("start").to_pylist(), strict=True):
-                reader, rows = ShardReader(path), []
-                for key, ids in reader:
-                    rows.append((id_of(key), start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                    start += len(ids)
-                cols = zip(*rows, strict=True) if rows else [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                shard = iter(ShardReader(path))
+                while some := list(islice(shard, READ_DOCS)):
+                    n_ids = np.array([len(ids) for _, ids in some], np.int64)
+                    starts = start + np.cumsum(n_ids) - n_ids
+                    start += int(n_ids.sum())
+                    crc = [zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in some]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in ([id_of(key) for key, _ in some], starts, n_ids, crc)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return shards.repartitionByRange(n, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -6,6 +6,8 @@ ones (space, tab, line feed, vertical tab, form feed, carriage return).
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -35,8 +37,28 @@ def texts(column) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+#: What one operator keeps for as long as a Python worker lives, which runs the tasks of many.
+KEPT: dict = {}
+
+
+def kept(owner: str) -> dict:
+    """The dict of this operator; another's is given up."""
+    if KEPT.get("owner") != owner:
+        KEPT.clear()
+        KEPT["owner"] = owner
+    return KEPT
+
+
+def release() -> None:
+    """Gives memory that freed batches have left in a worker back to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, owner: str = "") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most `limit` bytes of text (a longer text makes one of its own), so that memory follows `limit`."""
+    kept(owner)
     for b in batches:
         if not b.num_rows:
             continue
@@ -48,6 +70,8 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(at + 1, int(np.searchsorted(total, before + limit, side="right")))
             yield b.slice(at, end - at)
             at = end
+        del b
+        release()
 
 
 def words(column, lower: bool = False) -> Words:

@@ -55,3 +55,14 @@ def test_table(spark):
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.ids_crc32) for r in out) == want
     assert [r.doc_id for r in sorted(out, key=lambda r: r.start)] == [None, -3, 5, 5, 7, 9]
     assert shards.tokenized(docs.limit(0), FILE, 1).count() == 0
+
+
+def test_many_tiny_texts_make_bounded_shards(spark, monkeypatch):
+    docs = spark.range(60_000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 7, id)) AS doc_id", "if(id % 2 = 0, '', cast(id AS string)) AS text")
+    folder = shards.new_folder(spark, "shards")
+    manifest = shards.write(docs, folder, FILE, 1, shard_docs=5000)
+    assert manifest.agg({"n_docs": "sum"}).first()[0] == 60_000 and all(r.n_docs <= 5000 for r in manifest.collect())
+    assert manifest.where("first_id = 7 and last_id = 7").count() > 1  # one identifier in several shards
+    out = shards.read(manifest).toPandas().sort_values("start")
+    assert len(out) == 60_000 and (out.start.diff().iloc[1:] == out.n_tokens.iloc[:-1].to_numpy()).all()
+    assert (out.doc_id.fillna(-1).diff().iloc[1:] >= 0).all()
