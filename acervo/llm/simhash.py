@@ -32,11 +32,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
-from acervo.llm.common import stored
+from acervo.llm.bits import Bits, bit_table
+from acervo.llm.common import erase, stored
 from acervo.llm.components import components
 
 #: Fixed values of the fingerprint.
@@ -48,9 +49,11 @@ PLAN_SAMPLE = 3000
 PROBE_COST = 30
 #: A key with more fingerprints than this gets a pivot.
 DENSE = 128
-#: About so many texts, those with certain hashes, tell which shingles are common: those that so many of them have.
-#: They bear on the order of shingles alone, never on which links are found.
-COMMON_SAMPLE, COMMON_LEAST = 10_000, 4
+#: The same for candidates of near texts, each of which is decided by whole sets.
+NEAR_DENSE = 8
+#: One of so many texts, by their hashes, tells which shingles are common: those that so many of them have, the
+#: most common first if there are more than COMMON_MOST (24 MB).  They bear on the order of shingles alone, never on which links are found.
+COMMON_EVERY, COMMON_LEAST, COMMON_MOST = 20, 4, 2_000_000
 
 
 #: So many hashes are unpacked into bits at a time (about 40 MB).
@@ -216,26 +219,19 @@ class Near(NamedTuple):
     """What makes two texts near-duplicates, and how candidates are found.
 
     Texts are near if their sets of `words`-word shingles have at least this
-    similarity (Jaccard).  An edited word changes `words` shingles but only two
-    word pairs, so fingerprints of word pairs find the candidates: at most
-    `radius` bits apart there, and `wide_radius` in fingerprints of the
-    shingles themselves, which leaves few candidates that aren't near.  Blocks
-    of words appended, cut off or replaced change both alike, so pairs that
-    these leave in different groups are found by their rarest shingles: near
-    texts share at least `similarity` of the n that either has, so one of the
-    first n - ceil(similarity * n) + 1 in any common order.
-    Similarity is exact.  The `sketch` smallest hashes of each set are the whole
-    set for texts of so many distinct shingles; of longer ones they settle only
-    pairs whose estimate is outside `unsure`, which a pair on the other side of
-    the threshold reaches with a chance below 1e-9.  Whole sets decide the rest.
+    similarity (Jaccard).  Fingerprints of word pairs (an edited word changes
+    `words` shingles but only two pairs) link most copies: those at most
+    `radius` bits apart.  All other near texts meet by their rarest shingles:
+    of n shingles, the first n - ceil(similarity * n) + 1 in any common order.
+    Texts of a and b shingles that are near have at least
+    o = similarity / (1 + similarity) * (a + b) in common, and so at least
+    o - ceil(similarity * max(a, b)) + 1 of their rarest; fewer make no pair.
+    Whole sets of shingles decide every pair.
     """
 
     words: int = 5
     similarity: float = 0.8
-    radius: int = 8
-    wide_radius: int = 14
-    sketch: int = 256
-    unsure: tuple[float, float] = (0.6, 0.95)
+    radius: int = 4
 
 
 def rolled(w: tx.Words, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -265,27 +261,35 @@ def fresh(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return first
 
 
-def sets(docs: DataFrame, near: Near) -> DataFrame:
-    """Every row's node and its whole set of shingles."""
+def distinct_shingles(w: tx.Words, near: Near) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all shingles and where each text's begin; of the distinct ones, sorted within each text, the hashes and the texts."""
+    h, starts = rolled(w, near.words, 2)
+    doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    order = np.lexsort((h, doc))
+    k = order[fresh(h[order], doc[order])]
+    return h, starts, h[k], doc[k]
+
+
+def sets(docs: DataFrame, near: Near, only: Bits | None = None) -> DataFrame:
+    """Every row's node and its whole set of shingles; only: rows whose texts may be among these alone."""
+    sent = docs.sparkSession.sparkContext.broadcast(only)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
+            if sent.value is not None:
+                b = b.filter(pa.array(sent.value.has(b.column("digest").to_numpy().view(np.uint64))))
             w = tx.words(b.column("text"), lower=True)
-            h, starts = rolled(w, near.words, 2)
-            doc = np.repeat(np.arange(b.num_rows), np.diff(starts))
-            order = np.lexsort((h, doc))
-            k = order[fresh(h[order], doc[order])]
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[k], minlength=b.num_rows))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(node_of(w))), pa.ListArray.from_arrays(offsets, pa.array(tx.signed(h[k])))], ["node", "shingles"])
+            _, _, h, doc = distinct_shingles(w, near)
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=b.num_rows))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(node_of(w))), pa.ListArray.from_arrays(offsets, pa.array(tx.signed(h)))], ["node", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "node long, shingles array<long>")
+    return docs.select(F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "node long, shingles array<long>")
 
 
 def common(docs: DataFrame, near: Near) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of several sampled texts, sorted, and how many have each."""
-    every = max(1, docs.count() // COMMON_SAMPLE)
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text").distinct()
-    found = sets(some, near).select(F.explode("shingles").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_LEAST).toArrow()
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(COMMON_EVERY)) == 0).select("text").distinct()
+    found = sets(some, near).select(F.explode("shingles").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_LEAST).orderBy(F.desc("n"), "key").limit(COMMON_MOST).toArrow()
     key, n = found["key"].to_numpy().astype(np.int64).view(np.uint64), found["n"].to_numpy().astype(np.int32)
     order = np.argsort(key)
     return key[order], n[order]
@@ -306,141 +310,98 @@ def rarest(h: np.ndarray, doc: np.ndarray, size: np.ndarray, often: tuple[np.nda
 
 
 def texts(docs: DataFrame, near: Near, often: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0, np.int32))) -> DataFrame:
-    """Every row's two fingerprints, number of distinct shingles, sketch and rarest shingles; node is a hash of its words in lower case."""
+    """Every row's fingerprint, number of distinct shingles and rarest ones; node is a hash of its words in lower case."""
     sent = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
             w = tx.words(b.column("text"), lower=True)
-            pairs, shingles = rolled(w, 2, 1), rolled(w, near.words, 2)
-            h, starts = shingles
-            ids = np.arange(len(starts) - 1)
-            doc = np.repeat(ids, np.diff(starts))
-            order = np.lexsort((h, doc))
-            k = order[fresh(h[order], doc[order])]
-            size = np.bincount(doc[k], minlength=len(ids))
-            rare, cut = rarest(h[k], doc[k], size, sent.value, near.similarity)
-            low = (h[order] >> np.uint64(32) ^ np.uint64(1 << 31)).astype(np.uint32).view(np.int32)  # in the order of signed numbers
-            sketches = []
-            for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                x = low[i:j]
-                sketches.append(x[np.concatenate([[True], x[1:] != x[:-1]])][: near.sketch] if j > i else x)
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
-            sketch = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sketches) if sketches else np.empty(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(tx.signed(node_of(w))), pa.array(tx.signed(voted(*pairs))), pa.array(tx.signed(voted(h, starts))), pa.array(size.astype(np.int32)), sketch, pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(tx.signed(rare)))], ["doc_id", "digest", "node", "fp", "wide", "size", "sketch", "rare"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, node long, fp long, wide long, size int, sketch array<int>, rare array<long>")
-
-
-def alike(a: Column, b: Column, most: Column) -> Column:
-    """Similarity of two sets by their sketches: of the `most` smallest of the union, the share that both have."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, most)
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(union, F.array_intersect(a, b))) / F.size(union))
-
-
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """The pairs (u, v) of nodes that are near; only sketches of nodes in pairs are shuffled to them."""
-    few = stored(nodes.join(ends(pairs), F.col("node") == F.col("end"), "left_semi").select("node", "size", "sketch"), "sketches")
-    of = lambda c: few.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    whole = F.greatest("size_u", "size_v") <= near.sketch
-    low, high = near.unsure
-    share = alike(F.col("sketch_u"), F.col("sketch_v"), F.when(whole, 2 * near.sketch).otherwise(near.sketch))
-    judged = stored(pairs.join(of("u"), "u").join(of("v"), "v").where(F.least("size_u", "size_v") >= near.similarity * F.greatest("size_u", "size_v") - 1e-9).select("u", "v", whole.alias("whole"), share.alias("share")).where(F.when(F.col("whole"), F.col("share") >= near.similarity).otherwise(F.col("share") > low)), "judged")
-    sure = F.col("whole") | (F.col("share") >= high)
-    return judged.where(sure).select("u", "v").unionAll(exact(judged.where(~sure).select("u", "v"), nodes, docs, near))
-
-
-def ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("u").alias("end")).unionAll(pairs.select("v")).distinct()
+            _, _, h, doc = distinct_shingles(w, near)
+            size = np.bincount(doc, minlength=b.num_rows)
+            rare, cut = rarest(h, doc, size, sent.value, near.similarity)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(tx.signed(node_of(w))), pa.array(tx.signed(voted(*rolled(w, 2, 1)))), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(tx.signed(rare)))], ["doc_id", "digest", "node", "fp", "size", "rare"])
 
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text").mapInArrow(run, "doc_id long, digest long, node long, fp long, size int, rare array<long>")
 
-def exact(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """The pairs whose whole sets are near; the sets are made again from one text of each node in pairs."""
-    if pairs.isEmpty():
-        return pairs
-    wanted = nodes.join(ends(pairs), F.col("node") == F.col("end"), "left_semi").select(F.col("digest").alias("of_digest"))
-    chosen = docs.select("text").join(wanted, F.xxhash64("text") == F.col("of_digest"), "left_semi").distinct()
-    few = stored(sets(chosen, near).dropDuplicates(["node"]), "sets")
-    of = lambda c: few.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
-    both = F.size(F.array_intersect("set_u", "set_v"))
-    return stored(pairs.join(of("u"), "u").join(of("v"), "v").where(both / (F.size("set_u") + F.size("set_v") - both) >= near.similarity).select("u", "v"), "exact")
 
+def ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
 
-def near_links(nodes: DataFrame, docs: DataFrame, near: Near, dense: int = DENSE) -> DataFrame:
-    """Links (u, v) of near nodes, enough to join all that are linked directly or by way of others."""
-    n = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(PLAN_SAMPLE).select("fp").toArrow()["fp"].to_numpy().astype(np.int64).view(np.uint64)
-    parts = plan(sample, n, near.radius)
-    slim = nodes.select("node", "fp", "wide")
-    one = lambda i, p: slim.select(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(as_signed(p.mask))).alias("key"), "node", "fp", "wide")
-    index = reduce(DataFrame.unionAll, [one(i, p) for i, p in enumerate(parts)])
-    probe = reduce(
-        DataFrame.unionAll,
-        [one(i, p).withColumn("flip", F.explode(F.array(*[F.lit(as_signed(f)) for f in p.flips]))).select("part", F.col("key").bitwiseXOR(F.col("flip")).alias("key"), "node", "fp", "wide") for i, p in enumerate(parts)],
-    )
-    close = lambda a, b: (F.bit_count(F.col(f"{a}fp").bitwiseXOR(F.col(f"{b}fp"))) <= near.radius) & (F.bit_count(F.col(f"{a}wide").bitwiseXOR(F.col(f"{b}wide"))) <= near.wide_radius)
-    ordered = lambda df, a, b: df.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    pivots = stored(index.groupBy("part", "key").agg(F.min(F.struct("node", "fp", "wide")).alias("p"), F.count("*").alias("n")).where(F.col("n") > dense).select("part", "key", F.col("p.node").alias("p_node"), F.col("p.fp").alias("p_fp"), F.col("p.wide").alias("p_wide")), "pivots")
-    if pivots.isEmpty():
-        held, index, probe = None, index.withColumn("held", F.lit(False)), probe.withColumn("held", F.lit(False))
-    else:
-        met = index.join(pivots, ["part", "key"]).where((F.col("node") != F.col("p_node")) & close("", "p_"))
-        held = stored(verified(stored(ordered(met, "node", "p_node").distinct(), "stars"), nodes, docs, near), "held")
-        both = held.select(F.col("u").alias("h_node"), F.col("v").alias("h_pivot")).unionAll(held.select("v", "u"))
-
-        def marked(df: DataFrame) -> DataFrame:
-            by_pivot = df.join(pivots.select("part", "key", "p_node"), ["part", "key"], "left")
-            return by_pivot.join(both, (F.col("node") == F.col("h_node")) & (F.col("p_node") == F.col("h_pivot")), "left").withColumn("held", F.coalesce(F.col("node") == F.col("p_node"), F.lit(False)) | F.col("h_node").isNotNull())
-
-        index, probe = marked(index), marked(probe)
-
-    def compared(left: DataFrame, right: DataFrame) -> DataFrame:
-        name = lambda df, x: df.select("part", "key", F.col("node").alias(f"{x}node"), F.col("fp").alias(f"{x}fp"), F.col("wide").alias(f"{x}wide"))
-        left, right = name(left, "l_"), name(right, "r_")
-        return ordered(left.join(right, (left.part == right.part) & (left.key == right.key) & (F.col("l_node") != F.col("r_node")) & close("l_", "r_")), "l_node", "r_node")
 
-    free = ~F.col("held")
-    pairs = compared(index.where(free), probe)
-    if held is not None:
-        pairs = pairs.unionAll(compared(index.where("held"), probe.where(free)))
-    links = verified(stored(pairs.distinct(), "candidates"), nodes, docs, near)
-    return links if held is None else links.unionAll(held).distinct()
-
-
-def missed(nodes: DataFrame, roots: DataFrame, near: Near) -> DataFrame:
-    """Pairs (u, v) of nodes of different roots that share one of their rarest shingles and whose sizes allow them to be near.
-
-    A shingle of one root alone makes no pairs; of others, nodes of its largest root meet only the rest."""
-    large = roots.groupBy("root").agg(F.count("*").alias("n"))
-    known = roots.join(large, "root").withColumnRenamed("node", "of_node")
-    rows = nodes.join(known, F.col("node") == F.col("of_node"), "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("n", F.lit(1)).cast("int").alias("n"), "size", F.explode("rare").alias("key"))
-    held = rows.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.min("root").alias("least"), F.max("root").alias("last")).where("least != last").select("key", F.col("most.root").alias("pivot"))
-    shared = stored(rows.drop("n").join(held, "key"), "shared")
-    left = shared.where("root != pivot").select("key", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("size").alias("a_size"))
-    right = shared.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("size").alias("b_size"), "pivot")
-    sizes = F.least("a_size", "b_size") >= near.similarity * F.greatest("a_size", "b_size") - 1e-9
-    once = (F.col("b_root") == F.col("pivot")) | (F.col("a") < F.col("b"))
-    met = left.join(right, "key").where((F.col("a_root") != F.col("b_root")) & sizes & once)
-    return met.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-
-
-def near_groups(docs: DataFrame, near: Near = Near(), dense: int = DENSE) -> DataFrame:
-    """Every row with a hash of its text and the smallest identifier of its group of near-duplicates."""
+def exact(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+    """The pairs (u, v) whose whole sets are near; the sets are made again from one text of each node in pairs."""
+    ends = stored(pairs.select(F.col("u").alias("end")).unionAll(pairs.select("v")).distinct(), "ends")
+    wanted = nodes.join(ends, F.col("node") == F.col("end"), "left_semi").select("digest")
+    made = sets(docs, near, bit_table(wanted)).join(ends, F.col("node") == F.col("end"), "left_semi")
+    few = stored(made.groupBy("node").agg(F.any_value("shingles").alias("shingles")), "sets")
+    of = lambda c: few.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
+    both = F.size(F.array_intersect("set_u", "set_v"))
+    union = F.size("set_u") + F.size("set_v") - both
+    found = stored(pairs.join(of("u"), "u").join(of("v"), "v").where((union == 0) | (both / union >= near.similarity)).select("u", "v"), "exact")
+    erase(few)
+    return found
+
+
+def by_fingerprint(nodes: DataFrame, near: Near, dense: int) -> DataFrame:
+    """Each node with one whose fingerprint links to its own: one of the same, or else the nearest."""
+    first = stored(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    same = nodes.join(first, "fp").where("node != head")
+    of = lambda c: first.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
+    nearest = links(first.select("fp"), near.radius, dense).groupBy("u").agg(F.min_by("v", F.struct(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))), "v")).alias("v"))
+    linked = nearest.join(of("u"), "u").join(of("v"), "v")
+    return ordered(same, "node", "head").unionAll(ordered(linked, "head_u", "head_v"))
+
+
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """(key, node, size) of the rarest shingles that several nodes have."""
+    each = rows.select("node", "size", F.explode("rare").alias("key"))
+    several = each.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select(F.col("key").alias("k"))
+    return each.join(several, F.col("key") == F.col("k"), "left_semi").distinct()
+
+
+def with_roots(df: DataFrame, roots: DataFrame) -> DataFrame:
+    """df's nodes with their roots, themselves if they have no links."""
+    return df.join(roots.withColumnRenamed("node", "of_node"), F.col("node") == F.col("of_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("of_node")
+
+
+def by_keys(shared: DataFrame, roots: DataFrame, near: Near, heads: bool) -> DataFrame:
+    """Pairs of nodes of different roots that have as many of their rarest shingles in common as near ones must.
+
+    heads: one node of each root alone, each with the smaller node that shares most with it; else all."""
+    rows = with_roots(shared, roots)
+    if heads:
+        rows = rows.where("node = root")
+    several = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select(F.col("key").alias("k"))
+    rows = rows.join(several, F.col("key") == F.col("k"), "left_semi")
+    of = lambda x: rows.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size")])
+    common = near.similarity / (1 + near.similarity) * (F.col("size_u") + F.col("size_v"))
+    least = common - F.ceil(near.similarity * F.greatest("size_u", "size_v") - 1e-6) + 1 - 1e-6
+    met = of("u").join(of("v"), "key").where((F.col("node_u") > F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & (F.least("size_u", "size_v") >= near.similarity * F.greatest("size_u", "size_v") - 1e-6))
+    pairs = met.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v"), "size_u", "size_v").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    if heads:
+        pairs = pairs.groupBy("u").agg(F.max_by("v", F.struct("n", "v")).alias("v"))
+    return pairs.select("u", "v")
+
+
+def near_groups(docs: DataFrame, near: Near = Near(), dense: int = NEAR_DENSE) -> DataFrame:
+    """Every row with a hash of its text and the smallest identifier of its group of near-duplicates.
+
+    Pairs are found by fingerprints, then by rarest shingles among one text of
+    each group so far, then by those among all texts of different groups; a
+    group's texts aren't compared again."""
     rows = stored(texts(docs, near, common(docs, near)), "texts")
-    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest"), *[F.any_value(c).alias(c) for c in ("fp", "wide", "size", "sketch", "rare")]), "nodes")
-    roots = components(near_links(nodes, docs, near, dense))
-    links = verified(stored(missed(nodes, roots, near), "missed"), nodes, docs, near)
-    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    u, v = F.coalesce("root_u", "u"), F.coalesce("root_v", "v")
-    more = components(links.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct())
-    joined = more.select(F.col("node").alias("of_root"), F.col("root").alias("last_root"))
-    by_root = nodes.select("node", "first").join(roots.withColumnRenamed("node", "of_node"), F.col("node") == F.col("of_node"), "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    by_root = by_root.join(joined, F.col("root") == F.col("of_root"), "left").select("node", "first", F.coalesce("last_root", "root").alias("root"))
+    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest"), F.any_value("fp").alias("fp"), F.any_value("size").alias("size")), "nodes")
+    found = exact(stored(by_fingerprint(nodes, near, dense), "candidates"), nodes, docs, near)
+    shared = stored(shared_keys(rows), "shared")
+    for heads in (True, False):
+        candidates = stored(by_keys(shared, components(found), near, heads), "candidates")
+        found = found.unionAll(exact(candidates, nodes, docs, near))
+    by_root = with_roots(nodes.select("node", "first"), components(found))
     names = by_root.groupBy("root").agg(F.min("first").alias("group_id"))
     return rows.select("doc_id", "digest", "node").join(by_root.join(names, "root").select(F.col("node").alias("n"), "group_id"), F.col("node") == F.col("n")).select("doc_id", "digest", "group_id")
 
 
-def deduplicated(docs: DataFrame, near: Near = Near(), dense: int = DENSE) -> DataFrame:
+def deduplicated(docs: DataFrame, near: Near = Near(), dense: int = NEAR_DENSE) -> DataFrame:
     """The documents, one of each group of near-duplicates: that with the smallest identifier.
 
     Rows that repeat both identifier and text stay or go together; a row

@@ -1,6 +1,6 @@
 import random
 
-from pyspark.sql import functions as F
+import pytest
 
 from acervo.llm import simhash
 from tests.llm.test_pipeline import jaccard
@@ -23,10 +23,43 @@ def test_long_texts_are_decided_by_their_whole_sets(spark):
     rows = simhash.stored(simhash.texts(docs, near), "texts")
     one = {r.doc_id: r.node for r in rows.collect()}
     pairs = spark.createDataFrame([(max(one[2 * i], one[2 * i + 1]), min(one[2 * i], one[2 * i + 1])) for i in range(len(texts))], "u long, v long")
-    got = {(r.u, r.v) for r in simhash.verified(pairs, rows.withColumn("first", F.col("doc_id")), docs, near).collect()}
+    got = {(r.u, r.v) for r in simhash.exact(pairs, rows, docs, near).collect()}
     assert {i for i in range(len(texts)) if (max(one[2 * i], one[2 * i + 1]), min(one[2 * i], one[2 * i + 1])) in got} == want
 
 
+@pytest.mark.parametrize("radius", [0, 4])
+def test_groups_equal_brute_force(spark, radius):
+    """Chains, groups around one text, common passages, short and repeated texts: exactly the groups of all pairs."""
+    rng = random.Random(radius)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage, texts = rng.choices(vocabulary, k=60), []
+    for i in range(60):
+        t = rng.choices(vocabulary, k=rng.choice([3, 6, 30, 90, 200, 320]))
+        t = t + passage if i % 3 == 0 else t
+        texts.append(t)
+        for _ in range(rng.choice([0, 1, 3, 25 if i < 4 else 5])):
+            u = list(texts[-1] if rng.random() < 0.5 else t)  # of the last copy or of the first
+            for _ in range(rng.randint(0, 1 + len(u) // 40)):
+                at = rng.randrange(len(u) + 1)
+                u[at : at + rng.choice([0, 1, 1, 5])] = rng.choices(vocabulary, k=rng.choice([0, 1, 1, 4]))
+            texts.append(u)
+    texts = [" ".join(t) for t in texts] + ["", " ", None, "A B", "a b"]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    root = list(range(len(texts)))
+    cut = [{tuple(w[i : i + 5]) for w in [(t or "").lower().split()] for i in range(max(1, len(w) - 4))} for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(cut[i] & cut[j]) >= 0.8 * len(cut[i] | cut[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    name = {r: min(i for i, x in zip(ids, root) if x == r) for r in root}
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    got = {r.doc_id: r.group_id for r in simhash.near_groups(docs, simhash.Near(radius=radius), dense=3).collect()}
+    assert len(set(name.values())) < 0.6 * len(texts)
+    assert got == {i: name[r] for i, r in zip(ids, root)}
+
+
 def test_blocks_appended_cut_off_or_replaced_are_found(spark):
     rng = random.Random(6)
     word = lambda: f"w{rng.randrange(10**6)}"
