@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
@@ -51,6 +51,8 @@ PROBE_COST = 30
 DENSE = 128
 #: The same for candidates of near texts, each of which is decided by whole sets.
 NEAR_DENSE = 8
+#: Before all other pairs, each text meets so many of those most like it, which leaves fewer groups to compare.
+BEST = 8
 #: One of so many texts, by their hashes, tells which shingles are common: those that so many of them have, the
 #: most common first if there are more than COMMON_MOST (24 MB).  They bear on the order of shingles alone, never on which links are found.
 COMMON_EVERY, COMMON_LEAST, COMMON_MOST = 20, 4, 2_000_000
@@ -343,13 +345,12 @@ def exact(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> Da
 
 
 def by_fingerprint(nodes: DataFrame, near: Near, dense: int) -> DataFrame:
-    """Each node with one whose fingerprint links to its own: one of the same, or else the nearest."""
+    """Each node with the first one whose fingerprint links to its own, so that a large group meets around few of its texts."""
     first = stored(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
-    same = nodes.join(first, "fp").where("node != head")
+    same = nodes.join(first, "fp").where("node != head").select(F.col("node").alias("u"), F.col("head").alias("v"))
     of = lambda c: first.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
-    nearest = links(first.select("fp"), near.radius, dense).groupBy("u").agg(F.min_by("v", F.struct(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))), "v")).alias("v"))
-    linked = nearest.join(of("u"), "u").join(of("v"), "v")
-    return ordered(same, "node", "head").unionAll(ordered(linked, "head_u", "head_v"))
+    linked = ordered(links(first.select("fp"), near.radius, dense).join(of("u"), "u").join(of("v"), "v"), "head_u", "head_v")
+    return ordered(same, "u", "v").unionAll(linked.groupBy("u").agg(F.min("v").alias("v")))
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
@@ -364,13 +365,22 @@ def with_roots(df: DataFrame, roots: DataFrame) -> DataFrame:
     return df.join(roots.withColumnRenamed("node", "of_node"), F.col("node") == F.col("of_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("of_node")
 
 
-def by_keys(shared: DataFrame, roots: DataFrame, near: Near, heads: bool) -> DataFrame:
+def merged(roots: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, root) of every node with a link, after further links (u, v): only the links between different roots, each once, are followed."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    u, v = F.coalesce("root_u", "u"), F.coalesce("root_v", "v")
+    between = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").where(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct()
+    more = components(between).select(F.col("node").alias("of_root"), F.col("root").alias("new_root"))
+    known = roots.join(more, F.col("root") == F.col("of_root"), "left").select("node", F.coalesce("new_root", "root").alias("root"))
+    return stored(known.unionAll(more.join(roots, F.col("of_root") == F.col("node"), "left_anti").select("of_root", "new_root")), "roots")
+
+
+def by_keys(shared: DataFrame, roots: DataFrame, near: Near, which: str) -> DataFrame:
     """Pairs of nodes of different roots that have as many of their rarest shingles in common as near ones must.
 
-    heads: one node of each root alone, each with the smaller node that shares most with it; else all."""
+    which: each node with the first such one alone, so that a large group meets
+    around few of its texts; or with the BEST that share most with it; or all."""
     rows = with_roots(shared, roots)
-    if heads:
-        rows = rows.where("node = root")
     several = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select(F.col("key").alias("k"))
     rows = rows.join(several, F.col("key") == F.col("k"), "left_semi")
     of = lambda x: rows.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size")])
@@ -378,25 +388,29 @@ def by_keys(shared: DataFrame, roots: DataFrame, near: Near, heads: bool) -> Dat
     least = common - F.ceil(near.similarity * F.greatest("size_u", "size_v") - 1e-6) + 1 - 1e-6
     met = of("u").join(of("v"), "key").where((F.col("node_u") > F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & (F.least("size_u", "size_v") >= near.similarity * F.greatest("size_u", "size_v") - 1e-6))
     pairs = met.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v"), "size_u", "size_v").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    if heads:
-        pairs = pairs.groupBy("u").agg(F.max_by("v", F.struct("n", "v")).alias("v"))
+    if which == "first":
+        return pairs.groupBy("u").agg(F.min("v").alias("v"))
+    if which == "best":
+        both = pairs.select("u", "v", "n").unionAll(pairs.select("v", "u", "n"))
+        rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("n"), "v"))
+        return ordered(both.withColumn("rank", rank).where(F.col("rank") <= BEST), "u", "v").distinct()
     return pairs.select("u", "v")
 
 
 def near_groups(docs: DataFrame, near: Near = Near(), dense: int = NEAR_DENSE) -> DataFrame:
     """Every row with a hash of its text and the smallest identifier of its group of near-duplicates.
 
-    Pairs are found by fingerprints, then by rarest shingles among one text of
-    each group so far, then by those among all texts of different groups; a
-    group's texts aren't compared again."""
+    Pairs are found by fingerprints, then by rarest shingles: each text meets
+    the first of another group alone, then those most like it, then all texts
+    of different groups meet; a group's texts aren't compared again."""
     rows = stored(texts(docs, near, common(docs, near)), "texts")
     nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest"), F.any_value("fp").alias("fp"), F.any_value("size").alias("size")), "nodes")
-    found = exact(stored(by_fingerprint(nodes, near, dense), "candidates"), nodes, docs, near)
+    roots = stored(components(exact(stored(by_fingerprint(nodes, near, dense), "candidates"), nodes, docs, near)), "roots")
     shared = stored(shared_keys(rows), "shared")
-    for heads in (True, False):
-        candidates = stored(by_keys(shared, components(found), near, heads), "candidates")
-        found = found.unionAll(exact(candidates, nodes, docs, near))
-    by_root = with_roots(nodes.select("node", "first"), components(found))
+    for which in ("first", "best", "all"):
+        candidates = stored(by_keys(shared, roots, near, which), "candidates")
+        roots = merged(roots, exact(candidates, nodes, docs, near))
+    by_root = with_roots(nodes.select("node", "first"), roots)
     names = by_root.groupBy("root").agg(F.min("first").alias("group_id"))
     return rows.select("doc_id", "digest", "node").join(by_root.join(names, "root").select(F.col("node").alias("n"), "group_id"), F.col("node") == F.col("n")).select("doc_id", "digest", "group_id")
 

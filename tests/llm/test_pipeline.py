@@ -1,8 +1,13 @@
 import random
+import re
+import zlib
 
+import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
-from acervo.llm import simhash
+from acervo.llm import decontamination, mixing, quality, simhash
 from tests.llm.test_simhash import LOWER
 
 
@@ -44,16 +49,62 @@ def test_near_groups_follow_similarity(spark, dense):
     assert simhash.deduplicated(docs.limit(0)).count() == 0
 
 
-def test_stages_keep_the_columns_and_the_order(spark):
+def test_each_stage_equals_brute_force(spark):
+    """Every stage on what the one before kept, from documents with odd rows, against plain Python or the operator's own verdicts on its rows."""
     import corpus_pipeline as p
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
+    good = docs.where("n_chars between 800 and 4000").orderBy("doc_id").first()
+    odd = [(None, good.text + " with another end", "en", "src1", 1), (None, None, None, None, None), (7, "", "en", "src1", 0), (good.doc_id, good.text, good.lang, good.source, good.n_chars), (900_000, good.text.upper(), None, None, 5)]
+    docs = p.stored(docs.unionAll(spark.createDataFrame(odd, docs.schema)), "documents")
     assert [n for n, _ in p.STAGES] == ["quality_rules", "simhash_near_dedup", "benchmark_decontamination", "source_mixing", "token_output"]
-    for _, stage in p.STAGES[:-1]:
-        docs = p.stored(stage(spark, docs, sf), "stage")
+    kept = {"documents": docs}
+    for name, stage in p.STAGES[:-1]:
+        docs = p.stored(stage(spark, docs, sf), name)
+        kept[name] = docs
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"] and docs.count()
-    ids = sorted(r.doc_id for r in docs.collect())
-    out = p.run(spark, sf).collect()
-    assert sorted(r.doc_id for r in out) == ids
-    assert sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
+    rows = {k: [(r.doc_id, r.text) for r in v.collect()] for k, v in kept.items()}
+    key = lambda x: sorted(map(str, x))
+
+    model = quality.train(kept["documents"], p.table(spark, sf, "labels"))
+    verdict = {(r.doc_id, r.n_words): r.kept for r in quality.judged(kept["documents"], model).collect()}
+    n_words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert key(rows["quality_rules"]) == key(x for x in rows["documents"] if verdict[x[0], n_words(x[1])])
+    assert all(n_words(t) >= 50 for _, t in rows["quality_rules"])
+
+    texts = sorted(set(rows["quality_rules"]), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    cut = [{tuple(w[i : i + 5]) for w in [t.translate(LOWER).split()] for i in range(max(1, len(w) - 4))} for _, t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if min(len(cut[i]), len(cut[j])) >= 0.8 * max(len(cut[i]), len(cut[j])) and len(cut[i] & cut[j]) >= 0.8 * len(cut[i] | cut[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    stays = {x for x, r in zip(texts, root) if x[0] is not None and x[0] == texts[r][0] or x[0] is None and texts[r][0] is None}
+    assert key(rows["simhash_near_dedup"]) == key(x for x in rows["quality_rules"] if x in stays) and len(stays) < len(texts)
+
+    held = {(r.doc_id, r.contaminated) for r in decontamination.judged(kept["simhash_near_dedup"], p.table(spark, sf, "benchmark"), whole=True).collect()}
+    assert key(rows["benchmark_decontamination"]) == key(x for x in rows["simhash_near_dedup"] if (x[0], False) in held)
+    gone = {x[0] for x in rows["simhash_near_dedup"]} - {x[0] for x in rows["benchmark_decontamination"]}
+    items = [r.text for r in p.table(spark, sf, "benchmark").collect()]
+    assert {i for i, t in rows["simhash_near_dedup"] if any(" ".join(x.split()) in " ".join(t.split()) for x in items)} <= gone
+
+    taken = {r.doc_id: r.taken_tokens for r in mixing.mixed(kept["benchmark_decontamination"], p.FRACTION, p.MAX_EPOCHS).collect()}
+    assert key(rows["source_mixing"]) == key(x for x in rows["benchmark_decontamination"] if taken[x[0]] > 0)
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    at, want = 0, []
+    for i, t in sorted(rows["source_mixing"], key=lambda x: (x[0] is not None, x[0] or 0)):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 1]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    out = p.STAGES[-1][1](spark, docs, sf).collect()
+    assert sorted([tuple(r) for r in out], key=lambda r: r[1]) == want
+
+
+def test_run_gives_the_last_stage(spark):
+    import corpus_pipeline as p
+
+    out = p.run(spark, "/root/testdata/sf0.001").collect()
+    assert len(out) > 50 and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
