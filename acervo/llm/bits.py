@@ -13,22 +13,16 @@ from pyspark.sql import functions as F
 BITS_EACH, LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 1 << 20, 1 << 28, 1 << 19
 
 
-class Bits:
-    """A bounded table of bits that tells which hashes may be among those put in."""
+def may_have(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes may be among those that the table was made of."""
+    at = h & np.uint64(8 * len(table) - 1)
+    return table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
 
-    def __init__(self, blocks: dict[int, bytes], size: int) -> None:
-        self.size = size
-        self.table = np.zeros(size // 8, np.uint8)
-        for i, b in blocks.items():
-            self.table[i * (BLOCK_BITS // 8) : (i + 1) * (BLOCK_BITS // 8)] = np.frombuffer(b, np.uint8)
 
-    def has(self, h: np.ndarray) -> np.ndarray:
-        at = h & np.uint64(self.size - 1)
-        return self.table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+def bit_table(hashes: DataFrame) -> np.ndarray:
+    """The bits as bytes, from a DataFrame of one long column; tasks make whole blocks, of which the driver gets MOST_BITS at most.
 
-
-def bit_table(hashes: DataFrame) -> Bits:
-    """From a DataFrame of one long column; tasks make whole blocks, of which the driver gets MOST_BITS at most."""
+    A plain array, so that a task that gets it needs no code of this package."""
     size = LEAST_BITS
     n = hashes.count()
     while size < min(MOST_BITS, BITS_EACH * n):
@@ -45,4 +39,7 @@ def bit_table(hashes: DataFrame) -> Bits:
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([v.tobytes() for v in found.values()], pa.binary())], ["block", "bytes"])
 
     made = bits.distinct().repartition(max(1, min(64, size // BLOCK_BITS)), "block").mapInArrow(run, "block long, bytes binary")
-    return Bits({r.block: bytes(r.bytes) for r in made.collect()}, size)
+    table = np.zeros(size // 8, np.uint8)
+    for r in made.collect():
+        table[r.block * (BLOCK_BITS // 8) : (r.block + 1) * (BLOCK_BITS // 8)] = np.frombuffer(r.bytes, np.uint8)
+    return table

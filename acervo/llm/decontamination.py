@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
-from acervo.llm.bits import Bits, bit_table
+from acervo.llm.bits import bit_table, may_have
 from acervo.llm.common import stored
 
 WINDOW = 8
@@ -151,19 +151,15 @@ class Templates:
 HITS = "doc_id long, digest long, at array<int>, print array<long>, template array<array<string>>, slots array<array<string>>"
 
 
-class Sorted:
-    """Hashes, sorted."""
+def among(known: tuple[str, np.ndarray], h: np.ndarray) -> np.ndarray:
+    """Which hashes are among those known, ("sorted", hashes), or may be, ("bits", a bit table)."""
+    how, table = known
+    if how == "bits":
+        return may_have(table, h)
+    return table[np.minimum(np.searchsorted(table, h), len(table) - 1)] == h if len(table) else np.zeros(len(h), bool)
 
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes = hashes
 
-    def has(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(h), bool)
-        return self.hashes[np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)] == h
-
-
-def windows(rows: DataFrame, window: int = WINDOW, only: Sorted | Bits | None = None, unseen: bool = False, sought: Sought | None = None) -> DataFrame:
+def windows(rows: DataFrame, window: int = WINDOW, only: tuple[str, np.ndarray] | None = None, unseen: bool = False, sought: Sought | None = None) -> DataFrame:
     """For every row of (doc_id, text): its good windows, or those whose hashes may be in `only`.
 
     unseen: a row without any has all its words as one; sought: rows have those of whole items too."""
@@ -176,7 +172,7 @@ def windows(rows: DataFrame, window: int = WINDOW, only: Sorted | Bits | None =
             t = Templates(b.column("text"), window)
             k = np.flatnonzero(t.good)
             if known is not None:
-                k = k[known.has(t.prints[k])]
+                k = k[among(known, t.prints[k])]
             row = t.words.doc[k]
             found = [t.window_at(i, window) for i in k.tolist()]
             at, prints = (k - t.words.starts[row]).tolist(), tx.signed(t.prints[k]).tolist()
@@ -222,7 +218,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: i
     texts = benchmark.select(F.col("item_id").alias("doc_id"), "text").distinct()
     items = stored(exploded(windows(texts, window, unseen=whole), "doc_id", "digest").withColumnsRenamed({"doc_id": "item_id", "digest": "item_digest", "at": "place", "template": "expected", "slots": "values"}).withColumnRenamed("print", "item_print"), "items")
     n = items.count()
-    only = Sorted(np.unique(items.select("item_print").toArrow()["item_print"].to_numpy().astype(np.int64).view(np.uint64))) if n <= most else bit_table(items.select("item_print"))
+    prints = items.select("item_print")
+    only = ("sorted", np.unique(prints.toArrow()["item_print"].to_numpy().astype(np.int64).view(np.uint64))) if n <= most else ("bits", bit_table(prints))
     found = stored(windows(docs, window, only, sought=sought_in(items, n, window, most) if whole else None), "hits")
     of_item = items.groupBy(F.col("item_id").alias("of_item"), F.col("item_digest").alias("of_digest")).agg(F.count("*").alias("n_windows"))
     hits = exploded(found, "doc_id", "digest").join(items, (F.col("print") == F.col("item_print")) & (F.col("template") == F.col("expected")))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
-from acervo.llm.bits import Bits, bit_table
+from acervo.llm.bits import bit_table, may_have
 from acervo.llm.common import stored
 
 SITES = 10
@@ -47,7 +47,7 @@ def split(column) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return flat, np.repeat(np.arange(len(counts)), counts), h[coded.indices.to_numpy(zero_copy_only=False)]
 
 
-def on_sites(docs: DataFrame, site: str, only: Bits | None = None) -> DataFrame:
+def on_sites(docs: DataFrame, site: str, only: np.ndarray | None = None) -> DataFrame:
     """(line, site, n) for each batch, its rows summed; only: lines that may be in the table."""
     sent = docs.sparkSession.sparkContext.broadcast(only)
 
@@ -55,7 +55,7 @@ def on_sites(docs: DataFrame, site: str, only: Bits | None = None) -> DataFrame:
         known = sent.value
         for b in tx.sliced(batches):
             _, row, h = split(b.column("text"))
-            ok = (h != 0) & known.has(h) if known else h != 0
+            ok = (h != 0) & may_have(known, h) if known is not None else h != 0
             sites = b.column("site").to_numpy()[row[ok]]
             order = np.lexsort((sites, h[ok]))
             h, sites = h[ok][order], sites[order]

@@ -48,7 +48,7 @@ ROUNDS, RATE, STEP_TOKENS = 3, 0.15, 16_384
 #: The change of the weights travels in so many slices; a task of training takes so many partitions of blocks.
 SLICES, TOGETHER = 16, 4
 #: A word's place in a block and its block share one number: so many bits for the place, and for the block's number in its task.
-PLACE_BITS, SEQ_BITS = 27, 12
+PLACE_BITS, SEQ_BITS = 27, 16
 #: Fixed values of the base score.
 HELD_OUT, ADDED = 10, 0.1
 
@@ -75,7 +75,8 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             held = np.fromiter(map(held_out, b.column("doc_id").to_pylist()), bool, n_docs)
             n_train = np.bincount(codes[np.repeat(~held, np.diff(starts))], minlength=len(w.uniq) + 1)
             words = tx.signed(np.append(tx.hashed(w.uniq), np.uint64(END)))
-            assert seq < 1 << SEQ_BITS and len(words) < 1 << PLACE_BITS
+            if seq >> SEQ_BITS or len(words) >> PLACE_BITS:
+                raise ValueError(f"a task has over {1 << SEQ_BITS} blocks, or a block over {1 << PLACE_BITS} words: read the input in smaller partitions")
             cols = [[(part << SEQ_BITS) + seq], [b.column("doc_id").to_pylist()], [held.tobytes()], [starts.tobytes()], [packed(codes)], pa.ListArray.from_arrays([0, len(words)], pa.array(words)), pa.ListArray.from_arrays([0, len(words)], pa.array(n_train))]
             kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=False)] + cols[5:], [x.split()[0] for x in BLOCK.split(", ")])
@@ -194,10 +195,10 @@ def trained(found: DataFrame, bias: tuple[np.ndarray, np.ndarray], rounds: int =
     model = Model(*bias, np.zeros((ROWS, CLASSES), np.float32), np.zeros((ROWS, MEMBERS), np.float32))
     context = found.sparkSession.sparkContext
     for i in range(rounds):
-        sent = context.broadcast(model)
+        sent = context.broadcast(tuple(model))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            old = sent.value  # noqa: B023
+            old = Model(*sent.value)  # noqa: B023
             classes, members, n = stepped((b for b, _ in read(batches)), old, rate)
             change = np.concatenate([(classes - old.classes).ravel(), (members - old.members).ravel()]) * np.float32(n)
             if n:
@@ -253,7 +254,7 @@ def scored(docs: DataFrame, rounds: int = ROUNDS, rate: float = RATE, block_byte
     mass = n_slot + ADDED * (v_slot + 1)
     by_class = mass.reshape(CLASSES, MEMBERS).sum(1)
     bias = (np.log(by_class / by_class.sum()).astype(np.float32), np.log(mass.reshape(CLASSES, MEMBERS) / by_class[:, None]).astype(np.float32))
-    sent = docs.sparkSession.sparkContext.broadcast((trained(found, bias, rounds, rate), mass))
+    sent = docs.sparkSession.sparkContext.broadcast((tuple(trained(found, bias, rounds, rate)), mass))
 
     places = found.select("block", F.posexplode("words").alias("pos", "of_word")).select("of_word", (F.shiftleft("block", PLACE_BITS) + F.col("pos")).alias("place"))
     pos = F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
@@ -261,7 +262,8 @@ def scored(docs: DataFrame, rounds: int = ROUNDS, rate: float = RATE, block_byte
     met = found.join(known, F.col("block") == F.col("in_block"), "left").select("doc_ids", "held", "starts", "codes", "words", "pos", "c")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, mass = sent.value
+        weights, mass = sent.value
+        model = Model(*weights)
         for b, row in read(batches):
             c = np.zeros(len(b.words))
             c[row.column("pos").flatten().to_numpy()] = row.column("c").flatten().to_numpy()

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
-from acervo.llm.bits import Bits, bit_table
+from acervo.llm.bits import bit_table, may_have
 from acervo.llm.common import erase, stored
 from acervo.llm.components import components
 
@@ -272,14 +272,14 @@ def distinct_shingles(w: tx.Words, near: Near) -> tuple[np.ndarray, np.ndarray,
     return h, starts, h[k], doc[k]
 
 
-def sets(docs: DataFrame, near: Near, only: Bits | None = None) -> DataFrame:
+def sets(docs: DataFrame, near: Near, only: np.ndarray | None = None) -> DataFrame:
     """Every row's node and its whole set of shingles; only: rows whose texts may be among these alone."""
     sent = docs.sparkSession.sparkContext.broadcast(only)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
             if sent.value is not None:
-                b = b.filter(pa.array(sent.value.has(b.column("digest").to_numpy().view(np.uint64))))
+                b = b.filter(pa.array(may_have(sent.value, b.column("digest").to_numpy().view(np.uint64))))
             w = tx.words(b.column("text"), lower=True)
             _, _, h, doc = distinct_shingles(w, near)
             offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=b.num_rows))]).astype(np.int32)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
-from acervo.llm.bits import Bits, bit_table
+from acervo.llm.bits import bit_table, may_have
 from acervo.llm.common import delete, file_system, new_folder, stored
 
 WINDOW = 50
@@ -183,14 +183,14 @@ def fingerprints(docs: DataFrame, window: int) -> DataFrame:
 STRETCH = "print long, a long, b long, doc long, tag long, at long, n long"
 
 
-def stretches(docs: DataFrame, window: int, shared: Bits) -> DataFrame:
+def stretches(docs: DataFrame, window: int, shared: np.ndarray) -> DataFrame:
     """The stretches under shared fingerprints; (a, b) digests their words."""
     sent = docs.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
             s = Stretches(b.column("text"), window)
-            k = np.flatnonzero(sent.value.has(s.prints))
+            k = np.flatnonzero(may_have(sent.value, s.prints))
             if len(k):
                 d = s.digests(s.at[k], s.n[k] + window - 1, *s.bytes())
                 row = s.row[k]
@@ -210,21 +210,21 @@ def open_doc(doc: np.ndarray) -> np.ndarray:
     return tx.mix(doc.view(np.uint64))
 
 
-def windows(docs: DataFrame, window: int, still_open: Bits, shared: Bits) -> DataFrame:
+def windows(docs: DataFrame, window: int, still_open: np.ndarray, shared: np.ndarray) -> DataFrame:
     """Every window of the stretches that are still open; (a, b) digests its words.  Documents without any are passed over."""
     sent, known = docs.sparkSession.sparkContext.broadcast(still_open), docs.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
-            b = b.filter(pa.array(sent.value.has(open_doc(b.column("doc").to_numpy()))))
+            b = b.filter(pa.array(may_have(sent.value, open_doc(b.column("doc").to_numpy()))))
             s = Stretches(b.column("text"), window)
-            k = np.flatnonzero(known.value.has(s.prints))
+            k = np.flatnonzero(may_have(known.value, s.prints))
             if not len(k):
                 continue
             joined = s.bytes()
             doc = b.column("doc").to_numpy()
             d = s.digests(s.at[k], s.n[k] + window - 1, *joined)
-            k = k[sent.value.has(open_key(np.ascontiguousarray(d[:, 0]), doc[s.row[k]]))]
+            k = k[may_have(sent.value, open_key(np.ascontiguousarray(d[:, 0]), doc[s.row[k]]))]
             row = np.repeat(s.row[k], s.n[k])
             at = np.repeat(s.at[k] - (np.cumsum(s.n[k]) - s.n[k]), s.n[k]) + np.arange(s.n[k].sum())
             d = s.digests(at, np.full(len(at), window), *joined)
