@@ -25,12 +25,16 @@ def test_query_equals_sql(spark, name):
     assert rows(got, sorted(got.columns)) == rows(want, sorted(got.columns))
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+#: Its rows are groups, not documents.
+AUDITS = {"op12_source_divergence", "op13_filter_interaction"}
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries().keys() - AUDITS))
 def test_every_document_has_a_row(spark, name):
     got = registry.queries()[name](spark, SF)
     ids = sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
     assert sorted(r.doc_id for r in got.select("doc_id").collect()) == ids
 
 
-def test_registry_names_the_ten():
-    assert [int(n[2:].split("_")[0]) for n in registry.queries()] == list(range(1, 11))
+def test_registry_names_all():
+    assert [int(n[2:].split("_")[0]) for n in registry.queries()] == list(range(1, 14))
