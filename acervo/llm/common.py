@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,14 +29,32 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: The folders that stored() has made within finished(), one list for each of its calls that runs.
+MADE: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: it is computed once, and lost executors cost no recomputation."""
     spark = df.sparkSession
     path = new_folder(spark, name)
+    if MADE:
+        MADE[-1].append(path)
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Stores what make() returns, then deletes everything else that was stored on the way, also if it fails."""
+    MADE.append([])
+    try:
+        out = stored(make(), name)
+        MADE[-1].pop()
+        return out
+    finally:
+        for path in MADE.pop():
+            delete(spark, path)
+
+
 def file_system(spark: SparkSession, path: str) -> tuple:
     """The store that has a path, and the path as it takes it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

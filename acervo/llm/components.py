@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acervo.llm.common import stored
+from acervo.llm.common import erase, stored
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -24,7 +24,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, F.col("u") == F.col("n")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least.withColumnRenamed("u", "n"), F.col("u") == F.col("n")).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = stored(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        before, e = e, stored(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        erase(before)
         last, mark = mark, state(e)
         if last == mark:
             break

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
@@ -51,8 +51,8 @@ PROBE_COST = 30
 DENSE = 128
 #: The same for candidates of near texts, each of which is decided by whole sets.
 NEAR_DENSE = 8
-#: Before all other pairs, each text meets so many of those most like it, which leaves fewer groups to compare.
-BEST = 8
+#: Before all other pairs meet, texts meet hubs in so many turns, which leaves fewer groups to compare.
+HUB_TURNS = 2
 #: One of so many texts, by their hashes, tells which shingles are common: those that so many of them have, the
 #: most common first if there are more than COMMON_MOST (24 MB).  They bear on the order of shingles alone, never on which links are found.
 COMMON_EVERY, COMMON_LEAST, COMMON_MOST = 20, 4, 2_000_000
@@ -331,7 +331,7 @@ def ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def exact(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """The pairs (u, v) whose whole sets are near; the sets are made again from one text of each node in pairs."""
+    """The pairs (u, v) whose whole sets are near; the sets are made again from one text of each node in pairs, which were stored and are deleted."""
     ends = stored(pairs.select(F.col("u").alias("end")).unionAll(pairs.select("v")).distinct(), "ends")
     wanted = nodes.join(ends, F.col("node") == F.col("end"), "left_semi").select("digest")
     made = sets(docs, near, bit_table(wanted)).join(ends, F.col("node") == F.col("end"), "left_semi")
@@ -340,7 +340,8 @@ def exact(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> Da
     both = F.size(F.array_intersect("set_u", "set_v"))
     union = F.size("set_u") + F.size("set_v") - both
     found = stored(pairs.join(of("u"), "u").join(of("v"), "v").where((union == 0) | (both / union >= near.similarity)).select("u", "v"), "exact")
-    erase(few)
+    for done in (few, ends, pairs):
+        erase(done)
     return found
 
 
@@ -354,10 +355,10 @@ def by_fingerprint(nodes: DataFrame, near: Near, dense: int) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """(key, node, size) of the rarest shingles that several nodes have."""
+    """(key, node, size, n_keys) of the rarest shingles that several nodes have."""
     each = rows.select("node", "size", F.explode("rare").alias("key"))
     several = each.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select(F.col("key").alias("k"))
-    return each.join(several, F.col("key") == F.col("k"), "left_semi").distinct()
+    return each.join(several, F.col("key") == F.col("k"), "left_semi").distinct().withColumn("n_keys", F.count("*").over(Window.partitionBy("node")))
 
 
 def with_roots(df: DataFrame, roots: DataFrame) -> DataFrame:
@@ -375,41 +376,67 @@ def merged(roots: DataFrame, pairs: DataFrame) -> DataFrame:
     return stored(known.unionAll(more.join(roots, F.col("of_root") == F.col("node"), "left_anti").select("of_root", "new_root")), "roots")
 
 
-def by_keys(shared: DataFrame, roots: DataFrame, near: Near, which: str) -> DataFrame:
-    """Pairs of nodes of different roots that have as many of their rarest shingles in common as near ones must.
+def enough(near: Near) -> Column:
+    """How many of their rarest shingles two near texts of these sizes have in common at least."""
+    common = near.similarity / (1 + near.similarity) * (F.col("size_u") + F.col("size_v"))
+    return common - F.ceil(near.similarity * F.greatest("size_u", "size_v") - 1e-6) + 1 - 1e-6
+
+
+def comparable(near: Near) -> Column:
+    """Whether two texts differ in root and their sizes allow them to be near."""
+    return (F.col("root_u") != F.col("root_v")) & (F.least("size_u", "size_v") >= near.similarity * F.greatest("size_u", "size_v") - 1e-6)
 
-    which: each node with the first such one alone, so that a large group meets
-    around few of its texts; or with the BEST that share most with it; or all."""
+
+def still_apart(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of keys that nodes of several roots have, with their roots."""
     rows = with_roots(shared, roots)
     several = rows.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select(F.col("key").alias("k"))
-    rows = rows.join(several, F.col("key") == F.col("k"), "left_semi")
+    return rows.join(several, F.col("key") == F.col("k"), "left_semi")
+
+
+def by_hubs(rows: DataFrame, texts: DataFrame, near: Near, turn: int) -> DataFrame:
+    """Pairs of a node and a hub of one of its keys, at most three for each row of rows.
+
+    Each key has a hub for each band of sizes that may be near one another, and
+    a node meets those of its own band and the next ones.  In the first turn a
+    hub is the text that shares the most keys (an edit makes keys of its own,
+    so the least edited copy of a group), in later ones any.  So a group of any
+    size meets around few of its texts, in time linear in its rows."""
+    banded = rows.withColumn("band", F.floor(F.log(F.greatest("size", F.lit(1))) / F.lit(-np.log(near.similarity)).cast("double")))
+    first = F.col("n_keys") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    hubs = banded.groupBy("key", "band").agg(F.max(F.struct(first.alias("first"), "node", "root", "size")).alias("hub"))
+    hubs = hubs.select("key", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"), *[F.col(f"hub.{c}").alias(f"{c}_v") for c in ("node", "root", "size")])
+    met = banded.withColumnsRenamed({c: f"{c}_u" for c in ("node", "root", "size")}).join(hubs, ["key", "band"]).where(comparable(near))
+    pairs = stored(ordered(met, "node_u", "node_v").distinct(), "met")
+    ends = pairs.select(F.col("u").alias("end")).unionAll(pairs.select("v")).distinct()
+    rare = texts.join(ends, F.col("node") == F.col("end"), "left_semi").groupBy("node").agg(F.any_value("rare").alias("rare"), F.any_value("size").alias("size"))
+    of = lambda c: rare.select(F.col("node").alias(c), F.col("rare").alias(f"rare_{c}"), F.col("size").alias(f"size_{c}"))
+    close = stored(pairs.join(of("u"), "u").join(of("v"), "v").where(F.size(F.array_intersect("rare_u", "rare_v")) >= enough(near)).select("u", "v"), "candidates")
+    erase(pairs)
+    return close
+
+
+def by_keys(rows: DataFrame, near: Near) -> DataFrame:
+    """All pairs of nodes of different roots that have as many of their rarest shingles in common as near ones must."""
     of = lambda x: rows.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "size")])
-    common = near.similarity / (1 + near.similarity) * (F.col("size_u") + F.col("size_v"))
-    least = common - F.ceil(near.similarity * F.greatest("size_u", "size_v") - 1e-6) + 1 - 1e-6
-    met = of("u").join(of("v"), "key").where((F.col("node_u") > F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & (F.least("size_u", "size_v") >= near.similarity * F.greatest("size_u", "size_v") - 1e-6))
-    pairs = met.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v"), "size_u", "size_v").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    if which == "first":
-        return pairs.groupBy("u").agg(F.min("v").alias("v"))
-    if which == "best":
-        both = pairs.select("u", "v", "n").unionAll(pairs.select("v", "u", "n"))
-        rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("n"), "v"))
-        return ordered(both.withColumn("rank", rank).where(F.col("rank") <= BEST), "u", "v").distinct()
-    return pairs.select("u", "v")
+    met = of("u").join(of("v"), "key").where((F.col("node_u") > F.col("node_v")) & comparable(near))
+    return met.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v"), "size_u", "size_v").agg(F.count("*").alias("n")).where(F.col("n") >= enough(near)).select("u", "v")
 
 
 def near_groups(docs: DataFrame, near: Near = Near(), dense: int = NEAR_DENSE) -> DataFrame:
     """Every row with a hash of its text and the smallest identifier of its group of near-duplicates.
 
     Pairs are found by fingerprints, then by rarest shingles: each text meets
-    the first of another group alone, then those most like it, then all texts
-    of different groups meet; a group's texts aren't compared again."""
+    few hubs alone, then all texts that are still in different groups meet; a
+    group's texts aren't compared again."""
     rows = stored(texts(docs, near, common(docs, near)), "texts")
     nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("digest").alias("digest"), F.any_value("fp").alias("fp"), F.any_value("size").alias("size")), "nodes")
     roots = stored(components(exact(stored(by_fingerprint(nodes, near, dense), "candidates"), nodes, docs, near)), "roots")
     shared = stored(shared_keys(rows), "shared")
-    for which in ("first", "best", "all"):
-        candidates = stored(by_keys(shared, roots, near, which), "candidates")
-        roots = merged(roots, exact(candidates, nodes, docs, near))
+    for turn in range(HUB_TURNS):
+        roots = merged(roots, exact(by_hubs(still_apart(shared, roots), rows, near, turn), nodes, docs, near))
+    candidates = stored(by_keys(still_apart(shared, roots), near), "candidates")
+    roots = merged(roots, exact(candidates, nodes, docs, near))
     by_root = with_roots(nodes.select("node", "first"), roots)
     names = by_root.groupBy("root").agg(F.min("first").alias("group_id"))
     return rows.select("doc_id", "digest", "node").join(by_root.join(names, "root").select(F.col("node").alias("n"), "group_id"), F.col("node") == F.col("n")).select("doc_id", "digest", "group_id")
