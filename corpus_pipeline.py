@@ -8,7 +8,8 @@ on, and an empty table stays empty.
 Each stage calls one operator on all that the stage before kept.  A stage's
 result is written as Parquet and read again as the next one's documents, so a
 lost executor costs at most the stage that it worked on.  A stage's folder is
-deleted when the next one's is complete.
+deleted when the next one's is complete, what a stage wrote on the way when its
+own result is.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from acervo.llm import decontamination, mixing, quality, shards, simhash
-from acervo.llm.common import erase, stored, table
+from acervo.llm.common import erase, finished, stored, table
 
 #: The mixture's tokens as a share of all, and how often a document may be taken: once, since what is repeated would be a duplicate again.
 FRACTION, MAX_EPOCHS = 0.95, 1
@@ -71,7 +72,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = finished(spark, name, lambda: stage(spark, docs, sf_dir))  # noqa: B023
         if before is not None:
             erase(before)
         before = docs
