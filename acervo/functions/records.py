@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acervo.functions.text import court_code, norm, norm_ws, stripped
+from acervo.functions.text import collapsed, court_code, norm, norm_ws, stripped, unescaped
 
 #: Groups of courts and their members.
 STATES = "AC AL AP AM BA CE DF ES GO MA MT MS MG PA PB PR PE PI RJ RN RS RO RR SC SP SE TO".split()
@@ -107,6 +107,14 @@ def last_parenthetical(c: Column, start: str) -> Column:
     return F.get(found, F.size(found) - 1)
 
 
+def official_citation(raw: Column, start: str) -> Column:
+    """struct(citation, summary) of a card's escaped citation: the last parenthesis that begins with `start`, and the text without its label, for cards that have no summary; both with single spaces."""
+    plain = unescaped(raw)
+    found = F.regexp_extract_all(plain, F.lit(rf"(?s)\(({start}.*?)\)"), F.lit(1))
+    last = collapsed(F.get(found, F.size(found) - 1))
+    return F.struct(F.concat(F.lit("("), last, F.lit(")")).alias("citation"), collapsed(F.regexp_replace(plain, r"^EMENTA:\s*", "")).alias("summary"))
+
+
 def rejoined(lines: Column) -> Column:
     """Lines of digits alone go to the end of the line before, whose number they continue."""
     digits = lambda x: x.rlike(r"^\s*\d+\s*$")

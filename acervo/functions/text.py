@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from functools import reduce
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,45 +59,81 @@ def case_id(path: Column) -> Column:
 
 
 #: Tags that separate words.
-SPACING_TAGS = ("br", "p", "div", "li", "tr", "td")
+SPACING_TAGS = ("mark", "p", "br", "strong", "em", "b", "i")
 
 
 def html_spaced(c: Column) -> Column:
     """Without tags: those that separate words become a space, others nothing; then white space collapses."""
-    spaced = F.regexp_replace(c, rf"(?i)</?(?:{'|'.join(SPACING_TAGS)})\b[^>]*>", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(spaced, "<[^>]+>", ""), r"\s+", " "))
+    spaced = F.regexp_replace(c, rf"</?(?:{'|'.join(SPACING_TAGS)})(?:\s[^>]*)?\s*/?>", " ")
+    return collapsed(F.regexp_replace(spaced, "<[^>]+>", ""))
+
+
+def collapsed(c: Column) -> Column:
+    """Runs of white space as one space, none at the ends."""
+    return F.trim(F.regexp_replace(c, SPACE + "+", " "))
 
 
 def html_bare(c: Column) -> Column:
     """Without tags."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", ""), r"\s+", " "))
+    return collapsed(F.regexp_replace(c, "<[^>]+>", ""))
 
 
 def html_words(c: Column) -> Column:
     """Every tag becomes a space."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))
+    return collapsed(F.regexp_replace(c, "<[^>]+>", " "))
+
+
+#: What may be an entity: a decimal or hexadecimal number, or a name that a semicolon may end.
+ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Names that need no semicolon, the longest first, so that a name matches as far as it can.
+BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+#: Names are looked up in one of so many small maps, by the name's CRC-32.
+NAME_MAPS = 256
+LAST_CODE = 0x10FFFF
+
+
+def sql_map(pairs: dict[str, str]) -> str:
+    """SQL for a map of constants, spelled in escapes alone."""
+    spelled = lambda x: "'" + "".join(f"\\U{ord(ch):08X}" for ch in x) + "'"
+    return f"map({', '.join(f'{spelled(k)}, {spelled(v)}' for k, v in pairs.items())})" if pairs else "cast(map() as map<string, string>)"
 
 
-#: Entities by name, as HTML 4 and XML define them.
-NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
-ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-#: No character: zero, surrogates, and what is beyond the last plane.
-LAST_CODE, SURROGATES = 0x10FFFF, (0xD800, 0xDFFF)
+def named_entities() -> Column:
+    maps: list[dict[str, str]] = [{} for _ in range(NAME_MAPS)]
+    for name, value in html5.items():
+        maps[zlib.crc32(name.encode()) % NAME_MAPS][name] = value
+    return F.expr(f"array({', '.join(map(sql_map, maps))})")
+
+
+def numbered_entity(code: Column) -> Column:
+    """The character of a number as browsers read it: 128 to 159 as in Windows-1252, none for control codes and non-characters, U+FFFD for what is no character at all."""
+    windows = {i: bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)}
+    kept = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    nothing = code.between(1, 8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    western = F.get(F.lit(list(windows.values())), (code - 0x80).cast("int"))
+    return F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > LAST_CODE), "�").when(code.between(0x80, 0x9F), western).when(nothing, "").otherwise(kept)
 
 
 def unescaped(c: Column) -> Column:
-    """Entities by name or number (decimal, hexadecimal) become characters, each once: "&amp;lt;" becomes "&lt;".  Unknown ones stay."""
-    names = F.create_map(*[x for k, v in NAMED.items() for x in (F.lit(k), F.lit(v))])
+    """HTML 5 entities become characters, each once: "&amp;lt;" becomes "&lt;".
+
+    As browsers and Python's html.unescape do it: some names need no semicolon
+    and match as a prefix ("&copy2" becomes "©2"); unknown names stay."""
+    names = named_entities()
 
     def one(x: Column) -> Column:
-        body = F.substring(x, 2, F.length(x) - 2)
-        hexed = F.conv(F.regexp_extract(body, "^#[xX](.*)$", 1), 16, 10).try_cast("long")
-        code = F.coalesce(hexed, F.regexp_extract(body, "^#([0-9]+)$", 1).try_cast("long"))
-        good = code.between(1, LAST_CODE) & ~code.between(*SURROGATES)
-        return F.coalesce(F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")), F.element_at(names, body), x)
+        body = F.substring(x, 2, 1 << 30)
+        digits = F.regexp_extract(body, "^#0*([0-9]+);?$", 1)
+        hexed = F.regexp_extract(body, "^#[xX]0*([0-9a-fA-F]+);?$", 1)
+        # longer numbers are beyond the last code
+        code = F.when(digits != "", F.when(F.length(digits) > 9, F.lit(LAST_CODE + 1).cast("long")).otherwise(digits.try_cast("long"))).otherwise(F.when(F.length(hexed) > 8, F.lit(LAST_CODE + 1).cast("long")).otherwise(F.conv(hexed, 16, 10).try_cast("long")))
+        known = lambda name: F.element_at(F.get(names, (F.crc32(F.encode(name, "UTF-8")) % NAME_MAPS).cast("int")), name)
+        start = F.regexp_extract(body, f"^(?:{'|'.join(BARE_NAMES)})", 0)
+        prefix = F.when(start != "", F.concat(known(start), F.substring(body, F.length(start) + 1, F.length(body))))
+        return F.when(F.startswith(body, F.lit("#")), numbered_entity(code)).otherwise(F.coalesce(known(body), prefix, x))
 
-    parts = F.regexp_extract_all(c, F.lit(f"(?s){ENTITY}|&|[^&]+"), F.lit(0))
-    return F.when(~F.contains(c, F.lit("&")), c).otherwise(F.array_join(F.transform(parts, lambda x: F.when(F.startswith(x, F.lit("&")) & (F.length(x) > 3), one(x)).otherwise(x)), ""))
+    parts = F.regexp_extract_all(c, F.lit(f"{ENTITY}|&|[^&]+"), F.lit(0))
+    return F.when(~F.contains(c, F.lit("&")), c).otherwise(F.array_join(F.transform(parts, lambda x: F.when(F.startswith(x, F.lit("&")) & (F.length(x) > 1), one(x)).otherwise(x)), ""))
 
 
 #: What the electoral portal's texts have unescaped, in this order; the ampersand comes last.
@@ -112,11 +149,11 @@ def html_portal(c: Column) -> Column:
 
 
 def html_text(c: Column) -> Column:
-    """Readable text: scripts and styles dropped, line ends from breaks and blocks, entities unescaped, blank lines collapsed."""
-    out = F.regexp_replace(F.regexp_replace(c, r"(?is)<script\b.*?</script>", ""), r"(?is)<style\b.*?</style>", "")
-    out = F.regexp_replace(F.regexp_replace(out, r"(?i)<br\s*/?>", "\n"), r"(?i)</(?:p|div|tr|li|h[1-6])>", "\n")
+    """Readable text: scripts and styles become a space, breaks and the ends of blocks line ends; entities unescaped, blank lines collapsed."""
+    out = F.regexp_replace(c, r"(?s)<(script|style).*?</\1>", " ")
+    out = F.regexp_replace(F.regexp_replace(out, r"<br\s*/?>", "\n"), r"</(?:p|div|tr|li|h\d)>", "\n")
     out = unescaped(F.regexp_replace(out, "<[^>]+>", " "))
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r"\n[ \t]*(?:\n[ \t]*)+", "\n\n"), r"^\s+|\s+$", "")
+    return stripped(F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), rf"\n{SPACE}*\n+", "\n\n"))
 
 
 def truncated(c: Column, most: int) -> Column:
@@ -132,12 +169,17 @@ def xml_escaped(c: Column) -> Column:
     return reduce(lambda out, e: F.replace(out, F.lit(e[0]), F.lit(e[1])), (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")), c)
 
 
+#: The time of an ISO date-time, as far as it is given, with its zone.
+ISO_TIME = r"(?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d(?:[.,]\d+)?)?)?(?:Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d)?)?"
+
+
 def brazilian_date(c: Column) -> Column:
-    """ISO date-times and YYYYMMDD as DD/MM/YYYY; anything else unchanged."""
-    day = F.coalesce(F.regexp_extract(c, r"^(\d{4})-(\d{2})-(\d{2})T", 0), F.lit(""))
+    """ISO date-times and YYYYMMDD as DD/MM/YYYY; anything else, dates that don't exist too, unchanged. Eight digits aren't checked."""
+    day = F.substring(c, 1, 10)
+    is_time = c.rlike(rf"^\d{{4}}-\d{{2}}-\d{{2}}T{ISO_TIME}$") & F.try_to_date(day, "yyyy-MM-dd").isNotNull()
     iso = F.concat_ws("/", F.substring(c, 9, 2), F.substring(c, 6, 2), F.substring(c, 1, 4))
     packed = F.concat_ws("/", F.substring(c, 7, 2), F.substring(c, 5, 2), F.substring(c, 1, 4))
-    return F.when(day != "", iso).when(c.rlike(r"^\d{8}$"), packed).otherwise(c)
+    return F.when(is_time, iso).when(c.rlike(r"^\d{8}$"), packed).otherwise(c)
 
 
 def court_code(c: Column) -> Column:
@@ -151,8 +193,8 @@ def slug(c: Column) -> Column:
 
 
 def cdata(c: Column) -> Column:
-    """All CDATA blocks, joined."""
-    return F.array_join(F.regexp_extract_all(c, F.lit(r"(?s)<!\[CDATA\[(.*?)\]\]>"), F.lit(1)), "")
+    """All CDATA blocks of an escaped answer, joined."""
+    return F.array_join(F.regexp_extract_all(unescaped(c), F.lit(r"(?s)<!\[CDATA\[(.*?)\]\]>"), F.lit(1)), "")
 
 
 def padded(c: Column, width: int) -> Column:

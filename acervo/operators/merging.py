@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acervo.functions.text import blank, norm_ws, padded
+from acervo.sources.shared import stored
 
 #: Origins with the prefixes of their identifiers, fields, and what a source must have.
 PREFIXES = {"bnp-api": "BNP", "cjf-jurisprudencia": "CJF", "julia-trf5": "JULIA", "pesquisa-stj": "STJ", "tnu-eproc": "TNU"}
@@ -40,15 +41,23 @@ def first_of_each(items: DataFrame, key: list[Column], order: list[str]) -> Data
     return keyed.groupBy(*[f"_k{i}" for i in range(len(key))]).agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
 
 
+def ranged(rows: DataFrame, *by: Column | str) -> DataFrame:
+    """rows with `_part`, the range of this order that they are in, written once.
+
+    Range bounds come from a sample, so a plan that runs twice may draw others:
+    all that reads a row's range must read the same table."""
+    return stored(rows.repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ranged", "_part")
+
+
 def numbered(keys: DataFrame, group: str, order: tuple[str, ...]) -> DataFrame:
     """keys with `number`, their place from 1 within their group.
 
     The keys are ranged by group and order, numbered within each range, and
     moved by the counts of the group's ranges before: no task gets a group.
     """
-    ranged = keys.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_at", F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order)))
-    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    rows = ranged(keys, group, *order)
+    local = rows.withColumn("_at", F.row_number().over(Window.partitionBy(group, "_part").orderBy(*order)))
+    counts = rows.groupBy(group, "_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select(F.col(group).alias("_group"), F.col("_part").alias("_of"), before.alias("_before"))
     met = local.join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_of")))

@@ -16,9 +16,10 @@ REVIEW = {"UNIAO": 1000, "ESTADO": 500, "CAPITAL": 500, "MUNICIPIO": 100}
 #: Fees that bands don't govern, and the share of proof that a standard asks for more than.
 FLAT_FEES = {"monitory": 0.05, "execution": 0.1}
 STANDARDS = {"preponderance": 50}
-#: Words of an outcome in normal form; a refusal is looked for first, since some of its words hold those of a grant.
-REFUSED = r"\b(?:desprovid|improvid|improceden|neg(?:a|o|ar|ou|a-se|ado)\s+provimento|deneg)"
-GRANTED = r"\b(?:provid|proceden|d(?:a|ou|ar|a-se|ado)\s+(?:parcial\s+)?provimento|conced|concess)"
+#: This library's own words of an outcome, in normal form. Refusals are looked for first, since some hold the words of a grant ("não provido").
+CLITIC = r"(?:-(?:se|lhes?|o|a))?"
+REFUSED = rf"\b(?:(?:des|im)provid[oa]s?|(?:des|im)provimento|improceden(?:tes?|cia)|neg(?:a|o|ar|ou|aram|ando|ado|ada){CLITIC}\s+(?:\w+\s+)?(?:provimento|seguimento|seguranca|ordem)|deneg(?:a|o|ar|ou|ad[oa]s?|acao){CLITIC}|nao\s+(?:(?:foi|foram|e|sao|se|ha|lhe|merece|deu|da|dar|conced\w+|resulta)\s+){{0,2}}(?:provid[oa]s?|provimento|proceden(?:tes?|cia)|concedid[oa]s?|seguranca|ordem|acolhid[oa]s?))\b"
+GRANTED = rf"\b(?:provid[oa]s?|proceden(?:tes?|cia)|d(?:a|ou|ar|eu|eram|ando|ado){CLITIC}\s+(?:\w+\s+)?provimento|(?:parcial\s+provimento|provimento\s+parcial)|conced(?:e|o|er|eu|eram|id[oa]s?){CLITIC}|concessao\s+d[aeo]s?\s+(?:seguranca|ordem|tutela|liminar|beneficio|aposentadoria))\b"
 SEVERITIES = ["critical", "high", "medium", "low"]
 #: Weights of the scores.
 DEVIATION, CAUSATION = (30, 25, 20, 15, 10), (25, 25, 20, 15, 15)
@@ -89,7 +90,7 @@ def routed(confidence: Column) -> Column:
 
 
 def outcome(text: Column) -> Column:
-    """refused or granted, by the words of a header or a disposition; null without such words."""
+    """refused or granted, by the words of a header or a disposition, whole words alone; null without such words."""
     n = norm_ws(text)
     return F.when(n.rlike(REFUSED), "refused").when(n.rlike(GRANTED), "granted")
 

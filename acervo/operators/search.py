@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acervo.functions.text import norm
+from acervo.operators.merging import ranged
 
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -118,8 +119,9 @@ def matching(tok: Column, pattern: str) -> Column:
 
 
 def fuzzy(tok: Column, term: str, most: int = 2) -> Column:
-    """A word at most so many edits away."""
-    return F.exists(tok, lambda x: F.levenshtein(x, F.lit(words(term)[0]), most) >= 0)
+    """A word at most so many edits away from the term's first; a term without words is near none."""
+    w = words(term)
+    return F.exists(tok, lambda x: F.levenshtein(x, F.lit(w[0]), most) >= 0) if w else F.lit(False)
 
 
 def missing(tok: Column, terms: list[str]) -> Column:
@@ -151,6 +153,23 @@ def page(found: DataFrame, number: int, size: int, *order: Column | str, largest
     return found.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+def deep_page(found: DataFrame, number: int, size: int, *order: Column | str, largest: int = 100) -> DataFrame:
+    """The same page however far behind, with `place`: rows are ranged by the order and counted, and only the ranges that hold the page are read and sorted.
+
+    The driver gets one count for each range, of which there are as many as shuffle partitions."""
+    size, number = max(1, min(size, largest)), max(1, number)
+    first, last = (number - 1) * size, number * size
+    rows, before, wanted = ranged(found, *order), 0, {}
+    for part, n in sorted(map(tuple, rows.groupBy("_part").agg(F.count("*")).collect())):
+        if before < last and before + n > first:
+            wanted[part] = before
+        before += n
+    offset = reduce(lambda out, x: F.when(F.col("_part") == x[0], x[1]).otherwise(out), wanted.items(), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) + offset
+    placed = rows.where(F.col("_part").isin(list(wanted))).withColumn("place", place.cast("long")) if wanted else rows.limit(0).withColumn("place", F.lit(0).cast("long"))
+    return placed.where((F.col("place") > first) & (F.col("place") <= last)).drop("_part")
+
+
 def order_of(which: str, day: str, score: str, key: str, ties: list[Column] = []) -> list[Column]:
     """The columns that a result list is sorted by: newest, oldest or relevance (with further columns for equal scores); the key makes it total."""
     return {"newest": [F.desc(day), F.desc(key)], "oldest": [F.asc(day), F.asc(key)], "relevance": [F.desc(score), *ties, F.desc(key)]}[which]

@@ -40,7 +40,7 @@ def html_tables(t, spark):
 
 @query("""
 SELECT 'acordao-completo' AS base, 'Acordao ' || p_partkey || '/2020 - ' || p_brand AS number, p_brand AS panel, '05/03/2020' AS day, 'Sumário de ' || p_name AS summary, NULL::VARCHAR AS area FROM part WHERE p_partkey % 3 = 0
-UNION ALL SELECT 'jurisprudencia-selecionada', CASE WHEN p_size % 3 = 0 THEN 'Sumula TCU ' || p_size WHEN p_size % 3 = 1 THEN 'Acordao ' || p_size || '/2019 - ' || p_brand ELSE 'K' || p_partkey END, p_brand, '01/02/2019', p_name, 'Área ' || p_type FROM part WHERE p_partkey % 3 = 1
+UNION ALL SELECT 'jurisprudencia-selecionada', CASE WHEN p_size % 3 = 0 THEN 'Sumula TCU ' || p_size WHEN p_size % 3 = 1 THEN 'Acordao ' || p_size || '/2019 - ' || p_brand ELSE 'K' || p_partkey END, p_brand, '01/02/2019', p_name, 'Área' || p_type FROM part WHERE p_partkey % 3 = 1
 UNION ALL SELECT 'norma', CASE WHEN p_size % 2 = 0 THEN p_name ELSE 'Portaria ' || p_size || '/2001' END, 'TCU', '31/12/2001', 'Assunto', NULL FROM part WHERE p_partkey % 3 = 2""")
 def audit_bases(t, spark):
     p, size = t("part"), F.col("p_size")

@@ -136,7 +136,7 @@ def text_windows(t, spark):
 def record_marks(t, spark):
     k = F.col("s_suppkey").cast("string")
     last = records.last_parenthetical(F.concat(F.lit("x (TNU, 0) y (TNU, "), k, F.lit(") (z)")), "TNU,")
-    cdata = text.cdata(F.concat(F.lit("<a><![CDATA[Ementa ]]></a><b><![CDATA["), "s_name", F.lit(" fim]]></b>")))
+    cdata = text.cdata(F.concat(F.lit("<a>&lt;![CDATA[Ementa ]]></a><b><![CDATA["), "s_name", F.lit(" fim]]&gt;</b>")))
     folder = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("/in/x 1234567-89.2020.4.05."), F.lpad((F.col("s_suppkey") % 10000).cast("string"), 4, "0"), F.lit("/"))).otherwise(F.concat(F.lit("/in/pasta "), k))
     return t("supplier").select("s_suppkey", F.concat(F.lit("TRU "), "s_nationkey", F.lit(" a"), last).alias("last"), cdata.alias("cdata"), text.case_id(folder).alias("case_id"))
 

@@ -210,13 +210,23 @@ def panel_tendencies(t, spark):
     return panels.concentration(t("lineitem"), "l_returnflag", "l_suppkey").withColumnRenamed("l_returnflag", "tendency")
 
 
-@query("""
-WITH c AS (SELECT l_orderkey, CASE l_linestatus WHEN 'O' THEN 'PROVIDO' ELSE 'NEGA PROVIMENTO' END AS h, CASE WHEN l_quantity < 10 THEN 'Dá provimento ao recurso' WHEN l_quantity < 30 THEN 'NEGO PROVIMENTO' ELSE 'sem menção' END AS d, l_linenumber FROM lineitem)
-SELECT l_orderkey, l_linenumber, CASE WHEN d = 'sem menção' THEN 'unsure' WHEN (h = 'PROVIDO') = (d = 'Dá provimento ao recurso') THEN 'consistent' ELSE 'contradiction' END AS verdict,
-  CASE WHEN d = 'sem menção' THEN 'YELLOW' WHEN (h = 'PROVIDO') = (d = 'Dá provimento ao recurso') THEN 'GREEN' ELSE 'RED' END AS colour FROM c""")
+#: Headers and dispositions with the outcome that a reader gives them, written by hand.
+HEADERS = [("RECURSO PROVIDO", "granted"), ("RECURSO NÃO PROVIDO", "refused"), ("Apelação desprovida.", "refused"), ("PROCEDÊNCIA DO PEDIDO", "granted"), ("Pedido não procedente", "refused"), ("CONCESSÃO DA SEGURANÇA", "granted"), ("Concessionária de energia", None)]
+DISPOSITIONS = [("Dá-se parcial provimento", "granted"), ("Nego-lhe provimento", "refused"), ("NEGA SEGUIMENTO ao recurso", "refused"), ("Julga-se improcedente", "refused"), ("Denega-se a segurança", "refused"), ("concedeu a ordem", "granted"), ("remetam-se os autos", None)]
+
+
+def sql_outcome(pairs: list, at: str) -> str:
+    return f"CASE {at} " + " ".join(f"WHEN {i} THEN '{x}'" for i, (_, x) in enumerate(pairs) if x) + " END"
+
+
+@query(f"""
+WITH c AS (SELECT l_orderkey, l_linenumber, {sql_outcome(HEADERS, f'l_orderkey % {len(HEADERS)}')} AS h, {sql_outcome(DISPOSITIONS, f'(l_orderkey // {len(HEADERS)} + l_linenumber) % {len(DISPOSITIONS)}')} AS d FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN h IS NULL OR d IS NULL THEN 'unsure' WHEN h = d THEN 'consistent' ELSE 'contradiction' END AS verdict,
+  CASE WHEN h IS NULL OR d IS NULL THEN 'YELLOW' WHEN h = d THEN 'GREEN' ELSE 'RED' END AS colour FROM c""")
 def header_consistency(t, spark):
-    header = F.when(F.col("l_linestatus") == "O", "Recurso PROVIDO").otherwise("RECURSO DESPROVIDO: nega provimento")
-    close = F.when(F.col("l_quantity") < 10, "Dá provimento ao recurso").when(F.col("l_quantity") < 30, "NEGO PROVIMENTO").otherwise("sem menção")
+    at = lambda pairs, i: F.get(F.array(*[F.lit(x) for x, _ in pairs]), i.cast("int"))
+    header = at(HEADERS, F.col("l_orderkey") % len(HEADERS))
+    close = at(DISPOSITIONS, (F.expr(f"l_orderkey div {len(HEADERS)}") + F.col("l_linenumber")) % len(DISPOSITIONS))
     verdict = rules.consistent(header, close)
     return t("lineitem").select("l_orderkey", "l_linenumber", verdict.alias("verdict"), rules.severity_colour(verdict).alias("colour"))
 

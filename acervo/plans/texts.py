@@ -30,18 +30,25 @@ def normal_forms(t, spark):
     return t("documents").select("doc_id", F.md5(tx.norm(F.col("text"))).alias("norm"), F.md5(tx.norm_ws(F.col("text"))).alias("norm_ws"))
 
 
-TAGS = "|".join(tx.SPACING_TAGS)
+SQL_SPACED = rf"regexp_replace(regexp_replace(regexp_replace(html, '</?(mark|p|br|strong|em|b|i)(\s[^>]*)?\s*/?>', ' ', 'g'), '<[^>]+>', '', 'g'), '{WS}+', ' ', 'g')"
 
 
 @query(rf"""
-SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?i)</?(?:{TAGS})\b[^>]*>', ' ', 'g'), '<[^>]+>', '', 'g'), '\s+', ' ', 'g'))) AS spaced,
-  md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '\s+', ' ', 'g'))) AS bare,
-  md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS words
+SELECT page_id, md5(trim({SQL_SPACED})) AS spaced,
+  md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '{WS}+', ' ', 'g'))) AS bare,
+  md5(trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '{WS}+', ' ', 'g'))) AS words
 FROM pages""")
 def html_forms(t, spark):
     return t("pages").select("page_id", F.md5(tx.html_spaced(F.col("html"))).alias("spaced"), F.md5(tx.html_bare(F.col("html"))).alias("bare"), F.md5(tx.html_words(F.col("html"))).alias("words"))
 
 
+@query("SELECT page_id, 'um dois tres quatrocinco seis' || page_id AS spaced, 'umdoistresquatrocinco seis' || page_id AS bare FROM pages")
+def html_tags(t, spark):
+    """Which tags separate words: the expected text is written by hand."""
+    html = F.concat(F.lit("um<strong>dois</strong><mark class='x'>tres</mark><br/><div>quatro</div>cinco\n <i>\tseis</i>"), "page_id")
+    return t("pages").select("page_id", F.replace(tx.html_spaced(html), F.concat(F.lit("seis "), "page_id"), F.concat(F.lit("seis"), "page_id")).alias("spaced"), tx.html_bare(html).alias("bare"))
+
+
 def sql_unescaped(c: str) -> str:
     """The entities of the driver's pages, the ampersand last."""
     for k, v in {"&nbsp;": "chr(160)", "&lt;": "'<'", "&gt;": "'>'", "&quot;": "chr(34)", "&#39;": "chr(39)", "&middot;": "'·'", "&copy;": "'©'", "&amp;": "'&'"}.items():
@@ -49,18 +56,18 @@ def sql_unescaped(c: str) -> str:
     return c
 
 
-@query("SELECT page_id, 'ação É € &lt; © &none; & ' || page_id || ' A &#0; 😀 ½' AS text, 'a – b ''A'' &#66; &copy; <' || page_id || '> é' AS portal FROM pages")
+@query("SELECT page_id, 'ação É € &lt; © &none; & ' || page_id || ' A � 😀 ½ a–b x©2☆�¬it;∉&#;' AS text, 'a – b ''A'' &#66; &copy; <' || page_id || '> é' AS portal FROM pages")
 def entities(t, spark):
     portal = F.concat(F.lit(" <b>a</b>&nbsp;&ndash; b &#34;&#65;&#39; &amp;#66; &copy;  &lt;"), "page_id", F.lit("&gt;\n &#233;"))
-    raw = F.concat(F.lit("a&#231;&atilde;o &Eacute; &#x20AC; &amp;lt; &copy; &none; & "), "page_id", F.lit(" &#65; &#0; &#128512; &frac12;"))
+    raw = F.concat(F.lit("a&#231;&atilde;o &Eacute; &#x20AC; &amp;lt; &copy; &none; & "), "page_id", F.lit(" &#65; &#0; &#128512; &frac12; a&#150;b&nbspx&copy2&star;&#xD800;&#1;&notit;&notin;&#;"))
     return t("pages").select("page_id", tx.unescaped(raw).alias("text"), tx.html_portal(portal).alias("portal"))
 
 
 @query(rf"""
-WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', '', 'g'), '(?is)<style\b.*?</style>', '', 'g') AS x FROM pages),
-b AS (SELECT page_id, regexp_replace(regexp_replace(x, '(?i)<br\s*/?>', chr(10), 'g'), '(?i)</(?:p|div|tr|li|h[1-6])>', chr(10), 'g') AS x FROM a),
+WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<script.*?</script>', ' ', 'g'), '(?s)<style.*?</style>', ' ', 'g') AS x FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(x, '<br\s*/?>', chr(10), 'g'), '</(?:p|div|tr|li|h\d)>', chr(10), 'g') AS x FROM a),
 c AS (SELECT page_id, {sql_unescaped("regexp_replace(x, '<[^>]+>', ' ', 'g')")} AS x FROM b)
-SELECT page_id, md5(regexp_replace(regexp_replace(regexp_replace(x, '[ \t]+', ' ', 'g'), '\n[ \t]*(?:\n[ \t]*)+', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS digest FROM c""")
+SELECT page_id, md5({sql_strip(f"regexp_replace(regexp_replace(x, '[ \t]+', ' ', 'g'), '\\n{WS}*\\n+', chr(10) || chr(10), 'g')")}) AS digest FROM c""")
 def html_texts(t, spark):
     return t("pages").select("page_id", F.md5(tx.html_text(F.col("html"))).alias("digest"))
 
@@ -298,6 +305,12 @@ def search_page(t, spark):
     return search.page(found(t).where(search.has(F.col("tok"), "the")), 2, 20, F.desc("n_chars"), "doc_id").select("doc_id", "lang", "n_chars")
 
 
+@query("SELECT *, row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS place FROM (SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem) QUALIFY place > 4000 AND place <= 4100")
+def deep_page(t, spark):
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return search.deep_page(rows, 41, 100, F.desc("l_extendedprice"), "l_orderkey", "l_linenumber")
+
+
 @query(FOUND_SQL + """, c AS (SELECT 'source' AS facet, source AS value, count(*) AS n FROM a WHERE list_contains(tok, 'the') GROUP BY ALL UNION ALL SELECT 'lang', lang, count(*) FROM a WHERE list_contains(tok, 'the') GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY facet ORDER BY n DESC, value) AS rank FROM c) SELECT facet, value, n::BIGINT AS n, rank::INTEGER AS rank FROM r WHERE rank <= 10""")
 def search_facets(t, spark):

@@ -85,16 +85,16 @@ def audit_records(landed: DataFrame, base: str, column: str = "value") -> DataFr
     origins = F.try_variant_get("item", "$.ORIGEM", "array<string>")
     rule = {
         "kind": kind, "number": F.coalesce(F.nullif(get("TITULO"), F.lit("")), F.concat(kind, F.lit(" "), get("NUMNORMA"), F.lit("/"), get("ANONORMA"))),
-        "panel": F.coalesce(F.nullif(F.array_join(origins, ", "), F.lit("")), F.when(origins.isNull(), F.nullif(get("ORIGEM"), F.lit(""))), F.lit("TCU")), "day": get("DATANORMA"), "summary": html_spaced(first("ASSUNTO", "FRAGMENTO1")),
+        "panel": F.coalesce(F.nullif(F.array_join(origins, ", "), F.lit("")), F.when(origins.isNull(), F.nullif(get("ORIGEM"), F.lit(""))), F.lit("TCU")), "day": get("DATANORMA"), "summary": html_bare(first("ASSUNTO", "FRAGMENTO1")),
         "url": get("LINKBTCU"), "status": get("SITUACAO"), "topic": get("TEMA"),
     }
     fields = {
         "jurisprudencia-selecionada": {
-            "kind": F.lit("Jurisprudencia Selecionada"), "number": selected, "panel": get("COLEGIADO"), "author": get("AUTORTESE"), "day": get("DATASESSAOFORMATADA"), "summary": html_spaced(get("ENUNCIADO")), "url": F.lit(""),
-            "area": html_spaced(get("AREA")), "topic": html_spaced(get("TEMA")), "subtopic": html_spaced(get("SUBTEMA")),
+            "kind": F.lit("Jurisprudencia Selecionada"), "number": selected, "panel": get("COLEGIADO"), "author": get("AUTORTESE"), "day": get("DATASESSAOFORMATADA"), "summary": html_bare(get("ENUNCIADO")), "url": F.lit(""),
+            "area": html_bare(get("AREA")), "topic": html_bare(get("TEMA")), "subtopic": html_bare(get("SUBTEMA")),
         },
         "norma": rule,
-    }.get(base, {"kind": F.lit("Acordao"), "number": ruling, "panel": get("COLEGIADO"), "author": get("RELATOR"), "day": get("DATASESSAO"), "summary": html_spaced(first("SUMARIO", "FRAGMENTO1")), "url": first("URLARQUIVOPDF", "URLARQUIVO"), "status": get("SITUACAO")})
+    }.get(base, {"kind": F.lit("Acordao"), "number": ruling, "panel": get("COLEGIADO"), "author": get("RELATOR"), "day": get("DATASESSAO"), "summary": html_bare(first("SUMARIO", "FRAGMENTO1")), "url": first("URLARQUIVOPDF", "URLARQUIVO"), "status": get("SITUACAO")})
     out = fields | {"base": F.lit(base), "day": brazilian_date(fields["day"])}
     return item.select(*[out.get(c, F.lit(None).cast("string")).alias(c) for c in AUDIT_RECORD])
 
