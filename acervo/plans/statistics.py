@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from acervo.functions.text import padded
-from acervo.operators import merging, panels, rules
+from acervo.operators import accrual, merging, panels, rules
 from acervo.plans.registry import query
 
 
@@ -250,3 +250,26 @@ def fee_variants(t, spark):
     standard = F.when(k % 2 == 0, "preponderance").otherwise("beyond reasonable doubt")
     monthly = F.array_repeat(F.lit(0.01).cast("decimal(18,6)"), (k % 12).cast("int"))
     return t("orders").select("o_orderkey", F.floor(rules.flat_fee(F.col("o_totalprice"), variant, F.lit(0.2))).alias("fee"), F.floor(rules.simple_interest(F.col("o_totalprice"), monthly) + 0.001).alias("due"), rules.proof_percent(standard).alias("percent"), rules.routed((k % 10) / 10).alias("tier"))
+
+
+#: Monthly rates in millionths of two periods: an index with interest up to 1996-12, one rate for both from 1997-01 on.
+RATES_SQL = """
+months AS (SELECT unnest(generate_series(DATE '1992-01-01', DATE '1999-12-01', INTERVAL 1 MONTH))::DATE AS month),
+rates AS (SELECT month, month < DATE '1997-01-01' AS early, CASE WHEN month < DATE '1997-01-01' THEN 3000 + month(month) * 100 ELSE 0 END AS correction, CASE WHEN month < DATE '1997-01-01' THEN 5000 ELSE 8000 + year(month) % 10 END AS interest FROM months)"""
+
+
+@query(f"""
+WITH {RATES_SQL},
+debts AS (SELECT o_orderkey, round(o_totalprice * 100)::HUGEINT AS cents, date_trunc('month', o_orderdate)::DATE AS first, (date_trunc('month', o_orderdate) + to_months((o_orderkey % 60)::INTEGER))::DATE AS last FROM orders),
+sums AS (SELECT o_orderkey, cents, coalesce(sum(correction) FILTER (early), 0) AS c, coalesce(sum(interest) FILTER (early), 0) AS i, coalesce(sum(interest) FILTER (NOT early), 0) AS l FROM debts LEFT JOIN rates ON month BETWEEN first AND last GROUP BY ALL),
+one AS (SELECT *, (cents * (1000000 + c) + 500000) // 1000000 AS corrected FROM sums), two AS (SELECT *, (corrected * i + 500000) // 1000000 AS interest FROM one)
+SELECT o_orderkey, corrected::BIGINT AS corrected, interest::BIGINT AS interest, (((corrected + interest) * l + 500000) // 1000000)::BIGINT AS later_interest, (corrected + interest + ((corrected + interest) * l + 500000) // 1000000)::BIGINT AS total FROM two""")
+def accruals(t, spark):
+    months = spark.sql("SELECT explode(sequence(DATE'1992-01-01', DATE'1999-12-01', interval 1 month)) AS month")
+    early = F.col("month") < F.lit("1997-01-01").cast("date")
+    rate = lambda c: (c / 1_000_000).cast(accrual.RATE)
+    rates = months.select("month", F.when(early, "index").otherwise("base rate").alias("period"), rate(F.when(early, 3000 + F.month("month") * 100).otherwise(0)).alias("correction"), rate(F.when(early, 5000).otherwise(8000 + F.year("month") % 10)).alias("interest"))
+    begin = F.trunc("o_orderdate", "month")
+    debts = t("orders").select("o_orderkey", F.col("o_totalprice").cast(accrual.MONEY).alias("owed"), begin.alias("first"), F.add_months(begin, (F.col("o_orderkey") % 60).cast("int")).alias("last"))
+    out = accrual.statement(debts, rates, "index", "base rate", principal="owed", first="first", last="last")
+    return out.select("o_orderkey", *[(F.col(c) * 100).cast("long").alias(c) for c in ("corrected", "interest", "later_interest", "total")])

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.functions import text as tx
-from acervo.operators import citations, cleaning, gates, merging, search
+from acervo.operators import citations, cleaning, gates, index, merging, search, segments, similar
 from acervo.operators.gates import Contract
 from acervo.plans.registry import query
+from acervo.sources.shared import shared_dir
 
 M, P = tx.MARKED, tx.PLAIN
 WS = r"[\s\x1c-\x1f\x{85}\p{Z}]"
@@ -300,6 +305,65 @@ def search_paragraphs(t, spark):
     return t("documents").select("doc_id", search.together(F.col("text"), ["the", "that"], "paragraph").alias("together"))
 
 
+def indexed(t, spark):
+    """An index of all documents in a folder of its own."""
+    return index.build(t("documents"), "doc_id", "text", f"{shared_dir(spark)}/index-{uuid.uuid4().hex}")
+
+
+WITHIN_SQL = "len(list_filter({parts}, lambda x: list_contains({tokens}, 'the') AND list_contains({tokens}, 'that'))) > 0".replace("{tokens}", f"regexp_extract_all({sql_norm('x')}, '[\\p{{L}}\\p{{N}}]+')")
+SENTENCES = r"string_split(regexp_replace(text, '([.!?])[ \t\n\v\f\r]+', '\1' || chr(1), 'g'), chr(1))"
+
+
+@query(FOUND_SQL + f""", c AS (SELECT doc_id, list_filter([
+  CASE WHEN list_contains(tok, 'the') AND list_contains(tok, 'and') THEN 'all' END, CASE WHEN list_contains(tok, 'le') OR list_contains(tok, 'der') THEN 'any' END, CASE WHEN list_contains(tok, 'the') AND NOT list_contains(tok, 'of') THEN 'not' END,
+  CASE WHEN list_contains(tok, 'a') <> list_contains(tok, 'is') THEN 'either' END, CASE WHEN len(list_filter(range(1, len(tok)), lambda i: tok[i] = 'in' AND tok[i + 1] = 'the')) > 0 THEN 'phrase' END,
+  CASE WHEN len(list_filter(pa, lambda i: len(list_filter(pb, lambda j: j - i BETWEEN 1 AND 3)) > 0)) > 0 THEN 'followed' END, CASE WHEN len(list_filter(pa, lambda i: len(list_filter(pb, lambda j: abs(j - i) BETWEEN 1 AND 2)) > 0)) > 0 THEN 'close' END,
+  CASE WHEN len(list_filter(range(1, len(tok)), lambda i: tok[i] = 'in' AND tok[i + 1] = 'the' AND list_contains(tok[i + 2 : i + 5], 'and'))) > 0 THEN 'phrase then word' END,
+  CASE WHEN {WITHIN_SQL.replace("{parts}", "string_split(text, chr(10))")} THEN 'paragraph' END, CASE WHEN {WITHIN_SQL.replace("{parts}", SENTENCES)} THEN 'sentence' END], lambda x: x IS NOT NULL) AS found FROM p)
+SELECT doc_id, unnest(found) AS condition FROM c""")
+def index_matches(t, spark):
+    """The conditions of search_matches, and more, from posting lists."""
+    i = indexed(t, spark)
+    found = {
+        "all": i.all_of("THE", "and"), "any": i.any_of("le", "der"), "not": i.without(i.has("the"), "of"), "either": i.either("a", "is"), "phrase": i.has("in-the"), "followed": i.followed("the", "and", 3), "close": i.close("the", "and", 2),
+        "phrase then word": i.followed("in the", "and", 4), "paragraph": i.together(["the", "that"], "paragraph"), "sentence": i.together(["the", "that"], "sentence"),
+    }
+    return reduce(DataFrame.unionAll, [df.select(F.col("key").alias("doc_id"), F.lit(k).alias("condition")) for k, df in found.items()])
+
+
+@query(rf"""
+WITH a AS (SELECT doc_id, {SENTENCES} AS s, string_split(text, chr(10)) AS p, {TOK} AS tok FROM documents),
+b AS (SELECT doc_id, tok, flatten(list_transform(s, lambda x, i: list_transform(regexp_extract_all({sql_norm('x')}, '[\p{{L}}\p{{N}}]+'), lambda w: i - 1))) AS sn, flatten(list_transform(p, lambda x, i: list_transform(regexp_extract_all({sql_norm('x')}, '[\p{{L}}\p{{N}}]+'), lambda w: i - 1))) AS pn FROM a)
+SELECT doc_id, md5(array_to_string(list_transform(tok, lambda w, i: w || ':' || (i - 1) || ':' || sn[i] || ':' || pn[i]), ',')) AS digest, coalesce(list_max(sn), -1)::INTEGER AS last_sentence, coalesce(list_max(pn), -1)::INTEGER AS last_paragraph FROM b""")
+def numbered_words(t, spark):
+    w = t("documents").select("doc_id", segments.numbered_words(F.col("text")).alias("w"))
+    digest = F.md5(F.array_join(F.transform("w", lambda x: F.concat_ws(":", x["word"], x["place"].cast("string"), x["sentence"].cast("string"), x["paragraph"].cast("string"))), ","))
+    last = lambda c: F.coalesce(F.array_max(F.transform("w", lambda x: x[c])), F.lit(-1))
+    return w.select("doc_id", digest.alias("digest"), last("sentence").alias("last_sentence"), last("paragraph").alias("last_paragraph"))
+
+
+@query("""
+WITH a AS (SELECT doc_id, unnest(range(2, len(x) + 1)) AS i, x FROM (SELECT doc_id, string_split(regexp_replace(text, '(the |and |[.] )', chr(1) || '\\1', 'g'), chr(1)) AS x FROM documents)),
+b AS (SELECT doc_id, i - 1 AS nr, regexp_extract(x[i], '^(the |and |[.] )') AS marker, x[i] AS y FROM a)
+SELECT doc_id, nr::INTEGER AS nr, marker, CASE marker WHEN 'the ' THEN 0 WHEN 'and ' THEN 1 ELSE 2 END AS kind, md5(y[length(marker) + 1:]) AS body FROM b""")
+def marked_blocks(t, spark):
+    each = t("documents").select("doc_id", F.explode(segments.blocks(F.col("text"), "the ", "and ", r"\. ")).alias("b"))
+    return each.select("doc_id", "b.nr", "b.marker", "b.kind", F.md5("b.body").alias("body"))
+
+
+@query(r"""
+WITH w AS (SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^ \t\n\v\f\r\x1c-\x1f\x{85}\p{Z}]+') AS w FROM documents),
+s AS (SELECT nr, doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM w),
+named AS (SELECT *, CASE WHEN s = [''] THEN 0 ELSE len(s) END AS n, md5(array_to_string(list_sort(s), ',')) AS name FROM s),
+classes AS (SELECT name, min(doc_id) AS class_id, any_value(s) AS s, any_value(n) AS n FROM named GROUP BY name),
+each AS (SELECT class_id, n, unnest(s) AS x FROM classes WHERE n > 0),
+pairs AS (SELECT a.class_id AS a, b.class_id AS b FROM each a JOIN each b ON a.x = b.x AND a.class_id < b.class_id GROUP BY ALL HAVING count(*) >= 0.8::DOUBLE * (any_value(a.n) + any_value(b.n) - count(*))),
+links AS (SELECT class_id, count(*) AS n_near FROM (SELECT a AS class_id FROM pairs UNION ALL SELECT b FROM pairs) GROUP BY ALL)
+SELECT doc_id, class_id, coalesce(n_near, 0)::BIGINT AS n_near FROM named JOIN classes USING (name) LEFT JOIN links USING (class_id)""")
+def near_rulings(t, spark):
+    return similar.near(t("documents"), "doc_id", "text")
+
+
 @query(FOUND_SQL + "SELECT doc_id, lang, n_chars FROM a WHERE list_contains(tok, 'the') ORDER BY n_chars DESC, doc_id LIMIT 20 OFFSET 20")
 def search_page(t, spark):
     return search.page(found(t).where(search.has(F.col("tok"), "the")), 2, 20, F.desc("n_chars"), "doc_id").select("doc_id", "lang", "n_chars")
