@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.llm import text as tx
@@ -47,6 +47,8 @@ WINDOW = 50
 BASE = 0x9E3779B97F4A7C15
 #: A null identifier's place in the order.
 LAST = (1 << 63) - 1
+#: The folder of an index that says which documents have a fingerprint.
+HOLDERS = "holders"
 
 
 class Stretches:
@@ -108,12 +110,15 @@ class FingerprintIndex:
     """Sorted immutable runs of the fingerprints seen so far, one folder each within `folder`.
 
     A folder that holds runs is opened with them, so that later batches meet
-    all earlier ones.  A run counts once its files are complete."""
+    all earlier ones.  A run counts once its files are complete.  Beside the
+    runs stand holders, which documents have a fingerprint, if batches are
+    added with them (extended() does, a single pass over all needs none)."""
 
     def __init__(self, spark: SparkSession, fan_in: int = 2, folder: str | None = None) -> None:
         self.spark, self.fan_in, self.folder = spark, fan_in, folder or new_folder(spark, "index")
         store, at = file_system(spark, self.folder)
         found = sorted(x.getPath().getName() for x in store.listStatus(at)) if store.exists(at) else []
+        found = [name for name in found if name != HOLDERS]
         self.runs = [self.table(name) for name in found if store.exists(file_system(spark, f"{self.folder}/{name}/_SUCCESS")[1])]
 
     def table(self, name: str) -> str:
@@ -152,6 +157,15 @@ class FingerprintIndex:
         self.write(merged.groupBy("print").agg(F.sum("n").alias("n")))
         self.drop(old)
 
+    def hold(self, holders: DataFrame) -> None:
+        """Files (print, doc, tag) of a batch, sorted by fingerprint."""
+        holders.repartitionByRange("print").sortWithinPartitions("print").write.parquet(f"{self.folder}/{HOLDERS}", mode="append", compression="zstd")
+
+    def holders(self, shared: DataFrame) -> DataFrame | None:
+        """(doc, tag) of the documents of earlier batches that have one of these fingerprints."""
+        store, at = file_system(self.spark, f"{self.folder}/{HOLDERS}")
+        return self.spark.read.parquet(f"{self.folder}/{HOLDERS}").join(shared, "print", "left_semi").select("doc", "tag").distinct() if store.exists(at) else None
+
     def drop(self, names: list[str] | None = None) -> None:
         """Deletes runs, all if none are named."""
         for name in list(names if names is not None else self.runs):
@@ -166,7 +180,7 @@ def arranged(docs: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, window: int) -> DataFrame:
-    """Each document's distinct fingerprints."""
+    """(print, doc, tag): each document's distinct fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
@@ -175,9 +189,10 @@ def fingerprints(docs: DataFrame, window: int) -> DataFrame:
             row, prints = s.row[order], s.prints[order]
             new = np.ones(len(row), bool)
             new[1:] = (row[1:] != row[:-1]) | (prints[1:] != prints[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(prints[new]))], ["print"])
+            at = pa.array(row[new])
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(prints[new])), b.column("doc").take(at), b.column("tag").take(at)], ["print", "doc", "tag"])
 
-    return docs.select("text").mapInArrow(run, "print long")
+    return docs.select("text", "doc", "tag").mapInArrow(run, "print long, doc long, tag long")
 
 
 STRETCH = "print long, a long, b long, doc long, tag long, at long, n long"
@@ -266,7 +281,8 @@ def covered(docs: DataFrame, window: int, shared: DataFrame) -> DataFrame:
 
 def cleaned(docs: DataFrame, places: DataFrame, window: int, also_text: bool = False) -> DataFrame:
     """Every document's number of words, of removed ones, and the digest (and text) of those kept."""
-    lists = places.groupBy(F.col("doc").alias("d"), F.col("tag").alias("t")).agg(F.collect_list(F.struct("at", "n")).alias("places"))
+    once = places.distinct()  # rows that repeat both identifier and text have the same places
+    lists = once.groupBy(F.col("doc").alias("d"), F.col("tag").alias("t")).agg(F.collect_list(F.struct("at", "n")).alias("places"))
     met = docs.join(lists, (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("t")), "left").select("doc_id", "text", F.col("places.at").alias("at"), F.col("places.n").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,11 +313,38 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, batches: int = 3, fan_in
     rows = arranged(docs)
     cuts = sorted(set(rows.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)])).first()[0] or [])) if batches > 1 else []
     index = FingerprintIndex(docs.sparkSession, fan_in)
-    shared = None
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        batch = rows if low is None else rows.where(F.col("doc") > low)
-        new = index.add(fingerprints(batch if high is None else batch.where(F.col("doc") <= high), window))
-        shared = new if shared is None else shared.unionAll(new)
-    places = covered(rows, window, shared)
-    index.drop()
+    try:
+        shared = None
+        for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+            new = index.add(fingerprints(rows.where(between(low, high)), window).select("print"))
+            shared = new if shared is None else shared.unionAll(new)
+        places = covered(rows, window, shared)
+    finally:
+        index.drop()
     return cleaned(rows, places, window, also_text)
+
+
+def between(low: int | None, high: int | None) -> Column:
+    """Documents behind low up to high in the order; a condition on identifiers, so that it reaches the files."""
+    behind = F.lit(True) if low is None else F.lit(False) if low == LAST else F.col("doc_id").isNull() | (F.col("doc_id") > low)
+    return behind if high is None or high == LAST else behind & (F.col("doc_id") <= high)
+
+
+def extended(index: FingerprintIndex, docs: DataFrame, earlier: DataFrame | None, window: int = WINDOW, also_text: bool = False) -> DataFrame:
+    """Takes a new batch into an index and cleans it: each word goes that is covered by a window which also starts in a document with a smaller identifier, of this batch or an earlier one.
+
+    earlier: all documents of earlier batches (null at the first).  Of these,
+    only those that share a fingerprint with the batch are read beyond their
+    identifiers and hashes of their texts; they are not judged again, so
+    batches come in the order of their identifiers.
+    """
+    new = arranged(docs)
+    found = stored(fingerprints(new, window), "fingerprints")
+    shared = index.add(found.select("print"))
+    holders = index.holders(shared)
+    index.hold(found)
+    rows = new
+    if earlier is not None and holders is not None:
+        rows = new.unionByName(arranged(earlier).join(stored(holders, "holders"), ["doc", "tag"], "left_semi").select(*new.columns))
+    places = covered(rows, window, shared)
+    return cleaned(new, places, window, also_text)

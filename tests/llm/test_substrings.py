@@ -91,3 +91,37 @@ def test_an_index_opens_again(spark):
     assert len(third.runs) == 2 and [r.print for r in third.add(prints(7, 8)).collect()] == [7]
     third.drop()
     assert not substrings.FingerprintIndex(spark, folder=one.folder).runs
+
+
+def test_batches_against_an_opened_index(spark, tmp_path):
+    """Three calls, the index opened anew each time, give the same as all at once; earlier documents that share nothing aren't verified."""
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(400)]
+    passages = [rng.choices(vocabulary, k=rng.choice([50, 55, 90])) for _ in range(6)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 70)) + (rng.choice(passages) if rng.random() < 0.5 else []) + rng.choices(vocabulary, k=20))) for i in range(120)]
+    rows += [(120, rows[3][1]), (None, rows[3][1]), (None, None)]
+    folder, earlier, got, read = f"file://{tmp_path}/index", None, [], []
+    covered = substrings.covered
+    for low, high in ((0, 40), (40, 90), (90, 123)):
+        docs = spark.createDataFrame(rows[low:high], "doc_id long, text string")
+        index = substrings.FingerprintIndex(spark, 1, folder)
+        assert len(index.runs) == (1 if low else 0)
+        substrings.covered = lambda found, *more: read.append(found.count()) or covered(found, *more)
+        try:
+            got += substrings.extended(index, docs, earlier).collect()
+        finally:
+            substrings.covered = covered
+        earlier = docs if earlier is None else earlier.unionAll(docs)
+    index.drop()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == plain(rows, 50)
+    assert read[0] == 40 and read[1] < 90 and read[2] < 123 and any(r.n_removed for r in got)
+
+
+def test_repeated_rows_take_linear_time(spark):
+    """Many rows without identifier share one text with a document."""
+    words = [f"w{i}" for i in range(60)]
+    rows = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    copies = spark.range(60_000).selectExpr("cast(null as long) AS doc_id").crossJoin(rows.select("text"))
+    got = substrings.deduplicated(rows.unionByName(copies))
+    found = {(r.doc_id, r.n_removed): r["count"] for r in got.groupBy("doc_id", "n_removed").count().collect()}
+    assert found == {(1, 0): 1, (None, 60): 60_000}
