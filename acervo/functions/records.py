@@ -131,6 +131,18 @@ def ranked(kind: Column, table: str = "first") -> Column:
     return F.coalesce(F.element_at(known, F.upper(F.trim(kind))), F.lit(max(ranks.values()) + 1))
 
 
+def labelled_codes(rows: DataFrame, labels: DataFrame, code: str, label: str = "label") -> DataFrame:
+    """rows with the label of their code; a code without one is its own.  labels: code, label; of several labels of a code the first by alphabet holds."""
+    once = labels.groupBy(F.col(code).alias("_code")).agg(F.min(label).alias("_label"))
+    return rows.join(once, F.col(code).eqNullSafe(F.col("_code")), "left").withColumn(label, F.coalesce("_label", F.col(code).cast("string"))).drop("_code", "_label")
+
+
+def unknown(requested: DataFrame, known: DataFrame, code: str) -> DataFrame:
+    """Requested codes that are not known, each once, with how many asked for them; null and blank ones ask for nothing."""
+    asked = requested.where(stripped(F.col(code).cast("string")) != "").groupBy(code).agg(F.count("*").alias("n"))
+    return asked.join(known.select(F.col(code).alias("_known")).distinct(), F.col(code) == F.col("_known"), "left_anti")
+
+
 def first_hit(*sources: DataFrame, key: list[str]) -> DataFrame:
     """The rows of each key from the first source that has any."""
     each = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [s.withColumn("priority", F.lit(i)) for i, s in enumerate(sources)])

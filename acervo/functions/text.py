@@ -197,6 +197,23 @@ def cdata(c: Column) -> Column:
     return F.array_join(F.regexp_extract_all(unescaped(c), F.lit(r"(?s)<!\[CDATA\[(.*?)\]\]>"), F.lit(1)), "")
 
 
+def lines(c: Column) -> Column:
+    """The lines of a text, as Python's splitlines cuts them: at line feeds, carriage returns, vertical tabs, form feeds, separators and next-line marks; a line end at the end begins no line."""
+    cut = F.split(F.regexp_replace(c, "\r\n", "\n"), "[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", -1)
+    return F.when(F.get(cut, F.size(cut) - 1) == "", F.slice(cut, F.lit(1), F.size(cut) - 1)).otherwise(cut)
+
+
+def url_encoded(c: Column, charset: str = "UTF-8") -> Column:
+    """Form encoding of a value in UTF-8, or in ISO-8859-1 for portals that ask for it, with a question mark for what that lacks."""
+    if charset == "UTF-8":
+        return F.url_encode(c)
+    hexed = F.hex(F.encode(F.regexp_replace(c, r"[^\x00-\xFF]", "?"), charset))
+    bytes_ = F.transform(F.sequence(F.lit(1), F.greatest(F.length(hexed), F.lit(1)), F.lit(2)), lambda i: F.substring(hexed, i, F.lit(2)))
+    plain = lambda h: F.decode(F.unhex(h), "ISO-8859-1")
+    one = lambda h: F.when(plain(h).rlike("[A-Za-z0-9.*_-]"), plain(h)).when(h == "20", "+").when(h == "", "").otherwise(F.concat(F.lit("%"), h))
+    return F.array_join(F.transform(bytes_, one), "")
+
+
 def padded(c: Column, width: int) -> Column:
     """Zero padding to a least width; longer numbers stay whole."""
     text = c.cast("string")

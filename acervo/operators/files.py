@@ -52,6 +52,33 @@ def strategy(n: Column, n_irrelevant: Column, has_kinds: Column) -> Column:
     return F.when(~has_kinds, "full").when(n <= 100, "full").when((n > 500) & (share < 0.1), "full").when(n > 300, "selective").when(share > 0.3, "selective").otherwise("full")
 
 
+def composition(selected: DataFrame, kind: str = "classe", reason: str = "reason", size: str = "kilobytes") -> DataFrame:
+    """What a download plan takes and leaves out, by class and reason, with totals of each class and of all (null for what is totalled).
+
+    n and share: documents, in per cent of all; taken and left: kilobytes by
+    whether the reason is "excluded"; savings: what is left out in per cent of
+    all documents and of all kilobytes."""
+    out = F.col(reason) == "excluded"
+    cells = selected.groupBy(kind, reason).agg(F.count("*").alias("n"), F.count_if(out).alias("n_left"), F.coalesce(F.sum(F.when(~out, F.col(size))), F.lit(0)).alias("taken"), F.coalesce(F.sum(F.when(out, F.col(size))), F.lit(0)).alias("left"))
+    sums = cells.rollup(kind, reason).agg(F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in ("n", "n_left", "taken", "left")])
+    of_all = lambda c: F.max(F.when(F.col("level") == 3, c)).over(Window.partitionBy())  # noqa: E731  a row for each class and reason, no more
+    percent = lambda part, whole: F.coalesce(F.round(F.try_divide(part * 100.0, whole), 2), F.lit(0.0))
+    n, kb = of_all(F.col("n")), of_all(F.col("taken") + F.col("left"))
+    return sums.withColumns({"share": percent(F.col("n"), n), "n_savings": percent(F.col("n_left"), n), "savings": percent(F.col("left"), kb)}).drop("n_left")
+
+
+def merge_order(names: DataFrame, within: str, name: str) -> DataFrame:
+    """Files to merge with their `place`: by the number before the first underscore, not by its digits as text; names that begin with one, or whose start is no number, are left out."""
+    number = F.substring_index(name, "_", 1).try_cast("bigint")
+    kept = names.where(~F.startswith(name, F.lit("_")) & number.isNotNull())
+    return kept.withColumn("place", F.row_number().over(Window.partitionBy(within).orderBy(number, name)))
+
+
+def not_there(candidates: DataFrame, destination: DataFrame, key: str) -> DataFrame:
+    """Candidates whose key the destination doesn't have; a null key is in none."""
+    return candidates.join(destination.select(F.col(key).alias("_there")).distinct(), F.col(key) == F.col("_there"), "left_anti")
+
+
 def queue(cases: DataFrame, tags_all: list[str] | None = None, tags_any: list[str] | None = None, untagged: bool | None = None, text: str | None = None, flags: dict[str, bool | None] | None = None) -> DataFrame:
     """Filters that are null are ignored; tags are compared as written."""
     out = cases

@@ -36,6 +36,41 @@ def capped(alerts: DataFrame, case: str, priority: str, *tie: str, most: int = 5
     return alerts.withColumn("rank", F.row_number().over(Window.partitionBy(case).orderBy(priority, *tie))).where(F.col("rank") <= most)
 
 
+#: Kinds of alerts of a judgment list, the most pressing first.
+ALERTS = ["cross contradiction", "binding precedent", "own panel", "internal contradiction", "sensitive case", "minority position"]
+
+
+def pressing(alerts: DataFrame, case: str, kind: str, *tie: str, most: int = 5) -> DataFrame:
+    """At most `most` alerts of a case in the fixed order of their kinds, with `rank`; unknown kinds come last."""
+    place = F.array_position(F.array(*map(F.lit, ALERTS)), F.lower(F.trim(F.col(kind))))
+    order = F.when(place > 0, place).otherwise(len(ALERTS) + 1)
+    return alerts.withColumn("rank", F.row_number().over(Window.partitionBy(case).orderBy(order, *tie))).where(F.col("rank") <= most)
+
+
+def quorum(reports: DataFrame, key: str, valid: Column, least: int = 3, of: int = 5) -> DataFrame:
+    """Whether a case's valid reports suffice: CONSOLIDATE with `least` of them, PARTIAL with fewer, NONE without any; missing: reports of the `of` expected that are not there at all."""
+    out = reports.groupBy(key).agg(F.count("*").alias("n"), F.count_if(valid).alias("n_valid"))
+    status = F.when(F.col("n_valid") >= least, "CONSOLIDATE").when(F.col("n_valid") > 0, "PARTIAL").otherwise("NONE")
+    return out.withColumn("missing", F.greatest(F.lit(of) - F.col("n"), F.lit(0))).withColumn("status", status)
+
+
+def page_quality(pages: DataFrame, key: str, text: str, method: str | None = None, least: int = 500, share: float = 0.7) -> DataFrame:
+    """Pages of each file with enough text, and whether the file goes on to the next way of extraction: when less than `share` of its pages have.
+
+    method: a column with how each page was extracted; adds `methods`, the pages and per cent of each, and `quality` by the share of adequate pages."""
+    good = F.coalesce(F.length(text) >= least, F.lit(False))
+    if method is None:
+        out = pages.groupBy(key).agg(F.count("*").alias("n_pages"), F.count_if(good).alias("n_adequate"))
+        return out.withColumn("share", F.round(F.col("n_adequate") * 100.0 / F.col("n_pages"), 2)).withColumn("next_stage", F.col("n_adequate") / F.col("n_pages") < share)
+    each = pages.groupBy(key, method).agg(F.count("*").alias("n"), F.count_if(good).alias("good"))
+    mix = F.array_sort(F.collect_list(F.struct(F.col(method).alias("method"), "n")))
+    out = each.groupBy(key).agg(F.sum("n").alias("n_pages"), F.sum("good").alias("n_adequate"), mix.alias("mix"))
+    ratio = F.col("n_adequate") / F.col("n_pages")
+    said = F.transform("mix", lambda m: F.struct(m["method"].alias("method"), m["n"].alias("n"), F.round(m["n"] * 100.0 / F.col("n_pages"), 2).alias("percent")))
+    quality = F.when(ratio >= 0.95, "EXCELENTE").when(ratio >= 0.85, "BOA").when(ratio >= share, "REGULAR").otherwise("BAIXA")
+    return out.withColumns({"methods": said, "quality": quality, "next_stage": ratio < share}).drop("mix")
+
+
 def overlap(precedents: DataFrame, key: list[str], source: str, least: int = 2) -> DataFrame:
     """Precedents that several sources have."""
     return precedents.groupBy(*key).agg(F.count_distinct(source).alias("n_sources"), F.count("*").alias("n")).where(F.col("n_sources") >= least)

@@ -118,6 +118,34 @@ def flat_fee(value: Column, variant: Column, other: Column) -> Column:
     return value * reduce(lambda out, x: F.when(variant == x[0], F.lit(x[1])).otherwise(out), FLAT_FEES.items(), other)
 
 
+#: The least value, in minimum wages, from which a judgment against an entity is reviewed, with the entities that share it.
+REVIEW_ENTITIES = {
+    "Union": 1000, "federal agency": 1000, "federal foundation": 1000, "state": 500, "federal district": 500, "state agency": 500, "state foundation": 500, "capital": 500, "capital's agency": 500, "other municipality": 100, "other municipality's agency": 100,
+}
+#: Judgments that are reviewed whatever their value, and the multiple of the offer from which an expropriation is.
+ALWAYS_REVIEWED = ["writ of mandamus granted", "popular action dismissed", "class action dismissed"]
+EXPROPRIATION = 2
+#: Fees by procedure in per cent, least and greatest; equal where the rule leaves no choice.
+FEES_BY_PROCEDURE = {"monitory without embargoes": (5, 5), "monitory, embargoes rejected": (0, 10), "monitory, embargoes accepted": (10, 20), "execution": (10, 10), "rescission deposit": (5, 5)}
+
+
+def review_value(entity: Column, minimum_wage: Column) -> Column:
+    """The value, in money, from which a judgment against the entity is reviewed; null for an unknown entity."""
+    known = F.create_map(*[F.lit(x) for pair in REVIEW_ENTITIES.items() for x in pair])
+    return F.element_at(known, entity) * minimum_wage
+
+
+def reviewed(entity: Column, value: Column, minimum_wage: Column, kind: Column, offer: Column) -> Column:
+    """Whether a judgment is reviewed: always for some kinds, an expropriation by its multiple of the offer, others from their entity's value on."""
+    return F.when(kind.isin(ALWAYS_REVIEWED), True).when(kind == "expropriation", value > EXPROPRIATION * offer).otherwise(value >= review_value(entity, minimum_wage))
+
+
+def procedure_fees(value: Column, procedure: Column) -> Column:
+    """struct(least, most): a procedure's fees, rounded to cents; null for an unknown one."""
+    at = lambda i: F.element_at(F.create_map(*[F.lit(x) for k, v in FEES_BY_PROCEDURE.items() for x in (k, v[i])]), procedure)
+    return F.struct(F.round(value * at(0) / 100, 2).alias("least"), F.round(value * at(1) / 100, 2).alias("most"))
+
+
 def proof_percent(standard: Column) -> Column:
     """The share in percent that a standard of proof asks for more than; null where none is defined."""
     return reduce(lambda out, x: F.when(standard == x[0], x[1]).otherwise(out), STANDARDS.items(), F.lit(None).cast("int"))

@@ -66,6 +66,37 @@ def alerts(cases: DataFrame, as_of: Column, concluded: str, appeal: str, defende
     return cases.withColumn("alerts", F.array_join(F.transform(found, lambda a: a["alert"]), "; ")).withColumn("colour", F.get(F.array(F.lit("GREEN"), F.lit("YELLOW"), F.lit("RED")), worst - 1))
 
 
+#: Alerts by level (3 red, 2 yellow, 1 blue), in the order in which they count, and how many a case may have.
+ALERTS = {
+    "concluded over 60 days": 3, "citation by notice without curator": 3, "no defence": 3, "expert report granted, not made": 3, "deceased party without successors": 3, "incomplete citation of joint parties": 3, "limitation near or past": 3, "appeal over a year": 3,
+    "concluded over 30 days": 2, "no attempt at conciliation": 2, "documents as sole evidence": 2, "party without lawyer": 2, "value of the claim out of date": 2, "several redistributions": 2,
+    "no witnesses asked for": 1, "documents not contested": 1, "priority asked for": 1, "partial settlement": 1, "claim withdrawn in part": 1,
+}
+MOST_ALERTS = 5
+
+
+def raised(cases: DataFrame, conditions: dict[str, Column], most: int = MOST_ALERTS) -> DataFrame:
+    """cases with `alerts`, at most `most` in the fixed order, the gravest first; null if there are none, and the colour of the gravest.
+
+    conditions: by the names of ALERTS; those that aren't given, or are null
+    for a case, are not raised."""
+    unknown = [name for name in conditions if name not in ALERTS]
+    if unknown:
+        raise ValueError(f"no such alerts: {', '.join(unknown)}")
+    found = F.array_compact(F.array(*[F.when(conditions[name], F.lit(name)) for name in ALERTS if name in conditions]))
+    red, yellow = ([name for name, x in ALERTS.items() if x == level] for level in (3, 2))
+    among = lambda names: F.arrays_overlap("_found", F.array(*map(F.lit, names)))
+    out = cases.withColumn("_found", found)
+    return out.withColumns({"alerts": F.nullif(F.array_join(F.slice("_found", 1, most), "; "), F.lit("")), "colour": F.when(among(red), "RED").when(among(yellow), "YELLOW").otherwise("GREEN")}).drop("_found")
+
+
+def waits(as_of: Column, concluded: Column, appealed: Column, redistributions: Column | None = None) -> dict[str, Column]:
+    """The conditions of raised() that follow from days and counts."""
+    days = F.datediff(as_of, concluded)
+    out = {"concluded over 60 days": days > 60, "concluded over 30 days": (days > 30) & (days <= 60), "appeal over a year": F.datediff(as_of, appealed) > 365}
+    return out if redistributions is None else out | {"several redistributions": redistributions > 1}
+
+
 def drifted(rulings: DataFrame, panel: str, position: str, order: list[str]) -> DataFrame:
     """Rulings at which a panel left its position: with the one before, by the given order."""
     along = Window.partitionBy(panel).orderBy(*order)

@@ -150,3 +150,27 @@ SELECT o_orderkey, array_to_string(alerts, '; ') AS alerts, CASE WHEN w > 60 OR
 def case_alerts(t, spark):
     rows = t("orders").withColumns({"concluded": F.col("o_orderdate").cast("date"), "appeal": F.date_sub(F.col("o_orderdate").cast("date"), 30)})
     return timeline.alerts(rows, F.to_date(F.lit(AS_OF)), "concluded", "appeal", F.col("o_orderstatus") != "P").select("o_orderkey", "alerts", "colour")
+
+
+@query(SELECTED_SQL.replace("SELECT l_orderkey, l_linenumber, CASE", "SELECT l_orderkey, l_linenumber, kind, kb, CASE").join(["WITH plan AS (", """),
+r AS (SELECT kind, reason, grouping(kind, reason) AS level, count(*) AS n, count(*) FILTER (reason = 'excluded') AS n_left, coalesce(sum(kb) FILTER (reason <> 'excluded'), 0) AS taken, coalesce(sum(kb) FILTER (reason = 'excluded'), 0) AS left_ FROM plan GROUP BY ROLLUP (kind, reason)),
+a AS (SELECT n AS n_all, taken + left_ AS kb_all FROM r WHERE level = 3)
+SELECT kind, reason, level::BIGINT AS level, n::BIGINT AS n, round(taken)::BIGINT AS taken, round(left_)::BIGINT AS kept_out, round(n * 100.0::DOUBLE / n_all, 2) AS share, round(n_left * 100.0::DOUBLE / n_all, 2) AS n_savings, round(left_ * 100.0::DOUBLE / kb_all, 2) AS savings FROM r, a"""]))
+def plan_composition(t, spark):
+    rows = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).withColumn("age_days", F.datediff(F.to_date(F.lit(AS_OF)), F.col("l_shipdate").cast("date"))).withColumnRenamed("l_returnflag", "kind")
+    rows = rows.withColumn("kilobytes", F.col("l_quantity") * 12)
+    reason = files.selection(F.col("kind"), F.col("p_name"), F.col("age_days"), F.col("kilobytes"), ["R"], ["red", "9"], ["N"])
+    out = files.composition(files.guarded(rows.withColumn("reason", reason), "l_orderkey", revert_days=400), kind="kind")
+    return out.select("kind", "reason", F.col("level").cast("long").alias("level"), "n", F.round("taken").cast("long").alias("taken"), F.round("left").cast("long").alias("kept_out"), "share", "n_savings", "savings")
+
+
+@query(f"""
+WITH k AS (SELECT o_orderkey, date_diff('day', o_orderdate::DATE, DATE '{AS_OF}') AS waited, o_orderkey % 3 = 0 AS undefended, o_orderkey % 5 AS moves FROM orders),
+a AS (SELECT o_orderkey, list_filter([CASE WHEN waited > 60 THEN 'concluded over 60 days' END, CASE WHEN undefended THEN 'no defence' END, CASE WHEN o_orderkey % 2 = 0 THEN 'limitation near or past' END, CASE WHEN o_orderkey % 4 = 0 AND waited > 365 THEN 'appeal over a year' END,
+  CASE WHEN waited > 30 AND waited <= 60 THEN 'concluded over 30 days' END, CASE WHEN o_orderkey % 2 = 0 THEN 'party without lawyer' END, CASE WHEN moves > 1 THEN 'several redistributions' END, CASE WHEN undefended THEN 'priority asked for' END], lambda x: x IS NOT NULL) AS found FROM k)
+SELECT o_orderkey, nullif(array_to_string(found[1:5], '; '), '') AS alerts, CASE WHEN list_has_any(found, ['concluded over 60 days', 'no defence', 'limitation near or past', 'appeal over a year']) THEN 'RED' WHEN list_has_any(found, ['concluded over 30 days', 'party without lawyer', 'several redistributions']) THEN 'YELLOW' ELSE 'GREEN' END AS colour FROM a""")
+def case_alerts(t, spark):
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    found = timeline.waits(F.to_date(F.lit(AS_OF)), day, F.when(k % 4 == 0, day), k % 5)
+    found |= {"priority asked for": k % 3 == 0, "no defence": k % 3 == 0, "limitation near or past": k % 2 == 0, "party without lawyer": k % 2 == 0}
+    return timeline.raised(t("orders"), found).select("o_orderkey", "alerts", "colour")

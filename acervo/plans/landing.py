@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from acervo.functions import records
+from acervo.functions.text import ACCENT
 from acervo.operators import cleaning, panels, search
+from acervo.operators.gates import Contract, contract_table
 from acervo.plans.registry import query
+from acervo.plans.texts import sql_norm
 from acervo.sources import landed, reports
 
 
@@ -80,6 +83,28 @@ def record_reports(t, spark):
     return t("nation").select("n_nationkey", xml.alias("xml"), reports.merged_sentence(F.concat(F.lit("a"), "n_nationkey", F.lit("\n\n\n")), F.lit("b\n")).alias("merged"), reports.markdown_record(F.col("n_name"), {"Região": F.col("n_regionkey"), "vazio": F.lit("")}).alias("markdown"))
 
 
+PARTS = [Contract("demo", "relatorio", "-0.md", "The", ["ing", "Être"], [], 300), Contract("demo", "fundamentacao", "-1.md", "E", ["."], [], 300), Contract("demo", "sentenca", "-2.md", "der", ["."], ["and"], 900)]
+
+
+@query(f"""
+WITH a AS (SELECT source || '/' || doc_id // 2 AS workspace_id, doc_id % 2 AS part, text, {sql_norm('text')} AS n FROM documents),
+good AS (SELECT workspace_id, part, text, length(text) >= 300 AND regexp_matches(text, '{ACCENT}') AND CASE part WHEN 0 THEN contains(n[1:400], 'the') AND (contains(right(n, 400), 'ing') OR contains(right(n, 400), 'etre')) ELSE contains(n[1:400], 'e') AND contains(right(n, 400), '.') END AS ok FROM a),
+m AS (SELECT workspace_id, count(*) FILTER (ok) = 2 AS whole, regexp_replace(max(text) FILTER (part = 0), chr(10) || '+$', '') || chr(10) || chr(10) || regexp_replace(max(text) FILTER (part = 1), chr(10) || '+$', '') || chr(10) AS text FROM good GROUP BY ALL),
+j AS (SELECT *, {sql_norm('text')} AS n FROM m)
+SELECT workspace_id, CASE WHEN whole THEN md5(text) END AS digest, CASE WHEN whole AND length(text) >= 900 AND contains(n[1:400], 'der') AND contains(right(n, 400), '.') AND contains(n, 'and') THEN 0 ELSE 1 END AS exit_code FROM j""")
+def checked_sentences(t, spark):
+    """Two documents a workspace as the parts of a sentence."""
+    artifacts = t("documents").select(F.concat("source", F.lit("/"), F.expr("doc_id div 2")).alias("workspace_id"), F.concat(F.lit("-"), F.expr("doc_id % 2"), F.lit(".md")).alias("suffix"), "text")
+    return reports.sentences(artifacts, contract_table(spark, PARTS)).select("workspace_id", F.md5("text").alias("digest"), "exit_code")
+
+
+@query("""SELECT n_regionkey, '{' || chr(10) || '  "região": ' || n_regionkey || ',' || chr(10) || '  "versao": null,' || chr(10) || '  "fontes": [' || chr(10) || string_agg('    {' || chr(10) || '      "id": ' || n_nationkey || ',' || chr(10) || '      "nome": "' || n_name || ' \\"é\\""' || chr(10) || '    }', ',' || chr(10) ORDER BY n_nationkey) || chr(10) || '  ]' || chr(10) || '}' AS document FROM nation GROUP BY n_regionkey""")
+def json_documents(t, spark):
+    record = reports.json_record({"id": F.col("n_nationkey"), "nome": F.concat("n_name", F.lit(' "é"'))}, 2)
+    by = t("nation").select("n_regionkey", F.struct("n_nationkey", record.alias("r")).alias("x")).groupBy("n_regionkey").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    return by.select("n_regionkey", reports.json_document({"região": F.col("n_regionkey"), "versao": F.lit(None).cast("string")}, "fontes", F.transform("x", lambda x: x["r"])).alias("document"))
+
+
 @query("SELECT count(*) FILTER (o_orderstatus <> 'P')::BIGINT AS n_ok, count(*) FILTER (o_orderstatus = 'P')::BIGINT AS n_failed, sum(o_orderkey)::BIGINT AS before, sum(o_orderkey // 2)::BIGINT AS after, round((sum(o_orderkey) - sum(o_orderkey // 2)) * 100.0::DOUBLE / sum(o_orderkey), 6) AS reduction FROM orders")
 def conversion_log(t, spark):
     rows = t("orders").select((F.col("o_orderstatus") != "P").alias("ok"), F.col("o_orderkey").alias("a"), F.expr("o_orderkey div 2").alias("b"))

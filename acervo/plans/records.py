@@ -150,3 +150,18 @@ def first_source_wins(t, spark):
 @query(f"WITH r AS (SELECT doc_id, count(*) OVER w AS n_alike, row_number() OVER (PARTITION BY lang, source, {sql_norm('text')} ORDER BY n_chars DESC, doc_id DESC) AS k FROM documents WINDOW w AS (PARTITION BY lang, source, {sql_norm('text')})) SELECT doc_id, n_alike::BIGINT AS n_alike FROM r WHERE k = 1")
 def newest_rulings(t, spark):
     return records.newest_of_alike(t("documents"), "source", "lang", "text", "n_chars", "doc_id").select("doc_id", "n_alike")
+
+
+@query("SELECT s_suppkey, '(TNU, Rel. ' || s_name || ', & ' || s_suppkey || ')' AS citation, 'Um caso de ' || s_name || '. (TNU, velho) (TNU, Rel. ' || s_name || ', & ' || s_suppkey || ')' AS summary FROM supplier")
+def official_citations(t, spark):
+    raw = F.concat(F.lit("EMENTA: \n Um caso&nbsp;de "), "s_name", F.lit(". (TNU, velho)  (TNU,\tRel. "), "s_name", F.lit(",\n &amp; "), F.col("s_suppkey").cast("string"), F.lit(")"))
+    return t("supplier").select("s_suppkey", records.official_citation(raw, "TNU,").alias("c")).select("s_suppkey", "c.citation", "c.summary")
+
+
+@query("SELECT c_custkey, array_to_string([c_name, '', 'b ' || c_custkey, c_mktsegment, 'c', 'd'][1 + c_custkey % 2:], '|') AS lines, 'a%E7%E3o+n%BA+' || c_custkey || '%2F%3F-_.*' AS url FROM customer")
+def text_lines(t, spark):
+    k = F.col("c_custkey")
+    ends = [F.lit(x) for x in ("\r\n", "\r", " ", "\x0c", "\x85", "\n")]
+    whole = F.concat(F.when(k % 2 == 0, F.concat("c_name", ends[0])).otherwise(""), ends[1], F.lit("b "), k.cast("string"), ends[2], "c_mktsegment", ends[3], F.lit("c"), ends[4], F.lit("d"), ends[5])
+    url = text.url_encoded(F.concat(F.lit("ação nº "), k.cast("string"), F.lit("/☆-_.*")), "ISO-8859-1")
+    return t("customer").select("c_custkey", F.array_join(text.lines(whole), "|").alias("lines"), url.alias("url"))

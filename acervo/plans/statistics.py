@@ -7,8 +7,9 @@ import datetime
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from acervo.functions import records
 from acervo.functions.text import padded
-from acervo.operators import accrual, merging, panels, rules
+from acervo.operators import accrual, files, merging, panels, rules
 from acervo.plans.registry import query
 
 
@@ -130,27 +131,46 @@ def evidence_map(t, spark):
     return rules.evidence_map(t("lineitem"), "l_orderkey", F.col("l_quantity") > 25)
 
 
-@query("SELECT l_orderkey, count(*)::BIGINT AS n, count(*) FILTER (l_returnflag = 'N')::BIGINT AS n_valid, count(*) FILTER (l_returnflag = 'N') >= 3 AS quorum FROM lineitem GROUP BY ALL")
+@query("""
+WITH q AS (SELECT l_orderkey, count(*)::BIGINT AS n, count(*) FILTER (l_returnflag = 'N')::BIGINT AS n_valid FROM lineitem GROUP BY ALL)
+SELECT *, greatest(5 - n, 0)::BIGINT AS missing, CASE WHEN n_valid >= 3 THEN 'CONSOLIDATE' WHEN n_valid > 0 THEN 'PARTIAL' ELSE 'NONE' END AS status FROM q""")
 def quorums(t, spark):
-    return t("lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_if(F.col("l_returnflag") == "N").alias("n_valid"), (F.count_if(F.col("l_returnflag") == "N") >= 3).alias("quorum"))
+    return panels.quorum(t("lineitem"), "l_orderkey", F.col("l_returnflag") == "N")
 
 
-@query("SELECT source, count(*)::BIGINT AS n_pages, count(*) FILTER (length(text) >= 500)::BIGINT AS n_adequate, round(count(*) FILTER (length(text) >= 500) * 100.0::DOUBLE / count(*), 2) AS share, count(*) FILTER (length(text) >= 500) / count(*) >= 0.7 AS adequate FROM documents GROUP BY ALL")
+@query("""
+WITH q AS (SELECT source, count(*)::BIGINT AS n_pages, count(*) FILTER (length(text) >= 500)::BIGINT AS n_adequate FROM documents GROUP BY ALL)
+SELECT *, round(n_adequate * 100.0::DOUBLE / n_pages, 2) AS share, n_adequate / n_pages < 0.7 AS next_stage FROM q""")
 def page_adequacy(t, spark):
-    good = F.count_if(F.length("text") >= 500)
-    return t("documents").groupBy("source").agg(F.count("*").alias("n_pages"), good.alias("n_adequate"), F.round(good * 100.0 / F.count("*"), 2).alias("share"), (good / F.count("*") >= 0.7).alias("adequate"))
+    return panels.page_quality(t("documents"), "source", "text")
 
 
-@query("SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size::BIGINT, p_partkey)::INTEGER AS place FROM part WHERE p_name[1:1] <> '_'")
+@query("""
+WITH e AS (SELECT source, lang, count(*) AS n, count(*) FILTER (length(text) >= 500) AS good FROM documents GROUP BY ALL),
+q AS (SELECT source, sum(n)::BIGINT AS n_pages, sum(good)::BIGINT AS n_adequate, list({'l': lang, 'n': n} ORDER BY lang) AS m FROM e GROUP BY ALL)
+SELECT source, n_pages, n_adequate, array_to_string(list_transform(m, lambda x: x.l || ':' || x.n || ':' || round(x.n * 10000 / n_pages)::BIGINT), ',') AS methods,
+  CASE WHEN n_adequate / n_pages >= 0.95 THEN 'EXCELENTE' WHEN n_adequate / n_pages >= 0.85 THEN 'BOA' WHEN n_adequate / n_pages >= 0.7 THEN 'REGULAR' ELSE 'BAIXA' END AS quality, n_adequate / n_pages < 0.7 AS next_stage FROM q""")
+def page_methods(t, spark):
+    out = panels.page_quality(t("documents"), "source", "text", method="lang")
+    said = F.transform("methods", lambda m: F.concat_ws(":", m["method"], m["n"].cast("string"), F.round(m["percent"] * 100).cast("bigint").cast("string")))
+    return out.withColumn("methods", F.array_join(said, ","))
+
+
+@query("SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size::BIGINT, p_size || '_' || p_name)::INTEGER AS place FROM part WHERE p_partkey % 7 <> 0")
 def numeric_file_order(t, spark):
-    names = t("part").where(~F.startswith("p_name", F.lit("_"))).withColumn("file", F.concat_ws("_", "p_size", "p_name"))
-    number = F.split("file", "_")[0].cast("bigint")
-    return names.select("p_brand", "p_partkey", F.row_number().over(Window.partitionBy("p_brand").orderBy(number, "p_partkey")).alias("place"))
+    file = F.concat(F.when(F.col("p_partkey") % 7 == 0, "_").otherwise(""), F.concat_ws("_", "p_size", "p_name"))
+    return files.merge_order(t("part").withColumn("file", file), "p_brand", "file").select("p_brand", "p_partkey", "place")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
 def destination_anti_join(t, spark):
-    return t("customer").join(t("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return files.not_there(t("documents").select("doc_id"), t("labels"), "doc_id")
+
+
+@query("SELECT doc_id, coalesce(n_name, code) AS label FROM (SELECT doc_id, (doc_id % 40)::VARCHAR AS code FROM documents) LEFT JOIN (SELECT n_nationkey::VARCHAR AS code, n_name FROM nation) USING (code)")
+def code_labels(t, spark):
+    names = t("nation").select(F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("label"))
+    return records.labelled_codes(t("documents").select("doc_id", (F.col("doc_id") % 40).cast("string").alias("code")), names, "code").select("doc_id", "label")
 
 
 @query("SELECT s_suppkey, coalesce(n_name, s_nationkey::VARCHAR) AS label, r_name AS grp FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey")
@@ -158,10 +178,34 @@ def label_lookup(t, spark):
     return t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select("s_suppkey", F.coalesce("n_name", F.col("s_nationkey").cast("string")).alias("label"), F.col("r_name").alias("grp"))
 
 
-@query("SELECT n_name AS code FROM nation EXCEPT SELECT n_name FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_acctbal > 5000")
+@query("SELECT n_name AS code, 1::BIGINT AS n FROM nation WHERE n_name NOT IN (SELECT n_name FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_acctbal > 5000)")
 def unknown_codes(t, spark):
     known = t("supplier").where("s_acctbal > 5000").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("code"))
-    return t("nation").select(F.col("n_name").alias("code")).exceptAll(known.distinct()).distinct()
+    return records.unknown(t("nation").select(F.col("n_name").alias("code")), known, "code")
+
+
+@query("""
+WITH k AS (SELECT o_custkey, o_orderkey, o_orderkey % 8 AS i FROM orders)
+SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN i < 6 THEN i ELSE 6 END, o_orderkey)::INTEGER AS rank FROM k QUALIFY rank <= 5""")
+def alert_priorities(t, spark):
+    kinds = F.array(*[F.lit(f" {k.upper()}") for k in panels.ALERTS], F.lit("other"), F.lit(""))
+    rows = t("orders").select("o_custkey", "o_orderkey", F.get(kinds, (F.col("o_orderkey") % 8).cast("int")).alias("kind"))
+    return panels.pressing(rows, "o_custkey", "kind", "o_orderkey").select("o_custkey", "o_orderkey", "rank")
+
+
+@query("""
+WITH k AS (SELECT o_orderkey, o_orderkey % 5 AS i, round(o_totalprice * 100)::BIGINT AS cents FROM orders)
+SELECT o_orderkey, CASE i WHEN 0 THEN 151800000 WHEN 1 THEN 75900000 WHEN 2 THEN 15180000 WHEN 3 THEN 75900000 END::BIGINT AS least,
+  CASE i WHEN 0 THEN cents >= 151800000 WHEN 1 THEN cents >= 75900000 WHEN 2 THEN cents >= 15180000 WHEN 3 THEN true ELSE cents > 20000000 END AS reviewed,
+  CASE i WHEN 0 THEN (cents * 5 + 50) // 100 WHEN 1 THEN 0 WHEN 2 THEN (cents * 10 + 50) // 100 WHEN 3 THEN (cents * 10 + 50) // 100 END::BIGINT AS fee_least, CASE i WHEN 0 THEN (cents * 5 + 50) // 100 WHEN 1 THEN (cents * 10 + 50) // 100 WHEN 2 THEN (cents * 20 + 50) // 100 WHEN 3 THEN (cents * 10 + 50) // 100 END::BIGINT AS fee_most FROM k""")
+def entity_values(t, spark):
+    i, value = (F.col("o_orderkey") % 5).cast("int"), F.col("o_totalprice").cast("decimal(18,2)")
+    pick = lambda *xs: F.get(F.array(*map(F.lit, xs)), i)
+    wage, entity = F.lit("1518.00").cast("decimal(10,2)"), pick("Union", "capital", "other municipality", "state", "nobody")
+    kind = pick("judgment", "judgment", "judgment", "writ of mandamus granted", "expropriation")
+    fees = rules.procedure_fees(value, pick("monitory without embargoes", "monitory, embargoes rejected", "monitory, embargoes accepted", "execution", "none"))
+    cents = lambda c: (c * 100).cast("bigint")
+    return t("orders").select("o_orderkey", cents(rules.review_value(entity, wage)).alias("least"), rules.reviewed(entity, value, wage, kind, F.lit(100_000)).alias("reviewed"), cents(fees["least"]).alias("fee_least"), cents(fees["most"]).alias("fee_most"))
 
 
 @query("SELECT 'customer' AS base, c_custkey AS id, c_name AS name, c_mktsegment AS area, NULL::DOUBLE AS price FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL, NULL FROM supplier UNION ALL SELECT 'part', p_partkey, p_name, NULL, p_retailprice FROM part")
