@@ -177,8 +177,11 @@ def as_signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(distinct: DataFrame, radius: int, dense: int = DENSE) -> DataFrame:
-    """Links (u, v) among distinct fingerprints, enough to join all that link directly or by way of others."""
+def links(distinct: DataFrame, radius: int, dense: int = DENSE, whole: bool = True) -> DataFrame:
+    """Links (u, v) among distinct fingerprints, enough to join all that link directly or by way of others.
+
+    whole=False: in a dense key only links to its pivot, a number in proportion
+    to its fingerprints, where others find what these leave out."""
     n = distinct.count()
     sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(PLAN_SAMPLE).toArrow()["fp"].to_numpy().astype(np.int64).view(np.uint64)
     parts = plan(sample, n, radius)
@@ -198,6 +201,9 @@ def links(distinct: DataFrame, radius: int, dense: int = DENSE) -> DataFrame:
         left, right = left.select("part", "key", F.col("fp").alias("u")), right.select("part", "key", F.col("fp").alias("v"))
         return left.join(right, (left.part == right.part) & (left.key == right.key) & (F.col("u") != F.col("v")) & near("u", "v")).select("u", "v")
 
+    if not whole:
+        few = F.col("pivot").isNull()
+        return stars.unionAll(compared(index.where(few), probe.where(few))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     free = ~F.col("held")
     return stars.unionAll(compared(index.where(free), probe)).unionAll(compared(index.where("held"), probe.where(free))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
@@ -346,11 +352,11 @@ def exact(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, near: Near) -> Da
 
 
 def by_fingerprint(nodes: DataFrame, near: Near, dense: int) -> DataFrame:
-    """Each node with the first one whose fingerprint links to its own, so that a large group meets around few of its texts."""
+    """Each node with the first one whose fingerprint links to its own, so that a large group meets around few of its texts; rarest shingles find the others."""
     first = stored(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
     same = nodes.join(first, "fp").where("node != head").select(F.col("node").alias("u"), F.col("head").alias("v"))
     of = lambda c: first.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
-    linked = ordered(links(first.select("fp"), near.radius, dense).join(of("u"), "u").join(of("v"), "v"), "head_u", "head_v")
+    linked = ordered(links(first.select("fp"), near.radius, dense, whole=False).join(of("u"), "u").join(of("v"), "v"), "head_u", "head_v")
     return ordered(same, "u", "v").unionAll(linked.groupBy("u").agg(F.min("v").alias("v")))
 
 
