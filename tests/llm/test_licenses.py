@@ -31,3 +31,21 @@ def test_broken_notices_merge_over_neighbouring_diagonals(spark):
     assert got == {1: ("mit", 0), 2: ("mit", 0), 3: ("", 0), 4: ("", 0)}
     plan = licenses.scanned(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_whole_texts_are_found_and_told_apart(spark):
+    """Each text with a word in twenty changed, among other words, has its label; a family's others only if they share most of their words."""
+    rng = random.Random(1)
+    rows, labels = [], {}
+    for i, (text, label) in enumerate(licenses.TEXTS):
+        w = text.split()
+        for j in range(7, len(w), 20):
+            w[j] = "other"
+        rows.append((i, " ".join(rng.choices(["some", "more", "prose"], k=200)) + "\n" + " ".join(w).upper() + " and so on"))
+        labels[i] = label
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: set(r.labels.split(",")) for r in licenses.scanned(docs).collect()}
+    missed = [labels[i] for i in labels if labels[i] not in found[i]]
+    assert not missed
+    assert {labels[i] for i in labels} >= {"gpl", "lgpl", "agpl", "apache", "mpl", "epl", "bsd", "isc", "mit", "bsl", "unlicense", "cc-by", "cc-by-sa", "cc0", "zlib"}
+    assert all("mit" not in found[i] for i in labels if labels[i] in ("gpl", "apache", "mpl", "epl", "cc0", "cc-by"))
