@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo.functions.text import blank, norm_ws
+from acervo.sources.shared import stored
 
 #: Pairs of quotes, the marks of an omission, and the least length of a fragment that counts.
 QUOTES = r'(?s)"[^"]+"|“[^”]+”'
@@ -37,14 +38,12 @@ def odd_quotes(text: Column) -> Column:
     return F.regexp_count(text, F.lit('"')) % 2 == 1
 
 
-#: A fragment of fewer words has no three that surely stand whole in it.
-LEAST_WORDS = 5
-
-
-def grams(words: Column) -> Column:
-    """Hashes of all runs of three words, each once."""
-    runs = F.arrays_zip(words.alias("a"), F.slice(words, 2, 1 << 30).alias("b"), F.slice(words, 3, 1 << 30).alias("c"))
-    return F.array_distinct(F.array_compact(F.transform(runs, lambda x: F.when(x["c"].isNotNull(), F.xxhash64(x["a"], x["b"], x["c"])))))
+def runs(words: Column, k: int) -> Column:
+    """Hashes of all runs of k words, each once."""
+    if k == 1:
+        return F.array_distinct(F.transform(words, lambda x: F.xxhash64(x)))
+    zipped = F.arrays_zip(*[(F.slice(words, j + 1, 1 << 30) if j else words).alias(f"w{j}") for j in range(k)])
+    return F.array_distinct(F.array_compact(F.transform(zipped, lambda x: F.when(x[f"w{k - 1}"].isNotNull(), F.xxhash64(*[x[f"w{j}"] for j in range(k)])))))
 
 
 def corpus(sources: DataFrame, files: DataFrame) -> DataFrame:
@@ -53,22 +52,39 @@ def corpus(sources: DataFrame, files: DataFrame) -> DataFrame:
     return parts.where(~blank(F.col("part")))
 
 
+#: Runs by which fragments are looked up: of three words, or of one where a fragment has fewer whole ones.
+RUN, SHORT_RUN = 3, 1
+
+
 def held_in(wanted: DataFrame, corpus: DataFrame) -> DataFrame:
     """The (workspace_id, fragment) that stand in a part of their workspace.
 
     A fragment may begin and end within a word, so its inner words are whole
-    ones of the part: the first run of three of them is looked up among the
-    runs of the parts, and hits are compared.  The few fragments of fewer words
-    are compared with all parts of their workspace.
+    ones of any part that holds it, and so are all runs of them.  The parts'
+    runs that some fragment asks for are counted: a fragment with a run that
+    no part has is held nowhere, any other is compared with the parts that have
+    the rarest of its runs.  Only fragments without an inner word (two long
+    words) are compared with all parts of their workspace.
     """
     parts = corpus.select("workspace_id", norm_ws(F.col("part")).alias("part")).distinct().withColumn("digest", F.xxhash64("part"))
-    each = wanted.select("workspace_id", "fragment").distinct().withColumn("inner", F.split("fragment", " "))
-    each = each.withColumn("gram", F.when(F.size("inner") >= LEAST_WORDS, F.xxhash64(*[F.get("inner", F.lit(i)) for i in (1, 2, 3)])))
-    keys = parts.select("workspace_id", "digest", F.explode(grams(F.split("part", " "))).alias("gram"))
-    hits = each.where("gram is not null").join(keys, ["workspace_id", "gram"]).select("workspace_id", "fragment", "digest")
+    each = wanted.select("workspace_id", "fragment").distinct().withColumn("words", F.split("fragment", " "))
+    each = each.withColumn("inner", F.slice("words", F.lit(2), F.greatest(F.size("words") - 2, F.lit(0))))
+    k = F.when(F.size("inner") >= RUN, RUN).when(F.size("inner") >= SHORT_RUN, SHORT_RUN)
+    asked = each.select("workspace_id", "fragment", k.alias("k"), F.explode(F.when(k == RUN, runs(F.col("inner"), RUN)).when(k == SHORT_RUN, runs(F.col("inner"), SHORT_RUN))).alias("run"))
+    looked_for = asked.select("workspace_id", "k", "run").distinct()
+
+    def having(k: int) -> DataFrame:
+        mine = looked_for.where(F.col("k") == k).drop("k")
+        near = parts.join(mine.select("workspace_id").distinct(), "workspace_id", "left_semi")
+        return near.select("workspace_id", "digest", F.explode(runs(F.split("part", " "), k)).alias("run")).join(mine, ["workspace_id", "run"], "left_semi")
+
+    found = stored(having(RUN).unionByName(having(SHORT_RUN)), "quoted-runs")
+    often = found.groupBy("workspace_id", "run").agg(F.count("*").alias("n"))
+    rarest = asked.join(often, ["workspace_id", "run"], "left").groupBy("workspace_id", "fragment").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run")).alias("rarest"))
+    hits = rarest.where("rarest.n > 0").select("workspace_id", "fragment", F.col("rarest.run").alias("run")).join(found, ["workspace_id", "run"])
     met = hits.join(parts, ["workspace_id", "digest"]).select("workspace_id", "fragment", "part")
-    short = each.where("gram is null").join(parts, "workspace_id").select("workspace_id", "fragment", "part")
-    return met.unionAll(short).where(F.contains("part", F.col("fragment"))).select("workspace_id", "fragment").distinct()
+    bare = each.where(F.size("inner") == 0).select("workspace_id", "fragment").join(parts, "workspace_id").select("workspace_id", "fragment", "part")
+    return met.unionAll(bare).where(F.contains("part", F.col("fragment"))).select("workspace_id", "fragment").distinct()
 
 
 def checked(documents: DataFrame, corpus: DataFrame, least: int = LEAST, marker: str = "") -> DataFrame:

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acervo.operators.search import words
+from acervo.operators.search import behind, words
 from acervo.operators.segments import numbered_words
 
 BUCKETS = 64
@@ -81,21 +81,15 @@ class Index:
         return self.without(self.has(a), b).unionAll(self.without(self.has(b), a))
 
     def apart(self, a: str, b: str, n: int, backwards: bool) -> DataFrame:
-        """b at most n places after a, or a after b too.
-
-        The nearest place of b behind each of a decides, so each pair of lists takes one merge."""
+        """b at most n places after a, or a after b too."""
         more_a, more_b = len(words(a)) - 1, len(words(b)) - 1
         met = self.found(a).withColumnRenamed("at", "a").join(self.found(b).withColumnRenamed("at", "b"), "key")
 
-        def behind(x: str, y: str, more: int) -> Column:
-            """Whether a place of y is 1 to n words behind the last word of x: both lists, sorted together, need one pass for the last x before each y."""
-            marks = F.array_sort(F.concat(F.transform(x, lambda p: F.struct((p["place"] + more).alias("at"), F.lit(1).alias("kind"))), F.transform(y, lambda p: F.struct(p["place"].alias("at"), F.lit(0).alias("kind")))))
-            start = F.struct(F.lit(None).cast("int").alias("last"), F.lit(False).alias("hit"))
-            step = lambda s, m: F.struct(F.when(m["kind"] == 1, m["at"]).otherwise(s["last"]).alias("last"), (s["hit"] | ((m["kind"] == 0) & F.coalesce(m["at"] - s["last"] <= n, F.lit(False)))).alias("hit"))
-            return F.aggregate(marks, start, step, lambda s: s["hit"])
+        def after(x: str, y: str, more: int) -> Column:
+            return behind(F.transform(x, lambda p: p["place"] + more), F.transform(y, lambda p: p["place"]), n)
 
-        hit = behind("a", "b", more_a)
-        return met.where(hit | behind("b", "a", more_b) if backwards else hit).select("key")
+        hit = after("a", "b", more_a)
+        return met.where(hit | after("b", "a", more_b) if backwards else hit).select("key")
 
     def followed(self, a: str, b: str, n: int = 1) -> DataFrame:
         return self.apart(a, b, n, False)

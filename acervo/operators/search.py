@@ -86,20 +86,33 @@ def phrase(tok: Column, text: str, slop: int = 0) -> Column:
     return bound({f"w{k}": places(tok, x) for k, x in enumerate(w)}, fits)
 
 
-def apart(tok: Column, a: str, b: str, fits: Callable[[Column, Column], Column]) -> Column:
-    """fits(places from a's last word to b's first, and from b's last to a's first) for any occurrences of both."""
-    more_a, more_b = len(words(a)) - 1, len(words(b)) - 1
-    return bound({"a": places(tok, a), "b": places(tok, b)}, lambda s: F.exists(s["a"], lambda i: F.exists(s["b"], lambda j: fits(j - i - more_a, i - j - more_b))))
+def behind(x: Column, y: Column, n: int) -> Column:
+    """Whether one of y's places is 1 to n behind one of x's: of both lists, sorted together, one pass keeps the last of x before each of y."""
+    marks = F.array_sort(F.concat(F.transform(x, lambda p: F.struct(p.cast("int").alias("at"), F.lit(1).alias("kind"))), F.transform(y, lambda p: F.struct(p.cast("int").alias("at"), F.lit(0).alias("kind")))))
+    start = F.struct(F.lit(None).cast("int").alias("last"), F.lit(False).alias("hit"))
+    step = lambda s, m: F.struct(F.when(m["kind"] == 1, m["at"]).otherwise(s["last"]).alias("last"), (s["hit"] | ((m["kind"] == 0) & F.coalesce(m["at"] - s["last"] <= n, F.lit(False)))).alias("hit"))
+    return F.aggregate(marks, start, step, lambda s: s["hit"])
+
+
+def apart(tok: Column, a: str, b: str, n: int, backwards: bool) -> Column:
+    """Whether b begins at most n places after a's last word; backwards: or a after b's."""
+    after = lambda x, y, more: behind(F.transform(x, lambda p: p + more), y, n)
+
+    def fits(s: Column) -> Column:
+        forth = after(s["a"], s["b"], len(words(a)) - 1)
+        return forth | after(s["b"], s["a"], len(words(b)) - 1) if backwards else forth
+
+    return bound({"a": places(tok, a), "b": places(tok, b)}, fits)
 
 
 def followed(tok: Column, a: str, b: str, n: int = 1) -> Column:
     """b, a word or a phrase, at most n places after a."""
-    return apart(tok, a, b, lambda after, before: after.between(1, n))
+    return apart(tok, a, b, n, False)
 
 
 def close(tok: Column, a: str, b: str, n: int = 1) -> Column:
     """a and b at most n places apart, in any order."""
-    return apart(tok, a, b, lambda after, before: after.between(1, n) | before.between(1, n))
+    return apart(tok, a, b, n, True)
 
 
 def together(text: Column, terms: list[str], within: str) -> Column:

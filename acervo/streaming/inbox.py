@@ -17,7 +17,7 @@ def arrivals(spark: SparkSession, path: str, schema: str = "workspace_id string,
 
 def judged(stream: DataFrame, contracts: DataFrame) -> DataFrame:
     """Each artifact's stage and problems; a stream joined with the contract table, of fixed size."""
-    met = stream.withColumn("n", norm(F.col("text"))).join(contracts, "suffix")
+    met = stream.join(contracts, "suffix").withColumn("n", norm(F.col("text")))
     return met.select("workspace_id", "stage", "arrived", problems(F.col("text"), F.col("n")).alias("problems"))
 
 

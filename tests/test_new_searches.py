@@ -7,7 +7,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from acervo.operators import accrual, index, search, segments, similar
+from acervo.functions.text import norm_ws
+from acervo.operators import accrual, citations, index, search, segments, similar
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +101,33 @@ def test_accrual_by_hand(spark):
     assert [tuple(map(str, r)) for r in accrual.method_changes(table).orderBy("period").collect()] == [("INPC", "2021-11-01", "2021-12-01"), ("SELIC", "2022-01-01", "2022-03-01")]
     kinds = spark.createDataFrame([(["SELIC"],), (["SELIC", "INPC"],), (["INPC", "TR"],)], "k array<string>")
     assert [r.d for r in kinds.select(accrual.doubled(F.col("k"), "SELIC").alias("d")).collect()] == [False, True, False]
+
+
+def test_proximity_equals_brute_force(spark):
+    rng = random.Random(2)
+    texts = [rng.choices(["a", "b", "c"], k=rng.randint(0, 25)) for _ in range(150)]
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "id int, text string")
+    tok = search.tokens(F.col("text"))
+    for a, b, n in (("a", "b", 1), ("a", "b", 3), ("a", "a", 2), ("a b", "c", 2), ("b", "c a", 4)):
+        at = lambda t, w: [i for i in range(len(t)) if t[i : i + len(w.split())] == w.split()]
+        forth = {i for i, t in enumerate(texts) if any(1 <= y - x - len(a.split()) + 1 <= n for x in at(t, a) for y in at(t, b))}  # noqa: B023
+        back = {i for i, t in enumerate(texts) if any(1 <= y - x - len(b.split()) + 1 <= n for x in at(t, b) for y in at(t, a))}  # noqa: B023
+        assert {r.id for r in rows.where(search.followed(tok, a, b, n)).collect()} == forth
+        assert {r.id for r in rows.where(search.close(tok, a, b, n)).collect()} == forth | back
+
+
+def test_quotes_are_found_by_their_rarest_run(spark):
+    """Fragments of any number of words, cut within words, against plain containment."""
+    rng = random.Random(4)
+    words = ["de", "de", "de", "lei", "ação", "código", "art"]
+    parts = [("w", " ".join(rng.choices(words, k=rng.randint(1, 40)))) for _ in range(60)] + [("v", "de lei de ação"), ("w", "x" * 70 + " " + "y" * 70)]
+    wanted = []
+    for space, text in parts:
+        a = rng.randrange(len(text))
+        wanted += [(space, text[a : a + rng.randint(1, 60)]), ("v", text[:20]), (space, text[a:] + "z")]
+    wanted += [("w", "x" * 65 + " " + "y" * 65), ("w", "x" * 69), ("none", "de")]
+    f, c = spark.createDataFrame(wanted, "workspace_id string, fragment string").withColumn("fragment", norm_ws(F.col("fragment"))).where("fragment != ''"), spark.createDataFrame(parts, "workspace_id string, part string")
+    norms = [(r.workspace_id, r.n) for r in c.select("workspace_id", norm_ws(F.col("part")).alias("n")).collect()]
+    want = {(r.workspace_id, r.fragment) for r in f.collect() if any(w == r.workspace_id and r.fragment in n for w, n in norms)}
+    got = [tuple(r) for r in citations.held_in(f, c).collect()]
+    assert set(got) == want and len(got) == len(want) > 50
