@@ -15,7 +15,7 @@ training documents.  Each round of training reads its own slice of the blocks
 of all training documents: tasks take AdaGrad steps from the same weights and
 the weighted mean of their changes is added.  The changes travel in slices,
 which are summed by slice, so that the driver gets one table however many tasks
-there are.  A model has a fixed size (4 MB); words and counts never go to the
+there are.  A model has a fixed size (8 MB); words and counts never go to the
 driver, but meet each block by a join.
 
 Defined results: a null or empty text is one token, the end; a null
@@ -42,7 +42,7 @@ from acervo.llm.common import stored
 
 #: The end of a document counts as a token: a line feed, which is in no word.
 END = xxhash.xxh64_intdigest(b"\n")
-CLASSES, MEMBERS, ROWS = 16, 16, 1 << 15
+CLASSES, MEMBERS, ROWS = 32, 32, 1 << 15
 BLOCK_BYTES = 4 << 20
 ROUNDS, RATE, STEP_TOKENS = 3, 0.15, 16_384
 #: The change of the weights travels in so many slices; a task of training takes so many partitions of blocks.
@@ -159,6 +159,12 @@ def softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e / total, (top + np.log(total))[:, 0]
 
 
+def log_sum(z: np.ndarray) -> np.ndarray:
+    """The logarithm of the sum of the exponentials."""
+    top = z.max(1)
+    return top + np.log(np.exp(z - top[:, None]).sum(1))
+
+
 def chunks(n: int, size: int) -> Iterator[slice]:
     for at in range(0, n, size):
         yield slice(at, at + size)
@@ -182,9 +188,11 @@ def stepped(found: Iterator[Block], model: Model, rate: float) -> tuple[np.ndarr
                 slope = softmax(x)[0]
                 slope[here, right] -= 1
                 at = np.concatenate([r[k] for r in used])
-                order = np.argsort(at, kind="stable")
-                at, first = np.unique(at[order], return_index=True)
-                slope = np.add.reduceat(slope[order % len(k)], first, axis=0)
+                order = np.argsort(at.astype(np.uint16), kind="stable")  # by radix: rows have 15 bits
+                at = at[order]
+                first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                at = at[first]
+                slope = np.add.reduceat(np.ascontiguousarray(slope[order % len(k)].T), first, axis=1).T  # along memory
                 square[at] += (slope**2).mean(1)
                 table[at] -= rate * slope / np.sqrt(square[at])[:, None]
     return classes, members, n
@@ -277,7 +285,7 @@ def scored(docs: DataFrame, rounds: int = ROUNDS, rate: float = RATE, block_byte
                 cls, member = slot[k] // MEMBERS, slot[k] % MEMBERS
                 here = np.arange(len(cls))
                 z, y = model.logits([r[k] for r in rows], [r[k] for r in crossed], cls)
-                log[k] = (z[here, cls] - softmax(z)[1]) + (y[here, member] - softmax(y)[1])
+                log[k] = (z[here, cls] - log_sum(z)) + (y[here, member] - log_sum(y))
             total = lambda x: np.add.reduceat(x, b.starts[:-1])  # noqa: B023, E731
             cols = [b.doc_ids, b.held, np.diff(b.starts), total((c > 0)[b.codes].astype(np.int64)), np.full(len(b.held), int(n)), total(base[b.codes]), total(log / np.log(10) + share[b.codes])]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()], strict=True)], [x.split()[0] for x in SCORES.split(", ")])

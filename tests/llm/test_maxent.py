@@ -64,3 +64,10 @@ def test_contexts_have_more_rows_than_a_small_table():
     b = maxent.Block({"doc_ids": [1], "held": b"\0", "starts": np.array([0, n]).tobytes(), "codes": maxent.packed(np.arange(n, dtype=np.int32)), "words": words})
     for rows in sum(maxent.features(b, maxent.slots(b.words)), []):
         assert len(np.unique(rows)) > 1 << 14
+
+
+def test_held_out_texts_are_more_likely_than_by_counts(spark):
+    """On the smallest real tables: log10 probability a token over all held-out documents, which training never sees."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(4)
+    r = maxent.scored(docs).where("held_out").selectExpr("sum(score) / sum(n_tokens) AS model", "sum(base_score) / sum(n_tokens) AS base", "count(*) AS n").first()
+    assert r.n > 50 and r.model > r.base + 0.1
