@@ -179,8 +179,9 @@ def arranged(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumns({"doc": F.coalesce("doc_id", F.lit(LAST)), "tag": F.xxhash64("text")})
 
 
-def fingerprints(docs: DataFrame, window: int) -> DataFrame:
-    """(print, doc, tag): each document's distinct fingerprints."""
+def fingerprints(docs: DataFrame, window: int, holders: bool = False) -> DataFrame:
+    """(print): each document's distinct fingerprints; holders: with (doc, tag)."""
+    more = ["doc", "tag"] if holders else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tx.sliced(batches):
@@ -190,9 +191,9 @@ def fingerprints(docs: DataFrame, window: int) -> DataFrame:
             new = np.ones(len(row), bool)
             new[1:] = (row[1:] != row[:-1]) | (prints[1:] != prints[:-1])
             at = pa.array(row[new])
-            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(prints[new])), b.column("doc").take(at), b.column("tag").take(at)], ["print", "doc", "tag"])
+            yield pa.RecordBatch.from_arrays([pa.array(tx.signed(prints[new])), *(b.column(c).take(at) for c in more)], ["print", *more])
 
-    return docs.select("text", "doc", "tag").mapInArrow(run, "print long, doc long, tag long")
+    return docs.select("text", *more).mapInArrow(run, ", ".join(f"{c} long" for c in ["print", *more]))
 
 
 STRETCH = "print long, a long, b long, doc long, tag long, at long, n long"
@@ -316,7 +317,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, batches: int = 3, fan_in
     try:
         shared = None
         for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-            new = index.add(fingerprints(rows.where(between(low, high)), window).select("print"))
+            new = index.add(fingerprints(rows.where(between(low, high)), window))
             shared = new if shared is None else shared.unionAll(new)
         places = covered(rows, window, shared)
     finally:
@@ -339,7 +340,7 @@ def extended(index: FingerprintIndex, docs: DataFrame, earlier: DataFrame | None
     batches come in the order of their identifiers.
     """
     new = arranged(docs)
-    found = stored(fingerprints(new, window), "fingerprints")
+    found = stored(fingerprints(new, window, True), "fingerprints")
     shared = index.add(found.select("print"))
     holders = index.holders(shared)
     index.hold(found)
