@@ -148,6 +148,18 @@ def score(tok: Column, terms: list[str]) -> Column:
     return reduce(Column.__add__, [has(tok, t).cast("int") for t in distinct], F.lit(0))
 
 
+def weighted(tok: Column, boosts: dict[str, float]) -> Column:
+    """Relevance with boosts: the sum of the weights of the terms that a text has."""
+    return reduce(Column.__add__, [F.when(has(tok, t), F.lit(float(w))).otherwise(0.0) for t, w in boosts.items()], F.lit(0.0))
+
+
+def within_range(value: Column, low: object = None, high: object = None, low_in: bool = True, high_in: bool = True) -> Column:
+    """A range of values, each end with or without the end itself; None is open. A null value is in none."""
+    above = F.lit(True) if low is None else value >= low if low_in else value > low
+    below = F.lit(True) if high is None else value <= high if high_in else value < high
+    return F.coalesce(value.isNotNull() & above & below, F.lit(False))
+
+
 def with_synonyms(terms: DataFrame, synonyms: DataFrame) -> DataFrame:
     """(term, word): each term and the words that a dictionary gives for it."""
     return terms.select("term", F.col("term").alias("word")).unionByName(terms.join(synonyms, "term").select("term", "word")).distinct()

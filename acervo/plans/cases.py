@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from acervo.operators import files, timeline
 from acervo.plans.registry import query
+from acervo.streaming import cases as streams
 
 AS_OF = "2001-09-01"
 
@@ -174,3 +175,34 @@ def case_alerts(t, spark):
     found = timeline.waits(F.to_date(F.lit(AS_OF)), day, F.when(k % 4 == 0, day), k % 5)
     found |= {"priority asked for": k % 3 == 0, "no defence": k % 3 == 0, "limitation near or past": k % 2 == 0, "party without lawyer": k % 2 == 0}
     return timeline.raised(t("orders"), found).select("o_orderkey", "alerts", "colour")
+
+
+@query("""
+WITH e AS (SELECT user_id, ts, ts + CASE event_type WHEN 'view' THEN INTERVAL 30 MINUTE WHEN 'click' THEN INTERVAL 3 HOUR ELSE INTERVAL 10 MINUTE END AS until FROM events),
+m AS (SELECT *, CASE WHEN ts <= max(until) OVER (PARTITION BY user_id ORDER BY ts, until ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS begins FROM e),
+s AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts, until ROWS UNBOUNDED PRECEDING) AS nr FROM m)
+SELECT user_id, min(ts) AS first, max(until) AS last, count(*)::BIGINT AS n FROM s GROUP BY user_id, nr""")
+def act_sessions(t, spark):
+    """The sessions that the stream gives, from the table."""
+    return streams.sessions(t("events"), "user_id", "ts", "event_type", {"view": "30 minutes", "click": "3 hours"}, "10 minutes")
+
+
+@query("""
+WITH e AS (SELECT event_type, time_bucket(INTERVAL 2 HOUR, ts) - to_hours(2 * k) AS first FROM events, (SELECT unnest([0, 1, 2]) AS k))
+SELECT event_type, first, first + INTERVAL 6 HOUR AS last, count(*)::BIGINT AS n FROM e GROUP BY ALL""")
+def act_windows(t, spark):
+    return streams.sliding(t("events"), "ts", "6 hours", "2 hours", "event_type")
+
+
+ALARMS_AS_OF = "2024-06-01"
+
+
+@query(f"""
+WITH a AS (SELECT user_id::VARCHAR AS case_id, ts, event_type = 'purchase' AS concludes FROM events WHERE event_type = 'purchase' OR (event_type = 'error' AND user_id % 2 = 0)),
+l AS (SELECT case_id, max(ts) AS acted FROM a WHERE NOT concludes GROUP BY ALL),
+s AS (SELECT case_id, min(ts) AS since FROM a LEFT JOIN l USING (case_id) WHERE concludes AND (acted IS NULL OR ts > acted) GROUP BY ALL)
+SELECT case_id, 'concluded over ' || days || ' days' AS alert, since, (since::DATE + days + 1)::TIMESTAMP AS at FROM s, (VALUES (30), (60)) AS d(days) WHERE date_diff('day', since::DATE, DATE '{ALARMS_AS_OF}') > days""")
+def open_conclusions(t, spark):
+    acts = t("events").where("event_type = 'purchase' OR (event_type = 'error' AND user_id % 2 = 0)")
+    acts = acts.select(F.col("user_id").cast("string").alias("case_id"), F.col("ts").alias("day"), (F.col("event_type") == "purchase").alias("concludes"))
+    return streams.open_conclusions(acts, F.to_date(F.lit(ALARMS_AS_OF)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from acervo.functions import records
@@ -11,6 +13,7 @@ from acervo.operators.gates import Contract, contract_table
 from acervo.plans.registry import query
 from acervo.plans.texts import sql_norm
 from acervo.sources import landed, reports
+from acervo.sources.shared import shared_dir
 
 
 @query("""
@@ -134,3 +137,15 @@ UNION ALL (SELECT 'relevance', row_number() OVER (ORDER BY o_totalprice DESC, o_
 def result_orders(t, spark):
     found = t("orders").withColumns({"day": F.col("o_orderdate"), "score": F.col("o_totalprice")})
     return search.sorted_pages(found, ["newest", "oldest", "relevance"], 25, day="day", score="score", ties=[F.asc("o_orderstatus"), F.desc("day")], key="o_orderkey").select("sorted", "place", "o_orderkey")
+
+
+@query("SELECT doc_id::VARCHAR AS id, row_number() OVER (PARTITION BY source, doc_id // 200 ORDER BY doc_id)::INTEGER - 1 AS position, 'bnp-api' AS origem_mcp, source AS tribunal, md5(text) AS digest FROM documents")
+def landed_sources(t, spark):
+    """Each source's documents as partial files of a few hundred, an object or a bare list, beside one that is no JSON; written, then read as they land."""
+    path = f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
+    fonte = F.struct(F.col("doc_id").cast("string").alias("id"), F.lit("bnp-api").alias("origem_mcp"), F.col("source").alias("tribunal"), F.col("text").alias("trecho_verbatim"))
+    listed = t("documents").groupBy("source", F.expr("doc_id div 200").alias("block")).agg(F.array_sort(F.collect_list(F.struct("doc_id", fonte.alias("f")))).alias("x")).select("source", F.transform("x", lambda x: x["f"]).alias("fontes"))
+    value = F.when(F.crc32("source") % 2 == 0, F.to_json(F.struct("fontes"))).otherwise(F.to_json("fontes"))
+    listed.select(value.alias("value")).unionAll(t("region").limit(1).select(F.lit("{broken").alias("value"))).write.option("maxRecordsPerFile", 1).text(path)
+    items, _ = landed.partial_sources(spark, path)
+    return items.select("id", "position", "origem_mcp", "tribunal", F.md5("trecho_verbatim").alias("digest"))

@@ -300,6 +300,22 @@ def search_matches(t, spark):
     )
 
 
+WITHIN_SQL = "len(list_filter({parts}, lambda x: list_contains({tokens}, 'the') AND list_contains({tokens}, 'that'))) > 0".replace("{tokens}", f"regexp_extract_all({sql_norm('x')}, '[\\p{{L}}\\p{{N}}]+')")
+SENTENCES = r"string_split(regexp_replace(text, '([.!?])[ \t\n\v\f\r]+', '\1' || chr(1), 'g'), chr(1))"
+
+
+@query(FOUND_SQL + f"""
+SELECT doc_id, NOT len(list_filter(pa, lambda i: len(list_filter(pb, lambda j: j - i BETWEEN 1 AND 3)) > 0)) > 0 AS not_followed, NOT len(list_filter(pa, lambda i: len(list_filter(pb, lambda j: abs(j - i) BETWEEN 1 AND 2)) > 0)) > 0 AS not_close,
+  {WITHIN_SQL.replace("{parts}", SENTENCES)} AS sentence, (CASE WHEN list_contains(tok, 'the') THEN 4 ELSE 0 END + CASE WHEN list_contains(tok, 'le') THEN 1 ELSE 0 END + CASE WHEN list_contains(tok, 'der') THEN 0.5 ELSE 0 END)::DOUBLE AS weight,
+  n_chars >= 500 AND n_chars < 3000 AS in_range, source > 'src1' AND source <= 'src5' AS in_names FROM p""")
+def search_weights(t, spark):
+    k, s = F.col("tok"), search
+    return found(t).select(
+        "doc_id", (~s.followed(k, "the", "and", 3)).alias("not_followed"), (~s.close(k, "the", "and", 2)).alias("not_close"), s.together(F.col("text"), ["the", "that"], "sentence").alias("sentence"), s.weighted(k, {"THE": 4, "le": 1, "der": 0.5}).alias("weight"),
+        s.within_range(F.col("n_chars"), 500, 3000, high_in=False).alias("in_range"), s.within_range(F.col("source"), "src1", "src5", low_in=False).alias("in_names"),
+    )
+
+
 @query(FOUND_SQL + f"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: list_contains(regexp_extract_all({sql_norm('x')}, '[\\p{{L}}\\p{{N}}]+'), 'the') AND list_contains(regexp_extract_all({sql_norm('x')}, '[\\p{{L}}\\p{{N}}]+'), 'that'))) > 0 AS together FROM a")
 def search_paragraphs(t, spark):
     return t("documents").select("doc_id", search.together(F.col("text"), ["the", "that"], "paragraph").alias("together"))
@@ -310,10 +326,6 @@ def indexed(t, spark):
     return index.build(t("documents"), "doc_id", "text", f"{shared_dir(spark)}/index-{uuid.uuid4().hex}")
 
 
-WITHIN_SQL = "len(list_filter({parts}, lambda x: list_contains({tokens}, 'the') AND list_contains({tokens}, 'that'))) > 0".replace("{tokens}", f"regexp_extract_all({sql_norm('x')}, '[\\p{{L}}\\p{{N}}]+')")
-SENTENCES = r"string_split(regexp_replace(text, '([.!?])[ \t\n\v\f\r]+', '\1' || chr(1), 'g'), chr(1))"
-
-
 @query(FOUND_SQL + f""", c AS (SELECT doc_id, list_filter([
   CASE WHEN list_contains(tok, 'the') AND list_contains(tok, 'and') THEN 'all' END, CASE WHEN list_contains(tok, 'le') OR list_contains(tok, 'der') THEN 'any' END, CASE WHEN list_contains(tok, 'the') AND NOT list_contains(tok, 'of') THEN 'not' END,
   CASE WHEN list_contains(tok, 'a') <> list_contains(tok, 'is') THEN 'either' END, CASE WHEN len(list_filter(range(1, len(tok)), lambda i: tok[i] = 'in' AND tok[i + 1] = 'the')) > 0 THEN 'phrase' END,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acervo.functions.text import brazilian_date, case_id, html_bare, html_spaced, id_and_type, stripped, unescaped
+from acervo.functions.text import brazilian_date, case_id, html_bare, id_and_type, stripped, unescaped
 from acervo.operators.cleaning import PAGE_MARK
 
 SOURCE = "id string, origem_mcp string, tribunal string, tipo string, referencia string, orgao_julgador string, data_julgamento string, campo string, trecho_verbatim string, url string"
