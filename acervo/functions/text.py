@@ -208,9 +208,9 @@ def url_encoded(c: Column, charset: str = "UTF-8") -> Column:
     if charset == "UTF-8":
         return F.url_encode(c)
     hexed = F.hex(F.encode(F.regexp_replace(c, r"[^\x00-\xFF]", "?"), charset))
-    bytes_ = F.transform(F.sequence(F.lit(1), F.greatest(F.length(hexed), F.lit(1)), F.lit(2)), lambda i: F.substring(hexed, i, F.lit(2)))
+    bytes_ = F.regexp_extract_all(hexed, F.lit(".."), F.lit(0))
     plain = lambda h: F.decode(F.unhex(h), "ISO-8859-1")
-    one = lambda h: F.when(plain(h).rlike("[A-Za-z0-9.*_-]"), plain(h)).when(h == "20", "+").when(h == "", "").otherwise(F.concat(F.lit("%"), h))
+    one = lambda h: F.when(plain(h).rlike("[A-Za-z0-9.*_-]"), plain(h)).when(h == "20", "+").otherwise(F.concat(F.lit("%"), h))
     return F.array_join(F.transform(bytes_, one), "")
 
 

@@ -28,8 +28,13 @@ WORDS, SIMILARITY = 5, 0.8
 def shingles(text: Column, words: int = WORDS) -> Column:
     """Hashes of the distinct runs of so many words."""
     split = F.filter(F.split(stripped(F.lower(text)), r"\s+", -1), lambda w: w != "")
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(split) - words + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(split, i, words), " ")))
-    return F.coalesce(F.when(F.size(split) > 0, F.array_distinct(runs)), F.array().cast("array<bigint>"))
+
+    def runs(s: Column) -> Column:
+        """Of a struct with the words, which are so made once, not for each run."""
+        each = F.transform(F.sequence(F.lit(1), F.greatest(F.size(s["w"]) - words + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(s["w"], i, words), " ")))
+        return F.when(F.size(s["w"]) > 0, F.array_distinct(each))
+
+    return F.coalesce(F.get(F.transform(F.array(F.struct(split.alias("w"))), runs), F.lit(0)), F.array().cast("array<bigint>"))
 
 
 def first_shingles(n: Column, similarity: float = SIMILARITY) -> Column:
