@@ -79,7 +79,7 @@ def reduction(before: Column, after: Column) -> Column:
 
 
 def without_repeated_lines(df: DataFrame, key: str, text: str, longest: int = 20, least: int = 5, share: float = 0.3) -> DataFrame:
-    """Drops lines of over `longest` characters that a document repeats on at least `share` of its pages (and `least` times), but no page marker; equal rows of a key count together.
+    """Drops lines of over `longest` characters that a document repeats on at least `share` of its pages (and `least` times), but no page marker; equal rows of a key count together. n_repeated is added: how many such lines a document has.
 
     Lines are counted by aggregation, and a document's list of repeated lines,
     not its text, is what joins back.
@@ -88,10 +88,10 @@ def without_repeated_lines(df: DataFrame, key: str, text: str, longest: int = 20
     pages = F.regexp_count(text, F.lit(r"\[PAGINA "))
     lines = df.select(key, pages.alias("pages"), F.explode(F.split(text, "\n", -1)).alias("line")).select(key, "pages", bare.alias("bare"))
     often = lines.where((F.length("bare") > longest) & ~F.contains("bare", F.lit("[pagina"))).groupBy(key, "bare").agg(F.count("*").alias("n"), F.max("pages").alias("pages"))
-    lists = often.where(F.col("n") >= F.greatest(F.lit(float(least)), F.col("pages") * share)).groupBy(F.col(key).alias("of_key")).agg(F.collect_set("bare").alias("repeated"))
-    met = df.join(lists, df[key].eqNullSafe(lists["of_key"]), "left").withColumn("repeated", F.coalesce("repeated", F.array().cast("array<string>")))
-    kept = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(F.col("repeated"), F.lower(stripped(x))))
-    return met.withColumn(text, F.array_join(kept, "\n")).withColumn("n_repeated", F.size("repeated")).drop("of_key", "repeated")
+    lists = often.where(F.col("n") >= F.greatest(F.lit(float(least)), F.col("pages") * share)).groupBy(F.col(key).alias("_of_key")).agg(F.collect_set("bare").alias("_repeated"))
+    met = df.join(lists, df[key].eqNullSafe(lists["_of_key"]), "left").withColumn("_repeated", F.coalesce("_repeated", F.array().cast("array<string>")))
+    kept = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(F.col("_repeated"), F.lower(stripped(x))))
+    return met.withColumns({text: F.array_join(kept, "\n"), "n_repeated": F.size("_repeated")}).drop("_of_key", "_repeated")
 
 
 def unreadable(text: Column, pages: Column, words: list[str] = COMMON_WORDS) -> Column:
