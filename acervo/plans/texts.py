@@ -258,12 +258,26 @@ held AS (SELECT DISTINCT w.lang, item_id FROM asked w JOIN documents d ON d.lang
 SELECT w.lang AS workspace_id, w.item_id AS doc_id, (CASE WHEN length(fragment) >= 60 THEN 1 ELSE 0 END)::BIGINT AS n_checked, (CASE WHEN length(fragment) >= 60 AND h.item_id IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_failed, item_id % 2 = 1 AS odd_quotes
 FROM asked w LEFT JOIN held h USING (lang, item_id)""")
 def citation_check(t, spark):
+    return quoted(t).drop("first_failed")
+
+
+@query(f"""
+WITH asked AS (SELECT item_id, text, {sql_norm_ws('text[4:]')} AS fragment FROM benchmark),
+held AS (SELECT DISTINCT d.lang, item_id FROM asked w JOIN documents d ON contains({sql_norm_ws('d.text')}, fragment))
+SELECT l.lang AS workspace_id, item_id AS doc_id, md5(replace(text[4:], chr(34), chr(39))) AS quote FROM asked JOIN (SELECT DISTINCT lang FROM documents) l ON length(fragment) >= 60 ANTI JOIN held USING (lang, item_id)""")
+def citation_failures(t, spark):
+    """The first quote of each document that its workspace doesn't have."""
+    return quoted(t).where("first_failed is not null").select("workspace_id", "doc_id", F.md5("first_failed").alias("quote"))
+
+
+def quoted(t):
+    """The benchmark's texts as quotes of every language's workspace, checked against its documents."""
     langs = t("documents").agg(F.array_sort(F.collect_set("lang")).alias("langs"))
-    quoted = F.concat(F.lit("“curto” x “"), F.substring("text", 4, 1 << 30), F.lit("”\n# Anexo\n“"), F.repeat(F.lit("not checked "), 9), F.lit("”"))
+    said = F.concat(F.lit("“curto” x “"), F.substring("text", 4, 1 << 30), F.lit("”\n# Anexo\n“"), F.repeat(F.lit("not checked "), 9), F.lit("”"))
     odd = F.when(F.col("item_id") % 2 == 1, '" ').otherwise("")
-    documents = t("benchmark").join(langs).select(F.explode("langs").alias("workspace_id"), F.col("item_id").alias("doc_id"), F.concat(odd, F.translate(quoted, '"', "'")).alias("text"))
+    documents = t("benchmark").join(langs).select(F.explode("langs").alias("workspace_id"), F.col("item_id").alias("doc_id"), F.concat(odd, F.translate(said, '"', "'")).alias("text"))
     corpus = citations.corpus(t("documents").where("doc_id % 2 = 0").select(F.col("lang").alias("workspace_id"), F.col("text").alias("trecho_verbatim")), t("documents").where("doc_id % 2 = 1").select(F.col("lang").alias("workspace_id"), "text"))
-    return citations.checked(documents, corpus, marker="anexo").drop("first_failed")
+    return citations.checked(documents, corpus, marker="anexo")
 
 
 TOK = f"regexp_extract_all({sql_norm('text')}, '[\\p{{L}}\\p{{N}}]+')"
