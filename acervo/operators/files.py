@@ -11,15 +11,23 @@ from pyspark.sql import functions as F
 CLASSES = ["NUCLEAR", "IMPORTANTE", "IRRELEVANTE"]
 
 
+#: Rules that are sent to the tasks at a time.
+MOST_RULES = 10_000
+
+
 def classified(index: DataFrame, rules: DataFrame, kind: str = "tipo", default: str = "OUTRO") -> DataFrame:
     """Each kind's class: the highest of the rules whose term contains the kind or is contained in it; an empty kind matches nothing.
 
-    rules (term, classe) is a table of fixed size; only distinct kinds meet it.
+    Only distinct kinds meet the rules (term, classe).  These are counted, and
+    sent to the tasks in blocks of at most MOST_RULES, of which a usual table is
+    one.
     """
     low = F.lower(F.trim(F.col(kind)))
     kinds = index.select(F.col(kind).alias("_kind"), low.alias("_low")).distinct()
     rank = F.array_position(F.array(*map(F.lit, CLASSES)), F.col("classe"))
-    met = kinds.join(F.broadcast(rules), (F.col("_low") != "") & (F.contains("_low", F.lower("term")) | F.contains(F.lower("term"), F.col("_low"))), "left")
+    holds = (F.col("_low") != "") & (F.contains("_low", F.lower("term")) | F.contains(F.lower("term"), F.col("_low")))
+    blocks = max(1, -(-rules.count() // MOST_RULES))
+    met = reduce(DataFrame.unionAll, [kinds.join(F.broadcast(rules.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == b)), holds).select("_kind", "classe") for b in range(blocks)])
     best = met.groupBy("_kind").agg(F.min_by("classe", rank).alias("_class"))
     return index.join(best, index[kind].eqNullSafe(best["_kind"]), "left").withColumn("classe", F.coalesce("_class", F.lit(default))).drop("_kind", "_class")
 

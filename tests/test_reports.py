@@ -88,3 +88,12 @@ def test_small_operators(spark):
     rows = {(r.classe, r.reason): r for r in files.composition(plan).collect()}
     whole = rows[None, None]
     assert (whole.n, whole.taken, whole.left, whole.share, whole.n_savings, whole.savings) == (3, 10, 90, 100.0, 66.67, 90.0) and rows["A", None].savings == 30.0 and len(rows) == 6
+
+
+def test_rules_in_blocks(spark, monkeypatch):
+    index = spark.createDataFrame([("Petição inicial",), ("Laudo",), ("",), (None,), ("Outra coisa",)], "tipo string")
+    rules = spark.createDataFrame([("petição", "NUCLEAR"), ("PETIÇÃO INICIAL COM ANEXOS", "IRRELEVANTE"), ("laudo pericial", "IMPORTANTE"), ("x", "IRRELEVANTE")], "term string, classe string")
+    whole = sorted(map(str, files.classified(index, rules).collect()))
+    monkeypatch.setattr(files, "MOST_RULES", 1)
+    assert sorted(map(str, files.classified(index, rules).collect())) == whole
+    assert {(r.tipo, r.classe) for r in files.classified(index, rules).collect()} == {("Petição inicial", "NUCLEAR"), ("Laudo", "IMPORTANTE"), ("", "OUTRO"), (None, "OUTRO"), ("Outra coisa", "OUTRO")}
