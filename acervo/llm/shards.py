@@ -211,9 +211,9 @@ class Encoded(NamedTuple):
     starts: np.ndarray
 
 
-#: Whose store of a worker this is, and the most pieces of words whose ids it keeps (about 90 MB).
+#: Whose store of a worker this is, the most pieces of words whose ids it keeps (about 140 MB), and the text that it encodes at a time: less of both takes less memory and more time.
 OWNER = "shards"
-KEPT_PIECES = 700_000
+KEPT_PIECES, ENCODED_BYTES = 700_000, 8 << 20
 #: ASCII punctuation that ends a word after a letter or digit, without the apostrophe.
 TAIL = r"([\pL\pN])[!-&(-/:-@\[-`{-~]+$"
 
@@ -227,7 +227,7 @@ def pieces(uniq: pa.Array) -> tuple[list[str], list[str]]:
     return bodies, [x[len(y) :] for x, y in zip(low.to_pylist(), bodies, strict=True)]
 
 
-def encoder(tokenizer: str, end_id: int) -> Callable[[pa.Array], Encoded]:
+def encoder(tokenizer: str, end_id: int, kept: int = KEPT_PIECES) -> Callable[[pa.Array], Encoded]:
     """Encodes texts with a tokenizer file that ignores case and whose pieces span neither white space nor the end of a run of letters: each distinct word of a batch is encoded once, in two pieces that a worker remembers."""
     import os
 
@@ -243,7 +243,7 @@ def encoder(tokenizer: str, end_id: int) -> Callable[[pa.Array], Encoded]:
         w = tx.words(column)
         bodies, tails = pieces(w.uniq)
         new = list({*bodies, *tails} - known.keys())
-        if len(known) + len(new) > KEPT_PIECES:
+        if len(known) + len(new) > kept:
             known.clear()
             new = list({*bodies, *tails})
         for at in range(0, len(new), 20_000):
@@ -272,7 +272,7 @@ def vocabulary(tokenizer: str) -> int:
     return Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shard_docs: int = SHARD_DOCS) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shard_docs: int = SHARD_DOCS, kept: int = KEPT_PIECES, encoded_bytes: int = ENCODED_BYTES) -> DataFrame:
     """Writes the shards and returns their manifest, one row a shard in key order.
 
     A task that runs twice writes the same names; a file gets its name only when complete.
@@ -283,7 +283,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shard_docs:
         context = TaskContext.get()
         part, store, base = context.partitionId(), *place(folder)
         store.create_dir(base, recursive=True)
-        encode = encoder(tokenizer, end_id)
+        encode = encoder(tokenizer, end_id, kept)
         rows, writer, seq, first, last = [], None, 0, None, None
 
         def close() -> None:
@@ -294,7 +294,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shard_docs:
             rows.append((f"{folder}/{name}", part, seq - 1, len(writer.keys), writer.ids, first, last, size))
             writer = None
 
-        for b in tx.sliced(batches, limit=8 << 20, owner=OWNER):
+        for b in tx.sliced(batches, limit=encoded_bytes, owner=OWNER):
             ids, starts = encode(b.column("text"))
             for i, doc_id in enumerate(b.column("doc_id").to_pylist()):
                 if writer is None:
@@ -338,6 +338,6 @@ def read(manifest: DataFrame) -> DataFrame:
     return shards.repartitionByRange(n, "path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer: str, end_id: int, **more) -> DataFrame:
     """Writes the documents' ids to shards in a new shared folder and reads the files back."""
-    return read(write(docs, new_folder(docs.sparkSession, "shards"), tokenizer, end_id))
+    return read(write(docs, new_folder(docs.sparkSession, "shards"), tokenizer, end_id, **more))
