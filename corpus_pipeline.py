@@ -24,6 +24,8 @@ from acervo.llm.common import erase, finished, stored, table
 
 #: The mixture's tokens as a share of all, and how often a document may be taken: once, since what is repeated would be a duplicate again.
 FRACTION, MAX_EPOCHS = 0.95, 1
+#: What a worker keeps and encodes at a time in the last stage, less than the operator's own: executors' heaps are full from the stages before.
+KEPT_PIECES, ENCODED_BYTES = 300_000, 3 << 20
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes token shards and returns what they hold, read back from the files: (doc_id, start, n_tokens, ids_crc32), a null text as the end id alone, rows without identifier first."""
-    return shards.tokenized(docs, public_tokenizers.path("word_bpe_49k.json"), 1)
+    return shards.tokenized(docs, public_tokenizers.path("word_bpe_49k.json"), 1, kept=KEPT_PIECES, encoded_bytes=ENCODED_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
