@@ -86,6 +86,23 @@ def test_near_rulings_equal_brute_force(spark):
     assert similar.near(rows.limit(0), "id", "text").count() == 0
 
 
+def test_near_rulings_store_little(spark):
+    """Long texts store and send less than one hash for each of their shingles; rows that repeat a key are still compared by their own texts."""
+    from pathlib import Path
+
+    from acervo.sources.shared import shared_dir
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(5000)], k=400)) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[8] + " more"), (1000, texts[7] + " more"), (1001, texts[9])]
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    got = sorted(tuple(r) for r in similar.near(spark.createDataFrame(rows, "id int, text string"), "id", "text").collect() if r.n_near or r.id >= 1000)
+    assert got == [(7, 7, 2), (7, 7, 2), (8, 8, 1), (1000, 1000, 1), (1001, 9, 0)]
+    size = sum(f.stat().st_size for d in set(folder.iterdir()) - before for f in d.rglob("*.parquet"))
+    assert size < 8 * 396 * 300
+
+
 def test_accrual_by_hand(spark):
     """Two months of an index with interest, then three of one rate for both."""
     month = lambda m: f"2021-{m:02}-01" if m < 13 else f"2022-{m - 12:02}-01"
