@@ -98,14 +98,15 @@ def gate(artifacts: DataFrame, contracts: DataFrame, workspaces: DataFrame | Non
     """One row for each workspace and stage: OK, INVALID or ABSENT, with its problems.
 
     artifacts: workspace_id, suffix, text (null if undecodable).  stages: only
-    these of the contract table, which Spark broadcasts if it is small.
+    these of the contract table.  It has a few rows and is broadcast: dealt by
+    suffix, all texts of a stage would meet in one task.
     """
     if stages is not None:
         contracts = contracts.where(F.col("stage").isin(stages))
     spaces = (workspaces if workspaces is not None else artifacts).select("workspace_id").distinct()
     every = contracts.agg(F.array_sort(F.collect_list(F.struct("ordinal", "stage"))).alias("every"))
-    wanted = spaces.join(every).select("workspace_id", F.explode("every").alias("s")).select("workspace_id", "s.ordinal", "s.stage")
-    judged = artifacts.join(contracts, "suffix").withColumn("n", norm(F.col("text"))).select("workspace_id", "ordinal", problems(F.col("text"), F.col("n")).alias("problems"), F.lit(True).alias("there"))
+    wanted = spaces.join(F.broadcast(every)).select("workspace_id", F.explode("every").alias("s")).select("workspace_id", "s.ordinal", "s.stage")
+    judged = artifacts.join(F.broadcast(contracts), "suffix").withColumn("n", norm(F.col("text"))).select("workspace_id", "ordinal", problems(F.col("text"), F.col("n")).alias("problems"), F.lit(True).alias("there"))
     met = wanted.join(judged, ["workspace_id", "ordinal"], "left")
     status = F.when(F.col("there").isNull(), "ABSENT").when(F.size("problems") > 0, "INVALID").otherwise("OK")
     return met.select("workspace_id", "ordinal", "stage", status.alias("status"), F.coalesce("problems", F.array().cast("array<string>")).alias("problems"))
@@ -150,7 +151,7 @@ def analysis(artifacts: DataFrame, contracts: DataFrame, workspaces: DataFrame |
     too and come first.
     """
     spaces = (workspaces if workspaces is not None else artifacts).select("workspace_id").distinct()
-    judged = artifacts.join(contracts.where(F.col("stage") == stage), "suffix").withColumn("n", norm(F.col("text"))).select("workspace_id", problems(F.col("text"), F.col("n")).alias("p"), escalation(F.col("text")).alias("e"), F.lit(True).alias("there"))
+    judged = artifacts.join(F.broadcast(contracts.where(F.col("stage") == stage)), "suffix").withColumn("n", norm(F.col("text"))).select("workspace_id", problems(F.col("text"), F.col("n")).alias("p"), escalation(F.col("text")).alias("e"), F.lit(True).alias("there"))
     fault = F.array_compact(F.array(escalation_fault(F.col("e"))))
     faults = F.when(F.col("e").isNull(), F.col("p")).otherwise(F.concat(F.array_remove("p", NO_END), fault))
     met = spaces.join(judged, "workspace_id", "left").withColumn("problems", F.coalesce(faults, F.array().cast("array<string>")))

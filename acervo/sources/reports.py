@@ -36,11 +36,11 @@ def sentences(artifacts: DataFrame, contracts: DataFrame, parts: tuple[str, str]
     exit code 1 and what it breaks.  artifacts: workspace_id, suffix, text."""
     here = contracts.where(F.col("stage").isin(*parts, whole))
     spaces = artifacts.select("workspace_id").distinct()
-    faults = gate(artifacts.join(here.select("suffix"), "suffix", "left_semi"), here, spaces, list(parts)).where("status != 'OK'").groupBy("workspace_id").agg(F.array_sort(F.collect_list(F.concat(F.col("stage"), F.lit(": "), F.when(F.col("status") == "ABSENT", "absent").otherwise(F.array_join("problems", "; "))))).alias("before"))
+    faults = gate(artifacts.join(F.broadcast(here.select("suffix")), "suffix", "left_semi"), here, spaces, list(parts)).where("status != 'OK'").groupBy("workspace_id").agg(F.array_sort(F.collect_list(F.concat(F.col("stage"), F.lit(": "), F.when(F.col("status") == "ABSENT", "absent").otherwise(F.array_join("problems", "; "))))).alias("before"))
     text = lambda stage: F.max(F.when(F.col("stage") == stage, F.col("text")))
-    merged = artifacts.join(here.select("stage", "suffix"), "suffix").groupBy("workspace_id").agg(merged_sentence(text(parts[0]), text(parts[1])).alias("text"))
+    merged = artifacts.join(F.broadcast(here.select("stage", "suffix")), "suffix").groupBy("workspace_id").agg(merged_sentence(text(parts[0]), text(parts[1])).alias("text"))
     met = spaces.join(faults, "workspace_id", "left").join(merged, "workspace_id", "left").withColumn("text", F.when(F.col("before").isNull(), F.col("text")))
-    written = met.join(here.where(F.col("stage") == whole))  # one row
+    written = met.join(F.broadcast(here.where(F.col("stage") == whole)))  # one row
     after = F.when(F.col("text").isNotNull(), problems(F.col("text"), norm(F.col("text"))))
     found = written.withColumn("problems", F.coalesce("before", after, F.array().cast("array<string>")))
     return found.select("workspace_id", "text", "problems", F.when(F.size("problems") > 0, 1).otherwise(0).alias("exit_code"))

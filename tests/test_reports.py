@@ -57,6 +57,15 @@ def test_merged_sentences_are_checked_again(spark):
     assert bad.problems == ["section missing: custas"] and bad.text and bad.exit_code == 1
 
 
+def test_texts_are_not_dealt_by_stage(spark):
+    """All texts of a stage have one suffix; dealt by it, they would meet in one task."""
+    contracts = gates.contract_table(spark)
+    rows = spark.createDataFrame([("a", "-relatorio.md", "x")], "workspace_id string, suffix string, text string")
+    for made in (reports.sentences(rows, contracts), gates.gate(rows, contracts), gates.analysis(rows, contracts)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(suffix" not in plan and "CartesianProduct" not in plan
+
+
 def test_alerts(spark):
     one = spark.range(1)
     every = timeline.raised(one, {name: F.lit(True) for name in timeline.ALERTS}).first()
