@@ -35,6 +35,11 @@ def test_html_by_hand(spark):
     assert column(spark, ["<x>&lt;![CDATA[a &amp; b]]></x><![CDATA[c]]&gt;"], text.cdata) == ["a & bc"]
 
 
+def test_entities_with_their_semicolon_alone(spark):
+    values = ["a &amp</h1>", "&copy2 &copy; &notit; &not; &#65 &#65; &#x41 &#x41;", "&amp;lt; &none; & &&amp;"]
+    assert column(spark, values, lambda c: text.html_text(c, ended=True)) == ["a &amp", "&copy2 © &notit; ¬ &#65 A &#x41 A", "&lt; &none; & &&"]
+
+
 def test_dates_that_do_not_exist_stay(spark):
     given = ["2020-02-29T10:00:00Z", "2021-02-29T10:00:00", "2020-13-45T00", "2020-01-02T25:00", "2020-01-02T00", "20201345", "2020-01-02", "02/01/2020", ""]
     want = ["29/02/2020", "2021-02-29T10:00:00", "2020-13-45T00", "2020-01-02T25:00", "02/01/2020", "45/13/2020", "2020-01-02", "02/01/2020", ""]
