@@ -79,6 +79,11 @@ def test_alerts(spark):
     assert [r.k for r in panels.pressing(rows, "c", "k", "i", most=6).orderBy("rank").collect()] == ["cross contradiction ", "binding precedent", "own panel", "sensitive case", "Minority position", None]
 
 
+def test_files_of_one_name_keep_their_order(spark):
+    rows = spark.createDataFrame([("d", "9_a", i) for i in (3, 1, 4, 2)] + [("d", "10_a", 0)], "d string, f string, i int")
+    assert [r.i for r in files.merge_order(rows, "d", "f", "i").orderBy("place").collect()] == [1, 2, 3, 4, 0]
+
+
 def test_small_operators(spark):
     files_ = spark.createDataFrame([("d", x) for x in ("10_b", "9_z", "_skip", "x_1", "9_a", "100")], "d string, f string")
     assert [r.f for r in files.merge_order(files_, "d", "f").orderBy("place").collect()] == ["9_a", "9_z", "10_b", "100"]
