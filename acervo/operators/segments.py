@@ -11,6 +11,9 @@ from acervo.operators.search import TOKEN
 #: Stands before each marker while a text is cut: two characters of Unicode's private use, which no text has side by side.
 CUT = ""
 
+#: Stands at each sentence's end while words are numbered; no part of a word.
+ENDS, OTHER = "\ue000", "\ufffd"
+
 SENTENCE_END = r"(?<=[.!?])\s+"
 
 
@@ -49,9 +52,17 @@ def numbered_words(text: Column) -> Column:
 
     Sentences end at a full stop, exclamation or question mark before white
     space, paragraphs at a line feed; empty ones are counted too."""
+    marked = norm(F.regexp_replace(F.replace(text, F.lit(ENDS), F.lit(OTHER)), SENTENCE_END, f"{ENDS}$0"))
+
+    def numbers(words: Column) -> Column:
+        return F.flatten(F.transform(words, lambda n, i: F.array_repeat(i, n)))
+
+    def of(marked: Column) -> Column:
+        """Of the normal form, which is so made once."""
+        return F.struct(F.transform(F.split(marked, ENDS, -1), lambda s: F.regexp_extract_all(s, F.lit(TOKEN), F.lit(0))).alias("words"), F.transform(F.split(marked, "\n", -1), lambda p: F.regexp_count(p, F.lit(TOKEN))).alias("n"))
 
-    def of(parts: Column) -> Column:
-        return F.flatten(F.transform(parts, lambda p, i: F.transform(F.regexp_extract_all(norm(p), F.lit(TOKEN), F.lit(0)), lambda w: F.struct(w.alias("word"), i.alias("nr")))))
+    def zipped(x: Column) -> Column:
+        each = F.arrays_zip(F.flatten(x["words"]).alias("w"), numbers(F.transform(x["words"], F.size)).alias("s"), numbers(x["n"]).alias("p"))
+        return F.transform(each, lambda y, i: F.struct(y["w"].alias("word"), i.alias("place"), y["s"].alias("sentence"), y["p"].alias("paragraph")))
 
-    zipped = F.arrays_zip(of(F.split(text, SENTENCE_END, -1)).alias("s"), of(F.split(text, "\n", -1)).alias("p"))
-    return F.transform(zipped, lambda x, i: F.struct(x["s"]["word"].alias("word"), i.alias("place"), x["s"]["nr"].alias("sentence"), x["p"]["nr"].alias("paragraph")))
+    return F.when(text.isNotNull(), F.get(F.transform(F.transform(F.array(marked), of), zipped), F.lit(0)))

@@ -61,6 +61,16 @@ def test_blocks_by_hand(spark):
     assert spark.createDataFrame([(block,)], "b string").select(segments.fields(F.col("b"), "<i>([^<]+)</i>", labels).alias("f")).first().f == {"processo": "12", "uf": "SP"}
 
 
+def test_numbered_words_of_odd_texts(spark):
+    """Marks that stand in the text are no sentence's end, and combining marks and final sigmas stay with their sentence."""
+    values = [None, "", "a\ue000b. c", "\ufffdx!\n\n y", ".\u0301 x? z", "ΑΣ.\nΒΣ"]
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, text string").select("i", segments.numbered_words(F.col("text")).alias("w")).orderBy("i").collect()
+    want = [None, [], [("a", 0, 0, 0), ("b", 1, 0, 0), ("c", 2, 1, 0)], [("x", 0, 0, 0), ("y", 1, 1, 2)], [("x", 0, 0, 0), ("z", 1, 1, 0)], [("ας", 0, 0, 0), ("βς", 1, 1, 1)]]
+    assert [r.w and [tuple(x) for x in r.w] for r in rows] == want
+    plan = spark.range(1).select(segments.numbered_words(F.col("id").cast("string")).alias("w"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 1  # the normal form is made once
+
+
 def test_near_rulings_equal_brute_force(spark):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(300)]
