@@ -66,16 +66,20 @@ def held_in(wanted: DataFrame, corpus: DataFrame) -> DataFrame:
     the rarest of its runs.  Only fragments without an inner word (two long
     words) are compared with all parts of their workspace.
     """
-    parts = corpus.select("workspace_id", norm_ws(F.col("part")).alias("part")).distinct().withColumn("digest", F.xxhash64("part"))
+    # written once: every step below reads the normal forms
+    parts = stored(corpus.select("workspace_id", norm_ws(F.col("part")).alias("part")).distinct().withColumn("digest", F.xxhash64("part")), "parts")
     each = wanted.select("workspace_id", "fragment").distinct().withColumn("words", F.split("fragment", " "))
-    each = each.withColumn("inner", F.slice("words", F.lit(2), F.greatest(F.size("words") - 2, F.lit(0))))
+    each = stored(each.select("workspace_id", "fragment", F.slice("words", F.lit(2), F.greatest(F.size("words") - 2, F.lit(0))).alias("inner")), "fragments")
     k = F.when(F.size("inner") >= RUN, RUN).when(F.size("inner") >= SHORT_RUN, SHORT_RUN)
     asked = each.select("workspace_id", "fragment", k.alias("k"), F.explode(F.when(k == RUN, runs(F.col("inner"), RUN)).when(k == SHORT_RUN, runs(F.col("inner"), SHORT_RUN))).alias("run"))
-    looked_for = asked.select("workspace_id", "k", "run").distinct()
+    # tables of their own, so that Spark knows their sizes before it deals the texts: few large workspaces would else be a task each
+    looked_for = stored(asked.select("workspace_id", "k", "run").distinct(), "looked-for")
+    spaces = stored(looked_for.select("workspace_id", "k").distinct(), "asking")
+    without = stored(each.where(F.size("inner") == 0).select("workspace_id", "fragment"), "bare-fragments")
 
     def having(k: int) -> DataFrame:
         mine = looked_for.where(F.col("k") == k).drop("k")
-        near = parts.join(mine.select("workspace_id").distinct(), "workspace_id", "left_semi")
+        near = parts.join(spaces.where(F.col("k") == k).select("workspace_id"), "workspace_id", "left_semi")
         return near.select("workspace_id", "digest", F.explode(runs(F.split("part", " "), k)).alias("run")).join(mine, ["workspace_id", "run"], "left_semi")
 
     found = stored(having(RUN).unionByName(having(SHORT_RUN)), "quoted-runs")
@@ -83,7 +87,7 @@ def held_in(wanted: DataFrame, corpus: DataFrame) -> DataFrame:
     rarest = asked.join(often, ["workspace_id", "run"], "left").groupBy("workspace_id", "fragment").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "run")).alias("rarest"))
     hits = rarest.where("rarest.n > 0").select("workspace_id", "fragment", F.col("rarest.run").alias("run")).join(found, ["workspace_id", "run"])
     met = hits.join(parts, ["workspace_id", "digest"]).select("workspace_id", "fragment", "part")
-    bare = each.where(F.size("inner") == 0).select("workspace_id", "fragment").join(parts, "workspace_id").select("workspace_id", "fragment", "part")
+    bare = without.join(parts, "workspace_id").select("workspace_id", "fragment", "part")
     return met.unionAll(bare).where(F.contains("part", F.col("fragment"))).select("workspace_id", "fragment").distinct()
 
 

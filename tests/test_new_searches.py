@@ -71,6 +71,15 @@ def test_numbered_words_of_odd_texts(spark):
     assert plan.count("translate(") == 1  # the normal form is made once
 
 
+def test_texts_are_not_dealt_by_workspace(spark):
+    """A workspace with most of the texts would be one task."""
+    parts = spark.createDataFrame([("a", "one two three four five six"), ("b", "x")], "workspace_id string, part string")
+    wanted = spark.createDataFrame([("a", "two three four five"), ("a", "ne two"), ("b", "one two three four"), ("b", "y")], "workspace_id string, fragment string")
+    held = citations.held_in(wanted, parts)
+    assert sorted(tuple(r) for r in held.collect()) == [("a", "ne two"), ("a", "two three four five")]
+    assert not re.search(r"hashpartitioning\(workspace_id#\d+, \d+\)", held._jdf.queryExecution().executedPlan().toString())
+
+
 def test_near_rulings_equal_brute_force(spark):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(300)]
