@@ -66,3 +66,17 @@ def numbered_words(text: Column) -> Column:
         return F.transform(each, lambda y, i: F.struct(y["w"].alias("word"), i.alias("place"), y["s"].alias("sentence"), y["p"].alias("paragraph")))
 
     return F.when(text.isNotNull(), F.get(F.transform(F.transform(F.array(marked), of), zipped), F.lit(0)))
+
+
+def by_word(words: Column) -> Column:
+    """array<struct<word, places>> of numbered words: each word once with its array<struct<place, sentence, paragraph>> in order, in one sort of the text's own words."""
+
+    def grouped(s: Column) -> Column:
+        start = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i)["word"] != F.get(s, i - 1)["word"]))
+
+        def posting(x: Column) -> Column:
+            return F.transform(x["start"], lambda i, k: F.struct(F.get(s, i)["word"].alias("word"), F.transform(F.slice(s, i + 1, F.coalesce(F.get(x["start"], k + 1), F.size(s)) - i), lambda w: F.struct(w["place"], w["sentence"], w["paragraph"])).alias("places")))
+
+        return F.get(F.transform(F.array(F.struct(start.alias("start"))), posting), F.lit(0))
+
+    return F.when(F.size(words) > 0, F.get(F.transform(F.array(F.array_sort(words)), grouped), F.lit(0)))

@@ -80,6 +80,17 @@ def test_texts_are_not_dealt_by_workspace(spark):
     assert not re.search(r"hashpartitioning\(workspace_id#\d+, \d+\)", held._jdf.queryExecution().executedPlan().toString())
 
 
+def test_words_of_a_text_are_grouped_within_it(spark):
+    rng = random.Random(9)
+    values = [None, "", "x"] + [" ".join(rng.choices(["a", "b.", "Ç!", "é\n"], k=rng.randint(1, 40))) for _ in range(60)]
+    words = spark.createDataFrame([(v,) for v in values], "text string").select(segments.numbered_words(F.col("text")).alias("w"))
+    for r in words.select("w", segments.by_word(F.col("w")).alias("g")).collect():
+        want = {}
+        for x in r.w or []:
+            want.setdefault(x.word, []).append(tuple(x[1:]))
+        assert [(g.word, [tuple(p) for p in g.places]) for g in r.g or []] == sorted(want.items())
+
+
 def test_near_rulings_equal_brute_force(spark):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(300)]
