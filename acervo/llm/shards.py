@@ -22,12 +22,14 @@ makes no shards; other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import zlib
-from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from itertools import islice
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -211,56 +213,133 @@ class Encoded(NamedTuple):
     starts: np.ndarray
 
 
-#: Whose store of a worker this is, the most pieces of words whose ids it keeps (about 140 MB), and the text that it encodes at a time: less of both takes less memory and more time.
+#: Whose store of a worker this is, the most pieces of words whose ids it keeps (about 65 MB), and the text that it encodes at a time: less of both takes less memory and more time.
 OWNER = "shards"
-KEPT_PIECES, ENCODED_BYTES = 700_000, 8 << 20
-#: ASCII punctuation that ends a word after a letter or digit, without the apostrophe.
-TAIL = r"([\pL\pN])[!-&(-/:-@\[-`{-~]+$"
-
-
-def pieces(uniq: pa.Array) -> tuple[list[str], list[str]]:
-    """Each word in lower case as its body and the punctuation that ends it, which are encoded apart with the same result; words that may hold a special token stay as they are."""
+KEPT_PIECES, ENCODED_BYTES = 1_500_000, 8 << 20
+#: Letters that stay one letter each when composed and in lower case (not so U+0130, which becomes two characters, or U+0958): a run of them is one run in the tokenizer too.
+LETTER = "A-Za-zÀ-ÖØ-öø-įı-ſΑ-ΡΣ-Ωά-ώЀ-ҁא-תء-غف-يऄ-हก-ะḀ-ẕẠ-ỹぁ-ゖァ-ヺ一-龥가-힣"
+#: Words of such letters alone are encoded so many at a time, as one text.
+LETTERS, JOINED = f"^[{LETTER}]+$", 100
+#: ASCII punctuation that ends a word after such a letter or a digit, without the apostrophe; words that end so, as what is before it, and it.
+ENDING = r"!-&(-/:-@\[-`{-~"
+TAIL = rf"(?s)^(?P<body>.*[0-9{LETTER}])(?P<tail>[{ENDING}]+)$"
+#: Which bytes are such punctuation, and which are ASCII letters or digits.
+PUNCTUATION, ALNUM = (np.array([bool(re.match(x, chr(c))) for c in range(256)]) for x in (f"[{ENDING}]", "[0-9A-Za-z]"))
+
+
+def pieces(uniq: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Each word in lower case as its body and the punctuation that ends it, which are encoded apart with the same result; words that may hold a special token stay as they are. Distinct pieces, and the places of each word's two among them."""
     special = pc.match_substring(uniq, "<|")
     low = pc.if_else(special, uniq, pc.ascii_lower(uniq))
-    body = pc.if_else(special, uniq, pc.replace_substring_regex(low, TAIL, r"\1"))
-    bodies = body.to_pylist()
-    return bodies, [x[len(y) :] for x, y in zip(low.to_pylist(), bodies, strict=True)]
+    data, offsets = tx.raw(low)
+    ended = PUNCTUATION[data[offsets[1:] - 1]] & ~special.to_numpy(zero_copy_only=False)
+    # one sign after an ASCII letter or digit is most of them; regular expressions find the others
+    single = ended & ALNUM[data[offsets[1:] - 2]] & (np.diff(offsets) > 1)
+    one, other = np.flatnonzero(single), np.flatnonzero(ended & ~single)
+    cut = pc.extract_regex(low.take(pa.array(other)), TAIL)
+    other, cut = other[cut.is_valid().to_numpy(zero_copy_only=False)], cut.drop_null()
+    ones = low.take(pa.array(one))
+    body = pa.concat_arrays([pc.utf8_slice_codeunits(ones, 0, -1), cut.field("body").cast(low.type)])
+    tail = pa.concat_arrays([pc.utf8_slice_codeunits(ones, -1), cut.field("tail").cast(low.type)])
+    some = np.concatenate([one, other])
+    order = np.argsort(some)
+    some, body, tail = some[order], body.take(pa.array(order)), tail.take(pa.array(order))
+    mask = np.zeros(len(low), bool)
+    mask[some] = True
+    # a word without a tail has the empty piece
+    coded = pa.concat_arrays([pc.replace_with_mask(low, pa.array(mask), body), tail, pa.array([""], low.type)]).dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    bodies, tails = codes[: len(low)], np.full(len(low), codes[-1])
+    tails[some] = codes[len(low) : -1]
+    return coded.dictionary, bodies, tails
+
+
+def runs(begins: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The places of runs that begin there and are so long, one run after the other."""
+    return np.repeat(begins - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+
+
+class Pieces:
+    """Pieces and their ids in arrays, each piece's after the one's before."""
+
+    def __init__(self, tokenizer: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(tokenizer)
+        self.pieces, self.ids, self.sizes = pa.array([], pa.large_string()), np.empty(0, np.uint32), np.empty(0, np.int64)
+        suffix = json.loads(self.tok.to_str())["model"].get("end_of_word_suffix")
+        self.last = np.zeros(self.tok.get_vocab_size(with_added_tokens=True), bool)
+        if suffix:
+            self.last[[i for x, i in self.tok.get_vocab(with_added_tokens=True).items() if x.endswith(suffix)]] = True
+
+    def keep(self, places: np.ndarray) -> None:
+        """Forgets all but these."""
+        begins = np.cumsum(self.sizes) - self.sizes
+        self.pieces, self.ids, self.sizes = self.pieces.take(pa.array(places)), self.ids[runs(begins[places], self.sizes[places])], self.sizes[places]
+
+    def encoded(self, some: pa.Array, together: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these and how many each has; so many are encoded as one text, which the ids that end a word divide again."""
+        found = some.to_pylist()
+        texts = found if together == 1 else [" ".join(found[i : i + together]) for i in range(0, len(found), together)]
+        each = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        ids = np.fromiter(chain.from_iterable(each), np.uint32, int(sizes.sum()))
+        if together == 1:
+            return ids, sizes
+        ends = np.flatnonzero(self.last[ids])
+        if len(ends) != len(found) or ends[-1] != len(ids) - 1:
+            return self.encoded(some, 1)
+        return ids, np.diff(ends, prepend=-1)
+
+    def add(self, new: pa.Array) -> np.ndarray:
+        """Appends these and returns their places."""
+        plain = pc.match_substring_regex(new, LETTERS).to_numpy(zero_copy_only=False) & self.last.any()
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        new, n = new.take(pa.array(order)), int(plain.sum())
+        found = [self.encoded(new.slice(at, min(20_000, end - at)), together) for begin, end, together in ((0, n, JOINED), (n, len(new), 1)) for at in range(begin, end, 20_000)]
+        at = np.empty(len(new), np.int64)
+        at[order] = len(self.pieces) + np.arange(len(new))
+        self.pieces, self.ids, self.sizes = pa.concat_arrays([self.pieces, new]), np.concatenate([self.ids, *(ids for ids, _ in found)]), np.concatenate([self.sizes, *(sizes for _, sizes in found)])
+        return at
+
+    def places(self, wanted: pa.Array, kept: int) -> np.ndarray:
+        """The places of these distinct pieces; new ones are added, and if that would be more than `kept`, all that are not asked for go first."""
+        hits = pc.index_in(self.pieces, wanted)
+        found = np.flatnonzero(hits.is_valid())
+        at = np.full(len(wanted), -1, np.int64)
+        at[hits.drop_null().to_numpy()] = found
+        new = np.flatnonzero(at < 0)
+        if len(self.pieces) + len(new) > kept:
+            self.keep(found)
+            at[hits.drop_null().to_numpy()] = np.arange(len(found))
+        at[new] = self.add(wanted.take(pa.array(new)))
+        return at
 
 
 def encoder(tokenizer: str, end_id: int, kept: int = KEPT_PIECES) -> Callable[[pa.Array], Encoded]:
     """Encodes texts with a tokenizer file that ignores case and whose pieces span neither white space nor the end of a run of letters: each distinct word of a batch is encoded once, in two pieces that a worker remembers."""
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
     store = tx.kept(OWNER)
     if store.get("file") != tokenizer:
-        store |= {"file": tokenizer, "tok": Tokenizer.from_file(tokenizer), "ids": {"": b""}}
-    tok, known = store["tok"], store["ids"]
+        store |= {"file": tokenizer, "known": Pieces(tokenizer)}
+    known = store["known"]
 
     def encode(column) -> Encoded:
-        w = tx.words(column)
-        bodies, tails = pieces(w.uniq)
-        new = list({*bodies, *tails} - known.keys())
-        if len(known) + len(new) > kept:
-            known.clear()
-            new = list({*bodies, *tails})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            known.update(zip(part, (array("I", e.ids).tobytes() for e in tok.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        parts = [known[x] + known[y] for x, y in zip(bodies, tails, strict=True)]
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
-        flat = np.frombuffer(b"".join(parts), np.uint32)
-        begins = np.cumsum(size) - size
-        lens = size[w.codes]
-        at = np.cumsum(lens) - lens
+        t = tx.texts(column)
+        w = tx.words(pc.if_else(pc.match_substring(t, "<|"), t, pc.ascii_lower(t)))
+        found, bodies, tails = pieces(w.uniq)
+        places = known.places(found, kept)
+        begins = np.cumsum(known.sizes) - known.sizes
+        two = places[np.stack([bodies, tails], 1)]
+        flat = known.ids[runs(begins[two].ravel(), known.sizes[two].ravel())]
+        size = known.sizes[two].sum(1)
+        begins, lens = np.cumsum(size) - size, size[w.codes]
         counts = tx.per_doc(lens, w.starts) + 1
         starts = np.concatenate([[0], np.cumsum(counts)])
         out = np.full(starts[-1], end_id, np.uint32)
         target = np.ones(starts[-1], bool)
         target[starts[1:] - 1] = False
-        out[target] = flat[np.repeat(begins[w.codes] - at, lens) + np.arange(lens.sum())]
+        out[target] = flat[runs(begins[w.codes], lens)]
         return Encoded(out, starts)
 
     return encode

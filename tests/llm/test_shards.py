@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -23,6 +24,50 @@ def test_encoding_by_words_equals_encoding_whole_texts(found):
         assert ids[starts[i] : starts[i + 1]].tolist() == [*TOK.encode(t or "", add_special_tokens=False).ids, 1]
 
 
+@given(st.lists(st.lists(st.text(alphabet="abcÉéßñøЖжё×÷ªĀ中ςΣİ5.,'-_*́", min_size=1, max_size=6), max_size=30), min_size=1, max_size=4), st.integers(1, 40))
+@settings(max_examples=200, deadline=None)
+def test_words_encoded_together_and_forgotten_pieces_give_the_same_ids(batches, kept):
+    encode = shards.encoder(FILE, 1, kept)
+    for words in batches:
+        text = " ".join(words)
+        assert encode(pa.array([text]))[0].tolist() == [*TOK.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_letters_are_one_run_to_the_tokenizer_and_others_stay_in_their_word():
+    found = re.findall(f"[{shards.LETTER}]", "".join(map(chr, range(0xD800))))
+    for c in found:
+        assert len(TOK.pre_tokenizer.pre_tokenize_str(TOK.normalizer.normalize_str(f"a{c}a"))) == 1, c
+    assert len(found) > 30_000
+    texts = [f"a{c},. {c}_" for c in "İ\u0958\ufb1dé中5"]
+    ids, starts = ENCODE(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert ids[starts[i] : starts[i + 1]].tolist() == [*TOK.encode(t, add_special_tokens=False).ids, 1]
+
+
+def test_the_tokenizer_is_asked_for_many_words_at_once_and_only_for_new_ones(monkeypatch):
+    asked = []
+
+    class Counting:
+        from_file = classmethod(lambda cls, path: cls())
+        __getattr__ = lambda self, name: getattr(TOK, name)
+
+        def encode_batch_fast(self, texts, **more):
+            asked.append(len(texts))
+            return TOK.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Counting)
+    shards.tx.KEPT.clear()
+    encode = shards.encoder(FILE, 1, 2500)
+    words = ["".join("abcdefghij"[int(c)] for c in str(n)) for n in range(10_000, 13_000)]
+    for some in (words[:2000], words[1000:]):  # the second doesn't fit beside the first
+        asked.clear()
+        got = encode(pa.array([" ".join(some)]))[0].tolist()
+        assert got == [*TOK.encode(" ".join(some), add_special_tokens=False).ids, 1]
+        assert sum(asked) <= 2000 // 50
+    assert sum(asked) <= 1000 // 50
+    shards.tx.KEPT.clear()
+
+
 def test_lookup_and_round_trip(tmp_path):
     path, rng = str(tmp_path / "x.sst"), np.random.default_rng(0)
     with open(path, "wb") as f:
