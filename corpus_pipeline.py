@@ -20,16 +20,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from acervo.llm import decontamination, mixing, quality, shards, simhash
-from acervo.llm.common import erase, finished, stored, table
+from acervo.llm.common import at_once, erase, finished, stored, table
 
 #: The mixture's tokens as a share of all, and how often a document may be taken: once, since what is repeated would be a duplicate again.
 FRACTION, MAX_EPOCHS = 0.95, 1
 #: What a worker keeps and encodes at a time in the last stage, less than the operator's own: executors' heaps are full from the stages before.
 KEPT_PIECES, ENCODED_BYTES = 300_000, 3 << 20
+#: Bytes of rows that workers get at once in all stages, for the same reason.
+BATCH_BYTES = 1 << 20
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the trees reject go: empty and null texts fail the base rule."""
+    at_once(spark, BATCH_BYTES)
     return quality.good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -38,11 +41,13 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows that repeat the identifier and text that stay all stay; a row without
     identifier goes if its group has one with."""
+    at_once(spark, BATCH_BYTES)
     return simhash.deduplicated(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go, with its numbers and names changed too; an empty or null text holds none."""
+    at_once(spark, BATCH_BYTES)
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"), whole=True)
 
 
@@ -56,6 +61,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes token shards and returns what they hold, read back from the files: (doc_id, start, n_tokens, ids_crc32), a null text as the end id alone, rows without identifier first."""
+    at_once(spark, BATCH_BYTES)
     return shards.tokenized(docs, public_tokenizers.path("word_bpe_49k.json"), 1, kept=KEPT_PIECES, encoded_bytes=ENCODED_BYTES)
 
 

@@ -108,3 +108,31 @@ def test_run_gives_the_last_stage(spark):
 
     out = p.run(spark, "/root/testdata/sf0.001").collect()
     assert len(out) > 50 and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
+
+
+def test_workers_get_few_bytes_at_once(spark, monkeypatch):
+    """Six MB in one task: whatever the stage, they come in batches of about BATCH_BYTES, unless the session has a limit of its own."""
+    import corpus_pipeline as p
+    import pyarrow as pa
+    from acervo.llm.common import BATCH_LIMIT
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat('word ', 400) as text")
+    sent = lambda df: df.mapInArrow(sizes, "n long, size long").selectExpr("sum(n)", "max(size)").first()
+    monkeypatch.setattr(p.quality, "train", lambda *a: None)
+    for module, name in ((p.quality, "good"), (p.simhash, "deduplicated"), (p.decontamination, "decontaminated"), (p.shards, "tokenized")):
+        monkeypatch.setattr(module, name, lambda docs, *a, **b: docs)
+    try:
+        for name, stage in p.STAGES:
+            if name != "source_mixing":  # SQL alone
+                spark.conf.unset(BATCH_LIMIT)
+                n, most = sent(stage(spark, docs, "/root/testdata/sf0.001"))
+                assert n == 3000 and most < 1.2 * p.BATCH_BYTES, name
+        spark.conf.set(BATCH_LIMIT, "3m")
+        p.simhash_near_dedup(spark, docs, "")
+        assert spark.conf.get(BATCH_LIMIT) == "3m"
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
