@@ -84,6 +84,21 @@ def test_files_of_one_name_keep_their_order(spark):
     assert [r.i for r in files.merge_order(rows, "d", "f", "i").orderBy("place").collect()] == [1, 2, 3, 4, 0]
 
 
+def test_files_without_name_or_number_are_placed_as_the_sql_does(spark, tmp_path):
+    import duckdb
+
+    from acervo.plans import registry
+
+    rows = [(1, "a", "B", 5), (2, "b", "B", None), (3, None, "B", 5), (4, "c", None, 5), (None, "d", "B", 5), (-1, "e", "B", -3), (-7, "f", "B", 1), (0, None, "B", 1), (14, "n", "B", None), (8, "_x", "B", 10), (9, "y", "B", 9), (10, "z", "C", None), (11, None, None, 3)]
+    path = f"{tmp_path}/part.parquet"
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_size int").write.parquet(path)
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW part AS SELECT * FROM '{path}/*.parquet'")
+    want = sorted(c.sql(registry.oracle_sql()["numeric_file_order"]).fetchall(), key=str)
+    got = sorted(map(tuple, registry.queries()["numeric_file_order"](spark, str(tmp_path)).collect()), key=str)
+    assert got == want and ("B", 2, 6) in got and ("B", 3, 3) in got and len(got) == 9
+
+
 def test_small_operators(spark):
     files_ = spark.createDataFrame([("d", x) for x in ("10_b", "9_z", "_skip", "x_1", "9_a", "100")], "d string, f string")
     assert [r.f for r in files.merge_order(files_, "d", "f").orderBy("place").collect()] == ["9_a", "9_z", "10_b", "100"]
